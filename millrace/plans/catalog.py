@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from millrace.functions.parse import parse_multi_ts, ts_format_class
+from millrace.operators import expect, quality
+from millrace.operators.conform import with_severity
+from millrace.plans import silver
 from millrace.plans.plant import Plant
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +70,119 @@ def _gold_first_pass_yield(p: Plant) -> DataFrame:
 @query("gold_critical_work_orders")
 def _gold_critical_work_orders(p: Plant) -> DataFrame:
     return p.critical_work_orders()
+
+
+# ------------------------------------------------------------------ silver tables
+@query("silver_readings")
+def _silver_readings(p: Plant) -> DataFrame:
+    """Accepted readings, deduplicated (quality, then ingest time)."""
+    return p.silver_readings().drop("_ingest_ts", "_source_file")
+
+
+@query("quarantine_readings")
+def _quarantine_readings(p: Plant) -> DataFrame:
+    return p.quarantine_readings().select("timestamp", "equipment_id", "sensor_tag", "quality", "status",
+                                          "line_id", "reading_ts", "equipment_key", "quarantine_reason")
+
+
+@query("quarantine_balance")
+def _quarantine_balance(p: Plant) -> DataFrame:
+    tagged = silver.readings_tagged(p.bronze_readings(), p.refs, p.zone)
+    return quality.quarantine_balance(tagged, p.silver_readings())
+
+
+@query("dedupe_readings")
+def _dedupe_readings(p: Plant) -> DataFrame:
+    """Keys left after ``dropDuplicates`` on (reading_ts, equipment_key, sensor_tag)."""
+    return p.silver_readings(dedupe="first").select(*silver.READING_KEY)
+
+
+@query("dedupe_best")
+def _dedupe_best(p: Plant) -> DataFrame:
+    """Keys that had copies: the winner (highest quality, then value) and the copy count."""
+    tagged = silver.readings_tagged(p.bronze_readings(), p.refs, p.zone)
+    acc = tagged.filter(F.col("quarantine_reason").isNull()).select(
+        *silver.READING_KEY, F.col("quality").try_cast("int").alias("opc_quality_code"), "value", "line_id")
+    return (acc.groupBy(*silver.READING_KEY)
+            .agg(F.count(F.lit(1)).alias("copies"),
+                 F.max(F.struct("opc_quality_code", "value", "line_id")).alias("w"))
+            .filter(F.col("copies") > 1)
+            .select(*silver.READING_KEY, "copies",
+                    F.col("w.opc_quality_code").alias("opc_quality_code"),
+                    F.col("w.value").alias("value"), F.col("w.line_id").alias("line_id")))
+
+
+@query("sentinel_scrub")
+def _sentinel_scrub(p: Plant) -> DataFrame:
+    return quality.sentinel_profile(p.bronze_readings())
+
+
+@query("quality_gate")
+def _quality_gate(p: Plant) -> DataFrame:
+    return quality.quality_gate(p.silver_readings())
+
+
+@query("tag_range_rules")
+def _tag_range_rules(p: Plant) -> DataFrame:
+    rules = p.spark.createDataFrame(quality.TAG_RANGE_RULES, "sensor_tag STRING, min_value DOUBLE, max_value DOUBLE")
+    return quality.tag_range_check(p.silver_readings(), rules)
+
+
+@query("parse_multi_ts")
+def _parse_multi_ts(p: Plant) -> DataFrame:
+    """Per source column and encoding: rows, parsed rows, min/max instant."""
+    def prof(df, source, col):
+        return df.select(F.lit(source).alias("source_column"), ts_format_class(col).alias("ts_format"),
+                         parse_multi_ts(col, p.zone).alias("ts"))
+    u = (prof(p.bronze_readings(), "sensor_readings.timestamp", "timestamp")
+         .unionByName(prof(p.bronze_runs(), "production_runs.start_time", "start_time"))
+         .unionByName(prof(p.bronze_runs(), "production_runs.end_time", "end_time"))
+         .unionByName(prof(p.bronze_work_orders(), "maintenance_logs.created_date", "created_date"))
+         .unionByName(prof(p.bronze_work_orders(), "maintenance_logs.completed_date", "completed_date")))
+    return (u.groupBy("source_column", "ts_format")
+            .agg(F.count(F.lit(1)).alias("raw_rows"), F.count("ts").alias("parsed_rows"),
+                 F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts")))
+
+
+@query("silver_runs")
+def _silver_runs(p: Plant) -> DataFrame:
+    return p.silver_runs().drop("_ingest_ts", "_source_file")
+
+
+@query("silver_work_orders")
+def _silver_work_orders(p: Plant) -> DataFrame:
+    return p.silver_work_orders()
+
+
+@query("silver_alarms")
+def _silver_alarms(p: Plant) -> DataFrame:
+    return p.silver_alarms()
+
+
+@query("silver_quality")
+def _silver_quality(p: Plant) -> DataFrame:
+    return p.silver_quality().drop("_ingest_ts", "_source_file")
+
+
+def _all_reports(p: Plant) -> DataFrame:
+    tagged = silver.readings_tagged(p.bronze_readings(), p.refs, p.zone)
+    wo = silver.work_orders_conformed(p.bronze_work_orders(), p.refs, p.zone)
+    al = with_severity(p.bronze_alarms(), p.refs.alarm_severity_xref)
+    return (expect.report(tagged, silver.READINGS_RULES, "sensor_readings")
+            .unionByName(expect.report(p.silver_runs(), silver.RUNS_RULES, "production_runs"))
+            .unionByName(expect.report(wo, silver.WORK_ORDER_RULES, "maintenance_work_orders"))
+            .unionByName(expect.report(al, silver.ALARM_RULES, "alarms"))
+            .unionByName(expect.report(p.silver_quality(), silver.CHECK_RULES, "quality_checks")))
+
+
+@query("expectation_report")
+def _expectation_report(p: Plant) -> DataFrame:
+    """One row per (table, rule): policy, violations, rows evaluated."""
+    return _all_reports(p)
+
+
+@query("expectation_fail")
+def _expectation_fail(p: Plant) -> DataFrame:
+    """The abort-policy rules and whether an update would abort."""
+    return _all_reports(p).filter(F.col("policy") == "fail") \
+        .select("table_name", "rule", "violations", "would_abort")
