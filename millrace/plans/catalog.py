@@ -16,7 +16,8 @@ from pyspark.sql.types import TimestampType
 from millrace.functions.parse import parse_multi_ts, ts_format_class
 from millrace.operators import expect, quality
 from millrace.operators.conform import with_severity
-from millrace.plans import silver
+from millrace.operators import scd
+from millrace.plans import analysis, ask, gold, silver
 from millrace.plans.plant import Plant
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +187,129 @@ def _expectation_fail(p: Plant) -> DataFrame:
     """The abort-policy rules and whether an update would abort."""
     return _all_reports(p).filter(F.col("policy") == "fail") \
         .select("table_name", "rule", "violations", "would_abort")
+
+
+# ------------------------------------------------------------------ SCD / change feeds
+def _change_versions(p: Plant) -> DataFrame:
+    return scd.scd2(p.equipment_changes(), ["equipment_key"], "change_ts", "change_seq",
+                    ["maintenance_class"])
+
+
+@query("scd2_dim")
+def _scd2_dim(p: Plant) -> DataFrame:
+    """Type-2 versions of the tracked attribute per equipment key."""
+    return _change_versions(p)
+
+
+@query("scd2_asof_join")
+def _scd2_asof_join(p: Plant) -> DataFrame:
+    """Facts (line items as maintenance events) joined to the version valid at their time."""
+    li = p.table("lineitem", ["l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"])
+    facts = li.select("l_orderkey", "l_linenumber",
+                      F.concat(F.lit("EQP-"), (F.pmod("l_suppkey", F.lit(200)) + 1000).cast("string")).alias("equipment_key"),
+                      (F.col("l_shipdate") + F.expr("INTERVAL 12 HOURS")).alias("fact_ts"))
+    return scd.asof_join(facts, _change_versions(p), ["equipment_key"], "fact_ts", ["maintenance_class"])
+
+
+@query("apply_changes")
+def _apply_changes(p: Plant) -> DataFrame:
+    """Current acknowledgment per alarm from the change feed (deletes honoured)."""
+    return analysis.current_acknowledgments(p.acknowledgments())
+
+
+@query("unacked_alarms")
+def _unacked_alarms(p: Plant) -> DataFrame:
+    return analysis.unacknowledged_alarms(p.silver_alarms(), p.acknowledgments())
+
+
+# ------------------------------------------------------------------ intervals
+@query("overlap_adjacent")
+def _overlap_adjacent(p: Plant) -> DataFrame:
+    return analysis.overlap_adjacent(p.silver_runs())
+
+
+@query("overlap_pairs")
+def _overlap_pairs(p: Plant) -> DataFrame:
+    return analysis.run_overlap_pairs(p.silver_runs())
+
+
+@query("changeover_net")
+def _changeover_net(p: Plant) -> DataFrame:
+    return analysis.changeover_net(p.silver_runs(), p.silver_work_orders(), p.refs.equipment_xref)
+
+
+@query("batch_to_run")
+def _batch_to_run(p: Plant) -> DataFrame:
+    return analysis.batch_to_run(p.silver_quality(), p.silver_runs())
+
+
+# ------------------------------------------------------------------ designed marts
+@query("reliability_alltime")
+def _reliability_alltime(p: Plant) -> DataFrame:
+    return gold.reliability_all_time(p.equipment_reliability())
+
+
+@query("alarm_summary")
+def _alarm_summary(p: Plant) -> DataFrame:
+    return analysis.alarm_summary(p.silver_alarms(), p.zone)
+
+
+@query("tag_completeness")
+def _tag_completeness(p: Plant) -> DataFrame:
+    return analysis.tag_completeness(p.silver_readings())
+
+
+@query("ingest_lag")
+def _ingest_lag(p: Plant) -> DataFrame:
+    return analysis.ingest_lag({
+        "sensor_readings": p.silver_readings().select("reading_ts"),
+        "production_runs": p.silver_runs().select("end_ts"),
+        "maintenance_work_orders": p.silver_work_orders().select("created_ts"),
+        "quality_checks": p.silver_quality().select("check_ts"),
+        "alarms": p.silver_alarms().select("alarm_ts"),
+    })
+
+
+@query("kpi_scorecard")
+def _kpi_scorecard(p: Plant) -> DataFrame:
+    rel = p.equipment_reliability()
+    return analysis.kpi_scorecard({
+        "oee": p.oee_daily(), "scrap_rate": p.scrap_rate_daily(), "mtbf_hours": rel,
+        "mttr_minutes": rel, "first_pass_yield": p.first_pass_yield(),
+        "changeover_minutes": p.changeover_time()})
+
+
+@query("line_scope")
+def _line_scope(p: Plant) -> DataFrame:
+    a = p.spark.createDataFrame(analysis.LINE_ASSIGNMENTS, "manager_group STRING, line_id INT")
+    return analysis.line_scope(p.oee_daily(), a).select("manager_group", "line_id", "production_date", "oee")
+
+
+# ------------------------------------------------------------------ pinned questions
+@query("q_line_oee")
+def _q_line_oee(p: Plant) -> DataFrame:
+    """'What was the OEE for each line last Tuesday?' (the data's own today)."""
+    return ask.oee_for(p.oee_daily())
+
+
+@query("q_unplanned_stops")
+def _q_unplanned_stops(p: Plant) -> DataFrame:
+    return ask.unplanned_stops_over(p.equipment_reliability(), 3)
+
+
+@query("q_param_scrap_corr")
+def _q_param_scrap_corr(p: Plant) -> DataFrame:
+    return ask.param_scrap_correlation(p.silver_quality(), p.scrap_rate_daily())
+
+
+@query("q_fill_weight_trend")
+def _q_fill_weight_trend(p: Plant) -> DataFrame:
+    checks = p.silver_quality()
+    matched = analysis.batch_to_run(checks, p.silver_runs()).join(
+        checks.select("check_id", "parameter", "value", "check_ts_local"), "check_id")
+    return ask.fill_weight_trend(matched, p.silver_runs())
+
+
+@query("q_top_technician")
+def _q_top_technician(p: Plant) -> DataFrame:
+    return ask.top_technicians(p.critical_work_orders(), 1)

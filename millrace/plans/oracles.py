@@ -358,3 +358,209 @@ ORACLES["expectation_report"] = _REPORT + """SELECT table_name, rule, policy, CA
 
 ORACLES["expectation_fail"] = _REPORT + """SELECT table_name, rule, CAST(violations AS BIGINT) AS violations,
   (violations > 0) AS would_abort FROM rep WHERE policy = 'fail'"""
+
+# ------------------------------------------------------------------ SCD / change feeds
+T_V = """t_v AS (
+  SELECT 'EQP-' || CAST(o_custkey % 200 + 1000 AS VARCHAR) AS equipment_key,
+         CAST(o_orderdate AS TIMESTAMP) AS change_ts, o_orderkey AS change_seq,
+         o_orderpriority AS maintenance_class
+  FROM orders
+),
+t_vl AS (
+  SELECT *, LAG(maintenance_class) OVER w AS prev_class, ROW_NUMBER() OVER w AS rn
+  FROM t_v WINDOW w AS (PARTITION BY equipment_key ORDER BY change_ts, change_seq)
+),
+t_vs AS (SELECT * FROM t_vl WHERE rn = 1 OR prev_class IS DISTINCT FROM maintenance_class),
+t_dim0 AS (
+  SELECT equipment_key, maintenance_class, change_ts AS valid_from,
+         LEAD(change_ts) OVER (PARTITION BY equipment_key ORDER BY change_ts, change_seq) AS valid_to,
+         change_seq AS version_seq
+  FROM t_vs
+),
+t_dim AS (SELECT *, valid_to IS NULL AS is_current FROM t_dim0)"""
+
+ORACLES["scd2_dim"] = with_ctes(T_V) + "SELECT * FROM t_dim"
+
+ORACLES["scd2_asof_join"] = with_ctes(T_V, """f AS (
+  SELECT l_orderkey, l_linenumber, 'EQP-' || CAST(l_suppkey % 200 + 1000 AS VARCHAR) AS equipment_key,
+         CAST(l_shipdate AS TIMESTAMP) + INTERVAL 12 HOUR AS fact_ts
+  FROM lineitem
+)""") + """SELECT f.l_orderkey, f.l_linenumber, f.equipment_key, f.fact_ts, d.maintenance_class,
+       d.valid_from AS version_valid_from
+FROM f LEFT JOIN t_dim d ON f.equipment_key = d.equipment_key AND f.fact_ts >= d.valid_from
+                         AND (f.fact_ts < d.valid_to OR d.valid_to IS NULL)"""
+
+T_ACK = """t_ack AS (
+  SELECT 'AL-' || CAST(e.event_id AS VARCHAR) AS alarm_id, s.change_seq,
+         CASE WHEN s.change_seq = 3 THEN 'DELETE' ELSE 'UPSERT' END AS op,
+         'OP-' || CAST((e.user_id + s.change_seq - 1) % 6 AS VARCHAR) AS acknowledged_by,
+         e.ts + to_minutes(CAST(e.event_id % 90 AS BIGINT)) + to_minutes(CAST((s.change_seq - 1) * 5 AS BIGINT)) AS change_ts,
+         'note ' || CAST(s.change_seq AS VARCHAR) AS note
+  FROM events e, (VALUES (1), (2), (3)) s(change_seq)
+  WHERE e.event_type = 'error' AND e.event_id % 4 < 2 AND (s.change_seq < 3 OR e.event_id % 5 = 0)
+),
+t_ack_cur AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY alarm_id ORDER BY change_seq DESC) AS rn FROM t_ack)
+  WHERE rn = 1 AND op <> 'DELETE'
+)"""
+
+ORACLES["apply_changes"] = with_ctes(T_ACK) + "SELECT alarm_id, change_seq, op, acknowledged_by, change_ts, note FROM t_ack_cur"
+
+ORACLES["unacked_alarms"] = with_ctes(T_AL, T_ACK) + """SELECT alarm_id, alarm_ts, equipment_key, severity_norm, alarm_state, line_id
+FROM t_al WHERE alarm_id NOT IN (SELECT alarm_id FROM t_ack_cur)"""
+
+# ------------------------------------------------------------------ intervals
+T_DONE = """t_done AS (SELECT run_id, line_id, product_sku, start_ts, end_ts FROM t_runs WHERE run_status = 'COMPLETED')"""
+
+ORACLES["overlap_adjacent"] = with_ctes(T_RUNS, T_DONE, """o AS (
+  SELECT *, LAG(run_id) OVER w AS prev_run_id, LAG(end_ts) OVER w AS prev_end_ts
+  FROM t_done WINDOW w AS (PARTITION BY line_id ORDER BY start_ts, run_id)
+)""") + """SELECT line_id, run_id, prev_run_id, start_ts, prev_end_ts,
+       CAST(date_sub('minute', start_ts, prev_end_ts) AS BIGINT) AS overlap_minutes
+FROM o WHERE start_ts < prev_end_ts"""
+
+ORACLES["overlap_pairs"] = with_ctes(T_RUNS, T_DONE) + """SELECT a.line_id, a.run_id AS run_id_a, b.run_id AS run_id_b,
+       greatest(a.start_ts, b.start_ts) AS overlap_start, least(a.end_ts, b.end_ts) AS overlap_end,
+       CAST(date_sub('minute', greatest(a.start_ts, b.start_ts), least(a.end_ts, b.end_ts)) AS BIGINT) AS overlap_minutes
+FROM t_done a JOIN t_done b ON a.line_id = b.line_id AND a.run_id < b.run_id
+                           AND a.start_ts < b.end_ts AND b.start_ts < a.end_ts"""
+
+ORACLES["changeover_net"] = with_ctes(T_RUNS, T_WO, T_DONE, """o AS (
+  SELECT *, LAG(product_sku) OVER w AS prev_sku, LAG(end_ts) OVER w AS prev_end
+  FROM t_done WINDOW w AS (PARTITION BY line_id ORDER BY start_ts, run_id)
+)""", """co AS (
+  SELECT line_id, run_id, prev_sku AS from_product_sku, product_sku AS to_product_sku,
+         prev_end AS changeover_start_ts, start_ts AS changeover_end_ts,
+         CAST(date_sub('minute', prev_end, start_ts) AS BIGINT) AS changeover_minutes
+  FROM o WHERE prev_sku IS NOT NULL AND product_sku <> prev_sku AND start_ts >= prev_end
+)""", """dt AS (
+  SELECT CAST(CASE WHEN l_suppkey % 11 < 4 THEN 1 WHEN l_suppkey % 11 < 8 THEN 2 ELSE 3 END AS INTEGER) AS line_id,
+         created_ts AS s, created_ts + to_minutes(CAST(downtime_minutes AS BIGINT)) AS e
+  FROM t_wo WHERE planning_category = 'UNPLANNED' AND downtime_minutes > 0
+)""", """dw AS (
+  SELECT *, MAX(e) OVER (PARTITION BY line_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm
+  FROM dt
+)""", """di AS (
+  SELECT *, SUM(CASE WHEN pm IS NULL OR s > pm THEN 1 ELSE 0 END)
+             OVER (PARTITION BY line_id ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS isl
+  FROM dw
+)""", """islands AS (SELECT line_id, MIN(s) AS s, MAX(e) AS e FROM di GROUP BY line_id, isl)""", """cov AS (
+  SELECT co.line_id, co.run_id,
+         SUM(date_sub('minute', greatest(co.changeover_start_ts, i.s), least(co.changeover_end_ts, i.e))) AS m
+  FROM co JOIN islands i ON co.line_id = i.line_id AND i.s < co.changeover_end_ts AND co.changeover_start_ts < i.e
+  GROUP BY 1, 2
+)""") + """SELECT co.*, CAST(COALESCE(cov.m, 0) AS BIGINT) AS downtime_overlap_minutes,
+       co.changeover_minutes - CAST(COALESCE(cov.m, 0) AS BIGINT) AS net_changeover_minutes
+FROM co LEFT JOIN cov USING (line_id, run_id)"""
+
+_CHECK_ID = """printf('QC-%010d-%08d-%02d-%012d-%03d-%03d', l_orderkey, l_suppkey, l_linenumber,
+         CAST(round(l_extendedprice * 100) AS BIGINT), CAST(round(l_tax * 100) AS INTEGER),
+         CAST(round(l_discount * 100) AS INTEGER))"""
+
+T_B2R = f"""t_b2r AS (
+  SELECT {_CHECK_ID} AS check_id, q.batch_id, q.line_id, q.check_ts,
+         COUNT(c.run_id) AS match_count,
+         CASE WHEN COUNT(c.run_id) = 1 THEN MIN(c.run_id) END AS matched_run_id
+  FROM t_qc q LEFT JOIN t_done c ON q.line_id = c.line_id AND q.check_ts >= c.start_ts AND q.check_ts < c.end_ts
+  GROUP BY 1, 2, 3, 4
+)"""
+
+ORACLES["batch_to_run"] = with_ctes(T_RUNS, T_DONE, T_QC, T_B2R) + "SELECT * FROM t_b2r"
+
+# ------------------------------------------------------------------ designed marts
+ORACLES["reliability_alltime"] = f"""SELECT equipment_key, equipment_name, line_id,
+  CAST(SUM(unplanned_stop_count) AS BIGINT) AS unplanned_stop_count_all_time,
+  COUNT(*) AS months_with_stops
+FROM ({ORACLES['gold_reliability']}) r GROUP BY 1, 2, 3"""
+
+ORACLES["alarm_summary"] = with_ctes(T_AL) + f"""SELECT line_id, CAST({local_of_utc('alarm_ts')} AS DATE) AS alarm_date,
+  severity_norm, severity_rank, COUNT(*) AS alarms,
+  COUNT(*) FILTER (WHERE acknowledged_ts IS NULL) AS unacknowledged,
+  CAST(SUM(duration_seconds) AS BIGINT) AS total_duration_seconds,
+  {rhu("CAST(SUM(date_sub('second', alarm_ts, acknowledged_ts)) AS DOUBLE) / NULLIF(CAST(COUNT(acknowledged_ts) AS DOUBLE), 0)", 1)} AS avg_ack_delay_seconds
+FROM t_al GROUP BY 1, 2, 3, 4"""
+
+ORACLES["tag_completeness"] = with_ctes(T_R, """ex AS (SELECT line_id, COUNT(DISTINCT sensor_tag) AS tags_expected FROM t_silver_r GROUP BY 1)""", """ac AS (
+  SELECT line_id, date_trunc('hour', reading_ts) AS hour_start, COUNT(DISTINCT sensor_tag) AS tags_reporting
+  FROM t_silver_r GROUP BY 1, 2
+)""") + f"""SELECT ac.line_id, hour_start, tags_reporting, tags_expected,
+  {rhu('CAST(tags_reporting AS DOUBLE) / CAST(tags_expected AS DOUBLE)', 4)} AS completeness
+FROM ac JOIN ex USING (line_id)"""
+
+ORACLES["ingest_lag"] = with_ctes(T_R, T_RUNS, T_WO, T_QC, T_AL, """u AS (
+  SELECT 'sensor_readings' AS source, MAX(reading_ts) AS max_event_ts FROM t_silver_r
+  UNION ALL SELECT 'production_runs', MAX(end_ts) FROM t_runs
+  UNION ALL SELECT 'maintenance_work_orders', MAX(created_ts) FROM t_wo
+  UNION ALL SELECT 'quality_checks', MAX(check_ts) FROM t_qc
+  UNION ALL SELECT 'alarms', MAX(alarm_ts) FROM t_al
+)""") + """SELECT source, max_event_ts, (SELECT MAX(max_event_ts) FROM u) AS as_of_ts,
+  CAST(date_sub('minute', max_event_ts, (SELECT MAX(max_event_ts) FROM u)) AS BIGINT) AS lag_minutes
+FROM u"""
+
+
+def _score(kpi: str, op: str, target: float, mart_key: str) -> str:
+    return f"""SELECT '{kpi}' AS kpi, '{op}' AS comparison, CAST({target} AS DOUBLE) AS target,
+  COUNT({kpi}) AS rows_evaluated,
+  COUNT(*) FILTER (WHERE CAST({kpi} AS DOUBLE) {op} {target}) AS rows_meeting
+FROM ({ORACLES[mart_key]}) m"""
+
+
+ORACLES["kpi_scorecard"] = "SELECT *, " + rhu(
+    "CAST(rows_meeting AS DOUBLE) / NULLIF(CAST(rows_evaluated AS DOUBLE), 0)", 4) + " AS share_meeting FROM (\n" + \
+    "\nUNION ALL\n".join([
+        _score("oee", ">", 0.85, "gold_oee_daily"),
+        _score("scrap_rate", "<", 0.02, "gold_scrap_rate"),
+        _score("mtbf_hours", ">", 72.0, "gold_reliability"),
+        _score("mttr_minutes", "<", 45.0, "gold_reliability"),
+        _score("first_pass_yield", ">", 0.98, "gold_first_pass_yield"),
+        _score("changeover_minutes", "<", 30.0, "gold_changeover"),
+    ]) + "\n) s"
+
+ORACLES["line_scope"] = f"""SELECT a.manager_group, o.line_id, o.production_date, o.oee
+FROM ({ORACLES['gold_oee_daily']}) o
+JOIN (VALUES ('line1_managers', 1), ('line2_managers', 2), ('line3_managers', 3),
+             ('plant_managers', 1), ('plant_managers', 2), ('plant_managers', 3)) a(manager_group, line_id)
+  ON o.line_id = a.line_id"""
+
+# ------------------------------------------------------------------ pinned questions
+ORACLES["q_line_oee"] = f"""WITH o AS ({ORACLES['gold_oee_daily']}),
+ref AS (SELECT MAX(production_date) + 1 AS today FROM o),
+tgt AS (SELECT CAST(today - CAST(((((dayofweek(today) + 1 - 3) % 7) + 7) % 7 + 7) AS INTEGER) AS DATE) AS d FROM ref)
+SELECT o.* FROM o JOIN tgt ON o.production_date = tgt.d"""
+
+ORACLES["q_unplanned_stops"] = f"""SELECT * FROM ({ORACLES['gold_reliability']}) r WHERE unplanned_stop_count > 3"""
+
+ORACLES["q_param_scrap_corr"] = with_ctes(T_QC, f"""sc AS ({ORACLES['gold_scrap_rate']})""", """d AS (
+  SELECT line_id, CAST(check_ts_local AS DATE) AS production_date, parameter, AVG(value) AS param_mean
+  FROM t_qc GROUP BY 1, 2, 3
+)""", f"""c AS (
+  SELECT d.line_id, d.parameter, COUNT(*) AS days, {rhu('corr(d.param_mean, sc.scrap_rate)', 6)} AS corr
+  FROM d JOIN sc ON d.line_id = sc.line_id AND d.production_date = sc.production_date
+  GROUP BY 1, 2
+)""") + """SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY line_id ORDER BY abs(corr) DESC NULLS LAST, parameter) AS INTEGER) AS corr_rank
+FROM c"""
+
+ORACLES["q_fill_weight_trend"] = with_ctes(T_RUNS, T_DONE, T_QC, T_B2R, """m AS (
+  SELECT r.product_sku, q.parameter, CAST(q.check_ts_local AS DATE) AS check_date, q.value
+  FROM t_b2r b
+  JOIN t_qc q ON b.check_id = printf('QC-%010d-%08d-%02d-%012d-%03d-%03d', q.l_orderkey, q.l_suppkey, q.l_linenumber,
+         CAST(round(q.l_extendedprice * 100) AS BIGINT), CAST(round(q.l_tax * 100) AS INTEGER),
+         CAST(round(q.l_discount * 100) AS INTEGER))
+  JOIN t_runs r ON r.run_id = b.matched_run_id
+  WHERE b.match_count = 1
+)""", """dd AS (
+  SELECT product_sku, parameter, check_date, COUNT(*) AS checks,
+         SUM(CAST(round(value * 100) AS BIGINT)) AS cents
+  FROM m GROUP BY 1, 2, 3
+)""") + f"""SELECT product_sku, parameter, check_date, checks,
+  {rhu('CAST(cents AS DOUBLE) / CAST(checks * 100 AS DOUBLE)', 4)} AS mean_value,
+  {rhu('CAST(SUM(cents) OVER w AS DOUBLE) / CAST(SUM(checks) OVER w * 100 AS DOUBLE)', 4)} AS moving_mean_value
+FROM dd
+WINDOW w AS (PARTITION BY product_sku, parameter ORDER BY date_diff('day', DATE '1970-01-01', check_date)
+             RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+
+ORACLES["q_top_technician"] = f"""SELECT * FROM (
+  SELECT *, CAST(RANK() OVER (PARTITION BY resolved_week ORDER BY critical_work_orders_resolved DESC) AS INTEGER) AS rank
+  FROM ({ORACLES['gold_critical_work_orders']}) c
+) WHERE rank <= 1"""
