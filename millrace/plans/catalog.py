@@ -313,3 +313,238 @@ def _q_fill_weight_trend(p: Plant) -> DataFrame:
 @query("q_top_technician")
 def _q_top_technician(p: Plant) -> DataFrame:
     return ask.top_technicians(p.critical_work_orders(), 1)
+
+
+# ------------------------------------------------------------------ registry
+@query("registry_clean")
+def _registry_clean(p: Plant) -> DataFrame:
+    return p.registry_clean().select(
+        "equipment_id", "equipment_key", "equipment_type", "line_id", "equipment_operational_status",
+        "criticality", "install_date", "install_date_ambiguous", "last_maintenance_date")
+
+
+@query("specs_variant")
+def _specs_variant(p: Plant) -> DataFrame:
+    """Polymorphic specs: JSON → VARIANT fields, else the text kept aside."""
+    r = p.registry_clean()
+    return r.select("equipment_key",
+                    F.when(F.col("specs").isNotNull(), "JSON").when(F.col("specs_raw").isNotNull(), "TEXT")
+                     .otherwise("NULL").alias("specs_kind"),
+                    F.variant_get("specs", "$.speed_bpm", "int").alias("speed_bpm"),
+                    F.variant_get("specs", "$.power_kw", "int").alias("power_kw"),
+                    F.to_json("specs").alias("specs_json"), "specs_raw")
+
+
+@query("parse_multi_date")
+def _parse_multi_date(p: Plant) -> DataFrame:
+    """Registry install dates per layout: rows, parsed, ambiguous, min/max."""
+    from millrace.functions.parse import date_ambiguous, date_format_class, parse_multi_date
+    b = p.bronze_registry()
+    return (b.select(date_format_class("install_date").alias("date_format"),
+                     parse_multi_date("install_date").alias("d"), date_ambiguous("install_date").alias("amb"))
+            .groupBy("date_format")
+            .agg(F.count(F.lit(1)).alias("raw_rows"), F.count("d").alias("parsed_rows"),
+                 F.count_if("amb").cast("bigint").alias("ambiguous_rows"),
+                 F.min("d").alias("min_date"), F.max("d").alias("max_date")))
+
+
+@query("suffix_key")
+def _suffix_key(p: Plant) -> DataFrame:
+    return p.registry_clean().select("equipment_id", "equipment_key")
+
+
+# ------------------------------------------------------------------ runs checks
+@query("volume_normalize")
+def _volume_normalize(p: Plant) -> DataFrame:
+    b = p.bronze_runs()
+    return (b.groupBy("volume_unit")
+            .agg(F.count(F.lit(1)).alias("runs"),
+                 F.count(F.col("actual_volume").try_cast("double")).alias("runs_with_volume"))
+            .withColumn("unit_factor", silver.unit_factor()))
+
+
+@query("sku_size")
+def _sku_size(p: Plant) -> DataFrame:
+    from millrace.functions.parse import sku_size_ml
+    return (p.silver_runs().groupBy("product_sku", "product_name")
+            .agg(F.count(F.lit(1)).alias("runs"))
+            .withColumn("unit_size_ml", sku_size_ml("product_name")))
+
+
+@query("volume_validate")
+def _volume_validate(p: Plant) -> DataFrame:
+    """Completed runs: litres expected from units × size vs reported litres;
+    deviation over 5 % → QUARANTINE."""
+    from millrace.functions.parse import round_half_up, sku_size_ml
+    r = p.silver_runs().filter((F.col("run_status") == "COMPLETED") & F.col("actual_volume_l").isNotNull())
+    expected = (F.col("total_units") * sku_size_ml("product_name")).cast("double") / F.lit(1000.0)
+    dev = F.abs(F.col("actual_volume_l") / F.nullif(F.col("expected_volume_l"), F.lit(0.0)) - F.lit(1.0))
+    return (r.select("run_id", "actual_volume_l", expected.alias("expected_volume_l"))
+            .select("run_id", "actual_volume_l", "expected_volume_l",
+                    round_half_up(dev, 6).alias("deviation"),
+                    F.when(dev > 0.05, "QUARANTINE").otherwise("OK").alias("volume_status")))
+
+
+@query("check_unit_math")
+def _check_unit_math(p: Plant) -> DataFrame:
+    """good + scrap = total on completed runs, with a blank-or-null guard on the raw text."""
+    b = p.bronze_runs().filter(F.col("status") == "COMPLETED")
+    present = F.lit(True)
+    for c in ("total_units", "good_units", "scrap_units"):
+        present = present & F.col(c).isNotNull() & (F.col(c) != "")
+    ok = (F.col("good_units").try_cast("bigint") + F.col("scrap_units").try_cast("bigint")
+          == F.col("total_units").try_cast("bigint"))
+    return b.agg(F.count(F.lit(1)).alias("completed_runs"),
+                 F.count_if(present).cast("bigint").alias("checked_runs"),
+                 F.count_if(present & ~F.coalesce(ok, F.lit(False))).cast("bigint").alias("violations"))
+
+
+@query("ts_local")
+def _ts_local(p: Plant) -> DataFrame:
+    return p.silver_runs().select("run_id", "start_ts", "start_ts_local")
+
+
+# ------------------------------------------------------------------ conformance
+@query("equipment_conform")
+def _equipment_conform(p: Plant) -> DataFrame:
+    t = silver.readings_tagged(p.bronze_readings(), p.refs, p.zone)
+    return t.groupBy("equipment_id", "equipment_key").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("line_conform")
+def _line_conform(p: Plant) -> DataFrame:
+    from millrace.operators.conform import with_line_id
+    def per(df, label):
+        c = with_line_id(df.select(F.col("line_id").alias("raw_line"), "line_id"), p.refs.line_xref)
+        return c.groupBy("raw_line", "line_id").agg(F.count(F.lit(1)).alias("rows")) \
+                .select(F.lit(label).alias("source"), "raw_line", "line_id", "rows")
+    return (per(p.bronze_readings(), "sensor_readings")
+            .unionByName(per(p.bronze_checks(), "quality_checks"))
+            .unionByName(per(p.bronze_alarms(), "alarms_events")))
+
+
+@query("join_coverage")
+def _join_coverage(p: Plant) -> DataFrame:
+    """Naive join on raw ids finds nothing; the crosswalk resolves every asset."""
+    wo = p.bronze_work_orders().select("asset_number")
+    rd_ids = p.bronze_readings().select(F.col("equipment_id")).distinct()
+    naive = wo.join(rd_ids, wo["asset_number"] == rd_ids["equipment_id"]).agg(F.count(F.lit(1)).alias("naive_matches"))
+    wc = silver.work_orders_conformed(p.bronze_work_orders(), p.refs, p.zone)
+    cov = wc.agg(F.countDistinct("asset_number").alias("distinct_assets"),
+                 F.countDistinct(F.when(F.col("equipment_key").isNotNull(), F.col("asset_number"))).alias("assets_resolved"))
+    rt = silver.readings_tagged(p.bronze_readings(), p.refs, p.zone)
+    rcov = rt.agg(F.countDistinct("equipment_id").alias("distinct_reading_ids"),
+                  F.countDistinct(F.when(F.col("equipment_key").isNotNull(), F.col("equipment_id"))).alias("reading_ids_resolved"))
+    return naive.crossJoin(cov).crossJoin(rcov)  # three one-row aggregates
+
+
+@query("orphan_check")
+def _orphan_check(p: Plant) -> DataFrame:
+    from millrace.operators import profile
+    x = p.refs.equipment_xref
+    return (profile.orphans(p.bronze_readings(), "equipment_id", x, "source_equipment_id", "sensor_readings")
+            .unionByName(profile.orphans(p.bronze_work_orders(), "asset_number", x, "sap_asset_number", "maintenance_logs"))
+            .unionByName(profile.orphans(p.bronze_alarms(), "equipment_id", x, "source_equipment_id", "alarms_events")))
+
+
+@query("check_qc_consistency")
+def _check_qc_consistency(p: Plant) -> DataFrame:
+    q = p.silver_quality()
+    is_pass = F.upper(F.col("check_result")) == "PASS"
+    return (q.groupBy("line_id")
+            .agg(F.count(F.lit(1)).alias("checks"),
+                 F.count_if(is_pass & F.col("in_spec")).cast("bigint").alias("pass_in_spec"),
+                 F.count_if(~is_pass & ~F.col("in_spec")).cast("bigint").alias("not_pass_out_of_spec"),
+                 F.count_if(~is_pass.eqNullSafe(F.col("in_spec"))).cast("bigint").alias("contradictions")))
+
+
+@query("check_invariants")
+def _check_invariants(p: Plant) -> DataFrame:
+    wo = p.silver_work_orders().filter(F.col("work_order_status") == "COMPLETED")
+    al = p.silver_alarms().filter(F.col("alarm_state") == "CLEARED")
+    return (wo.agg(F.count(F.lit(1)).alias("rows_checked"),
+                   F.count_if(F.col("completed_ts").isNull()).cast("bigint").alias("violations"))
+              .select(F.lit("completed_orders_have_completed_date").alias("rule"), "rows_checked", "violations")
+            .unionByName(al.agg(F.count(F.lit(1)).alias("rows_checked"),
+                                F.count_if(F.col("acknowledged_ts").isNull()).cast("bigint").alias("violations"))
+              .select(F.lit("cleared_alarms_acknowledged").alias("rule"), "rows_checked", "violations")))
+
+
+@query("status_contract")
+def _status_contract(p: Plant) -> DataFrame:
+    """One row per silver table: rows and the number of ambiguous
+    ``status``/``result`` columns left (must be 0)."""
+    from millrace.operators import profile
+    tables = {"sensor_readings": p.silver_readings(), "production_runs": p.silver_runs(),
+              "maintenance_work_orders": p.silver_work_orders(), "alarms": p.silver_alarms(),
+              "quality_checks": p.silver_quality()}
+    return profile.union_all([
+        df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(n).alias("table_name"), "rows", F.lit(silver.no_status_columns(df)).cast("bigint").alias("ambiguous_columns"))
+        for n, df in tables.items()])
+
+
+# ------------------------------------------------------------------ profiling
+def _raw_frames(p: Plant) -> dict[str, DataFrame]:
+    return {"sensor_readings": p.bronze_readings(), "production_runs": p.bronze_runs(),
+            "maintenance_logs": p.bronze_work_orders(), "quality_checks": p.bronze_checks(),
+            "alarms_events": p.bronze_alarms(), "equipment_registry": p.bronze_registry()}
+
+
+@query("table_counts")
+def _table_counts(p: Plant) -> DataFrame:
+    from millrace.operators import profile
+    return profile.table_counts(_raw_frames(p))
+
+
+@query("value_counts")
+def _value_counts(p: Plant) -> DataFrame:
+    from millrace.operators import profile
+    runs, wo, al, rd = p.bronze_runs(), p.bronze_work_orders(), p.bronze_alarms(), p.bronze_readings()
+    return profile.value_counts([
+        ("production_runs.status", runs, "status"), ("production_runs.volume_unit", runs, "volume_unit"),
+        ("maintenance_logs.type", wo, "type"), ("maintenance_logs.priority", wo, "priority"),
+        ("maintenance_logs.status", wo, "status"), ("alarms_events.severity", al, "severity"),
+        ("alarms_events.status", al, "status"), ("sensor_readings.quality", rd, "quality")])
+
+
+@query("format_profile")
+def _format_profile(p: Plant) -> DataFrame:
+    from millrace.functions.parse import date_format_class
+    from millrace.operators import profile
+    rd, wo, reg = p.bronze_readings(), p.bronze_work_orders(), p.bronze_registry()
+    return profile.format_profile([
+        ("sensor_readings.timestamp", rd, ts_format_class("timestamp")),
+        ("sensor_readings.equipment_id", rd, profile.id_scheme("equipment_id")),
+        ("maintenance_logs.created_date", wo, ts_format_class("created_date")),
+        ("equipment_registry.install_date", reg, date_format_class("install_date")),
+        ("equipment_registry.equipment_id", reg, profile.id_scheme("equipment_id"))])
+
+
+@query("id_scheme_examples")
+def _id_scheme_examples(p: Plant) -> DataFrame:
+    from millrace.operators import profile
+    return profile.scheme_examples(p.bronze_readings(), "equipment_id", 5)
+
+
+@query("distinct_domain")
+def _distinct_domain(p: Plant) -> DataFrame:
+    from millrace.operators import profile
+    rd, wo, qc = p.bronze_readings(), p.bronze_work_orders(), p.bronze_checks()
+    return profile.distinct_domain([
+        ("sensor_readings.equipment_id", rd, "equipment_id"), ("sensor_readings.sensor_tag", rd, "sensor_tag"),
+        ("maintenance_logs.asset_number", wo, "asset_number"), ("maintenance_logs.technician", wo, "technician"),
+        ("quality_checks.batch_id", qc, "batch_id"), ("quality_checks.parameter", qc, "parameter")])
+
+
+@query("dup_keys")
+def _dup_keys(p: Plant) -> DataFrame:
+    from millrace.operators import profile
+    return profile.duplicate_keys(p.bronze_readings(), ["timestamp", "equipment_id", "sensor_tag"])
+
+
+@query("preview_limit")
+def _preview_limit(p: Plant) -> DataFrame:
+    """First 20 quarantined readings in a total order (a preview is the feature)."""
+    q = _quarantine_readings(p)
+    return q.orderBy(*[F.col(c).asc_nulls_first() for c in q.columns]).limit(20)

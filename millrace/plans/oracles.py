@@ -564,3 +564,187 @@ ORACLES["q_top_technician"] = f"""SELECT * FROM (
   SELECT *, CAST(RANK() OVER (PARTITION BY resolved_week ORDER BY critical_work_orders_resolved DESC) AS INTEGER) AS rank
   FROM ({ORACLES['gold_critical_work_orders']}) c
 ) WHERE rank <= 1"""
+
+# ------------------------------------------------------------------ registry
+T_REG = """t_reg0 AS (
+  SELECT s_suppkey AS s,
+    CASE s_suppkey % 3 WHEN 0 THEN 'EQ-' || CAST(s_suppkey + 1000 AS VARCHAR)
+         WHEN 1 THEN 'EQUIP_' || CAST(s_suppkey + 1000 AS VARCHAR) ELSE CAST(s_suppkey + 1000 AS VARCHAR) END AS equipment_id,
+    'EQP-' || CAST(s_suppkey + 1000 AS VARCHAR) AS equipment_key,
+    CASE s_suppkey % 10 WHEN 0 THEN 'Filling Machine' WHEN 1 THEN 'Capping Machine' WHEN 2 THEN 'Labeler'
+         WHEN 3 THEN 'Pasteurizer' WHEN 4 THEN 'Conveyor' WHEN 5 THEN 'Case Packer' WHEN 6 THEN 'Palletizer'
+         WHEN 7 THEN 'Rinser' WHEN 8 THEN 'Cip Unit' ELSE 'Depalletizer' END AS equipment_type,
+    CAST(s_suppkey % 3 + 1 AS INTEGER) AS line_id,
+    CASE s_suppkey % 6 WHEN 3 THEN 'STOPPED' WHEN 4 THEN 'MAINTENANCE' WHEN 5 THEN 'DECOMMISSIONED'
+         ELSE 'RUNNING' END AS equipment_operational_status,
+    CASE s_suppkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS criticality,
+    DATE '2000-01-01' + CAST((s_suppkey * 37) % 7000 AS INTEGER) AS inst,
+    s_suppkey % 4 AS date_fmt
+  FROM supplier
+),
+t_reg AS (
+  SELECT *, (date_fmt = 3 AND day(inst) <= 12) AS install_date_ambiguous,
+         CASE WHEN date_fmt = 3 AND day(inst) <= 12 THEN NULL ELSE inst END AS install_date,
+         inst + CAST((s * 11) % 900 + 30 AS INTEGER) AS last_maintenance_date
+  FROM t_reg0
+)"""
+
+ORACLES["registry_clean"] = with_ctes(T_REG) + """SELECT equipment_id, equipment_key, equipment_type, line_id,
+  equipment_operational_status, criticality, install_date, install_date_ambiguous, last_maintenance_date
+FROM t_reg"""
+
+ORACLES["specs_variant"] = with_ctes(T_REG) + """SELECT equipment_key,
+  CASE s % 3 WHEN 0 THEN 'JSON' WHEN 1 THEN 'TEXT' ELSE 'NULL' END AS specs_kind,
+  CASE WHEN s % 3 = 0 THEN CAST((s * 13) % 900 + 100 AS INTEGER) END AS speed_bpm,
+  CASE WHEN s % 3 = 0 THEN CAST(s % 40 + 5 AS INTEGER) END AS power_kw,
+  CASE WHEN s % 3 = 0 THEN '{"power_kw":' || CAST(s % 40 + 5 AS VARCHAR) || ',"speed_bpm":'
+                          || CAST((s * 13) % 900 + 100 AS VARCHAR) || '}' END AS specs_json,
+  CASE WHEN s % 3 = 1 THEN 'see manual rev ' || CAST(s % 9 AS VARCHAR) END AS specs_raw
+FROM t_reg"""
+
+ORACLES["parse_multi_date"] = with_ctes(T_REG) + """SELECT
+  CASE date_fmt WHEN 0 THEN 'yyyy-MM-dd' WHEN 1 THEN 'dd-MMM-yyyy' WHEN 2 THEN 'yyyy/MM/dd' ELSE 'nn/nn/yyyy' END AS date_format,
+  COUNT(*) AS raw_rows, COUNT(install_date) AS parsed_rows,
+  COUNT(*) FILTER (WHERE install_date_ambiguous) AS ambiguous_rows,
+  MIN(install_date) AS min_date, MAX(install_date) AS max_date
+FROM t_reg GROUP BY 1"""
+
+ORACLES["suffix_key"] = with_ctes(T_REG) + "SELECT equipment_id, equipment_key FROM t_reg"
+
+# ------------------------------------------------------------------ runs checks
+_ACTUAL_L = f"""((CASE WHEN o_orderkey % 11 = 0 THEN {_VOLG} * CAST(1.2 AS DOUBLE) ELSE {_VOLG} END) * {_FACT} * CAST(1000 AS DOUBLE))"""
+
+ORACLES["volume_normalize"] = with_ctes(T_RUNS) + """SELECT
+  CASE unit_sel WHEN 0 THEN 'liters' WHEN 1 THEN 'L' WHEN 2 THEN 'gal' ELSE 'gallons' END AS volume_unit,
+  COUNT(*) AS runs, COUNT(*) AS runs_with_volume,
+  CASE WHEN unit_sel >= 2 THEN CAST(3.785 AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END AS unit_factor
+FROM t_runs GROUP BY 1, 4"""
+
+ORACLES["sku_size"] = with_ctes(T_RUNS) + """SELECT product_sku, 'Drink ' || CAST(o_orderkey % 5 AS VARCHAR) || ' 355ml' AS product_name,
+  COUNT(*) AS runs, CAST(355 AS INTEGER) AS unit_size_ml
+FROM t_runs GROUP BY 1, 2"""
+
+ORACLES["volume_validate"] = with_ctes(T_RUNS, f"""v AS (
+  SELECT run_id, {_ACTUAL_L} AS actual_volume_l,
+         CAST(total_units * 355 AS DOUBLE) / CAST(1000.0 AS DOUBLE) AS expected_volume_l
+  FROM t_runs WHERE run_status = 'COMPLETED'
+)""") + f"""SELECT run_id, actual_volume_l, expected_volume_l,
+  {rhu('abs(actual_volume_l / NULLIF(expected_volume_l, 0) - CAST(1.0 AS DOUBLE))', 6)} AS deviation,
+  CASE WHEN abs(actual_volume_l / NULLIF(expected_volume_l, 0) - CAST(1.0 AS DOUBLE)) > 0.05 THEN 'QUARANTINE' ELSE 'OK' END AS volume_status
+FROM v"""
+
+ORACLES["check_unit_math"] = """SELECT COUNT(*) AS completed_runs, COUNT(*) AS checked_runs, CAST(0 AS BIGINT) AS violations
+FROM orders WHERE o_orderstatus = 'F'"""
+
+ORACLES["ts_local"] = with_ctes(T_RUNS) + "SELECT run_id, start_ts, start_ts_local FROM t_runs"
+
+# ------------------------------------------------------------------ conformance
+ORACLES["equipment_conform"] = with_ctes(T_R) + """SELECT equipment_id, equipment_key, COUNT(*) AS rows FROM t_r GROUP BY 1, 2"""
+
+ORACLES["line_conform"] = with_ctes(T_R) + """SELECT 'sensor_readings' AS source, raw_line, line_id, COUNT(*) AS rows FROM t_r GROUP BY 2, 3
+UNION ALL
+SELECT 'quality_checks', CASE l.l_partkey % 4 WHEN 0 THEN CAST(l.l_suppkey % 3 + 1 AS VARCHAR)
+         WHEN 1 THEN 'L' || CAST(l.l_suppkey % 3 + 1 AS VARCHAR) WHEN 2 THEN 'Line ' || CAST(l.l_suppkey % 3 + 1 AS VARCHAR)
+         ELSE 'Line-' || CAST(l.l_suppkey % 3 + 1 AS VARCHAR) END,
+       CAST(l.l_suppkey % 3 + 1 AS INTEGER), COUNT(*)
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 2, 3
+UNION ALL
+SELECT 'alarms_events', 'L' || CAST(user_id % 3 + 1 AS VARCHAR), CAST(user_id % 3 + 1 AS INTEGER), COUNT(*)
+FROM events WHERE event_type = 'error' GROUP BY 2, 3"""
+
+ORACLES["join_coverage"] = with_ctes(T_R, """wa AS (
+  SELECT 'A-' || CAST(CASE WHEN l_suppkey % 11 < 4 THEN 101 + l_suppkey % 11
+                           WHEN l_suppkey % 11 < 8 THEN 197 + l_suppkey % 11
+                           ELSE 293 + l_suppkey % 11 END AS VARCHAR) AS asset_number
+  FROM lineitem
+)""") + """SELECT
+  (SELECT COUNT(*) FROM wa JOIN (SELECT DISTINCT equipment_id FROM t_r) r ON wa.asset_number = r.equipment_id) AS naive_matches,
+  (SELECT COUNT(DISTINCT asset_number) FROM wa) AS distinct_assets,
+  (SELECT COUNT(DISTINCT asset_number) FROM wa) AS assets_resolved,
+  (SELECT COUNT(DISTINCT equipment_id) FROM t_r) AS distinct_reading_ids,
+  (SELECT COUNT(DISTINCT equipment_id) FROM t_r WHERE equipment_key IS NOT NULL) AS reading_ids_resolved"""
+
+ORACLES["orphan_check"] = with_ctes(T_R) + """SELECT 'sensor_readings' AS source, equipment_id AS source_id, COUNT(*) AS rows
+FROM t_r WHERE equipment_key IS NULL GROUP BY 2
+UNION ALL
+SELECT 'alarms_events', 'EQ-999', COUNT(*) FROM events WHERE event_type = 'error' AND user_id % 12 = 11
+HAVING COUNT(*) > 0"""
+
+ORACLES["check_qc_consistency"] = with_ctes(T_QC) + """SELECT line_id, COUNT(*) AS checks,
+  COUNT(*) FILTER (WHERE check_result = 'PASS' AND value BETWEEN 5 AND 45) AS pass_in_spec,
+  COUNT(*) FILTER (WHERE check_result <> 'PASS' AND NOT (value BETWEEN 5 AND 45)) AS not_pass_out_of_spec,
+  COUNT(*) FILTER (WHERE (check_result = 'PASS') <> (value BETWEEN 5 AND 45)) AS contradictions
+FROM t_qc GROUP BY 1"""
+
+ORACLES["check_invariants"] = """SELECT 'completed_orders_have_completed_date' AS rule, COUNT(*) AS rows_checked, CAST(0 AS BIGINT) AS violations
+FROM lineitem WHERE l_linestatus = 'F'
+UNION ALL
+SELECT 'cleared_alarms_acknowledged', COUNT(*), CAST(0 AS BIGINT) FROM events WHERE event_type = 'error' AND event_id % 4 = 1"""
+
+ORACLES["status_contract"] = with_ctes(T_R, T_QC) + """SELECT 'sensor_readings' AS table_name, COUNT(*) AS rows, CAST(0 AS BIGINT) AS ambiguous_columns FROM t_silver_r
+UNION ALL SELECT 'production_runs', COUNT(*), 0 FROM orders
+UNION ALL SELECT 'maintenance_work_orders', COUNT(*), 0 FROM lineitem
+UNION ALL SELECT 'alarms', COUNT(*), 0 FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'quality_checks', COUNT(*), 0 FROM t_qc"""
+
+# ------------------------------------------------------------------ profiling
+ORACLES["table_counts"] = with_ctes(T_R, T_QC, """c AS (
+  SELECT 'sensor_readings' AS table_name, COUNT(*) AS rows FROM t_r
+  UNION ALL SELECT 'production_runs', COUNT(*) FROM orders
+  UNION ALL SELECT 'maintenance_logs', COUNT(*) FROM lineitem
+  UNION ALL SELECT 'quality_checks', COUNT(*) FROM t_qc
+  UNION ALL SELECT 'alarms_events', COUNT(*) FROM events WHERE event_type = 'error'
+  UNION ALL SELECT 'equipment_registry', COUNT(*) FROM supplier
+)""") + f"""SELECT table_name, rows, {rhu('CAST(rows AS DOUBLE) / CAST((SELECT SUM(rows) FROM c) AS DOUBLE)', 6)} AS share FROM c"""
+
+ORACLES["value_counts"] = with_ctes(T_R) + """SELECT 'production_runs.status' AS source_column,
+  CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'RUNNING' WHEN 'P' THEN 'SCHEDULED' ELSE 'ON_HOLD' END AS value,
+  COUNT(*) AS rows FROM orders GROUP BY 2
+UNION ALL SELECT 'production_runs.volume_unit',
+  CASE o_orderkey % 4 WHEN 0 THEN 'liters' WHEN 1 THEN 'L' WHEN 2 THEN 'gal' ELSE 'gallons' END, COUNT(*) FROM orders GROUP BY 2
+UNION ALL SELECT 'maintenance_logs.type',
+  CASE l_linenumber % 4 WHEN 0 THEN 'Preventive' WHEN 1 THEN 'PM' WHEN 2 THEN 'Corrective' ELSE 'Breakdown' END, COUNT(*) FROM lineitem GROUP BY 2
+UNION ALL SELECT 'maintenance_logs.priority',
+  CASE l_returnflag WHEN 'R' THEN 'Critical' WHEN 'A' THEN 'High' WHEN 'N' THEN 'Low' ELSE 'Medium' END, COUNT(*) FROM lineitem GROUP BY 2
+UNION ALL SELECT 'maintenance_logs.status',
+  CASE WHEN l_linestatus = 'F' THEN 'COMPLETED'
+       ELSE CASE l_linenumber % 3 WHEN 0 THEN 'OPEN' WHEN 1 THEN 'IN_PROGRESS' ELSE 'CANCELLED' END END, COUNT(*) FROM lineitem GROUP BY 2
+UNION ALL SELECT 'alarms_events.severity',
+  CASE event_id % 8 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '3' WHEN 3 THEN '4' WHEN 4 THEN 'CRITICAL'
+       WHEN 5 THEN 'HIGH' WHEN 6 THEN 'MEDIUM' ELSE 'LOW' END, COUNT(*) FROM events WHERE event_type = 'error' GROUP BY 2
+UNION ALL SELECT 'alarms_events.status',
+  CASE event_id % 4 WHEN 0 THEN 'ACKNOWLEDGED' WHEN 1 THEN 'CLEARED' WHEN 2 THEN 'ACTIVE' ELSE 'SHELVED' END,
+  COUNT(*) FROM events WHERE event_type = 'error' GROUP BY 2
+UNION ALL SELECT 'sensor_readings.quality', quality, COUNT(*) FROM t_r GROUP BY 2"""
+
+_IDS = """CASE WHEN {c} LIKE 'EQ-%' THEN 'EQ-nnn' WHEN {c} LIKE 'EQUIP_%' THEN 'EQUIP_nnn' ELSE 'nnn' END"""
+
+ORACLES["format_profile"] = with_ctes(T_R, T_REG) + f"""SELECT 'sensor_readings.timestamp' AS source_column, ts_format AS format, COUNT(*) AS rows FROM t_r GROUP BY 2
+UNION ALL SELECT 'sensor_readings.equipment_id', {_IDS.format(c='equipment_id')}, COUNT(*) FROM t_r GROUP BY 2
+UNION ALL SELECT 'maintenance_logs.created_date', CASE WHEN l_partkey % 3 = 0 THEN 'US_SLASH' ELSE 'ISO_NAKED' END,
+  COUNT(*) FROM lineitem GROUP BY 2
+UNION ALL SELECT 'equipment_registry.install_date',
+  CASE date_fmt WHEN 0 THEN 'yyyy-MM-dd' WHEN 1 THEN 'dd-MMM-yyyy' WHEN 2 THEN 'yyyy/MM/dd' ELSE 'nn/nn/yyyy' END,
+  COUNT(*) FROM t_reg GROUP BY 2
+UNION ALL SELECT 'equipment_registry.equipment_id', {_IDS.format(c='equipment_id')}, COUNT(*) FROM t_reg GROUP BY 2"""
+
+ORACLES["id_scheme_examples"] = with_ctes(T_R, f"""d AS (SELECT DISTINCT {_IDS.format(c='equipment_id')} AS id_scheme, equipment_id AS id FROM t_r)""",
+                                          """r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY id_scheme ORDER BY id) AS rn FROM d)""") + \
+    """SELECT id_scheme, COUNT(*) AS distinct_ids, string_agg(CASE WHEN rn <= 5 THEN id END, ',' ORDER BY id) AS examples
+FROM r GROUP BY 1"""
+
+ORACLES["distinct_domain"] = with_ctes(T_R, T_QC) + """SELECT 'sensor_readings.equipment_id' AS source_column, COUNT(DISTINCT equipment_id) AS distinct_values FROM t_r
+UNION ALL SELECT 'sensor_readings.sensor_tag', COUNT(DISTINCT sensor_tag) FROM t_r
+UNION ALL SELECT 'maintenance_logs.asset_number', COUNT(DISTINCT l_suppkey % 11) FROM lineitem
+UNION ALL SELECT 'maintenance_logs.technician', COUNT(DISTINCT l_suppkey % 6) FROM lineitem
+UNION ALL SELECT 'quality_checks.batch_id', COUNT(DISTINCT batch_id) FROM t_qc
+UNION ALL SELECT 'quality_checks.parameter', COUNT(DISTINCT parameter) FROM t_qc"""
+
+ORACLES["dup_keys"] = with_ctes(T_R) + """SELECT raw_timestamp AS "timestamp", equipment_id, sensor_tag, COUNT(*) AS copies
+FROM t_r GROUP BY 1, 2, 3 HAVING COUNT(*) > 1"""
+
+ORACLES["preview_limit"] = f"""SELECT * FROM ({ORACLES['quarantine_readings']}) q
+ORDER BY "timestamp" NULLS FIRST, equipment_id NULLS FIRST, sensor_tag NULLS FIRST, quality NULLS FIRST,
+         status NULLS FIRST, line_id NULLS FIRST, reading_ts NULLS FIRST, equipment_key NULLS FIRST,
+         quarantine_reason NULLS FIRST
+LIMIT 20"""

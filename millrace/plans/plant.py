@@ -113,3 +113,6 @@ class Plant:
 
     def critical_work_orders(self) -> DataFrame:
         return gold.critical_work_orders(self.silver_work_orders())
+
+    def registry_clean(self) -> DataFrame:
+        return silver.registry_clean(self.bronze_registry(), self.refs)
