@@ -7,6 +7,7 @@ results compare by value with any SQL engine, independent of client zones.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -548,3 +549,191 @@ def _preview_limit(p: Plant) -> DataFrame:
     """First 20 quarantined readings in a total order (a preview is the feature)."""
     q = _quarantine_readings(p)
     return q.orderBy(*[F.col(c).asc_nulls_first() for c in q.columns]).limit(20)
+
+
+# ------------------------------------------------------------------ streaming
+READING_COLUMNS = ["timestamp", "equipment_id", "sensor_tag", "value", "quality", "status", "line_id"]
+
+
+def _readings_drops(p: Plant) -> list[DataFrame]:
+    """Readings extract in three time-ordered drops (days 1–10, 11–20, 21+ of the month)."""
+    from millrace.plans.plant import EVENT_COLS
+    from millrace.sources import shape
+    ev = p.table("events", EVENT_COLS)
+    drop = F.floor((F.dayofmonth("ts") - 1) / 10).cast("int")
+    drop = F.least(drop, F.lit(2))
+    return [shape.raw_readings(ev.filter(drop == k), p.zone) for k in range(3)]
+
+
+def _land_readings(p: Plant, folder: str) -> str:
+    from millrace.streaming import ingest
+    for k, d in enumerate(_readings_drops(p)):
+        ingest.land_csv(d, os.path.join(folder, f"drop_{k}"))
+    return folder
+
+
+@query("bronze_ingest")
+def _bronze_ingest(p: Plant) -> DataFrame:
+    """Land each extract as CSV files, ingest every folder with an
+    all-STRING ``availableNow`` stream into bronze parquet, count what landed."""
+    from millrace.streaming import ingest
+    spark = p.spark
+    base = ingest.fresh_dir(spark, "bronze_ingest")
+    extracts = {"sensor_readings": None, "production_runs": p.bronze_runs(),
+                "maintenance_logs": p.bronze_work_orders(), "quality_checks": p.bronze_checks(),
+                "alarms_events": p.bronze_alarms()}
+    out = []
+    for name, df in extracts.items():
+        landing = os.path.join(base, "landing", name)
+        if df is None:
+            _land_readings(p, landing)
+            cols = READING_COLUMNS
+        else:
+            raw = df.drop("_ingest_ts", "_source_file")
+            cols = raw.columns
+            ingest.land_csv(raw, landing)
+        stream = ingest.bronze_stream(spark, landing, cols, "csv")
+        target = os.path.join(base, "bronze", name)
+        ingest.run_once(ingest.to_parquet(stream, target, os.path.join(base, "_chk", name)))
+        b = spark.read.parquet(target)
+        out.append(b.agg(F.count(F.lit(1)).alias("rows"),
+                         F.count(ingest.RESCUE_COL).alias("rescued_rows"))
+                    .select(F.lit(name).alias("table_name"), "rows", "rescued_rows"))
+    from millrace.operators.profile import union_all
+    return union_all(out)
+
+
+REGISTRY_COLUMNS = ["equipment_id", "name", "manufacturer", "model", "location", "type", "line",
+                    "status", "criticality", "install_date", "last_maintenance", "specs"]
+
+
+@query("bronze_json_ingest")
+def _bronze_json_ingest(p: Plant) -> DataFrame:
+    """Registry exported as pretty-printed JSON arrays, ingested as a multi-line JSON stream."""
+    from millrace.streaming import ingest
+    spark = p.spark
+    base = ingest.fresh_dir(spark, "bronze_json")
+    raw = p.bronze_registry().drop("_ingest_ts", "_source_file")
+    ingest.land_json_arrays(raw, os.path.join(base, "landing"), rows_per_file=2_000)
+    stream = ingest.bronze_stream(spark, os.path.join(base, "landing"), REGISTRY_COLUMNS, "json",
+                                  {"multiLine": "true"})
+    ingest.run_once(ingest.to_parquet(stream, os.path.join(base, "bronze"), os.path.join(base, "_chk")))
+    return spark.read.parquet(os.path.join(base, "bronze")).select(
+        "equipment_id", "name", "type", "line", "status", "criticality", "install_date", "last_maintenance", "specs")
+
+
+@query("bronze_rescue")
+def _bronze_rescue(p: Plant) -> DataFrame:
+    """Readings lines with a field too many or too few land whole in ``_rescued_data``."""
+    from millrace.streaming import ingest
+    return _rescue_lines(p, ingest.fresh_dir(p.spark, "bronze_rescue"))
+
+
+def _rescue_lines(p: Plant, base: str) -> DataFrame:
+    from millrace.plans.plant import EVENT_COLS
+    from millrace.sources import shape
+    from millrace.streaming import ingest
+    spark = p.spark
+    ev = p.table("events", EVENT_COLS)
+    # the shaped frame plus the event id that decides the malformation
+    shaped = shape.raw_readings_with_id(ev, p.zone)
+    cols = [F.coalesce(F.col(c), F.lit("")) for c in READING_COLUMNS]
+    eid = F.col("_event_id")
+    line = (F.when(F.pmod(eid, F.lit(89)) == 0, F.concat_ws(",", *cols, F.lit("EXTRA")))
+            .when(F.pmod(eid, F.lit(83)) == 0, F.concat_ws(",", *cols[:-1]))
+            .otherwise(F.concat_ws(",", *cols)))
+    landing = os.path.join(base, "landing")
+    ingest.land_text(shaped.select(line.alias("value")), landing)
+    stream = ingest.bronze_stream(spark, landing, READING_COLUMNS, "csv", {"header": "false"})
+    ingest.run_once(ingest.to_parquet(stream, os.path.join(base, "bronze"), os.path.join(base, "_chk")))
+    b = spark.read.parquet(os.path.join(base, "bronze"))
+    return b.agg(F.count(F.lit(1)).alias("rows"),
+                 F.count(ingest.RESCUE_COL).alias("rescued_rows"),
+                 F.count_if(F.col(ingest.RESCUE_COL).endswith(",EXTRA")).cast("bigint").alias("too_many_fields"))
+
+
+def _stream_silver(p: Plant):
+    from millrace.streaming import ingest
+    from millrace.streaming.silver_stream import ReadingsBatchWriter, silver_stream
+    spark = p.spark
+    base = ingest.fresh_dir(spark, "silver_stream")
+    landing = _land_readings(p, os.path.join(base, "landing"))
+    stream = ingest.bronze_stream(spark, landing, READING_COLUMNS, "csv", max_files_per_trigger=64)
+    writer = ReadingsBatchWriter(p.refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"), p.zone)
+    ingest.run_once(silver_stream(stream, writer, os.path.join(base, "_chk")))
+    return base
+
+
+@query("stream_silver_readings")
+def _stream_silver_readings(p: Plant) -> DataFrame:
+    """Readings streamed in three drops through one foreachBatch with two sinks."""
+    base = _stream_silver(p)
+    return (p.spark.read.parquet(os.path.join(base, "silver"))
+            .select("reading_ts", "reading_ts_local", "equipment_key", "sensor_tag", "value",
+                    "opc_quality_code", "reading_quality_status", "is_good_quality", "line_id"))
+
+
+@query("stream_dedupe")
+def _stream_dedupe(p: Plant) -> DataFrame:
+    """Watermark (6 h) + dropDuplicates on the natural key, as a stream."""
+    from millrace.streaming import ingest
+    from millrace.streaming.silver_stream import dedupe_stream
+    spark = p.spark
+    base = ingest.fresh_dir(spark, "stream_dedupe")
+    landing = _land_readings(p, os.path.join(base, "landing"))
+    stream = ingest.bronze_stream(spark, landing, READING_COLUMNS, "csv", max_files_per_trigger=64)
+    out = dedupe_stream(stream, p.refs, p.zone)
+    ingest.run_once(ingest.to_parquet(out, os.path.join(base, "silver"), os.path.join(base, "_chk")))
+    return spark.read.parquet(os.path.join(base, "silver")).select(*silver.READING_KEY)
+
+
+@query("vibration_windows")
+def _vibration_windows(p: Plant) -> DataFrame:
+    """JSON vibration messages as a stream; sliding 1-minute windows every 10 s
+    (append mode: windows still open at the end of input are not emitted)."""
+    from millrace.streaming import ingest, vibration
+    spark = p.spark
+    base = ingest.fresh_dir(spark, "vibration")
+    msgs = vibration.messages_from_events(p.table("events", ["event_id", "ts", "user_id"]))
+    ingest.land_text(msgs, os.path.join(base, "landing"))
+    stream = spark.readStream.schema("value STRING").option("recursiveFileLookup", "true").text(os.path.join(base, "landing"))
+    stats = vibration.window_stats(vibration.parse_messages(stream), watermark="1 minute")
+    ingest.run_once(ingest.to_parquet(stats, os.path.join(base, "out"), os.path.join(base, "_chk")))
+    return spark.read.parquet(os.path.join(base, "out"))
+
+
+@query("vibration_batch")
+def _vibration_batch(p: Plant) -> DataFrame:
+    from millrace.streaming import vibration
+    msgs = vibration.messages_from_events(p.table("events", ["event_id", "ts", "user_id"]))
+    return vibration.window_stats(vibration.parse_messages(msgs))
+
+
+@query("gold_refresh_late")
+def _gold_refresh_late(p: Plant) -> DataFrame:
+    """OEE materialised from a first drop of runs, then only the dates touched
+    by the late drop are recomputed (dynamic partition overwrite); the result
+    equals a full recompute."""
+    from millrace.plans import gold
+    from millrace.streaming import ingest, refresh
+    spark = p.spark
+    path = os.path.join(ingest.fresh_dir(spark, "refresh"), "oee_daily")
+    runs = p.silver_runs()
+    late = F.pmod(F.col("run_id").cast("bigint"), F.lit(10)) == 0
+    first, second = runs.filter(~late), runs.filter(late)
+    wo, x, cap = p.silver_work_orders(), p.refs.equipment_xref, p.refs.line_capacity
+    refresh.write_mart(gold.oee_daily(first, wo, x, cap), path, "production_date")
+    affected = second.filter(F.col("run_status") == "COMPLETED") \
+                     .select(F.to_date("start_ts_local").alias("production_date"))
+    refresh.refresh_dates(gold.oee_daily(runs, wo, x, cap), affected, path, "production_date")
+    return refresh.read_mart(spark, path)
+
+
+@query("bronze_all_string")
+def _bronze_all_string(p: Plant) -> DataFrame:
+    """Maintenance extract landed as CSV and read back with no inference: every column STRING."""
+    from millrace.streaming import ingest
+    base = ingest.fresh_dir(p.spark, "bronze_batch")
+    raw = p.bronze_work_orders().drop("_ingest_ts", "_source_file")
+    ingest.land_csv(raw, base)
+    return ingest.bronze_batch(p.spark, base, raw.columns, "csv").drop("_ingest_ts", "_source_file", ingest.RESCUE_COL)

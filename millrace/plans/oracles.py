@@ -748,3 +748,76 @@ ORDER BY "timestamp" NULLS FIRST, equipment_id NULLS FIRST, sensor_tag NULLS FIR
          status NULLS FIRST, line_id NULLS FIRST, reading_ts NULLS FIRST, equipment_key NULLS FIRST,
          quarantine_reason NULLS FIRST
 LIMIT 20"""
+
+# ------------------------------------------------------------------ streaming / bronze
+ORACLES["bronze_ingest"] = with_ctes(T_R, T_QC) + """SELECT 'sensor_readings' AS table_name, COUNT(*) AS rows, CAST(0 AS BIGINT) AS rescued_rows FROM t_r
+UNION ALL SELECT 'production_runs', COUNT(*), 0 FROM orders
+UNION ALL SELECT 'maintenance_logs', COUNT(*), 0 FROM lineitem
+UNION ALL SELECT 'quality_checks', COUNT(*), 0 FROM t_qc
+UNION ALL SELECT 'alarms_events', COUNT(*), 0 FROM events WHERE event_type = 'error'"""
+
+ORACLES["bronze_json_ingest"] = with_ctes(T_REG, """rr AS (
+  SELECT r.*, CASE s % 10 WHEN 0 THEN 'Filling Machine' WHEN 1 THEN 'Capping Machine' WHEN 2 THEN 'Labeler'
+         WHEN 3 THEN 'Pasteurizer' WHEN 4 THEN 'Conveyor' WHEN 5 THEN 'Case Packer' WHEN 6 THEN 'Palletizer'
+         WHEN 7 THEN 'Rinser' WHEN 8 THEN 'CIP Unit' ELSE 'Depalletizer' END AS t
+  FROM t_reg r
+)""") + """SELECT equipment_id, t || ' ' || CAST(s + 1000 AS VARCHAR) AS name,
+  CASE s % 7 WHEN 0 THEN upper(t) WHEN 1 THEN lower(t) ELSE t END AS type,
+  CASE WHEN s % 2 = 0 THEN 'Line ' || CAST(line_id AS VARCHAR) ELSE CAST(line_id AS VARCHAR) END AS line,
+  equipment_operational_status AS status,
+  CASE s % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'c' END AS criticality,
+  CASE date_fmt WHEN 0 THEN strftime(inst, '%Y-%m-%d') WHEN 1 THEN upper(strftime(inst, '%d-%b-%Y'))
+       WHEN 2 THEN strftime(inst, '%Y/%m/%d') ELSE strftime(inst, '%d/%m/%Y') END AS install_date,
+  CASE WHEN s % 2 = 0 THEN strftime(last_maintenance_date, '%Y-%m-%d')
+       ELSE strftime(last_maintenance_date, '%d-%b-%Y') END AS last_maintenance,
+  CASE s % 3 WHEN 0 THEN '{"speed_bpm": ' || CAST((s * 13) % 900 + 100 AS VARCHAR) || ', "power_kw": '
+                        || CAST(s % 40 + 5 AS VARCHAR) || '}'
+             WHEN 1 THEN 'see manual rev ' || CAST(s % 9 AS VARCHAR) END AS specs
+FROM rr"""
+
+ORACLES["bronze_rescue"] = with_ctes(T_R) + """SELECT COUNT(*) AS rows,
+  COUNT(*) FILTER (WHERE event_id % 89 = 0 OR event_id % 83 = 0) AS rescued_rows,
+  COUNT(*) FILTER (WHERE event_id % 89 = 0) AS too_many_fields
+FROM t_r"""
+
+ORACLES["stream_silver_readings"] = ORACLES["silver_readings"]
+ORACLES["stream_dedupe"] = ORACLES["dedupe_readings"]
+ORACLES["gold_refresh_late"] = ORACLES["gold_oee_daily"]
+
+ORACLES["vibration_batch"] = """WITH m AS (
+  SELECT 'VIB-' || CAST(user_id % 100 AS VARCHAR) AS sensor_id, date_trunc('millisecond', ts) AS event_ts,
+         CAST(event_id % 17 - 8 AS DOUBLE) AS x, CAST(event_id % 13 - 6 AS DOUBLE) AS y,
+         CAST(event_id % 11 - 5 AS DOUBLE) AS z
+  FROM events
+),
+w AS (
+  SELECT sensor_id, x * x + y * y + z * z AS m2,
+         make_timestamp((epoch_us(event_ts) // 10000000) * 10000000 - k * 10000000) AS window_start
+  FROM m, range(6) r(k)
+),
+g AS (
+  SELECT sensor_id, window_start, COUNT(*) AS n, MAX(m2) AS max_m2, SUM(m2) AS s1, SUM(m2 * m2) AS s2
+  FROM w GROUP BY 1, 2
+),
+st AS (
+  SELECT *, s1 / CAST(n AS DOUBLE) AS mean,
+         sqrt(greatest((s2 - (s1 * s1) / CAST(n AS DOUBLE)) / NULLIF(CAST(n AS DOUBLE) - 1.0, 0), 0.0)) AS sd
+  FROM g
+)
+SELECT sensor_id, window_start, window_start + INTERVAL 60 SECOND AS window_end, n, max_m2,
+       """ + rhu("mean", 6) + """ AS mean_m2, """ + rhu("sd", 6) + """ AS sd_m2,
+       COALESCE(max_m2 > mean + 3.0 * sd, FALSE) AS alert
+FROM st"""
+
+ORACLES["bronze_all_string"] = with_ctes(T_WO) + f"""SELECT work_order_id,
+  'A-' || CAST(CASE WHEN l_suppkey % 11 < 4 THEN 101 + l_suppkey % 11 WHEN l_suppkey % 11 < 8 THEN 197 + l_suppkey % 11
+                    ELSE 293 + l_suppkey % 11 END AS VARCHAR) AS asset_number,
+  CASE l_linenumber % 4 WHEN 0 THEN 'Preventive' WHEN 1 THEN 'PM' WHEN 2 THEN 'Corrective' ELSE 'Breakdown' END
+    || ' service, part ' || CAST(l_partkey AS VARCHAR) AS description,
+  work_order_status AS status, priority,
+  CASE l_linenumber % 4 WHEN 0 THEN 'Preventive' WHEN 1 THEN 'PM' WHEN 2 THEN 'Corrective' ELSE 'Breakdown' END AS type,
+  CASE WHEN l_partkey % 3 = 0 THEN strftime(created_ts_local, '%m/%d/%Y %H:%M')
+       ELSE strftime(created_ts_local, '%Y-%m-%d %H:%M:%S') END AS created_date,
+  CASE WHEN completed_ts IS NOT NULL THEN strftime(completed_ts, '%Y-%m-%dT%H:%M:%SZ') END AS completed_date,
+  CAST(downtime_minutes AS VARCHAR) AS downtime_minutes, technician, parts_used
+FROM t_wo"""

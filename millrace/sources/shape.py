@@ -59,8 +59,9 @@ def asset_number(suppkey: Column) -> Column:
     return F.concat(F.lit("A-"), _s(n))
 
 
-def raw_readings(events: DataFrame, zone: str = PLANT_TZ) -> DataFrame:
-    """R: historian readings (``sensor_readings`` extract) from ``events``."""
+def raw_readings(events: DataFrame, zone: str = PLANT_TZ, keep_id: bool = False) -> DataFrame:
+    """R: historian readings (``sensor_readings`` extract) from ``events``.
+    ``keep_id`` keeps the source ``event_id`` as ``_event_id``."""
     eid, ts = F.col("event_id"), F.col("ts")
     local = F.from_utc_timestamp(ts, zone)
     mod4 = F.pmod(eid, F.lit(4))
@@ -87,9 +88,14 @@ def raw_readings(events: DataFrame, zone: str = PLANT_TZ) -> DataFrame:
                 F.when(q == 0, "0").when(q == 1, "64").otherwise("192").alias("quality"),
                 F.when(q == 0, "BAD").when(q == 1, "SUSPECT").otherwise("GOOD").alias("status"),
                 line_spelling(F.pmod(F.col("user_id"), F.lit(3)) + 1, eid).alias("line_id"),
+                *([eid.alias("_event_id")] if keep_id else []),
             ))
 
 
+def raw_readings_with_id(events: DataFrame, zone: str = PLANT_TZ) -> DataFrame:
+    return raw_readings(events, zone, keep_id=True)
+
+
 def raw_runs(orders: DataFrame, zone: str = PLANT_TZ) -> DataFrame:
     """N: production runs from ``orders``."""
     k = F.col("o_orderkey")
