@@ -64,10 +64,11 @@ def changeover_net(runs: DataFrame, work_orders: DataFrame, equipment_xref: Data
                .withColumn("net_changeover_minutes", F.col("changeover_minutes") - F.col("downtime_overlap_minutes")))
 
 
-def batch_to_run(checks: DataFrame, runs: DataFrame) -> DataFrame:
+def batch_to_run(checks: DataFrame, runs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Each quality check → the completed run of its line whose window holds
-    its time; ``match_count`` shows ambiguity (0, 1 or several runs)."""
-    pts = checks.select("check_id", "batch_id", "line_id", "check_ts")
+    its time; ``match_count`` shows ambiguity (0, 1 or several runs).
+    ``carry`` lists extra check columns to keep on the result."""
+    pts = checks.select("check_id", "batch_id", "line_id", "check_ts", *(carry or []))
     return point_in_intervals(pts, _completed(runs), "line_id", "check_ts", "run_id",
                               "start_ts", "end_ts", "hour")
 
@@ -132,16 +133,25 @@ KPI_TARGETS = [
 
 
 def kpi_scorecard(marts: dict[str, DataFrame]) -> DataFrame:
-    """Per KPI: rows with a value, rows meeting the target and their share."""
-    out = None
+    """Per KPI: rows with a value, rows meeting the target and their share.
+    KPIs read from the same mart frame are counted in one aggregate pass."""
+    by_frame: dict[int, tuple[DataFrame, list]] = {}
     for kpi, op, target in KPI_TARGETS:
-        v = F.col(kpi).cast("double")
-        meets = v > F.lit(target) if op == ">" else v < F.lit(target)
-        part = (marts[kpi].agg(F.count(v).alias("rows_evaluated"),
-                               F.count_if(meets).cast("bigint").alias("rows_meeting"))
-                .select(F.lit(kpi).alias("kpi"), F.lit(op).alias("comparison"),
-                        F.lit(target).alias("target"), "rows_evaluated", "rows_meeting"))
-        out = part if out is None else out.unionByName(part)
+        by_frame.setdefault(id(marts[kpi]), (marts[kpi], []))[1].append((kpi, op, target))
+    parts = []
+    for df, kpis in by_frame.values():
+        aggs = []
+        for kpi, op, target in kpis:
+            v = F.col(kpi).cast("double")
+            meets = v > F.lit(target) if op == ">" else v < F.lit(target)
+            aggs += [F.count(v).alias(f"{kpi}__n"), F.count_if(meets).cast("bigint").alias(f"{kpi}__m")]
+        rows = F.array(*[F.struct(F.lit(k).alias("kpi"), F.lit(o).alias("comparison"),
+                                  F.lit(t).alias("target"), F.col(f"{k}__n").alias("rows_evaluated"),
+                                  F.col(f"{k}__m").alias("rows_meeting")) for k, o, t in kpis])
+        parts.append(df.agg(*aggs).select(F.inline(rows)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out.withColumn("share_meeting", round_half_up(
         F.col("rows_meeting").cast("double") / F.nullif(F.col("rows_evaluated").cast("double"), F.lit(0.0)), 4))
 

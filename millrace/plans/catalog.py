@@ -305,10 +305,9 @@ def _q_param_scrap_corr(p: Plant) -> DataFrame:
 
 @query("q_fill_weight_trend")
 def _q_fill_weight_trend(p: Plant) -> DataFrame:
-    checks = p.silver_quality()
-    matched = analysis.batch_to_run(checks, p.silver_runs()).join(
-        checks.select("check_id", "parameter", "value", "check_ts_local"), "check_id")
-    return ask.fill_weight_trend(matched, p.silver_runs())
+    runs = p.silver_runs()
+    matched = analysis.batch_to_run(p.silver_quality(), runs, carry=["parameter", "value", "check_ts_local"])
+    return ask.fill_weight_trend(matched, runs)
 
 
 @query("q_top_technician")

@@ -22,6 +22,13 @@ _REQUIRED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # timestamp_ntz columns in the driver's parquet are read as wall clock UTC
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
+    # Our plans derive many columns through long alias chains (raw text →
+    # parsed instant → local date).  Inferred IS NOT NULL constraints on join
+    # keys get pushed down through those aliases and re-evaluate the whole
+    # parse expression in an extra Filter per row (measured 4x on the OEE
+    # mart).  Joins drop NULL keys anyway, so nothing is lost by turning the
+    # inference off.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 

@@ -201,11 +201,13 @@ def raw_checks(lineitem: DataFrame, part: DataFrame) -> DataFrame:
                      F.pmod(F.col("l_partkey"), F.lit(60)))
     in_spec = (q >= SPEC_LOWER) & (q <= SPEC_UPPER)
     near = (q >= SPEC_LOWER - MARGIN) & (q <= SPEC_UPPER + MARGIN)
-    check_id = F.format_string(
-        "QC-%010d-%08d-%02d-%012d-%03d-%03d",
-        F.col("l_orderkey"), F.col("l_suppkey"), F.col("l_linenumber"),
-        F.round(F.col("l_extendedprice") * 100).cast("bigint"),
-        F.round(F.col("l_tax") * 100).cast("int"), F.round(F.col("l_discount") * 100).cast("int"))
+    def pad(c: Column, width: int) -> Column:
+        return F.lpad(c.cast("string"), width, "0")
+    check_id = F.concat_ws("-", F.lit("QC"), pad(F.col("l_orderkey"), 10), pad(F.col("l_suppkey"), 8),
+                           pad(F.col("l_linenumber"), 2),
+                           pad(F.round(F.col("l_extendedprice") * 100).cast("bigint"), 12),
+                           pad(F.round(F.col("l_tax") * 100).cast("int"), 3),
+                           pad(F.round(F.col("l_discount") * 100).cast("int"), 3))
     return li.join(p, "l_partkey").select(
         check_id.alias("check_id"),
         F.concat(F.lit("B-"), _s(F.col("l_orderkey"))).alias("batch_id"),
