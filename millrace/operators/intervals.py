@@ -58,14 +58,20 @@ def point_in_intervals(points: DataFrame, iv: DataFrame, key: str, point_ts: str
 
 
 def day_pieces(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Split [start, end) into pieces clipped at day boundaries (``_day``)."""
-    d = F.explode(F.sequence(F.to_date(F.col(start)),
-                             F.to_date(F.col(end) - F.expr("INTERVAL 1 MICROSECOND")),
-                             F.expr("INTERVAL 1 DAY")))
-    out = df.filter(F.col(end) > F.col(start)).withColumn("_day", d)
+    """Split [start, end) into pieces clipped at day boundaries (``_day``).
+
+    Empty or inverted intervals yield no piece.  The guard lives inside the
+    generator (an empty array) rather than in a Filter: a filter on derived
+    columns would be pushed below the projections that compute them and
+    re-evaluate those expressions per row at the scan.
+    """
+    s, e = F.col(start), F.col(end)
+    days = F.when(e > s, F.sequence(F.to_date(s), F.to_date(e - F.expr("INTERVAL 1 MICROSECOND")),
+                                    F.expr("INTERVAL 1 DAY")))
+    out = df.withColumn("_day", F.explode(days))
     day_start = F.col("_day").cast("timestamp")
-    return (out.withColumn(start, F.greatest(F.col(start), day_start))
-               .withColumn(end, F.least(F.col(end), day_start + F.expr("INTERVAL 1 DAY"))))
+    return (out.withColumn(start, F.greatest(s, day_start))
+               .withColumn(end, F.least(e, day_start + F.expr("INTERVAL 1 DAY"))))
 
 
 def merge_intervals(df: DataFrame, key: str, start: str = "start_ts", end: str = "end_ts") -> DataFrame:

@@ -55,9 +55,15 @@ def segmented_lead(df: DataFrame, keys: list[str], order: list[str], values: lis
 
 
 def first_by_group(df: DataFrame, keys: list[str], order: list[str], values: list[str]) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order) = 1`` as an
-    aggregate: ``min(struct(order…, values…))`` is combined map-side, so a
-    group holding a third of all rows never lands whole in one task."""
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order) = 1``.
+
+    Spark plans this as a WindowGroupLimit in two phases: a *partial* top-1
+    per group inside every map task before the shuffle and a final one after
+    it, so a group holding a third of all rows reaches the reducer as one row
+    per map task, never whole.  (It measured faster than ``min(struct)``,
+    whose string-typed buffer forces a sort-based aggregate.)
+    """
     cols = order + [v for v in values if v not in order]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c).alias(c) for c in cols])).alias("_first"))
-    return best.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in cols])
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return (df.select(*keys, *cols).withColumn("_rn", F.row_number().over(w))
+              .filter(F.col("_rn") == 1).drop("_rn"))

@@ -14,7 +14,12 @@ from millrace.plans.gold import COMPLETED, UNPLANNED, completed_runs_with_previo
 
 
 def _completed(runs: DataFrame) -> DataFrame:
-    return runs.filter((F.col("run_status") == COMPLETED) & F.col("end_ts").isNotNull()) \
+    """Completed runs.  A run without a parsed end stays in the ordered chain
+    (as in the changeover mart) and simply yields no hour buckets in the
+    interval joins (``explode`` of a NULL array emits nothing) — no filter on
+    the parsed column, which the optimizer would push down to the scan and
+    evaluate a second time there."""
+    return runs.filter(F.col("run_status") == COMPLETED) \
                .select("run_id", "line_id", "product_sku", "start_ts", "end_ts")
 
 
