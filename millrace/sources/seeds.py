@@ -181,8 +181,11 @@ def conform_to_schema(df: DataFrame, target: StructType, table: str) -> DataFram
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that occur more than once (or are NULL) — must be empty."""
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-              .filter((F.col("n") > 1) | F.greatest(*[F.col(k).isNull() for k in keys])))
+              .filter((F.col("n") > 1) | any_null))
 
 
 def load_seeds(spark: SparkSession, seed_folder: str, target_folder: str) -> DataFrame:
