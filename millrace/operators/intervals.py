@@ -50,11 +50,14 @@ def point_in_intervals(points: DataFrame, iv: DataFrame, key: str, point_ts: str
     p = points.withColumn("_b", F.date_trunc(unit, F.col(point_ts)))
     j = p.join(ivs, (p[key] == ivs["_k"]) & (p["_b"] == ivs["_b"])
                & (p[point_ts] >= ivs["_s"]) & (p[point_ts] < ivs["_e"]), "left")
+    # A point's matches all live in its own (key, bucket): grouping by those
+    # join keys too lets the aggregate reuse the join's partitioning instead
+    # of shuffling the join output again.
     cols = [c for c in points.columns]
-    return (j.groupBy(*[p[c] for c in cols])
+    return (j.groupBy(p[key].alias("_gk"), p["_b"].alias("_gb"), *[p[c] for c in cols if c != key], p[key])
             .agg(F.count("_iv").alias("match_count"), F.min("_iv").alias("_min_iv"))
             .withColumn(f"matched_{iv_id}", F.when(F.col("match_count") == 1, F.col("_min_iv")))
-            .drop("_min_iv"))
+            .select(*cols, "match_count", f"matched_{iv_id}"))
 
 
 def day_pieces(df: DataFrame, start: str, end: str) -> DataFrame:
