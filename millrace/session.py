@@ -29,6 +29,10 @@ _REQUIRED = {
     # mart).  Joins drop NULL keys anyway, so nothing is lost by turning the
     # inference off.
     "spark.sql.constraintPropagation.enabled": "false",
+    # streaming dedupe state is watermark-bounded but large (6 h × ~2,000
+    # readings/s ≈ 43 M keys): keep it in RocksDB, off the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

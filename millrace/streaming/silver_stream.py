@@ -74,7 +74,10 @@ class ReadingsBatchWriter:
                                         & F.col("reading_ts").between(bounds["lo"], bounds["hi"]))
                                 .select(*silver.READING_KEY))
                     deduped = deduped.join(existing, silver.READING_KEY, "left_anti")
-            (deduped.write.mode("overwrite")
+            # sorted files keep parquet min/max statistics tight, so the
+            # time-range anti join of later batches skips most row groups
+            (deduped.sortWithinPartitions("equipment_key", "sensor_tag", "reading_ts")
+                    .write.mode("overwrite")
                     .parquet(os.path.join(self.silver_path, f"_batch_id={batch_id}")))
         finally:
             tagged.unpersist()
