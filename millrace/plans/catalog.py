@@ -736,3 +736,43 @@ def _bronze_all_string(p: Plant) -> DataFrame:
     raw = p.bronze_work_orders().drop("_ingest_ts", "_source_file")
     ingest.land_csv(raw, base)
     return ingest.bronze_batch(p.spark, base, raw.columns, "csv").drop("_ingest_ts", "_source_file", ingest.RESCUE_COL)
+
+
+# ------------------------------------------------------------------ seeds
+@query("seed_load")
+def _seed_load(p: Plant) -> DataFrame:
+    """Load the crosswalk seeds (declared schema, column checks, key check,
+    overwrite), then check every code the extracts carry against the loaded
+    tables: per seed, rows loaded, duplicate keys, fact rows checked and
+    resolved."""
+    from millrace.operators.profile import union_all
+    from millrace.sources import seeds
+    from millrace.streaming import ingest
+    spark = p.spark
+    base = ingest.fresh_dir(spark, "seeds")
+    seeds.write_seed_files(os.path.join(base, "csv"))
+    loaded = seeds.load_seeds(spark, os.path.join(base, "csv"), os.path.join(base, "ref"))
+    refs = seeds.read_refs(spark, os.path.join(base, "ref"))
+    dups = union_all([seeds.duplicate_keys(refs.table(t), seeds.SEED_KEYS[t]).agg(F.count(F.lit(1)).alias("duplicate_keys"))
+                      .select(F.lit(t).alias("table_name"), "duplicate_keys") for t in seeds.SEED_ROWS])
+    rd, wo, al, qc, rn = (p.bronze_readings(), p.bronze_work_orders(), p.bronze_alarms(),
+                          p.bronze_checks(), p.bronze_runs())
+    facts = {
+        "equipment_xref": [(rd, "equipment_id", "source_equipment_id"), (al, "equipment_id", "source_equipment_id"),
+                           (wo, "asset_number", "sap_asset_number")],
+        "line_xref": [(rd, "line_id", "source_line_value"), (al, "line_id", "source_line_value"),
+                      (qc, "line_id", "source_line_value"), (rn, "line_id", "source_line_value")],
+        "alarm_severity_xref": [(al, "severity", "source_severity")],
+        "wo_type_xref": [(wo, "type", "source_type")],
+    }
+    parts = []
+    for table, uses in facts.items():
+        for df, col, seed_col in uses:
+            keys = F.broadcast(refs.table(table).select(F.col(seed_col).alias("_seed_key")).distinct())
+            j = df.select(F.col(col).alias("_code")).join(keys, F.col("_code") == F.col("_seed_key"), "left")
+            parts.append(j.agg(F.count(F.lit(1)).alias("n"), F.count("_seed_key").alias("hit"))
+                          .select(F.lit(table).alias("table_name"), "n", "hit"))
+    cov = (union_all(parts).groupBy("table_name")
+           .agg(F.sum("n").cast("bigint").alias("fact_rows_checked"),
+                F.sum("hit").cast("bigint").alias("fact_rows_resolved")))
+    return loaded.join(dups, "table_name").join(cov, "table_name")

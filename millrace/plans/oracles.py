@@ -821,3 +821,23 @@ ORACLES["bronze_all_string"] = with_ctes(T_WO) + f"""SELECT work_order_id,
   CASE WHEN completed_ts IS NOT NULL THEN strftime(completed_ts, '%Y-%m-%dT%H:%M:%SZ') END AS completed_date,
   CAST(downtime_minutes AS VARCHAR) AS downtime_minutes, technician, parts_used
 FROM t_wo"""
+
+# ------------------------------------------------------------------ seeds
+ORACLES["seed_load"] = with_ctes(T_R, T_QC) + """SELECT 'equipment_xref' AS table_name, CAST(11 AS BIGINT) AS rows_loaded, 'LOADED' AS status,
+  CAST(0 AS BIGINT) AS duplicate_keys,
+  CAST((SELECT COUNT(*) FROM t_r) + (SELECT COUNT(*) FROM events WHERE event_type = 'error')
+       + (SELECT COUNT(*) FROM lineitem) AS BIGINT) AS fact_rows_checked,
+  CAST((SELECT COUNT(*) FROM t_r WHERE user_id % 12 <> 11)
+       + (SELECT COUNT(*) FROM events WHERE event_type = 'error' AND user_id % 12 <> 11)
+       + (SELECT COUNT(*) FROM lineitem) AS BIGINT) AS fact_rows_resolved
+UNION ALL
+SELECT 'line_xref', 12, 'LOADED', 0,
+  (SELECT COUNT(*) FROM t_r) + (SELECT COUNT(*) FROM events WHERE event_type = 'error') + (SELECT COUNT(*) FROM t_qc)
+    + (SELECT COUNT(*) FROM orders),
+  (SELECT COUNT(*) FROM t_r) + (SELECT COUNT(*) FROM events WHERE event_type = 'error') + (SELECT COUNT(*) FROM t_qc)
+    + (SELECT COUNT(*) FROM orders)
+UNION ALL
+SELECT 'alarm_severity_xref', 8, 'LOADED', 0, (SELECT COUNT(*) FROM events WHERE event_type = 'error'),
+  (SELECT COUNT(*) FROM events WHERE event_type = 'error')
+UNION ALL
+SELECT 'wo_type_xref', 4, 'LOADED', 0, (SELECT COUNT(*) FROM lineitem), (SELECT COUNT(*) FROM lineitem)"""
