@@ -776,3 +776,29 @@ def _seed_load(p: Plant) -> DataFrame:
            .agg(F.sum("n").cast("bigint").alias("fact_rows_checked"),
                 F.sum("hit").cast("bigint").alias("fact_rows_resolved")))
     return loaded.join(dups, "table_name").join(cov, "table_name")
+
+
+@query("stream_scd2")
+def _stream_scd2(p: Plant) -> DataFrame:
+    """Equipment change feed streamed in three out-of-order drops into the
+    SCD2 dimension through ``foreachBatch``; equals the batch versions."""
+    from millrace.streaming import ingest
+    from millrace.streaming.scd_stream import Scd2BatchWriter, read_dimension
+    spark = p.spark
+    base = ingest.fresh_dir(spark, "scd_stream")
+    changes = p.equipment_changes()
+    for k in range(3):   # arrival order ≠ sequence order: every drop spans the whole history
+        (changes.filter(F.pmod(F.col("change_seq"), F.lit(3)) == (2 - k)).repartition(4)
+                .write.mode("overwrite").parquet(os.path.join(base, "landing", f"drop_{k}")))
+    # four files per drop, four files per trigger: one drop per micro-batch
+    stream = (spark.readStream.schema(changes.schema).option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", "4").parquet(os.path.join(base, "landing")))
+    writer = Scd2BatchWriter(os.path.join(base, "history"), os.path.join(base, "dim"),
+                             ["equipment_key"], "change_ts", "change_seq", ["maintenance_class"])
+    q = (stream.writeStream.foreachBatch(writer).option("checkpointLocation", os.path.join(base, "_chk"))
+         .trigger(availableNow=True).start())
+    ingest.run_once(q)
+    batches = sum(1 for pr in q.recentProgress if pr["numInputRows"] > 0)
+    if batches < 3:
+        raise RuntimeError(f"expected one micro-batch per drop, got {batches}")
+    return read_dimension(spark, os.path.join(base, "dim"))

@@ -841,3 +841,4 @@ SELECT 'alarm_severity_xref', 8, 'LOADED', 0, (SELECT COUNT(*) FROM events WHERE
   (SELECT COUNT(*) FROM events WHERE event_type = 'error')
 UNION ALL
 SELECT 'wo_type_xref', 4, 'LOADED', 0, (SELECT COUNT(*) FROM lineitem), (SELECT COUNT(*) FROM lineitem)"""
+ORACLES["stream_scd2"] = ORACLES["scd2_dim"]

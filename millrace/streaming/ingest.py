@@ -9,7 +9,6 @@ continuous" mode) or a processing-time trigger (always-on mode).
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession

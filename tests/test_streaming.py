@@ -86,3 +86,23 @@ def test_json_arrays_roundtrip(spark):
     got = back.select("equipment_id", "specs", ingest.RESCUE_COL).collect()
     assert len(got) == 25 and all(r[ingest.RESCUE_COL] is None for r in got)
     assert sum(r["specs"] is not None for r in got) == 13
+
+
+def test_scd2_stream_writer_reopens_and_is_idempotent(spark):
+    import datetime as dt
+    from millrace.operators.scd import scd2
+    from millrace.streaming.scd_stream import Scd2BatchWriter, read_dimension
+    base = ingest.fresh_dir(spark, "test_scd_stream")
+    sch = "equipment_key STRING, change_ts TIMESTAMP, change_seq INT, cls STRING"
+    d = dt.datetime
+    b0 = spark.createDataFrame([("k", d(2024, 1, 1), 1, "A"), ("k", d(2024, 3, 1), 3, "C")], sch)
+    b1 = spark.createDataFrame([("k", d(2024, 2, 1), 2, "B"), ("j", d(2024, 1, 1), 1, "A")], sch)  # late change
+    w = Scd2BatchWriter(os.path.join(base, "h"), os.path.join(base, "d"), ["equipment_key"],
+                        "change_ts", "change_seq", ["cls"], buckets=4)
+    w(b0, 0)
+    w(b1, 1)
+    w(b1, 1)   # replay
+    got = rows(read_dimension(spark, os.path.join(base, "d")), "equipment_key", "cls", "valid_from", "valid_to")
+    want = rows(scd2(b0.unionByName(b1), ["equipment_key"], "change_ts", "change_seq", ["cls"]),
+                "equipment_key", "cls", "valid_from", "valid_to")
+    assert got == want and len(got) == 4
