@@ -802,3 +802,37 @@ def _stream_scd2(p: Plant) -> DataFrame:
     if batches < 3:
         raise RuntimeError(f"expected one micro-batch per drop, got {batches}")
     return read_dimension(spark, os.path.join(base, "dim"))
+
+
+@query("seed_key_check")
+def _seed_key_check(p: Plant) -> DataFrame:
+    """Primary-key check of each crosswalk, and its consequence on the facts:
+    a left join through the crosswalk must not multiply fact rows."""
+    from millrace.operators.profile import union_all
+    from millrace.sources import seeds
+    uses = {
+        "equipment_xref": [(p.bronze_readings(), "equipment_id", "source_equipment_id"),
+                           (p.bronze_work_orders(), "asset_number", "sap_asset_number")],
+        "line_xref": [(p.bronze_readings(), "line_id", "source_line_value"),
+                      (p.bronze_checks(), "line_id", "source_line_value")],
+        "alarm_severity_xref": [(p.bronze_alarms(), "severity", "source_severity")],
+        "wo_type_xref": [(p.bronze_work_orders(), "type", "source_type")],
+    }
+    parts = []
+    for table, facts in uses.items():
+        x = p.refs.table(table)
+        key = seeds.SEED_KEYS[table]
+        dup = seeds.duplicate_keys(x, key).agg(F.count(F.lit(1)).alias("duplicate_keys"))
+        n = x.agg(F.count(F.lit(1)).alias("seed_rows"))
+        flows = []
+        for df, col, seed_col in facts:
+            codes = df.select(F.col(col).alias("_code"))
+            joined = codes.join(F.broadcast(x.select(F.col(seed_col).alias("_k"))), F.col("_code") == F.col("_k"), "left")
+            flows.append(codes.agg(F.count(F.lit(1)).alias("i")).crossJoin(joined.agg(F.count(F.lit(1)).alias("o"))))
+        io = union_all(flows).agg(F.sum("i").cast("bigint").alias("fact_rows_in"),
+                                  F.sum("o").cast("bigint").alias("fact_rows_out"))
+        parts.append(n.crossJoin(dup).crossJoin(io).select(   # three one-row aggregates
+            F.lit(table).alias("table_name"), F.lit(",".join(key)).alias("key_columns"), "seed_rows",
+            "duplicate_keys", "fact_rows_in", "fact_rows_out",
+            (F.col("fact_rows_out") > F.col("fact_rows_in")).alias("multiplies_facts")))
+    return union_all(parts)

@@ -842,3 +842,14 @@ SELECT 'alarm_severity_xref', 8, 'LOADED', 0, (SELECT COUNT(*) FROM events WHERE
 UNION ALL
 SELECT 'wo_type_xref', 4, 'LOADED', 0, (SELECT COUNT(*) FROM lineitem), (SELECT COUNT(*) FROM lineitem)"""
 ORACLES["stream_scd2"] = ORACLES["scd2_dim"]
+
+ORACLES["seed_key_check"] = with_ctes(T_R, T_QC) + """SELECT 'equipment_xref' AS table_name, 'equipment_key' AS key_columns,
+  CAST(11 AS BIGINT) AS seed_rows, CAST(0 AS BIGINT) AS duplicate_keys,
+  CAST((SELECT COUNT(*) FROM t_r) + (SELECT COUNT(*) FROM lineitem) AS BIGINT) AS fact_rows_in,
+  CAST((SELECT COUNT(*) FROM t_r) + (SELECT COUNT(*) FROM lineitem) AS BIGINT) AS fact_rows_out,
+  FALSE AS multiplies_facts
+UNION ALL SELECT 'line_xref', 'source_line_value', 12, 0,
+  (SELECT COUNT(*) FROM t_r) + (SELECT COUNT(*) FROM t_qc), (SELECT COUNT(*) FROM t_r) + (SELECT COUNT(*) FROM t_qc), FALSE
+UNION ALL SELECT 'alarm_severity_xref', 'source_severity', 8, 0,
+  (SELECT COUNT(*) FROM events WHERE event_type = 'error'), (SELECT COUNT(*) FROM events WHERE event_type = 'error'), FALSE
+UNION ALL SELECT 'wo_type_xref', 'source_type', 4, 0, (SELECT COUNT(*) FROM lineitem), (SELECT COUNT(*) FROM lineitem), FALSE"""
