@@ -658,7 +658,8 @@ def _stream_silver(p: Plant):
     base = ingest.fresh_dir(spark, "silver_stream")
     landing = _land_readings(p, os.path.join(base, "landing"))
     stream = ingest.bronze_stream(spark, landing, READING_COLUMNS, "csv", max_files_per_trigger=64)
-    writer = ReadingsBatchWriter(p.refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"), p.zone)
+    writer = ReadingsBatchWriter(p.refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"), p.zone,
+                                 metrics_path=os.path.join(base, "metrics"))
     ingest.run_once(silver_stream(stream, writer, os.path.join(base, "_chk")))
     return base
 
@@ -836,3 +837,34 @@ def _seed_key_check(p: Plant) -> DataFrame:
             "duplicate_keys", "fact_rows_in", "fact_rows_out",
             (F.col("fact_rows_out") > F.col("fact_rows_in")).alias("multiplies_facts")))
     return union_all(parts)
+
+
+@query("stream_expectation_metrics")
+def _stream_expectation_metrics(p: Plant) -> DataFrame:
+    """Expectation counts recorded per micro-batch by the readings stream,
+    summed over batches (equals the batch expectation report)."""
+    base = _stream_silver(p)
+    m = p.spark.read.parquet(os.path.join(base, "metrics"))
+    return (m.groupBy("table_name", "rule", "policy")
+             .agg(F.sum("violations").cast("bigint").alias("violations"),
+                  F.sum("total_rows").cast("bigint").alias("total_rows")))
+
+
+@query("stream_silver_runs")
+def _stream_silver_runs(p: Plant) -> DataFrame:
+    """Production runs streamed through the generic silver sink (fail rules
+    checked inside foreachBatch before any write)."""
+    from millrace.streaming import ingest
+    from millrace.streaming.silver_stream import TableBatchWriter
+    spark = p.spark
+    base = ingest.fresh_dir(spark, "stream_runs")
+    raw = p.bronze_runs().drop("_ingest_ts", "_source_file")
+    ingest.land_csv(raw, os.path.join(base, "landing"))
+    stream = ingest.bronze_stream(spark, os.path.join(base, "landing"), raw.columns, "csv")
+    writer = TableBatchWriter(lambda b: silver.silver_runs(b, p.refs, p.zone), silver.RUNS_RULES,
+                              "production_runs", os.path.join(base, "silver"), os.path.join(base, "metrics"))
+    q = (stream.writeStream.foreachBatch(writer).option("checkpointLocation", os.path.join(base, "_chk"))
+         .trigger(availableNow=True).start())
+    ingest.run_once(q)
+    return spark.read.parquet(os.path.join(base, "silver")).drop("_ingest_ts", "_source_file", "_batch_id",
+                                                                 ingest.RESCUE_COL)

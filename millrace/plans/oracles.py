@@ -853,3 +853,7 @@ UNION ALL SELECT 'line_xref', 'source_line_value', 12, 0,
 UNION ALL SELECT 'alarm_severity_xref', 'source_severity', 8, 0,
   (SELECT COUNT(*) FROM events WHERE event_type = 'error'), (SELECT COUNT(*) FROM events WHERE event_type = 'error'), FALSE
 UNION ALL SELECT 'wo_type_xref', 'source_type', 4, 0, (SELECT COUNT(*) FROM lineitem), (SELECT COUNT(*) FROM lineitem), FALSE"""
+
+ORACLES["stream_silver_runs"] = ORACLES["silver_runs"]
+ORACLES["stream_expectation_metrics"] = _REPORT + """SELECT table_name, rule, policy, CAST(violations AS BIGINT) AS violations,
+  CAST(total_rows AS BIGINT) AS total_rows FROM rep WHERE table_name = 'sensor_readings'"""

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import PLANT_TZ
+from millrace.operators import expect
 from millrace.plans import silver
 from millrace.sources.seeds import Refs
 
@@ -49,16 +50,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
 class ReadingsBatchWriter:
     """``foreachBatch`` callable writing silver + quarantine for each micro-batch."""
 
-    def __init__(self, refs: Refs, silver_path: str, quarantine_path: str, zone: str = PLANT_TZ):
+    def __init__(self, refs: Refs, silver_path: str, quarantine_path: str, zone: str = PLANT_TZ,
+                 metrics_path: str | None = None):
         self.refs = refs
         self.silver_path = silver_path
         self.quarantine_path = quarantine_path
         self.zone = zone
+        self.metrics_path = metrics_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         tagged = silver.readings_tagged(batch, self.refs, self.zone).persist()
         try:
+            if self.metrics_path:
+                write_metrics(tagged, silver.READINGS_RULES, "sensor_readings", self.metrics_path, batch_id)
             (tagged.filter(F.col("quarantine_reason").isNotNull())
                    .select("timestamp", "equipment_id", "sensor_tag", F.col("raw_value").alias("value"),
                            "quality", "status", F.col("raw_line_id").alias("line_id"), "_ingest_ts",
@@ -88,3 +93,31 @@ def silver_stream(bronze_stream: DataFrame, writer: ReadingsBatchWriter, checkpo
     w = bronze_stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def write_metrics(df: DataFrame, rules, table: str, metrics_path: str, batch_id: int) -> None:
+    """Per-batch expectation counts (the pipeline's event log), one folder per
+    batch id, overwritten on replay."""
+    (expect.report(df, rules, table).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite").parquet(os.path.join(metrics_path, f"_batch_id={batch_id}")))
+
+
+class TableBatchWriter:
+    """Generic silver sink for ``foreachBatch``: build the silver frame from
+    the micro-batch, abort *before any write* if a ``fail`` rule is violated,
+    record the expectation counts, drop ``drop``-rule violators and write the
+    batch to its own folder (idempotent on replay)."""
+
+    def __init__(self, build, rules, table: str, path: str, metrics_path: str):
+        self.build, self.rules, self.table = build, rules, table
+        self.path, self.metrics_path = path, metrics_path
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        df = self.build(batch).persist()
+        try:
+            expect.enforce(df, self.rules, self.table)
+            write_metrics(df, self.rules, self.table, self.metrics_path, batch_id)
+            (expect.apply(df, self.rules).write.mode("overwrite")
+                   .parquet(os.path.join(self.path, f"_batch_id={batch_id}")))
+        finally:
+            df.unpersist()

@@ -12,6 +12,7 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 STREAMING = {"bronze_ingest", "bronze_json_ingest", "bronze_rescue", "stream_silver_readings", "stream_scd2", "seed_load",
+             "stream_silver_runs", "stream_expectation_metrics",
              "stream_dedupe", "vibration_windows", "gold_refresh_late", "bronze_all_string"}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 

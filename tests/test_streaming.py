@@ -106,3 +106,20 @@ def test_scd2_stream_writer_reopens_and_is_idempotent(spark):
     want = rows(scd2(b0.unionByName(b1), ["equipment_key"], "change_ts", "change_seq", ["cls"]),
                 "equipment_key", "cls", "valid_from", "valid_to")
     assert got == want and len(got) == 4
+
+
+def test_table_writer_fails_before_any_write(spark, refs):
+    import pytest
+    from millrace.operators.expect import ExpectationFailed
+    from millrace.streaming.silver_stream import TableBatchWriter
+    base = ingest.fresh_dir(spark, "test_fail")
+    cols = ["run_id", "line_id", "status", "start_time", "end_time", "volume_unit", "actual_volume",
+            "target_volume", "total_units", "good_units", "scrap_units", "efficiency_pct"]
+    bad = silver.with_ingest_metadata(spark.createDataFrame(
+        [("1", "Line 9", "COMPLETED", "2024-01-02T08:00:00", "", "L", "1", "1", "2", "1", "1", "")],
+        ", ".join(f"{c} STRING" for c in cols)), "t")
+    w = TableBatchWriter(lambda b: silver.silver_runs(b, refs), silver.RUNS_RULES, "production_runs",
+                         os.path.join(base, "silver"), os.path.join(base, "metrics"))
+    with pytest.raises(ExpectationFailed):
+        w(bad, 0)
+    assert not os.path.exists(os.path.join(base, "silver")) and not os.path.exists(os.path.join(base, "metrics"))
