@@ -51,24 +51,35 @@ def _bucket_seq(start: Column, end: Column, unit: str) -> Column:
 def asof_join(facts: DataFrame, versions: DataFrame, keys: list[str], fact_ts: str,
               columns: list[str], unit: str = "month") -> DataFrame:
     """Left join each fact to the version with valid_from ≤ ts < valid_to
-    (open end = current).  Versions are spread over the time buckets they
-    cover (open ends up to the latest fact bucket), so the join is an equi
-    join on (key, bucket) plus the exact predicate: one match per fact, no
-    pairs within a key are ever enumerated."""
-    horizon = facts.agg(F.max(fact_ts).alias("_h"))
-    v = versions.crossJoin(F.broadcast(horizon))  # one-row horizon
-    v_end = F.coalesce(F.col("valid_to"), F.greatest(F.col("_h"), F.col("valid_from")))
-    v = (v.withColumn("_b", F.explode(_bucket_seq(F.col("valid_from"), v_end, unit)))
-          .select(*[F.col(k).alias(f"_v_{k}") for k in keys], "_b",
-                  F.col("valid_from").alias("_vf"), F.col("valid_to").alias("_vt"),
-                  *[F.col(c).alias(f"_v_{c}") for c in columns]))
+    (open end = current).
+
+    Closed versions are spread over the time buckets they cover and joined on
+    (key, bucket) plus the exact predicate.  Current versions (one per key)
+    are joined on the key alone and only fill facts the closed versions did
+    not match.  Each fact matches at most one version, no pairs within a key
+    are enumerated, and the facts are scanned once (no horizon pass).
+    """
+    sel = [*[F.col(k).alias(f"_v_{k}") for k in keys], F.col("valid_from").alias("_vf"),
+           *[F.col(c).alias(f"_v_{c}") for c in columns]]
+    closed = (versions.filter(F.col("valid_to").isNotNull())
+              .withColumn("_b", F.explode(_bucket_seq(F.col("valid_from"), F.col("valid_to"), unit)))
+              .select(*sel, "_b", F.col("valid_to").alias("_vt")))
     f = facts.withColumn("_b", F.date_trunc(unit, F.col(fact_ts)))
-    cond = [f[k] == v[f"_v_{k}"] for k in keys] + [f["_b"] == v["_b"],
-            f[fact_ts] >= v["_vf"], (f[fact_ts] < v["_vt"]) | v["_vt"].isNull()]
-    j = f.join(v, cond, "left")
-    return j.select(*[f[c] for c in facts.columns],
-                    *[F.col(f"_v_{c}").alias(c) for c in columns],
-                    F.col("_vf").alias("version_valid_from"))
+    c1 = [f[k] == closed[f"_v_{k}"] for k in keys] + [
+        f["_b"] == closed["_b"], f[fact_ts] >= closed["_vf"], f[fact_ts] < closed["_vt"]]
+    j1 = f.join(closed, c1, "left").select(
+        *[f[c] for c in facts.columns],
+        *[F.col(f"_v_{c}").alias(f"_c_{c}") for c in columns], F.col("_vf").alias("_c_vf"))
+    current = (versions.filter(F.col("valid_to").isNull()).select(*sel)
+               .withColumnRenamed("_vf", "_cur_vf"))
+    for c in columns:
+        current = current.withColumnRenamed(f"_v_{c}", f"_cur_{c}")
+    c2 = [j1[k] == current[f"_v_{k}"] for k in keys] + [
+        j1["_c_vf"].isNull(), j1[fact_ts] >= current["_cur_vf"]]
+    j2 = j1.join(current, c2, "left")
+    return j2.select(*[j1[c] for c in facts.columns],
+                     *[F.coalesce(F.col(f"_c_{c}"), F.col(f"_cur_{c}")).alias(c) for c in columns],
+                     F.coalesce(F.col("_c_vf"), F.col("_cur_vf")).alias("version_valid_from"))
 
 
 def latest_by_key(changes: DataFrame, keys: list[str], seq_col: str, op_col: str = "op",
