@@ -857,3 +857,9 @@ UNION ALL SELECT 'wo_type_xref', 'source_type', 4, 0, (SELECT COUNT(*) FROM line
 ORACLES["stream_silver_runs"] = ORACLES["silver_runs"]
 ORACLES["stream_expectation_metrics"] = _REPORT + """SELECT table_name, rule, policy, CAST(violations AS BIGINT) AS violations,
   CAST(total_rows AS BIGINT) AS total_rows FROM rep WHERE table_name = 'sensor_readings'"""
+
+# Append mode emits a window once the watermark (max event time − 1 minute)
+# has passed its end; with all input in one batch plus the no-data batch that
+# follows, the stream's output is the batch windows up to that point.
+ORACLES["vibration_windows"] = f"""SELECT * FROM ({ORACLES['vibration_batch']}) w
+WHERE window_end <= (SELECT MAX(date_trunc('millisecond', ts)) FROM events) - INTERVAL 1 MINUTE"""

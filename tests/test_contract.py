@@ -23,9 +23,8 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_except_open_windows():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"vibration_windows"}
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
