@@ -659,7 +659,7 @@ def _stream_silver(p: Plant):
     landing = _land_readings(p, os.path.join(base, "landing"))
     stream = ingest.bronze_stream(spark, landing, READING_COLUMNS, "csv", max_files_per_trigger=64)
     writer = ReadingsBatchWriter(p.refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"), p.zone,
-                                 metrics_path=os.path.join(base, "metrics"))
+                                 metrics_path=os.path.join(base, "metrics"), late_path=os.path.join(base, "late"))
     ingest.run_once(silver_stream(stream, writer, os.path.join(base, "_chk")))
     return base
 

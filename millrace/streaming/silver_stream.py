@@ -51,12 +51,33 @@ class ReadingsBatchWriter:
     """``foreachBatch`` callable writing silver + quarantine for each micro-batch."""
 
     def __init__(self, refs: Refs, silver_path: str, quarantine_path: str, zone: str = PLANT_TZ,
-                 metrics_path: str | None = None):
+                 metrics_path: str | None = None, late_path: str | None = None,
+                 lateness: str = WATERMARK):
         self.refs = refs
         self.silver_path = silver_path
         self.quarantine_path = quarantine_path
         self.zone = zone
         self.metrics_path = metrics_path
+        self.late_path = late_path
+        self.lateness = lateness
+
+    def _record_late(self, spark, accepted: DataFrame, batch_id: int) -> None:
+        """Dates of rows arriving more than ``lateness`` behind the high-water
+        mark of earlier batches: the marts to recompute for them (see
+        ``streaming.refresh``).  The high-water mark of each batch is kept as
+        one small row per batch id."""
+        hwm_dir = os.path.join(self.late_path, "hwm")
+        prev = None
+        if _exists(spark, hwm_dir):
+            prev = (spark.read.parquet(hwm_dir).filter(F.col("_batch_id") != batch_id)
+                    .agg(F.max("hwm")).first()[0])
+        (accepted.agg(F.max("reading_ts").alias("hwm")).write.mode("overwrite")
+                 .parquet(os.path.join(hwm_dir, f"_batch_id={batch_id}")))
+        late = accepted.filter(F.lit(False)) if prev is None else accepted.filter(
+            F.col("reading_ts") < F.lit(prev) - F.expr(f"INTERVAL {self.lateness}"))
+        (late.groupBy(F.to_date(F.from_utc_timestamp("reading_ts", self.zone)).alias("reading_date"))
+             .agg(F.count(F.lit(1)).alias("late_rows"))
+             .write.mode("overwrite").parquet(os.path.join(self.late_path, "dates", f"_batch_id={batch_id}")))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -70,6 +91,8 @@ class ReadingsBatchWriter:
                            "_source_file", "reading_ts", "equipment_key", "quarantine_reason")
                    .write.mode("overwrite").parquet(os.path.join(self.quarantine_path, f"_batch_id={batch_id}")))
             accepted = tagged.filter(F.col("quarantine_reason").isNull())
+            if self.late_path:
+                self._record_late(spark, accepted, batch_id)
             deduped = silver.dedupe_best(silver._reading_projection(accepted, self.zone))
             if _exists(spark, self.silver_path):
                 bounds = accepted.agg(F.min("reading_ts").alias("lo"), F.max("reading_ts").alias("hi")).first()

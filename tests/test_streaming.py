@@ -49,9 +49,15 @@ def test_watermark_dedupe_drops_late_rows(spark, refs):
 def test_foreach_batch_keeps_late_rows_and_is_idempotent(spark, refs):
     base = ingest.fresh_dir(spark, "test_fb")
     _land_drops(spark, os.path.join(base, "landing"), DROPS)
-    writer = ReadingsBatchWriter(refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"))
+    writer = ReadingsBatchWriter(refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"),
+                                 late_path=os.path.join(base, "late"))
     stream = ingest.bronze_stream(spark, os.path.join(base, "landing"), COLS, "csv", max_files_per_trigger=1)
     ingest.run_once(silver_stream(stream, writer, os.path.join(base, "_chk")))
+    late = (spark.read.parquet(os.path.join(base, "late", "dates"))
+            .groupBy("reading_date").agg(F.sum("late_rows").alias("n")))
+    # one row behind the 6 h high-water mark in each of the last two batches,
+    # both on plant-local 2024-01-02
+    assert [(str(r["reading_date"]), r["n"]) for r in late.collect()] == [("2024-01-02", 2)]
     s = spark.read.parquet(os.path.join(base, "silver"))
     assert sorted(r["value"] for r in s.collect()) == [0.25, 0.5, 1.0, 2.0, 3.0]   # late rows merged, not lost
     q = spark.read.parquet(os.path.join(base, "quarantine"))
