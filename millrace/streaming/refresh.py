@@ -21,7 +21,10 @@ def _with_period(df: DataFrame, date_col: str, unit: str) -> DataFrame:
 
 
 def write_mart(mart: DataFrame, path: str, date_col: str, unit: str = "MM") -> None:
-    _with_period(mart, date_col, unit).write.mode("overwrite").partitionBy(PERIOD_COL).parquet(path)
+    # rebalance by period: AQE sizes the write tasks so each period lands in
+    # few, well-filled files instead of one small file per task
+    (_with_period(mart, date_col, unit).hint("rebalance", PERIOD_COL)
+        .write.mode("overwrite").partitionBy(PERIOD_COL).parquet(path))
 
 
 def refresh_dates(mart: DataFrame, affected: DataFrame, path: str, date_col: str,
@@ -29,9 +32,23 @@ def refresh_dates(mart: DataFrame, affected: DataFrame, path: str, date_col: str
     """Overwrite only the periods holding ``affected`` dates with the recomputed mart."""
     periods = affected.select(F.trunc(F.col(date_col), unit).alias(PERIOD_COL)).distinct()
     part = _with_period(mart, date_col, unit).join(periods, PERIOD_COL, "left_semi")
-    (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (part.hint("rebalance", PERIOD_COL)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(PERIOD_COL).parquet(path))
 
 
+def backfill(build_mart, path: str, date_col: str, periods: list[tuple[str, str]],
+             unit: str = "MM") -> None:
+    """Large backfill in date order: ``build_mart(lo, hi)`` returns the mart
+    for inputs in [lo, hi) and each range is written as its own job with
+    dynamic partition overwrite, so a failed range can be re-run alone and
+    memory/shuffle size is bounded by one range.  The loop is over a handful
+    of date ranges (a writer parameter), never over rows."""
+    for lo, hi in periods:
+        mart = build_mart(lo, hi)
+        dates = mart.select(F.col(date_col)).distinct()
+        refresh_dates(mart, dates, path, date_col, unit)
+
+
 def read_mart(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(PERIOD_COL)

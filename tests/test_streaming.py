@@ -129,3 +129,30 @@ def test_table_writer_fails_before_any_write(spark, refs):
     with pytest.raises(ExpectationFailed):
         w(bad, 0)
     assert not os.path.exists(os.path.join(base, "silver")) and not os.path.exists(os.path.join(base, "metrics"))
+
+
+def test_stream_rerun_on_same_checkpoint_adds_nothing(spark, refs):
+    base = ingest.fresh_dir(spark, "test_rerun")
+    _land_drops(spark, os.path.join(base, "landing"), DROPS[:2])
+    for _ in range(2):
+        stream = ingest.bronze_stream(spark, os.path.join(base, "landing"), COLS, "csv")
+        ingest.run_once(ingest.to_parquet(stream, os.path.join(base, "bronze"), os.path.join(base, "_chk")))
+    assert spark.read.parquet(os.path.join(base, "bronze")).count() == 5
+
+
+def test_backfill_and_refresh_by_period(spark):
+    import datetime as dt
+    from millrace.streaming import refresh
+    base = ingest.fresh_dir(spark, "test_backfill")
+    days = spark.createDataFrame([(dt.date(2024, m, d), m * 100 + d) for m in (1, 2, 3) for d in (1, 15)],
+                                 "production_date DATE, v INT")
+    build = lambda lo, hi: days.filter((F.col("production_date") >= lo) & (F.col("production_date") < hi))
+    refresh.backfill(build, os.path.join(base, "m"), "production_date",
+                     [("2024-01-01", "2024-02-01"), ("2024-02-01", "2024-04-01")])
+    got = refresh.read_mart(spark, os.path.join(base, "m"))
+    assert sorted(r["v"] for r in got.collect()) == [101, 115, 201, 215, 301, 315]
+    # a late correction for February rewrites February only
+    fix = days.filter(F.month("production_date") == 2).withColumn("v", F.col("v") + 1000)
+    refresh.refresh_dates(fix, fix.select("production_date"), os.path.join(base, "m"), "production_date")
+    got = refresh.read_mart(spark, os.path.join(base, "m"))
+    assert sorted(r["v"] for r in got.collect()) == [101, 115, 301, 315, 1201, 1215]
