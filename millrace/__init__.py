@@ -13,4 +13,5 @@ no Python UDFs.  Sub-packages:
                   vibration windows, late-data refresh)
 """
 
+# Fixed value: the plant's time zone (naked and US-format source times are local to it).
 PLANT_TZ = "America/Chicago"

@@ -624,15 +624,11 @@ def _bronze_json_ingest(p: Plant) -> DataFrame:
 @query("bronze_rescue")
 def _bronze_rescue(p: Plant) -> DataFrame:
     """Readings lines with a field too many or too few land whole in ``_rescued_data``."""
-    from millrace.streaming import ingest
-    return _rescue_lines(p, ingest.fresh_dir(p.spark, "bronze_rescue"))
-
-
-def _rescue_lines(p: Plant, base: str) -> DataFrame:
     from millrace.plans.plant import EVENT_COLS
     from millrace.sources import shape
     from millrace.streaming import ingest
     spark = p.spark
+    base = ingest.fresh_dir(spark, "bronze_rescue")
     ev = p.table("events", EVENT_COLS)
     # the shaped frame plus the event id that decides the malformation
     shaped = shape.raw_readings_with_id(ev, p.zone)

@@ -27,6 +27,7 @@ from millrace.operators import expect
 from millrace.plans import silver
 from millrace.sources.seeds import Refs
 
+# Fixed value: event-time watermark sized for historian store-and-forward.
 WATERMARK = "6 hours"
 
 
