@@ -29,6 +29,7 @@ from millrace.sources.seeds import Refs
 
 # Fixed value: event-time watermark sized for historian store-and-forward.
 WATERMARK = "6 hours"
+DATE_PART = "_reading_date"   # UTC date of reading_ts, the silver sink's partition column
 
 
 def dedupe_stream(bronze_stream: DataFrame, refs: Refs, zone: str = PLANT_TZ,
@@ -100,13 +101,17 @@ class ReadingsBatchWriter:
                 if bounds["lo"] is not None:
                     existing = (spark.read.parquet(self.silver_path)
                                 .filter((F.col("_batch_id") != batch_id)
+                                        & F.col(DATE_PART).between(bounds["lo"].date(), bounds["hi"].date())
                                         & F.col("reading_ts").between(bounds["lo"], bounds["hi"]))
                                 .select(*silver.READING_KEY))
                     deduped = deduped.join(existing, silver.READING_KEY, "left_anti")
-            # sorted files keep parquet min/max statistics tight, so the
-            # time-range anti join of later batches skips most row groups
-            (deduped.sortWithinPartitions("equipment_key", "sensor_tag", "reading_ts")
-                    .write.mode("overwrite")
+            # date directories let later batches prune the anti join to the
+            # days they touch; sorted files keep parquet min/max statistics
+            # tight within a day.  No repartition by date: most of a batch
+            # shares one day, which would put the whole batch in one task.
+            (deduped.withColumn(DATE_PART, F.to_date("reading_ts"))
+                    .sortWithinPartitions(DATE_PART, "equipment_key", "sensor_tag", "reading_ts")
+                    .write.mode("overwrite").partitionBy(DATE_PART)
                     .parquet(os.path.join(self.silver_path, f"_batch_id={batch_id}")))
         finally:
             tagged.unpersist()
