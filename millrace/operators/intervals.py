@@ -41,11 +41,15 @@ def overlap_pairs(iv: DataFrame, key: str, id_col: str, start: str, end: str,
 
 
 def point_in_intervals(points: DataFrame, iv: DataFrame, key: str, point_ts: str,
-                       iv_id: str, start: str, end: str, unit: str = "hour") -> DataFrame:
+                       iv_id: str, start: str, end: str, unit: str = "hour",
+                       iv_carry: list[str] | None = None) -> DataFrame:
     """For each point: how many intervals of its key contain it
-    (start ≤ ts < end) and, when exactly one, which."""
+    (start ≤ ts < end) and, when exactly one, which (plus ``iv_carry``
+    columns of that interval)."""
+    carry = iv_carry or []
     ivs = iv.select(F.col(key).alias("_k"), F.col(iv_id).alias("_iv"),
                     F.col(start).alias("_s"), F.col(end).alias("_e"),
+                    *[F.col(c).alias(f"_ivc_{c}") for c in carry],
                     F.explode(buckets(F.col(start), F.col(end), unit)).alias("_b"))
     p = points.withColumn("_b", F.date_trunc(unit, F.col(point_ts)))
     j = p.join(ivs, (p[key] == ivs["_k"]) & (p["_b"] == ivs["_b"])
@@ -55,9 +59,11 @@ def point_in_intervals(points: DataFrame, iv: DataFrame, key: str, point_ts: str
     # of shuffling the join output again.
     cols = [c for c in points.columns]
     return (j.groupBy(p[key].alias("_gk"), p["_b"].alias("_gb"), *[p[c] for c in cols if c != key], p[key])
-            .agg(F.count("_iv").alias("match_count"), F.min("_iv").alias("_min_iv"))
+            .agg(F.count("_iv").alias("match_count"), F.min("_iv").alias("_min_iv"),
+                 *[F.min(f"_ivc_{c}").alias(f"_min_{c}") for c in carry])
             .withColumn(f"matched_{iv_id}", F.when(F.col("match_count") == 1, F.col("_min_iv")))
-            .select(*cols, "match_count", f"matched_{iv_id}"))
+            .select(*cols, "match_count", f"matched_{iv_id}",
+                    *[F.when(F.col("match_count") == 1, F.col(f"_min_{c}")).alias(c) for c in carry]))
 
 
 def day_pieces(df: DataFrame, start: str, end: str) -> DataFrame:

@@ -69,13 +69,15 @@ def changeover_net(runs: DataFrame, work_orders: DataFrame, equipment_xref: Data
                .withColumn("net_changeover_minutes", F.col("changeover_minutes") - F.col("downtime_overlap_minutes")))
 
 
-def batch_to_run(checks: DataFrame, runs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def batch_to_run(checks: DataFrame, runs: DataFrame, carry: list[str] | None = None,
+                 run_carry: list[str] | None = None) -> DataFrame:
     """Each quality check → the completed run of its line whose window holds
     its time; ``match_count`` shows ambiguity (0, 1 or several runs).
-    ``carry`` lists extra check columns to keep on the result."""
+    ``carry`` lists extra check columns to keep, ``run_carry`` columns of the
+    matched run (NULL unless the match is unique)."""
     pts = checks.select("check_id", "batch_id", "line_id", "check_ts", *(carry or []))
     return point_in_intervals(pts, _completed(runs), "line_id", "check_ts", "run_id",
-                              "start_ts", "end_ts", "hour")
+                              "start_ts", "end_ts", "hour", iv_carry=run_carry)
 
 
 def alarm_summary(alarms: DataFrame, zone: str) -> DataFrame:

@@ -43,12 +43,12 @@ def param_scrap_correlation(checks: DataFrame, scrap_daily: DataFrame) -> DataFr
     return c.withColumn("corr_rank", F.row_number().over(w))  # ≤ parameters per line
 
 
-def fill_weight_trend(matched_checks: DataFrame, runs: DataFrame, window_days: int = 7) -> DataFrame:
+def fill_weight_trend(matched_checks: DataFrame, window_days: int = 7) -> DataFrame:
     """Daily mean check value per SKU and parameter, over checks matched to
-    exactly one run, with a trailing ``window_days`` moving mean (integer
-    sums over the frame, divided once)."""
-    m = (matched_checks.filter(F.col("match_count") == 1)
-         .join(runs.select(F.col("run_id").alias("matched_run_id"), "product_sku"), "matched_run_id"))
+    exactly one run (``product_sku`` carried from the matched run), with a
+    trailing ``window_days`` moving mean (integer sums over the frame,
+    divided once)."""
+    m = matched_checks.filter(F.col("match_count") == 1)
     day = (m.groupBy("product_sku", "parameter", F.to_date("check_ts_local").alias("check_date"))
             .agg(F.count(F.lit(1)).alias("checks"),
                  F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("_cents")))

@@ -305,9 +305,9 @@ def _q_param_scrap_corr(p: Plant) -> DataFrame:
 
 @query("q_fill_weight_trend")
 def _q_fill_weight_trend(p: Plant) -> DataFrame:
-    runs = p.silver_runs()
-    matched = analysis.batch_to_run(p.silver_quality(), runs, carry=["parameter", "value", "check_ts_local"])
-    return ask.fill_weight_trend(matched, runs)
+    matched = analysis.batch_to_run(p.silver_quality(), p.silver_runs(),
+                                    carry=["parameter", "value", "check_ts_local"], run_carry=["product_sku"])
+    return ask.fill_weight_trend(matched)
 
 
 @query("q_top_technician")
