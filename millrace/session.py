@@ -56,9 +56,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="millrace-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
+    try:
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
+    except Exception:  # no SparkContext on the client (Spark Connect): the conf is enough
+        pass
     return current
 
 

@@ -36,9 +36,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     df = spark.read.parquet(table_path(sf_dir, name))
     if columns:
         df = df.select(*columns)
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        df = df.repartition(parallelism)
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < parallelism:
+            df = df.repartition(parallelism)
+    except Exception:  # no RDD API (e.g. a Spark Connect session): keep the scan as is
+        pass
     casts = {f.name: F.col(f.name).cast("timestamp")
              for f in df.schema.fields if isinstance(f.dataType, TimestampNTZType)}
     return df.withColumns(casts) if casts else df
