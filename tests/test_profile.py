@@ -39,3 +39,17 @@ def test_duplicate_keys_and_value_counts(spark):
     assert rows(profile.duplicate_keys(df, ["k", "v"]), "k", "copies") == [("a", 2)]
     vc = profile.value_counts([("t.k", df, "k")])
     assert rows(vc, "value", "rows") == [("a", 2), ("b", 1)]
+
+
+def test_vibration_window_stats(spark):
+    import datetime as dt
+    import math
+    from millrace.streaming import vibration
+    msgs = spark.createDataFrame([
+        ("S1", dt.datetime(2024, 1, 1, 0, 0, 5), 1.0), ("S1", dt.datetime(2024, 1, 1, 0, 0, 15), 3.0),
+    ], "sensor_id STRING, event_ts TIMESTAMP, m2 DOUBLE")
+    w = {r["window_start"]: r for r in vibration.window_stats(msgs).collect()}
+    both = w[dt.datetime(2024, 1, 1, 0, 0, 0)]          # the window holding both messages
+    assert (both["n"], both["max_m2"], both["mean_m2"]) == (2, 3.0, 2.0)
+    assert both["sd_m2"] == round(math.sqrt(2.0), 6) and both["alert"] is False
+    assert len(w) == 7                                   # 6 windows per message, 5 shared

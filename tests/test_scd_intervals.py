@@ -105,3 +105,14 @@ def test_point_in_intervals_match_count(spark):
     got = rows(intervals.point_in_intervals(pts, iv, "line_id", "check_ts", "run_id", "start_ts", "end_ts"),
                "check_id", "match_count", "matched_run_id")
     assert set(got) == {("p1", 1, "a"), ("p2", 2, None), ("p3", 1, "b"), ("p4", 0, None)}
+
+
+def test_segmented_lead_equals_plain_lead(spark):
+    from millrace.operators.sequence import segmented_lead
+    rnd = random.Random(11)
+    data = [(rnd.choice(["a", "a", "b"]), dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randint(0, 24 * 150)),
+             f"id{i:04d}") for i in range(300)]
+    df = spark.createDataFrame(data, "k STRING, ts TIMESTAMP, id STRING")
+    seg = segmented_lead(df, ["k"], ["ts", "id"], ["id"], F.trunc("ts", "MM"))
+    plain = df.withColumn("next_id", F.lead("id").over(Window.partitionBy("k").orderBy("ts", "id")))
+    assert rows(seg, "id", "next_id") == rows(plain, "id", "next_id")

@@ -117,3 +117,10 @@ def test_registry_clean(spark, refs):
     assert r["EQP-1006"]["equipment_type"] == "Capping Machine"
     assert r["EQP-1006"]["specs"] is None and r["EQP-1006"]["specs_raw"] == "free text"
     assert "status" not in silver.registry_clean(b, refs).columns
+
+
+def test_observe_counts_violations(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "a INT")
+    observed, obs = expect.observe(df, [Expectation("a_present", "a IS NOT NULL", "warn")], "t")
+    observed.collect()
+    assert obs.get == {"rows": 3, "a_present": 1}
