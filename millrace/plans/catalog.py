@@ -51,26 +51,31 @@ def _gold_oee_daily(p: Plant) -> DataFrame:
 
 @query("gold_reliability")
 def _gold_reliability(p: Plant) -> DataFrame:
+    """MTBF and MTTR per equipment and plant-local month (unplanned orders)."""
     return p.equipment_reliability()
 
 
 @query("gold_scrap_rate")
 def _gold_scrap_rate(p: Plant) -> DataFrame:
+    """Scrap units over total units per line and plant-local day."""
     return p.scrap_rate_daily()
 
 
 @query("gold_changeover")
 def _gold_changeover(p: Plant) -> DataFrame:
+    """Minutes between consecutive completed runs of a line where the SKU changes."""
     return p.changeover_time()
 
 
 @query("gold_first_pass_yield")
 def _gold_first_pass_yield(p: Plant) -> DataFrame:
+    """Share of (batch, type, parameter) combinations passing on their first check."""
     return p.first_pass_yield()
 
 
 @query("gold_critical_work_orders")
 def _gold_critical_work_orders(p: Plant) -> DataFrame:
+    """Critical work orders resolved per technician and plant-local week."""
     return p.critical_work_orders()
 
 
@@ -83,12 +88,14 @@ def _silver_readings(p: Plant) -> DataFrame:
 
 @query("quarantine_readings")
 def _quarantine_readings(p: Plant) -> DataFrame:
+    """Readings failing a hard rule, with their raw text and a reason code."""
     return p.quarantine_readings().select("timestamp", "equipment_id", "sensor_tag", "quality", "status",
                                           "line_id", "reading_ts", "equipment_key", "quarantine_reason")
 
 
 @query("quarantine_balance")
 def _quarantine_balance(p: Plant) -> DataFrame:
+    """Accepted + quarantined + duplicates = input, counted in one row."""
     tagged = silver.readings_tagged(p.bronze_readings(), p.refs, p.zone)
     return quality.quarantine_balance(tagged, p.silver_readings())
 
@@ -116,16 +123,19 @@ def _dedupe_best(p: Plant) -> DataFrame:
 
 @query("sentinel_scrub")
 def _sentinel_scrub(p: Plant) -> DataFrame:
+    """Per tag: sentinel, negative-vibration, empty and scrubbed-NULL raw values."""
     return quality.sentinel_profile(p.bronze_readings())
 
 
 @query("quality_gate")
 def _quality_gate(p: Plant) -> DataFrame:
+    """Per line, equipment, tag and day: all vs good-quality readings and their mean."""
     return quality.quality_gate(p.silver_readings())
 
 
 @query("tag_range_rules")
 def _tag_range_rules(p: Plant) -> DataFrame:
+    """Per tag: readings outside the physical range of a broadcast rules table."""
     rules = p.spark.createDataFrame(quality.TAG_RANGE_RULES, "sensor_tag STRING, min_value DOUBLE, max_value DOUBLE")
     return quality.tag_range_check(p.silver_readings(), rules)
 
@@ -148,21 +158,25 @@ def _parse_multi_ts(p: Plant) -> DataFrame:
 
 @query("silver_runs")
 def _silver_runs(p: Plant) -> DataFrame:
+    """Production runs: UTC + local times, litres, typed units, conformed line."""
     return p.silver_runs().drop("_ingest_ts", "_source_file")
 
 
 @query("silver_work_orders")
 def _silver_work_orders(p: Plant) -> DataFrame:
+    """Work orders conformed via the SAP asset crosswalk and type crosswalk."""
     return p.silver_work_orders()
 
 
 @query("silver_alarms")
 def _silver_alarms(p: Plant) -> DataFrame:
+    """Alarms with normalised severity, conformed equipment and line."""
     return p.silver_alarms()
 
 
 @query("silver_quality")
 def _silver_quality(p: Plant) -> DataFrame:
+    """Quality checks with conformed line, UTC + local times and in-spec flag."""
     return p.silver_quality().drop("_ingest_ts", "_source_file")
 
 
@@ -220,48 +234,57 @@ def _apply_changes(p: Plant) -> DataFrame:
 
 @query("unacked_alarms")
 def _unacked_alarms(p: Plant) -> DataFrame:
+    """Alarms without a current acknowledgment in the change feed."""
     return analysis.unacknowledged_alarms(p.silver_alarms(), p.acknowledgments())
 
 
 # ------------------------------------------------------------------ intervals
 @query("overlap_adjacent")
 def _overlap_adjacent(p: Plant) -> DataFrame:
+    """Completed runs starting before the previous run of their line ended."""
     return analysis.overlap_adjacent(p.silver_runs())
 
 
 @query("overlap_pairs")
 def _overlap_pairs(p: Plant) -> DataFrame:
+    """All pairs of completed runs on one line whose windows overlap."""
     return analysis.run_overlap_pairs(p.silver_runs())
 
 
 @query("changeover_net")
 def _changeover_net(p: Plant) -> DataFrame:
+    """Changeover gaps minus merged unplanned downtime overlapping them."""
     return analysis.changeover_net(p.silver_runs(), p.silver_work_orders(), p.refs.equipment_xref)
 
 
 @query("batch_to_run")
 def _batch_to_run(p: Plant) -> DataFrame:
+    """Each quality check matched to the run window holding it (with match count)."""
     return analysis.batch_to_run(p.silver_quality(), p.silver_runs())
 
 
 # ------------------------------------------------------------------ designed marts
 @query("reliability_alltime")
 def _reliability_alltime(p: Plant) -> DataFrame:
+    """All-time unplanned stops per equipment (sum over months)."""
     return gold.reliability_all_time(p.equipment_reliability())
 
 
 @query("alarm_summary")
 def _alarm_summary(p: Plant) -> DataFrame:
+    """Alarms per line, local day and severity: counts, unacknowledged, durations."""
     return analysis.alarm_summary(p.silver_alarms(), p.zone)
 
 
 @query("tag_completeness")
 def _tag_completeness(p: Plant) -> DataFrame:
+    """Per line and hour: tags reporting vs tags the line has."""
     return analysis.tag_completeness(p.silver_readings())
 
 
 @query("ingest_lag")
 def _ingest_lag(p: Plant) -> DataFrame:
+    """Per source: newest event time and minutes behind the newest overall."""
     return analysis.ingest_lag({
         "sensor_readings": p.silver_readings().select("reading_ts"),
         "production_runs": p.silver_runs().select("end_ts"),
@@ -273,6 +296,7 @@ def _ingest_lag(p: Plant) -> DataFrame:
 
 @query("kpi_scorecard")
 def _kpi_scorecard(p: Plant) -> DataFrame:
+    """Per KPI: rows evaluated, rows meeting the plant target and their share."""
     rel = p.equipment_reliability()
     return analysis.kpi_scorecard({
         "oee": p.oee_daily(), "scrap_rate": p.scrap_rate_daily(), "mtbf_hours": rel,
@@ -282,6 +306,7 @@ def _kpi_scorecard(p: Plant) -> DataFrame:
 
 @query("line_scope")
 def _line_scope(p: Plant) -> DataFrame:
+    """OEE rows visible to each manager group (row-level line scope)."""
     a = p.spark.createDataFrame(analysis.LINE_ASSIGNMENTS, "manager_group STRING, line_id INT")
     return analysis.line_scope(p.oee_daily(), a).select("manager_group", "line_id", "production_date", "oee")
 
@@ -295,16 +320,19 @@ def _q_line_oee(p: Plant) -> DataFrame:
 
 @query("q_unplanned_stops")
 def _q_unplanned_stops(p: Plant) -> DataFrame:
+    """Equipment-months with more than three unplanned stops."""
     return ask.unplanned_stops_over(p.equipment_reliability(), 3)
 
 
 @query("q_param_scrap_corr")
 def _q_param_scrap_corr(p: Plant) -> DataFrame:
+    """Per line: correlation of each parameter's daily mean with scrap rate, ranked."""
     return ask.param_scrap_correlation(p.silver_quality(), p.scrap_rate_daily())
 
 
 @query("q_fill_weight_trend")
 def _q_fill_weight_trend(p: Plant) -> DataFrame:
+    """Daily and 7-day moving mean check value per SKU and parameter."""
     matched = analysis.batch_to_run(p.silver_quality(), p.silver_runs(),
                                     carry=["parameter", "value", "check_ts_local"], run_carry=["product_sku"])
     return ask.fill_weight_trend(matched)
@@ -312,12 +340,14 @@ def _q_fill_weight_trend(p: Plant) -> DataFrame:
 
 @query("q_top_technician")
 def _q_top_technician(p: Plant) -> DataFrame:
+    """Technician(s) with the most critical orders resolved each week (ties kept)."""
     return ask.top_technicians(p.critical_work_orders(), 1)
 
 
 # ------------------------------------------------------------------ registry
 @query("registry_clean")
 def _registry_clean(p: Plant) -> DataFrame:
+    """Equipment registry with conformed key, casing, parsed dates and renamed status."""
     return p.registry_clean().select(
         "equipment_id", "equipment_key", "equipment_type", "line_id", "equipment_operational_status",
         "criticality", "install_date", "install_date_ambiguous", "last_maintenance_date")
@@ -350,12 +380,14 @@ def _parse_multi_date(p: Plant) -> DataFrame:
 
 @query("suffix_key")
 def _suffix_key(p: Plant) -> DataFrame:
+    """Registry ids mapped to conformed keys by their numeric suffix."""
     return p.registry_clean().select("equipment_id", "equipment_key")
 
 
 # ------------------------------------------------------------------ runs checks
 @query("volume_normalize")
 def _volume_normalize(p: Plant) -> DataFrame:
+    """Per volume unit spelling: litre factor and runs."""
     b = p.bronze_runs()
     return (b.groupBy("volume_unit")
             .agg(F.count(F.lit(1)).alias("runs"),
@@ -365,6 +397,7 @@ def _volume_normalize(p: Plant) -> DataFrame:
 
 @query("sku_size")
 def _sku_size(p: Plant) -> DataFrame:
+    """Per SKU: unit size in ml parsed from the product name."""
     from millrace.functions.parse import sku_size_ml
     return (p.silver_runs().groupBy("product_sku", "product_name")
             .agg(F.count(F.lit(1)).alias("runs"))
@@ -401,18 +434,21 @@ def _check_unit_math(p: Plant) -> DataFrame:
 
 @query("ts_local")
 def _ts_local(p: Plant) -> DataFrame:
+    """Run start as UTC instant and plant-local wall clock."""
     return p.silver_runs().select("run_id", "start_ts", "start_ts_local")
 
 
 # ------------------------------------------------------------------ conformance
 @query("equipment_conform")
 def _equipment_conform(p: Plant) -> DataFrame:
+    """Raw equipment aliases and the conformed key they resolve to."""
     t = silver.readings_tagged(p.bronze_readings(), p.refs, p.zone)
     return t.groupBy("equipment_id", "equipment_key").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("line_conform")
 def _line_conform(p: Plant) -> DataFrame:
+    """Raw line spellings per source and the line id they resolve to."""
     from millrace.operators.conform import with_line_id
     def per(df, label):
         c = with_line_id(df.select(F.col("line_id").alias("raw_line"), "line_id"), p.refs.line_xref)
@@ -440,6 +476,7 @@ def _join_coverage(p: Plant) -> DataFrame:
 
 @query("orphan_check")
 def _orphan_check(p: Plant) -> DataFrame:
+    """Fact ids without a crosswalk match (left anti join), counted."""
     from millrace.operators import profile
     x = p.refs.equipment_xref
     return (profile.orphans(p.bronze_readings(), "equipment_id", x, "source_equipment_id", "sensor_readings")
@@ -449,6 +486,7 @@ def _orphan_check(p: Plant) -> DataFrame:
 
 @query("check_qc_consistency")
 def _check_qc_consistency(p: Plant) -> DataFrame:
+    """Per line: checks whose PASS result disagrees with the spec limits."""
     q = p.silver_quality()
     is_pass = F.upper(F.col("check_result")) == "PASS"
     return (q.groupBy("line_id")
@@ -460,6 +498,7 @@ def _check_qc_consistency(p: Plant) -> DataFrame:
 
 @query("check_invariants")
 def _check_invariants(p: Plant) -> DataFrame:
+    """Completed orders have a completion time; cleared alarms were acknowledged."""
     wo = p.silver_work_orders().filter(F.col("work_order_status") == "COMPLETED")
     al = p.silver_alarms().filter(F.col("alarm_state") == "CLEARED")
     return (wo.agg(F.count(F.lit(1)).alias("rows_checked"),
@@ -493,12 +532,14 @@ def _raw_frames(p: Plant) -> dict[str, DataFrame]:
 
 @query("table_counts")
 def _table_counts(p: Plant) -> DataFrame:
+    """Rows per raw extract and each extract's share of all rows."""
     from millrace.operators import profile
     return profile.table_counts(_raw_frames(p))
 
 
 @query("value_counts")
 def _value_counts(p: Plant) -> DataFrame:
+    """Value frequencies of the coded columns of the raw extracts."""
     from millrace.operators import profile
     runs, wo, al, rd = p.bronze_runs(), p.bronze_work_orders(), p.bronze_alarms(), p.bronze_readings()
     return profile.value_counts([
@@ -510,6 +551,7 @@ def _value_counts(p: Plant) -> DataFrame:
 
 @query("format_profile")
 def _format_profile(p: Plant) -> DataFrame:
+    """Rows per format class of timestamps, dates and id schemes."""
     from millrace.functions.parse import date_format_class
     from millrace.operators import profile
     rd, wo, reg = p.bronze_readings(), p.bronze_work_orders(), p.bronze_registry()
@@ -523,12 +565,14 @@ def _format_profile(p: Plant) -> DataFrame:
 
 @query("id_scheme_examples")
 def _id_scheme_examples(p: Plant) -> DataFrame:
+    """Per equipment id scheme: distinct ids and the first five examples."""
     from millrace.operators import profile
     return profile.scheme_examples(p.bronze_readings(), "equipment_id", 5)
 
 
 @query("distinct_domain")
 def _distinct_domain(p: Plant) -> DataFrame:
+    """Distinct values of key columns of the raw extracts."""
     from millrace.operators import profile
     rd, wo, qc = p.bronze_readings(), p.bronze_work_orders(), p.bronze_checks()
     return profile.distinct_domain([
@@ -539,6 +583,7 @@ def _distinct_domain(p: Plant) -> DataFrame:
 
 @query("dup_keys")
 def _dup_keys(p: Plant) -> DataFrame:
+    """Raw readings whose natural key occurs more than once."""
     from millrace.operators import profile
     return profile.duplicate_keys(p.bronze_readings(), ["timestamp", "equipment_id", "sensor_tag"])
 
@@ -700,6 +745,7 @@ def _vibration_windows(p: Plant) -> DataFrame:
 
 @query("vibration_batch")
 def _vibration_batch(p: Plant) -> DataFrame:
+    """Sliding 1-minute vibration statistics every 10 s per sensor (batch twin)."""
     from millrace.streaming import vibration
     msgs = vibration.messages_from_events(p.table("events", ["event_id", "ts", "user_id"]))
     return vibration.window_stats(vibration.parse_messages(msgs))
