@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from millrace.llm import mixing
+from millrace.llm import mixing, secrets
 
 QUERIES = {
     "op2_mix": mixing.op2_mix,
+    "op3_secrets": secrets.op3_secrets,
 }
 
 ORACLES = {
