@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import mixing, secrets
+from millrace.llm import mixing, secrets, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_mix": mixing.op2_mix,
     "op3_secrets": secrets.op3_secrets,
 }

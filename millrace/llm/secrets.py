@@ -228,11 +228,13 @@ def span_text(spans: Column) -> Column:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found secret in ``text`` replaced by a mark, and n_chars to match.
 
-    Overlapping spans are replaced together.  Rows without a secret are
-    returned as they are; a null text stays null.
+    Overlapping spans are replaced together.  Rows without a match are returned
+    as they are and take no part in any shuffle; a null text stays null.
     """
     columns = docs.columns
-    found = find_spans(docs, columns)
+    t = text_or_empty()
+    hit = t.rlike(CANDIDATE) | ((t.contains("=") | t.contains(":")) & t.rlike(ASSIGN))
+    found = find_spans(docs.where(hit), columns)
     # cover each span only beyond what earlier spans have covered
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
 
@@ -250,7 +252,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     out = found.withColumn("text", masked)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*columns)
+    return docs.where(~hit).unionByName(out.select(*columns))
 
 
 def op3_secrets(spark, sf_dir: str) -> DataFrame:
