@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import checkpoint_dir
 
@@ -17,6 +20,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
 
 
+def importable_on_workers(query):
+    """Let the Python workers of a local session import this package, from whatever folder it was started.
+
+    On a cluster the package is installed there, or shipped with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+    @functools.wraps(query)
+    def run(spark, *args):
+        paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+        if spark.sparkContext.master.startswith("local[") and root not in paths.split(os.pathsep):
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, paths) if p)
+        return query(spark, *args)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A column-pruned scan of one input table."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -50,6 +70,11 @@ def bounded_broadcast(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
+def extended(schema: T.StructType, **columns: str) -> T.StructType:
+    """A copy of ``schema`` with further columns, given as name=type."""
+    return T.StructType([*schema.fields, *(T.StructField(n, T.DataType.fromDDL(t)) for n, t in columns.items())])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

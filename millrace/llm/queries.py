@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from millrace.llm import mixing, secrets, toxicity
+from millrace.llm import binpack, mixing, secrets, toxicity
+from millrace.llm.common import importable_on_workers
 
-QUERIES = {
+_QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_mix": mixing.op2_mix,
     "op3_secrets": secrets.op3_secrets,
+    "op10_pack": binpack.op10_pack,
 }
 
+QUERIES = {name: importable_on_workers(query) for name, query in _QUERIES.items()}
+
 ORACLES = {
     "op2_mix": mixing.ORACLE,
 }

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import table
+from millrace.llm.common import extended, table
 
 BITS, DIM = 18, 6
 BUCKETS = 1 << BITS
@@ -177,7 +177,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
             result = score_texts(batch.column(place).to_pylist(), w, b)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(result, pa.float64())], names=[*batch.schema.names, "toxic_score"])
 
-    schema = docs.schema.add("toxic_score", "double")
+    schema = extended(docs.schema, toxic_score="double")
     return docs.mapInArrow(scored, schema)
 
 
