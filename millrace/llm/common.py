@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import os
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -156,4 +157,42 @@ class WordBatch:
         return span_hashes(self.data, self.starts, self.ends, base)
 
 
+def text_groups(texts: list[str | None], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of at most ``most`` characters together; a longer text is a run of its own."""
+    begin = held = 0
+    for i, t in enumerate(texts):
+        n = len(t or "")
+        if held and held + n > most:
+            yield begin, i
+            begin, held = i, 0
+        held += n
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
+def shingles(batch: WordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``width`` words of every text, and the text of each.
+
+    Equal runs within a text are told apart: the hash includes which occurrence
+    it is.  A text with fewer words, but at least one, has one shingle.
+    """
+    n = len(batch.starts)
+    doc = np.repeat(np.arange(len(batch.first) - 1), np.diff(batch.first))
+    at = np.arange(n)
+    end = batch.first[1:][doc]
+    chosen = np.flatnonzero((end - at >= width) | (at == batch.first[:-1][doc]))
+    ends = np.minimum(chosen + width, end[chosen])
+    plain = span_hashes(batch.ids(BASE_A), chosen, ends, BASE_B)
+    doc = doc[chosen]
+    key = mix64(plain + doc.astype(U64) * U64(BASE_A))
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    new = np.ones(len(ranked), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    place = np.arange(len(ranked))
+    occurrence = np.empty(len(ranked), np.int64)
+    occurrence[order] = place - np.maximum.accumulate(np.where(new, place, 0))
+    return np.where(occurrence > 0, mix64(plain + occurrence.astype(U64) * U64(BASE_B)), plain), doc
+
+
 BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
