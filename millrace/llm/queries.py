@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from millrace.llm import binpack, mixing, omh, secrets, toxicity
+from millrace.llm import binpack, mixing, omh, secrets, substrings, toxicity
 from millrace.llm.common import importable_on_workers
 
 _QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_mix": mixing.op2_mix,
     "op3_secrets": secrets.op3_secrets,
+    "op5_substrings": substrings.op5_substrings,
     "op8_near_dedup": omh.op8_near_dedup,
     "op10_pack": binpack.op10_pack,
 }
