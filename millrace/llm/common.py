@@ -84,6 +84,27 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+LAST_ID = (1 << 63) - 1
+
+
+def id_number(column: str = "doc_id") -> Column:
+    """The id as a sort key that is never null: null counts as the largest."""
+    return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))
+
+
+def id_ranges(ids: DataFrame, parts: int) -> list[int]:
+    """Upper bounds that cut the ids (a column number) into about equal parts; at most ``parts`` numbers."""
+    found = ids.agg(F.percentile_approx("number", [i / parts for i in range(1, parts)], 10 * parts).alias("at")).first()["at"] if parts > 1 else []
+    return sorted(set(found or []))
+
+
+def id_part(bounds: list[int], number: Column) -> Column:
+    """The part that a number belongs to, from 0."""
+    if not bounds:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < number))
+
+
 # -- hashing of words and word windows, vectorised over a batch of texts ------
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from millrace.llm import binpack, mixing, omh, secrets, substrings, toxicity
+from millrace.llm import binpack, mixing, omh, secrets, substrings, syncmers, topk, toxicity
 from millrace.llm.common import importable_on_workers
 
 _QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_mix": mixing.op2_mix,
     "op3_secrets": secrets.op3_secrets,
+    "op4_topk": topk.op4_topk,
     "op5_substrings": substrings.op5_substrings,
+    "op7_syncmers": syncmers.op7_syncmers,
     "op8_near_dedup": omh.op8_near_dedup,
     "op10_pack": binpack.op10_pack,
 }
@@ -18,4 +20,5 @@ QUERIES = {name: importable_on_workers(query) for name, query in _QUERIES.items(
 
 ORACLES = {
     "op2_mix": mixing.ORACLE,
+    "op4_topk": topk.ORACLE,
 }
