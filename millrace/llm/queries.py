@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import binpack, mixing, omh, secrets, substrings, syncmers, topk, toxicity
+from millrace.llm import binpack, mixing, omh, secrets, substrings, syncmers, topk, toxicity, wavelet
 from millrace.llm.common import importable_on_workers
 
 _QUERIES = {
@@ -13,6 +13,7 @@ _QUERIES = {
     "op5_substrings": substrings.op5_substrings,
     "op7_syncmers": syncmers.op7_syncmers,
     "op8_near_dedup": omh.op8_near_dedup,
+    "op9_wavelet": wavelet.op9_wavelet,
     "op10_pack": binpack.op10_pack,
 }
 
