@@ -62,7 +62,7 @@ class WaveletMatrix:
             counts = np.concatenate(([0], np.cumsum(each)))[:n // STRIDE + 1]
             ones.append(counts.astype("<u4").tobytes())
             zeros.append(int(n - bit.sum()))
-            ids = np.concatenate((ids[~bit], ids[bit]))
+            ids = np.concatenate((np.compress(~bit, ids), np.compress(bit, ids)))
         return cls(n, zeros, b"".join(planes), b"".join(ones))
 
     def decode(self, dtype: str = "<u4") -> np.ndarray:
@@ -72,8 +72,8 @@ class WaveletMatrix:
         for level in range(self.levels - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.n).view(bool)
             above = np.empty(self.n, kind)
-            above[~bit] = ids[:self.zeros[level]]
-            above[bit] = ids[self.zeros[level]:] | kind.type(1 << (self.levels - 1 - level))
+            above[np.flatnonzero(~bit)] = ids[:self.zeros[level]]
+            above[np.flatnonzero(bit)] = ids[self.zeros[level]:] | kind.type(1 << (self.levels - 1 - level))
             ids = above
         return ids.astype(dtype)
 
