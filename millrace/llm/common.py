@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,6 +76,21 @@ def extended(schema: T.StructType, **columns: str) -> T.StructType:
     return T.StructType([*schema.fields, *(T.StructField(n, T.DataType.fromDDL(t)) for n, t in columns.items())])
 
 
+def set_aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all but the needed columns in one struct, and a function that brings a result back to its columns.
+
+    An operator may so add columns of its own without meeting equal names.
+    """
+    columns = docs.columns
+    rest = [c for c in columns if c not in needed]
+    kept = F.struct(*rest) if rest else F.lit(None).cast("boolean")
+
+    def restore(result: DataFrame) -> DataFrame:
+        return result.select(*(F.col(c) if c in needed else F.col("set_aside")[c].alias(c) for c in columns))
+
+    return docs.select(*needed, kept.alias("set_aside")), restore
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WORD, bounded_broadcast, materialize, text_or_empty
+from millrace.llm.common import WORD, bounded_broadcast, materialize, set_aside, text_or_empty
 
 #: The order hash has 60 bits; its leading 14 are the bucket.
 HASH_DIGITS, BUCKET_SHIFT = 15, 46
@@ -124,16 +124,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3,
             .drop("mix_source", "mix_base", "mix_h", "cut", "cut_words"))
 
 
-def repeat_documents(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mixed corpus: each row as often as the mix takes it.
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs: int = 3, seed: int = 17) -> DataFrame:
+    """The mixed corpus: each row of ``docs`` as often as the mix takes it.
 
     The one document of a source that the mix takes in part stays whole here if
-    at least half of it is taken.
+    at least half of it is taken.  Documents without words count as words
+    taken nowhere and come as often as their source's whole repetitions.
     """
-    times = F.col("mix_whole") + F.when(F.col("mix_words") * 2 >= F.greatest(F.col("mix_size"), F.lit(1)), 1).otherwise(0)
-    return (mixed.where(times > 0)
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), times.cast("int"))))
-            .select(*columns))
+    narrow, restore = set_aside(docs, "doc_id", "source", "text")
+    mixed = mix(narrow, weights, epochs, seed)
+    times = F.col("mix_whole") + F.when((F.col("mix_words") > 0) & (F.col("mix_words") * 2 >= F.col("mix_size")), 1).otherwise(0)
+    return restore(mixed.where(times > 0).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), times.cast("int")))))
 
 
 ORACLE = """

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BASE_A, BASE_B, U64, WordBatch, extended, materialize, mix64, shingles, span_hashes, table, text_groups
+from millrace.llm.common import BASE_A, BASE_B, U64, WordBatch, extended, materialize, mix64, set_aside, shingles, span_hashes, table, text_groups
 
 WIDTH, SIMILARITY = 5, 0.8
 HASHES, TOGETHER = 24, 4
@@ -270,13 +270,13 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class: the one that names it."""
-    columns = docs.columns
+    narrow, restore = set_aside(docs, "doc_id", "text")
     classes = near_classes(docs.select("doc_id", "text"))
     winners = (classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
                .groupBy(F.col("class_id").alias("winner_id")).agg(F.min("key").alias("winner_key")))
-    kept = with_key(docs)
-    return (kept.join(winners, F.col("doc_id").eqNullSafe(F.col("winner_id")) & (F.col("near_key") == F.col("winner_key")), "left_semi")
-            .dropDuplicates(["doc_id", "near_key"]).select(*columns))
+    kept = (with_key(narrow).join(winners, F.col("doc_id").eqNullSafe(F.col("winner_id")) & (F.col("near_key") == F.col("winner_key")), "left_semi")
+            .dropDuplicates(["doc_id", "near_key"]))
+    return restore(kept)
 
 
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import binpack, mixing, omh, secrets, substrings, syncmers, topk, toxicity, wavelet
+from millrace.llm import binpack, mixing, omh, secrets, substrings, syncmers, topk, toxicity, urls, wavelet
 from millrace.llm.common import importable_on_workers
 
 _QUERIES = {
@@ -11,6 +11,7 @@ _QUERIES = {
     "op3_secrets": secrets.op3_secrets,
     "op4_topk": topk.op4_topk,
     "op5_substrings": substrings.op5_substrings,
+    "op6_url_filter": urls.op6_url_filter,
     "op7_syncmers": syncmers.op7_syncmers,
     "op8_near_dedup": omh.op8_near_dedup,
     "op9_wavelet": wavelet.op9_wavelet,
@@ -22,4 +23,5 @@ QUERIES = {name: importable_on_workers(query) for name, query in _QUERIES.items(
 ORACLES = {
     "op2_mix": mixing.ORACLE,
     "op4_topk": topk.ORACLE,
+    "op6_url_filter": urls.ORACLE,
 }

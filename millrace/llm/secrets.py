@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, table, text_or_empty
+from millrace.llm.common import materialize, set_aside, table, text_or_empty
 
 # Fixed values of the contract: the kinds in order, and their patterns.
 KINDS = ("assign", "access", "hex", "random")
@@ -232,9 +232,10 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     as they are and take no part in any shuffle; a null text stays null.
     """
     columns = docs.columns
+    docs, restore = set_aside(docs, "text", *(["n_chars"] if "n_chars" in columns else []))
     t = text_or_empty()
     hit = t.rlike(CANDIDATE) | ((t.contains("=") | t.contains(":")) & t.rlike(ASSIGN))
-    found = find_spans(docs.where(hit), columns)
+    found = find_spans(docs.where(hit), docs.columns)
     # cover each span only beyond what earlier spans have covered
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
 
@@ -252,7 +253,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     out = found.withColumn("text", masked)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return docs.where(~hit).unionByName(out.select(*columns))
+    return restore(docs.where(~hit).unionByName(out.select(*docs.columns)))
 
 
 def op3_secrets(spark, sf_dir: str) -> DataFrame:

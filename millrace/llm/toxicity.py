@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import extended, table
+from millrace.llm.common import extended, set_aside, table
 
 BITS, DIM = 18, 6
 BUCKETS = 1 << BITS
@@ -181,6 +181,13 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
     return docs.mapInArrow(scored, schema)
 
 
+def keep_clean(docs: DataFrame, labels: DataFrame, most: float = 0.5) -> DataFrame:
+    """``docs`` without those that score ``most`` or higher."""
+    narrow, restore = set_aside(docs, "doc_id", "text")
+    weights, bias = learn(docs.select("doc_id", "text"), labels)
+    return restore(score(narrow, weights, bias).where(F.col("toxic_score") < most))
+
+
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
