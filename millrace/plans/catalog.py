@@ -600,12 +600,14 @@ READING_COLUMNS = ["timestamp", "equipment_id", "sensor_tag", "value", "quality"
 
 
 def _readings_drops(p: Plant) -> list[DataFrame]:
-    """Readings extract in three time-ordered drops (days 1–10, 11–20, 21+ of the month)."""
+    """Readings extract in three drops: thirds of the time range, with one row in 61 arriving a drop late."""
     from millrace.plans.plant import EVENT_COLS
     from millrace.sources import shape
     ev = p.table("events", EVENT_COLS)
-    drop = F.floor((F.dayofmonth("ts") - 1) / 10).cast("int")
-    drop = F.least(drop, F.lit(2))
+    second = F.unix_seconds("ts")
+    lo, hi = ev.agg(F.min(second), F.max(second)).first()
+    third = F.floor((second - F.lit(lo or 0)) * 3 / F.lit((hi or 0) - (lo or 0) + 1)).cast("int")
+    drop = F.least(F.lit(2), third + F.when(F.pmod("event_id", F.lit(61)) == 0, 1).otherwise(0))
     return [shape.raw_readings(ev.filter(drop == k), p.zone) for k in range(3)]
 
 
@@ -616,6 +618,20 @@ def _land_readings(p: Plant, folder: str) -> str:
     return folder
 
 
+def _stream_drops(p: Plant, base: str, writer) -> list:
+    """Land one drop after another and let the stream catch up after each: a
+    micro-batch is a drop, whatever the number of its files."""
+    from millrace.streaming import ingest
+    from millrace.streaming.silver_stream import silver_stream
+    landing = os.path.join(base, "landing")
+    done = []
+    for k, d in enumerate(_readings_drops(p)):
+        ingest.land_csv(d, os.path.join(landing, f"drop_{k}"))
+        stream = ingest.bronze_stream(p.spark, landing, READING_COLUMNS, "csv")
+        done.append(ingest.run_once(silver_stream(stream, writer, os.path.join(base, "_chk"))))
+    return done
+
+
 @query("bronze_ingest")
 def _bronze_ingest(p: Plant) -> DataFrame:
     """Land each extract as CSV files, ingest every folder with an
@@ -694,53 +710,71 @@ def _bronze_rescue(p: Plant) -> DataFrame:
 
 def _stream_silver(p: Plant):
     from millrace.streaming import ingest
-    from millrace.streaming.silver_stream import ReadingsBatchWriter, silver_stream
-    spark = p.spark
-    base = ingest.fresh_dir(spark, "silver_stream")
-    landing = _land_readings(p, os.path.join(base, "landing"))
-    stream = ingest.bronze_stream(spark, landing, READING_COLUMNS, "csv", max_files_per_trigger=64)
-    writer = ReadingsBatchWriter(p.refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"), p.zone,
-                                 metrics_path=os.path.join(base, "metrics"), late_path=os.path.join(base, "late"))
-    ingest.run_once(silver_stream(stream, writer, os.path.join(base, "_chk")))
+    from millrace.streaming.silver_stream import ReadingsBatchWriter
+    base = ingest.fresh_dir(p.spark, "silver_stream")
+    _stream_drops(p, base, ReadingsBatchWriter(
+        p.refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"), p.zone,
+        metrics_path=os.path.join(base, "metrics"), late_path=os.path.join(base, "late")))
     return base
 
 
 @query("stream_silver_readings")
 def _stream_silver_readings(p: Plant) -> DataFrame:
-    """Readings streamed in three drops through one foreachBatch with two sinks."""
+    """Readings streamed in three drops through one foreachBatch with two sinks;
+    the best row of each key wins across drops."""
     base = _stream_silver(p)
     return (p.spark.read.parquet(os.path.join(base, "silver"))
             .select("reading_ts", "reading_ts_local", "equipment_key", "sensor_tag", "value",
                     "opc_quality_code", "reading_quality_status", "is_good_quality", "line_id"))
 
 
+def _stream_dedupe_sinks(p: Plant) -> tuple[DataFrame, DataFrame]:
+    from millrace.streaming import ingest
+    from millrace.streaming.silver_stream import DedupeBatchWriter
+    base = ingest.fresh_dir(p.spark, "stream_dedupe")
+    silver_path, quarantine_path = os.path.join(base, "silver"), os.path.join(base, "quarantine")
+    _stream_drops(p, base, DedupeBatchWriter(p.refs, silver_path, quarantine_path, os.path.join(base, "marks"), p.zone))
+    return p.spark.read.parquet(silver_path), p.spark.read.parquet(quarantine_path)
+
+
 @query("stream_dedupe")
 def _stream_dedupe(p: Plant) -> DataFrame:
-    """Watermark (6 h) + dropDuplicates on the natural key, as a stream."""
-    from millrace.streaming import ingest
-    from millrace.streaming.silver_stream import dedupe_stream
-    spark = p.spark
-    base = ingest.fresh_dir(spark, "stream_dedupe")
-    landing = _land_readings(p, os.path.join(base, "landing"))
-    stream = ingest.bronze_stream(spark, landing, READING_COLUMNS, "csv", max_files_per_trigger=64)
-    out = dedupe_stream(stream, p.refs, p.zone)
-    ingest.run_once(ingest.to_parquet(out, os.path.join(base, "silver"), os.path.join(base, "_chk")))
-    return spark.read.parquet(os.path.join(base, "silver")).select(*silver.READING_KEY)
+    """Keys accepted within the 6 h watermark, each once, from a stream of three drops."""
+    return _stream_dedupe_sinks(p)[0].select(*silver.READING_KEY)
+
+
+@query("stream_balance")
+def _stream_balance(p: Plant) -> DataFrame:
+    """Accepted + quarantined + late + duplicates = input of the deduplicating stream, in one row."""
+    accepted, rejected = _stream_dedupe_sinks(p)
+    drops = _readings_drops(p)
+    counted = [d.agg(F.count(F.lit(1)).alias("input_rows")) for d in drops]
+    late = F.col("quarantine_reason") == "LATE_ARRIVAL"
+    from millrace.operators.profile import union_all
+    total = union_all(counted).agg(F.sum("input_rows").cast("bigint").alias("input_rows"))
+    kept = accepted.agg(F.count(F.lit(1)).alias("accepted_rows"))
+    out = rejected.agg(F.count_if(~late).cast("bigint").alias("quarantined_rows"), F.count_if(late).cast("bigint").alias("late_rows"))
+    duplicates = F.col("input_rows") - F.col("accepted_rows") - F.col("quarantined_rows") - F.col("late_rows")
+    return (total.crossJoin(kept).crossJoin(out)   # three one-row aggregates
+            .withColumn("duplicate_rows", duplicates).withColumn("balanced", duplicates >= 0))
 
 
 @query("vibration_windows")
 def _vibration_windows(p: Plant) -> DataFrame:
-    """JSON vibration messages as a stream; sliding 1-minute windows every 10 s
-    (append mode: windows still open at the end of input are not emitted)."""
+    """JSON vibration messages as a stream; sliding 1-minute windows every 10 s.
+    A heartbeat after the last message moves the watermark past every window,
+    so all of them are emitted; the heartbeat's own stays open."""
     from millrace.streaming import ingest, vibration
     spark = p.spark
     base = ingest.fresh_dir(spark, "vibration")
-    msgs = vibration.messages_from_events(p.table("events", ["event_id", "ts", "user_id"]))
-    ingest.land_text(msgs, os.path.join(base, "landing"))
-    stream = spark.readStream.schema("value STRING").option("recursiveFileLookup", "true").text(os.path.join(base, "landing"))
-    stats = vibration.window_stats(vibration.parse_messages(stream), watermark="1 minute")
-    ingest.run_once(ingest.to_parquet(stats, os.path.join(base, "out"), os.path.join(base, "_chk")))
-    return spark.read.parquet(os.path.join(base, "out"))
+    landing, out = os.path.join(base, "landing"), os.path.join(base, "out")
+    events = p.table("events", ["event_id", "ts", "user_id"])
+    for k, messages in enumerate([vibration.messages_from_events(events), vibration.heartbeat(events)]):
+        ingest.land_text(messages, os.path.join(landing, f"drop_{k}"))
+        stream = spark.readStream.schema("value STRING").option("recursiveFileLookup", "true").text(landing)
+        stats = vibration.window_stats(vibration.parse_messages(stream), watermark="1 minute")
+        ingest.run_once(ingest.to_parquet(stats, out, os.path.join(base, "_chk")))
+    return spark.read.parquet(out)
 
 
 @query("vibration_batch")
@@ -830,20 +864,15 @@ def _stream_scd2(p: Plant) -> DataFrame:
     spark = p.spark
     base = ingest.fresh_dir(spark, "scd_stream")
     changes = p.equipment_changes()
-    for k in range(3):   # arrival order ≠ sequence order: every drop spans the whole history
-        (changes.filter(F.pmod(F.col("change_seq"), F.lit(3)) == (2 - k)).repartition(4)
-                .write.mode("overwrite").parquet(os.path.join(base, "landing", f"drop_{k}")))
-    # four files per drop, four files per trigger: one drop per micro-batch
-    stream = (spark.readStream.schema(changes.schema).option("recursiveFileLookup", "true")
-              .option("maxFilesPerTrigger", "4").parquet(os.path.join(base, "landing")))
     writer = Scd2BatchWriter(os.path.join(base, "history"), os.path.join(base, "dim"),
                              ["equipment_key"], "change_ts", "change_seq", ["maintenance_class"])
-    q = (stream.writeStream.foreachBatch(writer).option("checkpointLocation", os.path.join(base, "_chk"))
-         .trigger(availableNow=True).start())
-    ingest.run_once(q)
-    batches = sum(1 for pr in q.recentProgress if pr["numInputRows"] > 0)
-    if batches < 3:
-        raise RuntimeError(f"expected one micro-batch per drop, got {batches}")
+    for k in range(3):   # arrival order ≠ sequence order: every drop spans the whole history
+        (changes.filter(F.pmod(F.col("change_seq"), F.lit(3)) == (2 - k))
+                .write.mode("overwrite").parquet(os.path.join(base, "landing", f"drop_{k}")))
+        stream = (spark.readStream.schema(changes.schema).option("recursiveFileLookup", "true")
+                  .parquet(os.path.join(base, "landing")))
+        ingest.run_once(stream.writeStream.foreachBatch(writer).option("checkpointLocation", os.path.join(base, "_chk"))
+                        .trigger(availableNow=True).start())
     return read_dimension(spark, os.path.join(base, "dim"))
 
 
@@ -892,21 +921,44 @@ def _stream_expectation_metrics(p: Plant) -> DataFrame:
                   F.sum("total_rows").cast("bigint").alias("total_rows")))
 
 
-@query("stream_silver_runs")
-def _stream_silver_runs(p: Plant) -> DataFrame:
-    """Production runs streamed through the generic silver sink (fail rules
-    checked inside foreachBatch before any write)."""
+def _stream_table(p: Plant, raw: DataFrame, build, rules, table: str, columns: list[str] | None = None) -> DataFrame:
+    """An extract landed as CSV and streamed through the generic silver sink."""
     from millrace.streaming import ingest
     from millrace.streaming.silver_stream import TableBatchWriter
     spark = p.spark
-    base = ingest.fresh_dir(spark, "stream_runs")
-    raw = p.bronze_runs().drop("_ingest_ts", "_source_file")
+    base = ingest.fresh_dir(spark, f"stream_{table}")
+    raw = raw.drop("_ingest_ts", "_source_file")
     ingest.land_csv(raw, os.path.join(base, "landing"))
     stream = ingest.bronze_stream(spark, os.path.join(base, "landing"), raw.columns, "csv")
-    writer = TableBatchWriter(lambda b: silver.silver_runs(b, p.refs, p.zone), silver.RUNS_RULES,
-                              "production_runs", os.path.join(base, "silver"), os.path.join(base, "metrics"))
-    q = (stream.writeStream.foreachBatch(writer).option("checkpointLocation", os.path.join(base, "_chk"))
-         .trigger(availableNow=True).start())
-    ingest.run_once(q)
-    return spark.read.parquet(os.path.join(base, "silver")).drop("_ingest_ts", "_source_file", "_batch_id",
-                                                                 ingest.RESCUE_COL)
+    writer = TableBatchWriter(lambda batch: build(batch, p.refs, p.zone), rules, table,
+                              os.path.join(base, "silver"), os.path.join(base, "metrics"))
+    ingest.run_once(stream.writeStream.foreachBatch(writer).option("checkpointLocation", os.path.join(base, "_chk"))
+                    .trigger(availableNow=True).start())
+    out = spark.read.parquet(os.path.join(base, "silver"))
+    return out.select(*columns) if columns else out.drop("_ingest_ts", "_source_file", "_batch_id", ingest.RESCUE_COL)
+
+
+@query("stream_silver_runs")
+def _stream_silver_runs(p: Plant) -> DataFrame:
+    """Production runs as a stream (fail rules checked inside foreachBatch before any write)."""
+    return _stream_table(p, p.bronze_runs(), silver.silver_runs, silver.RUNS_RULES, "production_runs")
+
+
+@query("stream_silver_work_orders")
+def _stream_silver_work_orders(p: Plant) -> DataFrame:
+    """Maintenance work orders as a stream; orders of unknown assets are dropped and counted."""
+    return _stream_table(p, p.bronze_work_orders(), silver.work_orders_conformed, silver.WORK_ORDER_RULES, "maintenance_logs",
+                         silver.SILVER_WORK_ORDER_COLUMNS)
+
+
+@query("stream_silver_alarms")
+def _stream_silver_alarms(p: Plant) -> DataFrame:
+    """Alarms as a stream; alarms of unknown severity are dropped and counted."""
+    return _stream_table(p, p.bronze_alarms(), silver.alarms_conformed, silver.ALARM_RULES, "alarms_events",
+                         silver.SILVER_ALARM_COLUMNS)
+
+
+@query("stream_silver_quality")
+def _stream_silver_quality(p: Plant) -> DataFrame:
+    """Quality checks as a stream (an unknown line stops it before any write)."""
+    return _stream_table(p, p.bronze_checks(), silver.silver_quality, silver.CHECK_RULES, "quality_checks")

@@ -780,15 +780,36 @@ ORACLES["bronze_rescue"] = with_ctes(T_R) + """SELECT COUNT(*) AS rows,
   COUNT(*) FILTER (WHERE event_id % 89 = 0) AS too_many_fields
 FROM t_r"""
 
-ORACLES["stream_silver_readings"] = ORACLES["silver_readings"]
-ORACLES["stream_dedupe"] = ORACLES["dedupe_readings"]
+# the drop a reading arrives in, and whether it is behind the mark of the drops before by over 6 h
+T_DROPS = """t_drop AS (
+  SELECT t_acc.*, least(2, (epoch_us(ts) // 1000000 - lo) * 3 // (hi - lo + 1) + CASE WHEN event_id % 61 = 0 THEN 1 ELSE 0 END) AS drop_no
+  FROM t_acc, (SELECT MIN(epoch_us(ts) // 1000000) AS lo, MAX(epoch_us(ts) // 1000000) AS hi FROM events) r
+),
+t_mark AS (SELECT drop_no, MAX(reading_ts) AS mark FROM t_drop GROUP BY drop_no),
+t_arrived AS (
+  SELECT d.*, coalesce(reading_ts < (SELECT MAX(mark) FROM t_mark m WHERE m.drop_no < d.drop_no) - INTERVAL 6 HOUR, FALSE) AS late
+  FROM t_drop d
+)"""
+ORACLES["stream_silver_readings"] = with_ctes(T_R, T_DROPS) + f"""SELECT reading_ts, {local_of_utc('reading_ts')} AS reading_ts_local,
+  equipment_key, sensor_tag, value, opc_quality_code, reading_quality_status, opc_quality_code = 192 AS is_good_quality, line_id
+FROM t_drop QUALIFY ROW_NUMBER() OVER (PARTITION BY reading_ts, equipment_key, sensor_tag
+  ORDER BY opc_quality_code DESC, drop_no DESC, value DESC NULLS LAST, line_id DESC) = 1"""
+ORACLES["stream_dedupe"] = with_ctes(T_R, T_DROPS) + """SELECT DISTINCT reading_ts, equipment_key, sensor_tag
+FROM t_arrived WHERE NOT late"""
+ORACLES["stream_balance"] = with_ctes(T_R, T_DROPS) + """SELECT input_rows, accepted_rows, quarantined_rows, late_rows,
+  input_rows - accepted_rows - quarantined_rows - late_rows AS duplicate_rows, TRUE AS balanced
+FROM (SELECT (SELECT COUNT(*) FROM t_r) AS input_rows,
+  (SELECT COUNT(*) FROM (SELECT DISTINCT reading_ts, equipment_key, sensor_tag FROM t_arrived WHERE NOT late)) AS accepted_rows,
+  (SELECT COUNT(*) FROM t_r WHERE reading_ts IS NULL OR equipment_key IS NULL) AS quarantined_rows,
+  (SELECT COUNT(*) FROM t_arrived WHERE late) AS late_rows) c"""
 ORACLES["gold_refresh_late"] = ORACLES["gold_oee_daily"]
 
 ORACLES["vibration_batch"] = """WITH m AS (
-  SELECT 'VIB-' || CAST(user_id % 100 AS VARCHAR) AS sensor_id, date_trunc('millisecond', ts) AS event_ts,
-         CAST(event_id % 17 - 8 AS DOUBLE) AS x, CAST(event_id % 13 - 6 AS DOUBLE) AS y,
-         CAST(event_id % 11 - 5 AS DOUBLE) AS z
-  FROM events
+  SELECT 'VIB-' || CAST(user_id % 100 AS VARCHAR) AS sensor_id,
+         date_trunc('millisecond', ts) + to_milliseconds(b.k * 250) AS event_ts,
+         CASE WHEN b.k = 11 AND event_id % 5 = 0 THEN 60.0::DOUBLE ELSE CAST(event_id % 17 - 8 AS DOUBLE) END AS x,
+         CAST(event_id % 13 - 6 AS DOUBLE) AS y, CAST(event_id % 11 - 5 AS DOUBLE) AS z
+  FROM events, range(12) b(k)
 ),
 w AS (
   SELECT sensor_id, x * x + y * y + z * z AS m2,
@@ -855,11 +876,10 @@ UNION ALL SELECT 'alarm_severity_xref', 'source_severity', 8, 0,
 UNION ALL SELECT 'wo_type_xref', 'source_type', 4, 0, (SELECT COUNT(*) FROM lineitem), (SELECT COUNT(*) FROM lineitem), FALSE"""
 
 ORACLES["stream_silver_runs"] = ORACLES["silver_runs"]
+ORACLES["stream_silver_work_orders"] = ORACLES["silver_work_orders"]
+ORACLES["stream_silver_alarms"] = ORACLES["silver_alarms"]
+ORACLES["stream_silver_quality"] = ORACLES["silver_quality"]
 ORACLES["stream_expectation_metrics"] = _REPORT + """SELECT table_name, rule, policy, CAST(violations AS BIGINT) AS violations,
   CAST(total_rows AS BIGINT) AS total_rows FROM rep WHERE table_name = 'sensor_readings'"""
 
-# Append mode emits a window once the watermark (max event time − 1 minute)
-# has passed its end; with all input in one batch plus the no-data batch that
-# follows, the stream's output is the batch windows up to that point.
-ORACLES["vibration_windows"] = f"""SELECT * FROM ({ORACLES['vibration_batch']}) w
-WHERE window_end <= (SELECT MAX(date_trunc('millisecond', ts)) FROM events) - INTERVAL 1 MINUTE"""
+ORACLES["vibration_windows"] = ORACLES["vibration_batch"]

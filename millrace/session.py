@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 _REQUIRED = {
@@ -48,23 +49,33 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediates.
 
-    On a cluster this is ``spark.checkpoint.dir`` as configured by the
-    operator (a shared, fault-tolerant file system).  Only when the setting is
-    absent — local runs and tests — do we create a scratch folder.
+    This is ``spark.checkpoint.dir`` as the session has it: a file system that
+    driver and executors share.  Only a session that runs in one process
+    (master ``local``, as in tests) gets a scratch folder where the setting is
+    absent; on a cluster a missing setting is an error, since a folder of the
+    driver's machine would be another one on every executor.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="millrace-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
-    except Exception:  # no SparkContext on the client (Spark Connect): the conf is enough
-        pass
     return current
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark finds a folder with files at ``path``, on whatever file system it is."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error.getCondition() or error):
+            return False
+        raise
+    return True
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A sub-folder of the shared checkpoint folder (never machine-local on a cluster)."""
     base = checkpoint_dir(spark)

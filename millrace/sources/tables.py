@@ -21,27 +21,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               spread: int | None = None) -> DataFrame:
     """Column-pruned scan of a driver table.
 
-    A parquet file written as one row group cannot be split: the scan yields
-    a single non-empty task, and every narrow step after it (shaping, parsing,
-    broadcast joins, partial aggregation) would run on one core.  When the
-    scan has fewer partitions than the cluster's default parallelism, the
-    rows are spread round-robin right after the (pruned) scan.  On large
-    inputs — many files, many splits — no repartition is added.
+    The plan does not depend on the table's size or on the number of cores.  A
+    caller whose files cannot be split may ask for the rows to be dealt out
+    over ``spread`` partitions.
     """
     prepare(spark)
     df = spark.read.parquet(table_path(sf_dir, name))
     if columns:
         df = df.select(*columns)
-    try:
-        parallelism = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < parallelism:
-            df = df.repartition(parallelism)
-    except Exception:  # no RDD API (e.g. a Spark Connect session): keep the scan as is
-        pass
+    if spread:
+        df = df.repartition(spread)
     casts = {f.name: F.col(f.name).cast("timestamp")
              for f in df.schema.fields if isinstance(f.dataType, TimestampNTZType)}
     return df.withColumns(casts) if casts else df

@@ -98,10 +98,13 @@ def bronze_batch(spark: SparkSession, folder: str, columns: list[str], fmt: str
             .withColumn("_source_file", F.col("_metadata.file_path")))
 
 
-def run_once(query: StreamingQuery, timeout_s: int = 600) -> StreamingQuery:
-    """Wait for an ``availableNow`` query to drain its input; surface errors."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
+def run_once(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait until an ``availableNow`` query has drained its input; errors are raised.
+
+    There is no time limit unless the caller sets one.
+    """
+    finished = query.awaitTermination() if timeout_s is None else query.awaitTermination(timeout_s)
+    if finished is False:
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} did not finish in {timeout_s}s")
     if query.exception() is not None:

@@ -1,18 +1,21 @@
 """Silver readings as a stream.
 
-Two forms:
-
-* ``dedupe_stream`` — the source pipeline's semantics: event-time watermark
-  (6 h) + ``dropDuplicates`` on (reading_ts, equipment_key, sensor_tag),
-  state bounded by the watermark.  Rows older than the watermark are
-  *dropped* by Spark (counted in ``numRowsDroppedByWatermark``).
-* ``ReadingsBatchWriter`` — one ``foreachBatch`` that writes both sinks from
-  a single read of the micro-batch: the quarantine (with reason codes) and
-  the accepted rows, deduplicated within the batch (best row) and against
-  rows already in silver (anti join over the batch's time range).  Nothing is
-  dropped for lateness — a late row is merged and its date reported for
-  recompute — and a replayed batch id overwrites its own output folder, so
-  the sink is idempotent under retries.
+Three forms:
+
+* ``dedupe_stream`` — the source pipeline's operator: event-time watermark
+  (6 h) and ``dropDuplicates`` on (reading_ts, equipment_key, sensor_tag), with
+  state bounded by the watermark.  Spark drops rows behind the watermark, so
+  it fits sources whose rows arrive in order of time.
+* ``DedupeBatchWriter`` — the same rule with nothing lost: a ``foreachBatch``
+  that compares each row with the high-water mark of the earlier batches.
+  Rows more than 6 h behind it go to the quarantine as ``LATE_ARRIVAL``; the
+  others are accepted once for each key.
+* ``ReadingsBatchWriter`` — one ``foreachBatch`` with two sinks: the quarantine
+  (with reason codes) and silver.  A late row is merged, and its date reported
+  for recompute.  The days that a batch touches are rewritten with the best row
+  of each key out of the stored and the new ones, so the result is that of the
+  batch pipeline whatever the order and size of the micro-batches, and a
+  replayed batch changes nothing.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from millrace import PLANT_TZ
 from millrace.operators import expect
 from millrace.plans import silver
+from millrace.session import path_exists
 from millrace.sources.seeds import Refs
 
 # Fixed value: event-time watermark sized for historian store-and-forward.
@@ -42,11 +46,70 @@ def dedupe_stream(bronze_stream: DataFrame, refs: Refs, zone: str = PLANT_TZ,
                     "line_id", "_ingest_ts", "_source_file"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+# Fixed value: reason code of rows that arrive behind the watermark.
+LATE_ARRIVAL = "LATE_ARRIVAL"
+
+
+def high_water_mark(spark: SparkSession, path: str, batch_id: int):
+    """Largest event time of the batches before ``batch_id`` (one stored row for each), or None."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.parquet(path).filter(F.col("_batch_id") < batch_id).agg(F.max("hwm")).first()[0]
+
+
+def store_high_water_mark(accepted: DataFrame, path: str, batch_id: int) -> None:
+    (accepted.agg(F.max("reading_ts").alias("hwm")).write.mode("overwrite")
+             .parquet(os.path.join(path, f"_batch_id={batch_id}")))
+
+
+def is_late(mark, lateness: str) -> F.Column:
+    if mark is None:
+        return F.lit(False)
+    return F.col("reading_ts") < F.lit(mark) - F.expr(f"INTERVAL {lateness}")
+
+
+def merge_days(new: DataFrame, path: str) -> None:
+    """Rewrite the days of ``new`` in the readings at ``path`` with the best row of each key, stored or new.
+
+    Only the folders of those days are read and replaced; a replay finds its
+    own rows there and changes nothing.
+    """
+    spark = new.sparkSession
+    new = new.withColumn(DATE_PART, F.to_date("reading_ts"))
+    if path_exists(spark, path):
+        days = new.select(DATE_PART).distinct()
+        stored = spark.read.schema(new.schema).parquet(path).join(days, DATE_PART, "left_semi")
+        new = new.unionByName(stored)
+    # a day's rows go to few files, and a large day to several tasks
+    (silver.dedupe_best(new)
+           .hint("rebalance", DATE_PART)
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(DATE_PART).parquet(path))
+
+
+class DedupeBatchWriter:
+    """``foreachBatch`` callable: each key once within the watermark, rows behind it to the quarantine."""
+
+    def __init__(self, refs: Refs, silver_path: str, quarantine_path: str, marks_path: str,
+                 zone: str = PLANT_TZ, lateness: str = WATERMARK):
+        self.refs, self.zone, self.lateness = refs, zone, lateness
+        self.silver_path, self.quarantine_path, self.marks_path = silver_path, quarantine_path, marks_path
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mark = high_water_mark(spark, self.marks_path, batch_id)
+        tagged = silver.readings_tagged(batch, self.refs, self.zone).persist()
+        try:
+            accepted = tagged.filter(F.col("quarantine_reason").isNull())
+            store_high_water_mark(accepted, self.marks_path, batch_id)
+            reason = F.coalesce("quarantine_reason", F.when(is_late(mark, self.lateness), F.lit(LATE_ARRIVAL)))
+            (tagged.withColumn("quarantine_reason", reason).filter(F.col("quarantine_reason").isNotNull())
+                   .select("timestamp", "equipment_id", "sensor_tag", "reading_ts", "equipment_key", "quarantine_reason")
+                   .write.mode("overwrite").parquet(os.path.join(self.quarantine_path, f"_batch_id={batch_id}")))
+            on_time = accepted.filter(~is_late(mark, self.lateness))
+            merge_days(silver._reading_projection(on_time, self.zone), self.silver_path)
+        finally:
+            tagged.unpersist()
 
 
 class ReadingsBatchWriter:
@@ -66,18 +129,12 @@ class ReadingsBatchWriter:
     def _record_late(self, spark, accepted: DataFrame, batch_id: int) -> None:
         """Dates of rows arriving more than ``lateness`` behind the high-water
         mark of earlier batches: the marts to recompute for them (see
-        ``streaming.refresh``).  The high-water mark of each batch is kept as
-        one small row per batch id."""
-        hwm_dir = os.path.join(self.late_path, "hwm")
-        prev = None
-        if _exists(spark, hwm_dir):
-            prev = (spark.read.parquet(hwm_dir).filter(F.col("_batch_id") != batch_id)
-                    .agg(F.max("hwm")).first()[0])
-        (accepted.agg(F.max("reading_ts").alias("hwm")).write.mode("overwrite")
-                 .parquet(os.path.join(hwm_dir, f"_batch_id={batch_id}")))
-        late = accepted.filter(F.lit(False)) if prev is None else accepted.filter(
-            F.col("reading_ts") < F.lit(prev) - F.expr(f"INTERVAL {self.lateness}"))
-        (late.groupBy(F.to_date(F.from_utc_timestamp("reading_ts", self.zone)).alias("reading_date"))
+        ``streaming.refresh``)."""
+        marks = os.path.join(self.late_path, "hwm")
+        mark = high_water_mark(spark, marks, batch_id)
+        store_high_water_mark(accepted, marks, batch_id)
+        (accepted.filter(is_late(mark, self.lateness))
+             .groupBy(F.to_date(F.from_utc_timestamp("reading_ts", self.zone)).alias("reading_date"))
              .agg(F.count(F.lit(1)).alias("late_rows"))
              .write.mode("overwrite").parquet(os.path.join(self.late_path, "dates", f"_batch_id={batch_id}")))
 
@@ -95,24 +152,7 @@ class ReadingsBatchWriter:
             accepted = tagged.filter(F.col("quarantine_reason").isNull())
             if self.late_path:
                 self._record_late(spark, accepted, batch_id)
-            deduped = silver.dedupe_best(silver._reading_projection(accepted, self.zone))
-            if _exists(spark, self.silver_path):
-                bounds = accepted.agg(F.min("reading_ts").alias("lo"), F.max("reading_ts").alias("hi")).first()
-                if bounds["lo"] is not None:
-                    existing = (spark.read.parquet(self.silver_path)
-                                .filter((F.col("_batch_id") != batch_id)
-                                        & F.col(DATE_PART).between(bounds["lo"].date(), bounds["hi"].date())
-                                        & F.col("reading_ts").between(bounds["lo"], bounds["hi"]))
-                                .select(*silver.READING_KEY))
-                    deduped = deduped.join(existing, silver.READING_KEY, "left_anti")
-            # date directories let later batches prune the anti join to the
-            # days they touch; sorted files keep parquet min/max statistics
-            # tight within a day.  No repartition by date: most of a batch
-            # shares one day, which would put the whole batch in one task.
-            (deduped.withColumn(DATE_PART, F.to_date("reading_ts"))
-                    .sortWithinPartitions(DATE_PART, "equipment_key", "sensor_tag", "reading_ts")
-                    .write.mode("overwrite").partitionBy(DATE_PART)
-                    .parquet(os.path.join(self.silver_path, f"_batch_id={batch_id}")))
+            merge_days(silver._reading_projection(accepted, self.zone), self.silver_path)
         finally:
             tagged.unpersist()
 

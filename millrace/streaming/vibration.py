@@ -26,17 +26,32 @@ MESSAGE_SCHEMA = StructType([
 WINDOW, SLIDE, ALERT_K = "1 minute", "10 seconds", 3.0
 
 
+#: Messages of one burst (four a second), and the sensor name of heartbeats.
+BURST, HEARTBEAT = 12, "HEARTBEAT"
+
+
 def messages_from_events(events: DataFrame) -> DataFrame:
-    """Shape vibration messages (JSON text in ``value``) from ``events``."""
-    eid = F.col("event_id")
+    """Shape vibration messages (JSON text in ``value``) from ``events``: a
+    burst for each, which in one event out of five ends with a shock."""
+    eid, k = F.col("event_id"), F.col("_k")
+    shock = (k == BURST - 1) & (F.pmod(eid, F.lit(5)) == 0)
+    at = F.timestamp_millis(F.unix_millis("ts") + k * 250)
     body = F.struct(
         F.concat(F.lit("VIB-"), F.pmod(F.col("user_id"), F.lit(100)).cast("string")).alias("sensor_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
-        (F.pmod(eid, F.lit(17)) - 8).cast("double").alias("x_accel"),
+        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
+        F.when(shock, F.lit(60.0)).otherwise((F.pmod(eid, F.lit(17)) - 8).cast("double")).alias("x_accel"),
         (F.pmod(eid, F.lit(13)) - 6).cast("double").alias("y_accel"),
         (F.pmod(eid, F.lit(11)) - 5).cast("double").alias("z_accel"),
         (F.pmod(eid, F.lit(30)) + 20).cast("double").alias("temperature"))
-    return events.select(F.to_json(body).alias("value"))
+    return events.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(BURST - 1)))).select(F.to_json(body).alias("value"))
+
+
+def heartbeat(events: DataFrame) -> DataFrame:
+    """One message an hour after the last: tells a stream that no earlier ones will come."""
+    body = F.struct(F.lit(HEARTBEAT).alias("sensor_id"),
+                    F.date_format(F.max("ts") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
+                    *(F.lit(0.0).alias(c) for c in ("x_accel", "y_accel", "z_accel", "temperature")))
+    return events.agg(F.to_json(body).alias("value"))
 
 
 def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
