@@ -140,7 +140,7 @@ def prefix_runs(docs: DataFrame, groups: int) -> DataFrame:
             yield pa.RecordBatch.from_pylist([dict(zip(("group", "label", "number", "place", "start", "length", "settled"), r)) for r in rows],
                                              schema=_arrow(_RUNS))
 
-    return docs.select("number", "place", "text").mapInArrow(runs, _RUNS)
+    return docs.select("number", "place", "text", "doc_id").mapInArrow(runs, _RUNS)
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -213,7 +213,7 @@ def suffixes(docs: DataFrame, groups: int) -> DataFrame:
             yield pa.RecordBatch.from_pylist([dict(zip(("group", "high", "low", "number", "place", "start", "settled"), r)) for r in rows],
                                              schema=_arrow(_SUFFIXES))
 
-    return docs.select("number", "place", "text", "marks").mapInArrow(labels, _SUFFIXES)
+    return docs.select("number", "place", "text", "marks", "doc_id").mapInArrow(labels, _SUFFIXES)
 
 
 def later_leaves(rows: pa.Table) -> pa.Table:
@@ -276,6 +276,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     placed = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), number.alias("number"), "text").repartition(n, "number")
               .withColumn("place", F.row_number().over(Window.partitionBy("number").orderBy("text")) - 1))
 
+    # every branch below asks for the same columns of ``placed``, so its exchange is written once and read three times
     def back(marked: DataFrame) -> DataFrame:
         return marked.groupBy("number").agg(F.collect_list("marks").alias("marks"))
 
