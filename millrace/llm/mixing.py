@@ -59,9 +59,10 @@ def target_table(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), epochs:
               .withColumn("left", F.sum("source_size").over(everywhere)
                           - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
               .withColumn("level", F.col("left") / F.sum("weight").over(onward))
-              .withColumn("clamped", F.col("cap") <= F.col("weight") * F.col("level")))
+              .withColumn("clamped", F.col("cap") <= F.col("weight") * F.col("level"))
+              .withColumn("place", F.row_number().over(by_level)))
     # the level of the first source, in this order, that is not clamped
-    level = F.min(F.when(~F.col("clamped"), F.struct(F.col("cap") / F.col("weight"), "level"))).over(everywhere)
+    level = F.min(F.when(~F.col("clamped"), F.struct("place", "level"))).over(everywhere)
     return (filled.withColumn("at", level["level"])
             .select("source", "source_size",
                     F.when(F.col("at").isNull(), F.col("cap"))
@@ -150,9 +151,10 @@ l AS (
   SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / w, source NULLS LAST
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
             / sum(w) OVER (ORDER BY 3 * source_size / w, source NULLS LAST
-             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s),
+             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+         row_number() OVER (ORDER BY 3 * source_size / w, source NULLS LAST) AS place FROM s),
 t AS (
-  SELECT source, source_size, least(3.0::DOUBLE * source_size, coalesce(w * (SELECT arg_min(level, 3 * source_size / w) FROM l
+  SELECT source, source_size, least(3.0::DOUBLE * source_size, coalesce(w * (SELECT arg_min(level, place) FROM l
            WHERE 3 * source_size > w * level), 3.0::DOUBLE * source_size)) AS target FROM l),
 p AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
