@@ -36,6 +36,8 @@ BUCKETS = 1 << BITS
 SIZES = (3, 4, 5)
 PER_CLASS = 2500
 EPOCHS, RATE, SCALE, BATCH, DECAY = 12, 0.3, 24.0, 128, 1e-6
+#: A small sample is gone through more often, up to this many minibatches.
+STEPS = 240
 SLICE = 1 << 21
 SPACE = 0x20
 
@@ -96,8 +98,9 @@ def train(texts: list[str | None], labels: np.ndarray, prior: float, seed: int =
     bias = np.zeros(2, np.float32)
     seen_table, seen_softmax, seen_bias = np.full((BUCKETS, DIM), 1e-8, np.float32), np.full((DIM, 2), 1e-3, np.float32), np.full(2, 1e-3, np.float32)
     target = np.eye(2, dtype=np.float32)[labels]
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-STEPS // -(-len(labels) // BATCH)))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         order = rng.permutation(len(labels))
         for begin in range(0, len(order), BATCH):
             rows = order[begin:begin + BATCH]
