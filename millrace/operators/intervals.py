@@ -43,27 +43,48 @@ def overlap_pairs(iv: DataFrame, key: str, id_col: str, start: str, end: str,
 def point_in_intervals(points: DataFrame, iv: DataFrame, key: str, point_ts: str,
                        iv_id: str, start: str, end: str, unit: str = "hour",
                        iv_carry: list[str] | None = None) -> DataFrame:
-    """For each point: how many intervals of its key contain it
+    """For each row of ``points``: how many intervals of its key contain it
     (start ≤ ts < end) and, when exactly one, which (plus ``iv_carry``
-    columns of that interval)."""
+    columns of that interval).
+
+    A sweep instead of pairs: starts and ends are events of +1 and -1, and a
+    point's count is the running sum up to it.  The same sum over hashes of the
+    ids is the hash of the one interval that is open where the count is 1.
+    Sums run within (key, time bucket) and continue from what earlier buckets
+    leave open, so the work is linear in points plus intervals, however many
+    overlap, and equal points are counted each on their own.
+    """
     carry = iv_carry or []
-    ivs = iv.select(F.col(key).alias("_k"), F.col(iv_id).alias("_iv"),
-                    F.col(start).alias("_s"), F.col(end).alias("_e"),
-                    *[F.col(c).alias(f"_ivc_{c}") for c in carry],
-                    F.explode(buckets(F.col(start), F.col(end), unit)).alias("_b"))
-    p = points.withColumn("_b", F.date_trunc(unit, F.col(point_ts)))
-    j = p.join(ivs, (p[key] == ivs["_k"]) & (p["_b"] == ivs["_b"])
-               & (p[point_ts] >= ivs["_s"]) & (p[point_ts] < ivs["_e"]), "left")
-    # A point's matches all live in its own (key, bucket): grouping by those
-    # join keys too lets the aggregate reuse the join's partitioning instead
-    # of shuffling the join output again.
-    cols = [c for c in points.columns]
-    return (j.groupBy(p[key].alias("_gk"), p["_b"].alias("_gb"), *[p[c] for c in cols if c != key], p[key])
-            .agg(F.count("_iv").alias("match_count"), F.min("_iv").alias("_min_iv"),
-                 *[F.min(f"_ivc_{c}").alias(f"_min_{c}") for c in carry])
-            .withColumn(f"matched_{iv_id}", F.when(F.col("match_count") == 1, F.col("_min_iv")))
-            .select(*cols, "match_count", f"matched_{iv_id}",
-                    *[F.when(F.col("match_count") == 1, F.col(f"_min_{c}")).alias(c) for c in carry]))
+    number = F.xxhash64(F.col(iv_id)).cast("decimal(20,0)")
+    known = iv.filter(F.col(start).isNotNull() & (F.col(end) > F.col(start)))
+    none = F.lit(None).cast(points.select(F.struct(*points.columns).alias("p")).schema["p"].dataType)
+
+    def event(at: str, sign: int) -> DataFrame:
+        return known.select(F.col(key).alias("_k"), F.col(at).alias("_t"), F.lit(0).alias("_order"),
+                            F.lit(sign).cast("bigint").alias("_n"), (number * sign).alias("_h"), none.alias("_p"))
+
+    timed = points.filter(F.col(point_ts).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(point_ts).alias("_t"), F.lit(1).alias("_order"),
+        F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("decimal(20,0)").alias("_h"), F.struct(*points.columns).alias("_p"))
+    sweep = event(start, 1).union(event(end, -1)).union(timed).withColumn("_b", F.date_trunc(unit, "_t"))
+    earlier = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    open_ = (sweep.groupBy("_k", "_b").agg(F.sum("_n").alias("_n"), F.sum("_h").alias("_h"))   # one row for each bucket
+             .select("_k", "_b", F.sum("_n").over(earlier).alias("_open_n"), F.sum("_h").over(earlier).alias("_open_h")))
+    upto = Window.partitionBy("_k", "_b").orderBy("_t", "_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    zero = F.lit(0)
+    counted = (sweep.withColumn("_n", F.sum("_n").over(upto)).withColumn("_h", F.sum("_h").over(upto)).filter("_order = 1")
+               .join(open_, ["_k", "_b"], "left")
+               .select("_k", "_p.*", (F.col("_n") + F.coalesce("_open_n", zero)).alias("match_count"),
+                       (F.col("_h") + F.coalesce("_open_h", zero)).alias("_sum")))
+    counted = counted.withColumn("_one", F.when(F.col("match_count") == 1, F.col("_sum").cast("bigint")))
+    names = known.select(F.col(key).alias("_ik"), F.xxhash64(F.col(iv_id)).alias("_ih"), F.col(iv_id).alias(f"matched_{iv_id}"),
+                         *[F.col(c).alias(f"_ivc_{c}") for c in carry])
+    found = counted.join(names, (F.col("_k") == F.col("_ik")) & (F.col("_one") == F.col("_ih")), "left")
+    out = found.select(*points.columns, "match_count", f"matched_{iv_id}", *[F.col(f"_ivc_{c}").alias(c) for c in carry])
+    untimed = points.filter(F.col(point_ts).isNull() | F.col(key).isNull()).select(
+        *points.columns, F.lit(0).cast("bigint").alias("match_count"),
+        *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in out.columns[len(points.columns) + 1:]])
+    return out.union(untimed)
 
 
 def day_pieces(df: DataFrame, start: str, end: str) -> DataFrame:

@@ -52,17 +52,10 @@ def format_profile(columns: list[tuple[str, DataFrame, Column]]) -> DataFrame:
                       for label, df, cls in columns])
 
 
-def scheme_examples(df: DataFrame, col: str, k: int = 5) -> DataFrame:
-    """Per id scheme: number of distinct ids and the first ``k`` ids in sort
-    order.  Distinct first (shuffle), then a top-k per scheme
-    (``row_number <= k`` is planned as a partial WindowGroupLimit), so only
-    ``k`` ids per scheme are ever gathered."""
-    d = df.select(id_scheme(col).alias("id_scheme"), F.col(col).alias("id")).distinct()
-    n = d.groupBy("id_scheme").agg(F.count(F.lit(1)).alias("distinct_ids"))
-    w = Window.partitionBy("id_scheme").orderBy("id")
-    top = (d.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k)
-            .groupBy("id_scheme").agg(F.array_join(F.sort_array(F.collect_list("id")), ",").alias("examples")))
-    return n.join(top, "id_scheme")
+def scheme_examples(df: DataFrame, col: str) -> DataFrame:
+    """Every distinct id with its scheme and how many rows carry it."""
+    return (df.groupBy(F.col(col).alias("id")).agg(F.count(F.lit(1)).alias("rows"))
+            .select(id_scheme("id").alias("id_scheme"), "id", "rows"))
 
 
 def distinct_domain(columns: list[tuple[str, DataFrame, str]]) -> DataFrame:

@@ -105,13 +105,22 @@ def unacknowledged_alarms(alarms: DataFrame, acks: DataFrame) -> DataFrame:
 
 
 def tag_completeness(readings: DataFrame) -> DataFrame:
-    """Per line and hour: tags reporting vs tags the line is known to have."""
-    expected = readings.groupBy("line_id").agg(F.countDistinct("sensor_tag").alias("tags_expected"))
-    actual = (readings.groupBy("line_id", F.date_trunc("hour", "reading_ts").alias("hour_start"))
-              .agg(F.countDistinct("sensor_tag").alias("tags_reporting")))
-    return (actual.join(expected, "line_id")
-            .withColumn("completeness", round_half_up(
-                F.col("tags_reporting").cast("double") / F.col("tags_expected").cast("double"), 4)))
+    """Per line and hour: tags reporting vs tags the line is known to have.
+
+    Every line has a row for every hour between the first and the last reading
+    of the plant, so an hour in which a line is silent shows as 0.  Copies of
+    a reading don't matter to distinct tags: no dedupe is needed.
+    """
+    hour = F.date_trunc("hour", "reading_ts")
+    reporting = readings.groupBy("line_id", hour.alias("hour_start")).agg(F.collect_set("sensor_tag").alias("tags"))
+    expected = reporting.groupBy("line_id").agg(F.size(F.array_distinct(F.flatten(F.collect_set("tags")))).cast("bigint").alias("tags_expected"))
+    span = reporting.agg(F.min("hour_start").alias("first"), F.max("hour_start").alias("last"))
+    hours = expected.crossJoin(span).withColumn(   # one row with the plant's span
+        "hour_start", F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 HOUR")))).drop("first", "last")
+    filled = hours.join(reporting, ["line_id", "hour_start"], "left").withColumn(
+        "tags_reporting", F.when(F.col("tags").isNull(), 0).otherwise(F.size("tags")).cast("bigint"))
+    return filled.select("line_id", "hour_start", "tags_reporting", "tags_expected", round_half_up(
+        F.col("tags_reporting").cast("double") / F.col("tags_expected").cast("double"), 4).alias("completeness"))
 
 
 def ingest_lag(latest: dict[str, DataFrame], as_of=None) -> DataFrame:

@@ -565,9 +565,9 @@ def _format_profile(p: Plant) -> DataFrame:
 
 @query("id_scheme_examples")
 def _id_scheme_examples(p: Plant) -> DataFrame:
-    """Per equipment id scheme: distinct ids and the first five examples."""
+    """Every equipment id of the readings with its scheme and number of rows."""
     from millrace.operators import profile
-    return profile.scheme_examples(p.bronze_readings(), "equipment_id", 5)
+    return profile.scheme_examples(p.bronze_readings(), "equipment_id")
 
 
 @query("distinct_domain")
@@ -827,7 +827,7 @@ def _seed_load(p: Plant) -> DataFrame:
     from millrace.streaming import ingest
     spark = p.spark
     base = ingest.fresh_dir(spark, "seeds")
-    seeds.write_seed_files(os.path.join(base, "csv"))
+    seeds.write_seed_files(spark, os.path.join(base, "csv"))
     loaded = seeds.load_seeds(spark, os.path.join(base, "csv"), os.path.join(base, "ref"))
     refs = seeds.read_refs(spark, os.path.join(base, "ref"))
     dups = union_all([seeds.duplicate_keys(refs.table(t), seeds.SEED_KEYS[t]).agg(F.count(F.lit(1)).alias("duplicate_keys"))
@@ -904,7 +904,7 @@ def _seed_key_check(p: Plant) -> DataFrame:
         io = union_all(flows).agg(F.sum("i").cast("bigint").alias("fact_rows_in"),
                                   F.sum("o").cast("bigint").alias("fact_rows_out"))
         parts.append(n.crossJoin(dup).crossJoin(io).select(   # three one-row aggregates
-            F.lit(table).alias("table_name"), F.lit(",".join(key)).alias("key_columns"), "seed_rows",
+            F.lit(table).alias("table_name"), F.lit("; ".join(",".join(k) for k in key)).alias("key_columns"), "seed_rows",
             "duplicate_keys", "fact_rows_in", "fact_rows_out",
             (F.col("fact_rows_out") > F.col("fact_rows_in")).alias("multiplies_facts")))
     return union_all(parts)

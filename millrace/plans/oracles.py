@@ -27,13 +27,32 @@ EQUIPMENT_XREF = """equipment_xref AS (
     ('EQP-102', 'EQ-102', 'A-102', 'Line 1 Capper', 'Capping Machine', 1, 'A', TRUE),
     ('EQP-103', 'EQ-103', 'A-103', 'Line 1 Labeler', 'Labeler', 1, 'B', TRUE),
     ('EQP-104', 'EQ-104', 'A-104', 'Line 1 Pasteurizer', 'Pasteurizer', 1, 'A', TRUE),
+    ('EQP-105', 'EQ-105', 'A-105', 'Line 1 Conveyor System', 'Conveyor', 1, 'B', TRUE),
+    ('EQP-106', 'EQ-106', 'A-106', 'Line 1 Case Packer', 'Case Packer', 1, 'B', TRUE),
+    ('EQP-107', 'EQ-107', 'A-107', 'Line 1 Palletizer', 'Palletizer', 1, 'C', TRUE),
+    ('EQP-108', 'EQ-108', 'A-108', 'Line 1 Rinser', 'Rinser', 1, 'B', TRUE),
+    ('EQP-109', 'EQ-109', 'A-109', 'CIP Skid 1', 'CIP Unit', 1, 'A', TRUE),
     ('EQP-201', 'EQUIP_201', 'A-201', 'Line 2 Filler', 'Filling Machine', 2, 'A', TRUE),
     ('EQP-202', 'EQUIP_202', 'A-202', 'Line 2 Capper', 'Capping Machine', 2, 'A', TRUE),
     ('EQP-203', 'EQUIP_203', 'A-203', 'Line 2 Labeler', 'Labeler', 2, 'B', TRUE),
     ('EQP-204', 'EQUIP_204', 'A-204', 'Line 2 Conveyor System', 'Conveyor', 2, 'B', TRUE),
+    ('EQP-205', 'EQUIP_205', 'A-205', 'Line 2 Case Packer', 'Case Packer', 2, 'B', TRUE),
+    ('EQP-206', 'EQUIP_206', 'A-206', 'Line 2 Palletizer', 'Palletizer', 2, 'C', TRUE),
+    ('EQP-207', 'EQUIP_207', 'A-207', 'Line 2 Rinser', 'Rinser', 2, 'B', TRUE),
+    ('EQP-208', 'EQUIP_208', 'A-208', 'CIP Skid 2', 'CIP Unit', 2, 'A', TRUE),
     ('EQP-301', '301', 'A-301', 'Line 3 Filler', 'Filling Machine', 3, 'A', TRUE),
     ('EQP-302', '302', 'A-302', 'Line 3 Capper', 'Capping Machine', 3, 'A', TRUE),
-    ('EQP-303', '303', 'A-303', 'Line 3 Labeler', 'Labeler', 3, 'B', TRUE)
+    ('EQP-303', '303', 'A-303', 'Line 3 Labeler', 'Labeler', 3, 'B', TRUE),
+    ('EQP-304', '304', 'A-304', 'Line 3 Pasteurizer', 'Pasteurizer', 3, 'A', TRUE),
+    ('EQP-305', '305', 'A-305', 'Line 3 Conveyor System', 'Conveyor', 3, 'B', TRUE),
+    ('EQP-306', '306', 'A-306', 'Line 3 Case Packer', 'Case Packer', 3, 'B', TRUE),
+    ('EQP-307', '307', 'A-307', 'Line 3 Palletizer', 'Palletizer', 3, 'B', TRUE),
+    ('EQP-308', '308', 'A-308', 'Line 3 Rinser', 'Rinser', 3, 'B', TRUE),
+    ('EQP-309', '309', 'A-309', 'CIP Skid 3', 'CIP Unit', 3, 'A', TRUE),
+    ('EQP-110', 'EQ-110', 'A-110', 'Depalletizer 1', 'Depalletizer', 1, 'B', FALSE),
+    ('EQP-111', 'EQ-111', 'A-111', 'Depalletizer 1 (New)', 'Depalletizer', 1, 'B', TRUE),
+    ('EQP-209', 'EQUIP_209', 'A-209', 'Depalletizer 2', 'Depalletizer', 2, 'B', TRUE),
+    ('EQP-310', '310', 'A-310', 'Depalletizer 3', 'Depalletizer', 3, 'B', TRUE)
   ) t(equipment_key, source_equipment_id, sap_asset_number, equipment_name, equipment_type,
       line_id, criticality, is_active)
 )"""
@@ -482,11 +501,13 @@ ORACLES["alarm_summary"] = with_ctes(T_AL) + f"""SELECT line_id, CAST({local_of_
 FROM t_al GROUP BY 1, 2, 3, 4"""
 
 ORACLES["tag_completeness"] = with_ctes(T_R, """ex AS (SELECT line_id, COUNT(DISTINCT sensor_tag) AS tags_expected FROM t_silver_r GROUP BY 1)""", """ac AS (
-  SELECT line_id, date_trunc('hour', reading_ts) AS hour_start, COUNT(DISTINCT sensor_tag) AS tags_reporting
+  SELECT line_id, date_trunc('hour', reading_ts) AS hour_start, COUNT(DISTINCT sensor_tag) AS n
   FROM t_silver_r GROUP BY 1, 2
-)""") + f"""SELECT ac.line_id, hour_start, tags_reporting, tags_expected,
-  {rhu('CAST(tags_reporting AS DOUBLE) / CAST(tags_expected AS DOUBLE)', 4)} AS completeness
-FROM ac JOIN ex USING (line_id)"""
+)""", """hr AS (
+  SELECT unnest(generate_series((SELECT MIN(hour_start) FROM ac), (SELECT MAX(hour_start) FROM ac), INTERVAL 1 HOUR)) AS hour_start
+)""") + f"""SELECT ex.line_id, hr.hour_start, COALESCE(n, 0) AS tags_reporting, tags_expected,
+  {rhu('CAST(COALESCE(n, 0) AS DOUBLE) / CAST(tags_expected AS DOUBLE)', 4)} AS completeness
+FROM ex CROSS JOIN hr LEFT JOIN ac ON ac.line_id = ex.line_id AND ac.hour_start = hr.hour_start"""
 
 ORACLES["ingest_lag"] = with_ctes(T_R, T_RUNS, T_WO, T_QC, T_AL, """u AS (
   SELECT 'sensor_readings' AS source, MAX(reading_ts) AS max_event_ts FROM t_silver_r
@@ -728,10 +749,8 @@ UNION ALL SELECT 'equipment_registry.install_date',
   COUNT(*) FROM t_reg GROUP BY 2
 UNION ALL SELECT 'equipment_registry.equipment_id', {_IDS.format(c='equipment_id')}, COUNT(*) FROM t_reg GROUP BY 2"""
 
-ORACLES["id_scheme_examples"] = with_ctes(T_R, f"""d AS (SELECT DISTINCT {_IDS.format(c='equipment_id')} AS id_scheme, equipment_id AS id FROM t_r)""",
-                                          """r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY id_scheme ORDER BY id) AS rn FROM d)""") + \
-    """SELECT id_scheme, COUNT(*) AS distinct_ids, string_agg(CASE WHEN rn <= 5 THEN id END, ',' ORDER BY id) AS examples
-FROM r GROUP BY 1"""
+ORACLES["id_scheme_examples"] = with_ctes(T_R) + f"""SELECT {_IDS.format(c='equipment_id')} AS id_scheme, equipment_id AS id,
+  COUNT(*) AS "rows" FROM t_r GROUP BY 1, 2"""
 
 ORACLES["distinct_domain"] = with_ctes(T_R, T_QC) + """SELECT 'sensor_readings.equipment_id' AS source_column, COUNT(DISTINCT equipment_id) AS distinct_values FROM t_r
 UNION ALL SELECT 'sensor_readings.sensor_tag', COUNT(DISTINCT sensor_tag) FROM t_r
@@ -844,7 +863,7 @@ ORACLES["bronze_all_string"] = with_ctes(T_WO) + f"""SELECT work_order_id,
 FROM t_wo"""
 
 # ------------------------------------------------------------------ seeds
-ORACLES["seed_load"] = with_ctes(T_R, T_QC) + """SELECT 'equipment_xref' AS table_name, CAST(11 AS BIGINT) AS rows_loaded, 'LOADED' AS status,
+ORACLES["seed_load"] = with_ctes(T_R, T_QC) + """SELECT 'equipment_xref' AS table_name, CAST(30 AS BIGINT) AS rows_loaded, 'LOADED' AS status,
   CAST(0 AS BIGINT) AS duplicate_keys,
   CAST((SELECT COUNT(*) FROM t_r) + (SELECT COUNT(*) FROM events WHERE event_type = 'error')
        + (SELECT COUNT(*) FROM lineitem) AS BIGINT) AS fact_rows_checked,
@@ -864,8 +883,8 @@ UNION ALL
 SELECT 'wo_type_xref', 4, 'LOADED', 0, (SELECT COUNT(*) FROM lineitem), (SELECT COUNT(*) FROM lineitem)"""
 ORACLES["stream_scd2"] = ORACLES["scd2_dim"]
 
-ORACLES["seed_key_check"] = with_ctes(T_R, T_QC) + """SELECT 'equipment_xref' AS table_name, 'equipment_key' AS key_columns,
-  CAST(11 AS BIGINT) AS seed_rows, CAST(0 AS BIGINT) AS duplicate_keys,
+ORACLES["seed_key_check"] = with_ctes(T_R, T_QC) + """SELECT 'equipment_xref' AS table_name, 'equipment_key; source_equipment_id; sap_asset_number' AS key_columns,
+  CAST(30 AS BIGINT) AS seed_rows, CAST(0 AS BIGINT) AS duplicate_keys,
   CAST((SELECT COUNT(*) FROM t_r) + (SELECT COUNT(*) FROM lineitem) AS BIGINT) AS fact_rows_in,
   CAST((SELECT COUNT(*) FROM t_r) + (SELECT COUNT(*) FROM lineitem) AS BIGINT) AS fact_rows_out,
   FALSE AS multiplies_facts

@@ -107,6 +107,16 @@ def test_point_in_intervals_match_count(spark):
     assert set(got) == {("p1", 1, "a"), ("p2", 2, None), ("p3", 1, "b"), ("p4", 0, None)}
 
 
+def test_equal_points_are_counted_each(spark):
+    iv = spark.createDataFrame([(1, "a", T("2024-01-01 08:00"), T("2024-01-02 10:00"), "S"), (1, "empty", T("2024-01-01 08:10"), T("2024-01-01 08:10"), "S")],
+                               "line_id INT, run_id STRING, start_ts TIMESTAMP, end_ts TIMESTAMP, sku STRING")
+    pts = spark.createDataFrame([("p", 1, T("2024-01-02 09:59"))] * 2 + [("q", 1, None), ("r", None, T("2024-01-01 09:00")), ("s", 2, T("2024-01-01 09:00"))],
+                                "check_id STRING, line_id INT, check_ts TIMESTAMP")
+    got = intervals.point_in_intervals(pts, iv, "line_id", "check_ts", "run_id", "start_ts", "end_ts", iv_carry=["sku"])
+    assert rows(got, "check_id", "match_count", "matched_run_id", "sku") == [
+        ("p", 1, "a", "S"), ("p", 1, "a", "S"), ("q", 0, None, None), ("r", 0, None, None), ("s", 0, None, None)]
+
+
 def test_segmented_lead_equals_plain_lead(spark):
     from millrace.operators.sequence import segmented_lead
     rnd = random.Random(11)

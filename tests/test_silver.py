@@ -68,22 +68,45 @@ def test_crosswalk_hit_miss_null(spark, refs):
 
 def test_duplicate_seed_key_is_refused(spark, tmp_path):
     folder = tmp_path / "seeds"
-    seeds.write_seed_files(str(folder), {"line_xref": [("1", 1), ("1", 2)]})
+    seeds.write_seed_files(spark, f"file://{folder}", {"line_xref": [("1", 1), ("1", 2)]})
     with pytest.raises(seeds.SeedError):
         seeds.load_seeds(spark, str(folder), str(tmp_path / "ref"))
 
 
 def test_seed_load_roundtrip(spark, tmp_path):
     folder = tmp_path / "seeds"
-    seeds.write_seed_files(str(folder))
-    (folder / "unknown_table.csv").write_text("a\n1\n")
+    seeds.write_seed_files(spark, f"file://{folder}")
+    target = f"file://{tmp_path}/ref"
     out = {r["table_name"]: (r["rows_loaded"], r["status"]) for r in
-           seeds.load_seeds(spark, str(folder), str(tmp_path / "ref")).collect()}
-    assert out["equipment_xref"] == (11, "LOADED")
+           seeds.load_seeds(spark, f"file://{folder}", target).collect()}
+    assert out["equipment_xref"] == (30, "LOADED")
     assert out["line_xref"] == (12, "LOADED")
-    assert out["unknown_table"][1] == "SKIPPED_UNKNOWN"
-    r = seeds.read_refs(spark, str(tmp_path / "ref"))
+    r = seeds.read_refs(spark, target)
     assert r.line_xref.schema["line_id"].dataType.simpleString() == "int"
+    assert r.equipment_xref.where("not is_active").count() == 1
+    (folder / "unknown_table.csv").write_text("a\n1\n")
+    with pytest.raises(seeds.SeedError, match="no such reference table"):
+        seeds.load_seeds(spark, f"file://{folder}", target)
+
+
+def test_loaded_seeds_are_what_is_read(spark, tmp_path):
+    """A loaded table is used as it is, on any file system; a missing one is an error, never the built-in rows."""
+    folder, target = f"file://{tmp_path}/one", f"file://{tmp_path}/ref"
+    seeds.write_seed_files(spark, folder, {**seeds.SEED_ROWS, "line_xref": [("X", 7)]})
+    seeds.load_seeds(spark, folder, target)
+    assert rows(seeds.read_refs(spark, target).line_xref, "source_line_value", "line_id") == [("X", 7)]
+    with pytest.raises(seeds.SeedError, match="not loaded"):
+        seeds.read_refs(spark, f"file://{tmp_path}/nowhere")
+    with pytest.raises(seeds.SeedError, match="no seed files"):
+        seeds.load_seeds(spark, f"file://{tmp_path}/nowhere", target)
+
+
+def test_every_join_column_is_checked(spark, tmp_path):
+    two = [list(r) for r in seeds.EQUIPMENT_XREF_ROWS[:2]]
+    two[1][2] = two[0][2]
+    seeds.write_seed_files(spark, f"file://{tmp_path}/s", {"equipment_xref": [tuple(r) for r in two]})
+    with pytest.raises(seeds.SeedError, match="sap_asset_number"):
+        seeds.load_seeds(spark, f"file://{tmp_path}/s", f"file://{tmp_path}/r")
 
 
 def test_seed_schema_check(spark):

@@ -62,13 +62,40 @@ def test_foreach_batch_keeps_late_rows_and_is_idempotent(spark, refs):
     assert sorted(r["value"] for r in s.collect()) == [0.25, 0.5, 1.0, 2.0, 3.0]   # late rows merged, not lost
     q = spark.read.parquet(os.path.join(base, "quarantine"))
     assert [r["quarantine_reason"] for r in q.collect()] == ["UNPARSEABLE_TIMESTAMP"]
-    # replaying a batch id rewrites its own output: no duplicates
-    last = s.agg(F.max("_batch_id")).first()[0]
+    # replaying a batch changes nothing
+    last = spark.read.parquet(os.path.join(base, "late", "hwm")).agg(F.max("_batch_id")).first()[0]
     replay = silver.with_ingest_metadata(spark.createDataFrame(DROPS[3], ", ".join(f"{c} STRING" for c in COLS)), "replay")
     writer(replay, last)
     assert spark.read.parquet(os.path.join(base, "silver")).count() == 5
 
 
+def test_best_row_wins_across_batches(spark, refs):
+    base = ingest.fresh_dir(spark, "test_best")
+    w = ReadingsBatchWriter(refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"))
+    schema = ", ".join(f"{c} STRING" for c in COLS)
+    for n, quality in enumerate(["0", "192", "64"]):
+        row = ("2024-01-02T10:00:00Z", "EQ-101", "t", f"{n}.0", quality, "GOOD", "1")
+        w(silver.with_ingest_metadata(spark.createDataFrame([row], schema), "t"), n)
+    assert rows(spark.read.parquet(os.path.join(base, "silver")), "opc_quality_code", "value") == [(192, 1.0)]
+
+
+def test_late_rows_go_to_quarantine_in_three_batches(spark, refs):
+    from millrace.plans.catalog import _readings_drops, _stream_drops
+    from millrace.plans.plant import Plant
+    from millrace.streaming.silver_stream import DedupeBatchWriter
+    from conftest import SF_SMALL
+    p = Plant(spark, SF_SMALL)
+    base = ingest.fresh_dir(spark, "test_late")
+    w = DedupeBatchWriter(p.refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"), os.path.join(base, "marks"), p.zone)
+    done = _stream_drops(p, base, w)
+    assert sum(1 for q in done for b in q.recentProgress if b["numInputRows"] > 0) == 3
+    quarantine = spark.read.parquet(os.path.join(base, "quarantine"))
+    assert quarantine.where("quarantine_reason = 'LATE_ARRIVAL'").count() > 0
+    accepted = spark.read.parquet(os.path.join(base, "silver"))
+    assert accepted.count() == accepted.select(*silver.READING_KEY).distinct().count()
+    assert accepted.count() + quarantine.count() <= sum(d.count() for d in _readings_drops(p))
+
+
 def test_rescued_data_keeps_bad_lines(spark):
     base = ingest.fresh_dir(spark, "test_rescue")
     lines = spark.createDataFrame([("2024-01-02T10:00:00Z,EQ-101,t,1.0,192,GOOD,1",),
