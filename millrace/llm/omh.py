@@ -19,9 +19,10 @@ within the groups that share a sketch value:
 1. Every group is compared with one member, the one whose sketch values are
    the most common (in a group of copies, the text they were made from).
 2. Where a group still holds several components, links between them could be
-   missing.  The labels that each of its members shares with any other bound
-   the similarity of a pair from above; pairs of different components within
-   that bound are aligned too, so no link between components is lost.
+   missing.  What each member lacks of the group's hub and has beside it gives
+   the number of common labels of any two members; pairs of different
+   components that have enough of them are aligned too, so no link between
+   components is lost.
 
 Defined cases: a null text counts as empty, and texts without words are equal;
 a text of fewer than five words has one shingle; repeated rows are copies; a
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BASE_A, BASE_B, U64, WordBatch, extended, materialize, mix64, set_aside, shingles, span_hashes, table, text_groups
+from millrace.llm.common import BASE_A, BASE_B, U64, WordBatch, extended, id_number, materialize, mix64, set_aside, shingles, span_hashes, table, text_groups
 
 WIDTH, SIMILARITY = 5, 0.8
 HASHES, TOGETHER = 24, 4
@@ -176,6 +177,29 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(check, "a binary, b binary")
 
 
+def compare_with_hubs(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """For each (hub, key): whether they align, the number of the hub's labels, the places of those
+    that key lacks (missing), and key's labels that the hub lacks (extra)."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked, size, missing, extra = [], [], [], []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                hub, own = labels_of(x), shingles(WordBatch([y]), WIDTH)[0]
+                linked.append(aligned(hub, own))
+                size.append(len(hub))
+                missing.append(np.flatnonzero(~np.isin(hub, own)).astype(np.int32))
+                extra.append(own[~np.isin(own, hub)].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(linked, pa.bool_()), pa.array(size, pa.int64()),
+                 pa.array(missing, pa.list_(pa.int32())), pa.array(extra, pa.list_(pa.int64()))],
+                names=["hub", "key", "linked", "hub_labels", "missing", "extra"])
+
+    joined = (pairs.join(texts, "key").join(texts.select(F.col("key").alias("hub"), F.col("text").alias("text_hub")), "hub"))
+    return joined.select("hub", "key", "text_hub", "text").mapInArrow(
+        compare, "hub binary, key binary, linked boolean, hub_labels long, missing array<int>, extra array<long>")
+
+
 # -- connected components ------------------------------------------------------
 
 
@@ -200,26 +224,14 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-# -- candidates ----------------------------------------------------------------
-
-
-def _shared_labels(keys: DataFrame, texts: DataFrame) -> DataFrame:
-    """(key, shared): how many labels of each text occur in another text of ``keys`` as well."""
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                labels = shingles(WordBatch([text]), WIDTH)[0]
-                yield pa.RecordBatch.from_arrays([pa.array([key], pa.binary()), pa.array([labels.view(np.int64)], pa.list_(pa.int64()))], names=["key", "labels"])
-
-    each = texts.join(keys, "key", "left_semi").select("key", "text").mapInArrow(spread, "key binary, labels array<long>")
-    each = materialize(each, "label-lists").select("key", F.explode("labels").alias("label"))
-    common = each.groupBy("label").agg(F.count("*").alias("n")).where("n > 1").select("label")
-    return each.join(common, "label").groupBy("key").agg(F.count("*").alias("shared"))
+# -- classes -------------------------------------------------------------------
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> doc_id, key, class_id: one row for each row of ``docs``."""
+    """(doc_id, text) -> doc_id, key, component, class_id: one row for each row of ``docs``.
+
+    Classes are told apart by component; class_id names one by its smallest doc_id.
+    """
     known = materialize(sketches(docs), "sketches")
     nodes = known.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n_labels").alias("n_labels"), F.first("sketch").alias("sketch"))
     nodes = materialize(nodes, "nodes")
@@ -228,35 +240,34 @@ def near_classes(docs: DataFrame) -> DataFrame:
     shared = materialize(cells.join(sizes, "cell"), "cells")
     ranks = shared.groupBy("key").agg(F.sum("size").alias("rank"))
     hubs = shared.join(ranks, "key").groupBy("cell").agg(F.max(F.struct("rank", "key"))["key"].alias("hub"))
-    pairs = (shared.join(hubs, "cell").where("key != hub")
-             .select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct())
+    members = materialize(shared.drop("size").join(hubs, "cell"), "members")
 
     # the texts of all nodes that share a cell; doc_id finds them, the key confirms them
-    number = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    involved = shared.select("key").distinct()
-    wanted = nodes.join(involved, "key", "left_semi").select(number.alias("number"), F.col("key").alias("near_key")).distinct()
-    texts = (with_key(docs.select(number.alias("number"), "text").join(wanted.select("number").distinct(), "number", "left_semi"))
+    number = id_number()
+    wanted = nodes.join(shared.select("key"), "key", "left_semi").select(number.alias("number"), F.col("key").alias("near_key"))
+    texts = (with_key(docs.select(number.alias("number"), "text").join(wanted.select("number"), "number", "left_semi"))
              .join(wanted, ["number", "near_key"], "left_semi")
              .dropDuplicates(["number", "near_key"]).select(F.col("near_key").alias("key"), "text"))
     texts = materialize(texts, "texts")
 
-    links = materialize(verify(pairs, texts), "links-to-hubs")
+    compared = materialize(compare_with_hubs(members.where("key != hub").select("hub", "key").distinct(), texts), "compared")
+    links = compared.where("linked").select(F.greatest("hub", "key").alias("a"), F.least("hub", "key").alias("b"))
     labels = components(links)
 
-    placed = (shared.join(labels, "key", "left")
-              .select("cell", "key", "n_labels", F.coalesce("component", "key").alias("component")))
+    placed = (members.join(labels, "key", "left")
+              .select("cell", "hub", "key", "n_labels", F.coalesce("component", "key").alias("component")))
     mixed = placed.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("cell")
-    open_ = materialize(placed.join(mixed, "cell", "left_semi"), "open-cells")
-    bound = _shared_labels(open_.select("key").distinct(), texts)
-    share = SIMILARITY / (1 + SIMILARITY)
-    able = open_.join(bound, "key").where(F.col("shared") >= SIMILARITY * F.col("n_labels") - 1e-6)
-    # the shortest text that a member could be paired with bounds what it must share
-    least = able.groupBy("cell").agg(F.min("n_labels").alias("shortest"))
-    able = materialize(able.join(least, "cell").where(
-        F.col("shared") >= share * (F.col("n_labels") + F.greatest("shortest", SIMILARITY * F.col("n_labels"))) - 1e-6), "able")
-    x, y = able.alias("x"), able.alias("y")
+    # with what each member lacks of the cell's hub and has beside it, the common labels of two members are counted exactly
+    open_ = materialize(placed.join(mixed, "cell", "left_semi").join(compared.drop("linked"), ["hub", "key"], "left").select(
+        "cell", "key", "component", "n_labels", F.coalesce("hub_labels", "n_labels").alias("hub_labels"),
+        F.coalesce("missing", F.array().cast("array<int>")).alias("missing"),
+        F.coalesce("extra", F.array().cast("array<long>")).alias("extra")), "open-cells")
+    x, y = open_.alias("x"), open_.alias("y")
+    needed = SIMILARITY / (1 + SIMILARITY) * (F.col("x.n_labels") + F.col("y.n_labels")) - 1e-6
+    most = (F.col("x.hub_labels") - F.greatest(F.size("x.missing"), F.size("y.missing")) + F.least(F.size("x.extra"), F.size("y.extra")))
+    common = (F.col("x.hub_labels") - F.size(F.array_union("x.missing", "y.missing")) + F.size(F.array_intersect("x.extra", "y.extra")))
     more = (x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.component") < F.col("y.component"))
-                   & (F.least("x.shared", "y.shared") >= share * (F.col("x.n_labels") + F.col("y.n_labels")) - 1e-6))
+                   & (F.least("x.n_labels", "y.n_labels") >= needed) & (most >= needed) & (common >= needed))
             .select(F.greatest("x.key", "y.key").alias("a"), F.least("x.key", "y.key").alias("b")).distinct())
     further = materialize(verify(more, texts), "links-between")
     if further.limit(1).count():
@@ -264,17 +275,17 @@ def near_classes(docs: DataFrame) -> DataFrame:
 
     classes = nodes.join(labels, "key", "left").select("key", "doc_id", F.coalesce("component", "key").alias("component"))
     names = classes.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    named = classes.join(names, "component").select("key", "class_id")
-    return known.select("doc_id", "key").join(named, "key").select("doc_id", "key", "class_id")
+    named = classes.join(names, "component").select("key", "component", "class_id")
+    return known.select("doc_id", "key").join(named, "key").select("doc_id", "key", "component", "class_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class: the one that names it."""
+    """``docs`` with one document of each class: the one with the smallest doc_id, null last."""
     narrow, restore = set_aside(docs, "doc_id", "text")
     classes = near_classes(docs.select("doc_id", "text"))
-    winners = (classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-               .groupBy(F.col("class_id").alias("winner_id")).agg(F.min("key").alias("winner_key")))
-    kept = (with_key(narrow).join(winners, F.col("doc_id").eqNullSafe(F.col("winner_id")) & (F.col("near_key") == F.col("winner_key")), "left_semi")
+    first = F.min(F.struct(id_number().alias("number"), "key"))
+    winners = classes.groupBy("component").agg(first.alias("w")).select(F.col("w.number").alias("winner_no"), F.col("w.key").alias("winner_key"))
+    kept = (with_key(narrow).join(winners, (id_number() == F.col("winner_no")) & (F.col("near_key") == F.col("winner_key")), "left_semi")
             .dropDuplicates(["doc_id", "near_key"]))
     return restore(kept)
 
