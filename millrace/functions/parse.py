@@ -5,13 +5,15 @@ Every function returns a ``Column``; nothing here runs Python per row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace import PLANT_TZ
 
-# The timestamp encodings observed in the source extracts, in
-# the order they are tried.
+# Patterns of the timestamp encodings in the source extracts, and the US layout.
 EPOCH_MS = r"^\d{13}$"
 ISO_UTC = r"^\d{4}-\d{2}-\d{2}T.*Z$"
 ISO_NAKED = r"^\d{4}-\d{2}-\d{2}[T ]"
@@ -23,38 +25,51 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+class TsEncoding(NamedTuple):
+    """One way a source writes a time: its name, the texts it claims, and their instant (NULL if unreadable)."""
+    name: str
+    pattern: str
+    instant: Callable[[Column, str], Column]
+
+
+def _wall_clock(text: Column, zone: str, *layout: str) -> Column:
+    return F.to_utc_timestamp(F.try_to_timestamp(text, *map(F.lit, layout)), zone)
+
+
+#: In order: the first encoding whose pattern matches claims a text.
+TS_ENCODINGS = (
+    TsEncoding("EPOCH_MS", EPOCH_MS, lambda text, zone: F.timestamp_millis(text.try_cast("long"))),
+    TsEncoding("ISO_UTC", ISO_UTC, lambda text, zone: F.try_to_timestamp(text)),
+    TsEncoding("ISO_NAKED", ISO_NAKED, lambda text, zone: _wall_clock(F.translate(text, "T", " "), zone)),
+    TsEncoding("US_SLASH", US_SLASH, lambda text, zone: _wall_clock(text, zone, US_SLASH_FORMAT)),
+)
+
+
+def _by_encoding(text: Column, result: Callable[[TsEncoding], Column]) -> Column:
+    chain = F    # F.when opens the chain, Column.when continues it
+    for encoding in TS_ENCODINGS:
+        chain = chain.when(text.rlike(encoding.pattern), result(encoding))
+    return chain
+
+
 def parse_multi_ts(c, zone: str = PLANT_TZ) -> Column:
-    """Raw text → UTC instant, trying four encodings in order.
-
-    1. 13-digit epoch milliseconds
-    2. ISO date-time ending in ``Z`` (UTC)
-    3. ISO date-time without zone (``T`` or space): plant-local wall clock
-    4. US ``MM/dd/yyyy HH:mm``: plant-local wall clock
-    Anything else (and anything that fails to parse) is NULL — never an
-    exception, so bad rows reach the quarantine instead of failing a batch.
-    A value with a numeric offset (``+00:00``) matches rule 3 and is treated
-    as local time, as in the source pipeline.
+    """Raw text → UTC instant by the first of ``TS_ENCODINGS`` that claims it.
+
+    Times without a zone are wall clocks of ``zone``.  What no encoding claims,
+    or the one that does can't read, is NULL and never an exception, so bad
+    rows reach the quarantine instead of failing a batch.  A value with a
+    numeric offset (``+00:00``) counts as a time without zone, as in the source
+    pipeline.
     """
-    c = _col(c)
-    return (
-        F.when(c.rlike(EPOCH_MS), F.timestamp_millis(c.try_cast("long")))
-        .when(c.rlike(ISO_UTC), F.try_to_timestamp(c))
-        .when(c.rlike(ISO_NAKED),
-              F.to_utc_timestamp(F.try_to_timestamp(F.regexp_replace(c, "T", " ")), zone))
-        .when(c.rlike(US_SLASH),
-              F.to_utc_timestamp(F.try_to_timestamp(c, F.lit(US_SLASH_FORMAT)), zone))
-    )
+    text = _col(c)
+    return _by_encoding(text, lambda e: e.instant(text, zone))
 
 
 def ts_format_class(c) -> Column:
-    """Name of the encoding ``parse_multi_ts`` would use (profiling)."""
-    c = _col(c)
-    return (F.when(c.isNull() | (F.trim(c) == ""), F.lit("EMPTY"))
-            .when(c.rlike(EPOCH_MS), F.lit("EPOCH_MS"))
-            .when(c.rlike(ISO_UTC), F.lit("ISO_UTC"))
-            .when(c.rlike(ISO_NAKED), F.lit("ISO_NAKED"))
-            .when(c.rlike(US_SLASH), F.lit("US_SLASH"))
-            .otherwise(F.lit("UNKNOWN")))
+    """Name of the encoding that claims a text (profiling); EMPTY or UNKNOWN if none does."""
+    text = _col(c)
+    claimed = _by_encoding(text, lambda e: F.lit(e.name)).otherwise(F.lit("UNKNOWN"))
+    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", F.lit("EMPTY")).otherwise(claimed)
 
 
 def to_local(c, zone: str = PLANT_TZ) -> Column:

@@ -1,44 +1,51 @@
-"""Conformance joins: resolve source encodings through the crosswalks.
-
-Crosswalks are bounded by the plant's asset/code lists (tens of rows), so
-they are broadcast explicitly: the fact side — readings at ~170 M rows/day —
-is never shuffled for them, and the same code runs stream–static.
-Only the columns needed are projected before the join (also avoiding name
-clashes).  Callers must run the seed key check first: a duplicate crosswalk
-key would multiply facts.
+"""Conformance: resolve source encodings through the crosswalks.
+
+``LOOKUPS`` is the table of what can be looked up: which crosswalk, by which of
+its columns, and what comes back under which name.  ``resolve`` applies any of
+them to a frame, batch or stream.
+
+Crosswalks are broadcast, so facts are never shuffled for them.  Their size is
+bounded: the seed loader refuses one with more than ``MOST_SEED_ROWS`` rows, and
+it checks that every column looked up here identifies a row, so a lookup never
+multiplies facts.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.sources.seeds import Refs
 
-def with_line_id(df: DataFrame, line_xref: DataFrame, src_col: str = "line_id") -> DataFrame:
-    """Replace the raw line encoding in ``src_col`` by the conformed INT ``line_id``."""
-    x = line_xref.select(F.col("source_line_value").alias("_line_src"),
-                         F.col("line_id").alias("_line_id"))
-    joined = df.join(F.broadcast(x), df[src_col] == x["_line_src"], "left")
-    if src_col == "line_id":
-        joined = joined.drop(df[src_col])
-    return joined.drop("_line_src").withColumnRenamed("_line_id", "line_id")
 
+class Lookup(NamedTuple):
+    crosswalk: str
+    by: str
+    gives: tuple[str, ...]
 
-def with_equipment_key(df: DataFrame, equipment_xref: DataFrame, src_col: str,
-                       via: str = "source_equipment_id") -> DataFrame:
-    """Add ``equipment_key`` by matching ``src_col`` against ``via``
-    (SCADA id ``source_equipment_id`` or SAP ``sap_asset_number``)."""
-    x = equipment_xref.select(F.col(via).alias("_eq_src"), "equipment_key")
-    return df.join(F.broadcast(x), df[src_col] == x["_eq_src"], "left").drop("_eq_src")
 
+LOOKUPS = {
+    "line": Lookup("line_xref", "source_line_value", ("line_id",)),
+    "equipment": Lookup("equipment_xref", "source_equipment_id", ("equipment_key",)),
+    "asset": Lookup("equipment_xref", "sap_asset_number", ("equipment_key",)),
+    "order_type": Lookup("wo_type_xref", "source_type", ("type_norm", "planning_category")),
+    "severity": Lookup("alarm_severity_xref", "source_severity", ("severity_norm", "severity_rank")),
+}
 
-def with_wo_type(df: DataFrame, wo_type_xref: DataFrame, src_col: str = "type") -> DataFrame:
-    """Add ``type_norm`` and ``planning_category`` for a work-order type."""
-    x = wo_type_xref.select(F.col("source_type").alias("_wo_src"), "type_norm", "planning_category")
-    return df.join(F.broadcast(x), df[src_col] == x["_wo_src"], "left").drop("_wo_src")
 
+def resolve(df: DataFrame, refs: Refs, **sources: str) -> DataFrame:
+    """``df`` with the results of lookups, given as name=source column; NULL where a code is unknown.
 
-def with_severity(df: DataFrame, severity_xref: DataFrame, src_col: str = "severity") -> DataFrame:
-    """Add ``severity_norm`` and ``severity_rank`` (numeric or text source scale)."""
-    x = severity_xref.select(F.col("source_severity").alias("_sev_src"), "severity_norm", "severity_rank")
-    return df.join(F.broadcast(x), df[src_col] == x["_sev_src"], "left").drop("_sev_src")
+    A result replaces a column of ``df`` that has its name, as the conformed
+    line does with the raw one.
+    """
+    for name, source in sources.items():
+        lookup = LOOKUPS[name]
+        entries = refs.table(lookup.crosswalk).select(
+            F.col(lookup.by).alias("_code"), *(F.col(c).alias(f"_found_{c}") for c in lookup.gives))
+        kept = [c for c in df.columns if c not in lookup.gives]
+        df = (df.join(F.broadcast(entries), df[source] == F.col("_code"), "left")
+              .select(*(df[c] for c in kept), *(F.col(f"_found_{c}").alias(c) for c in lookup.gives)))
+    return df

@@ -16,7 +16,7 @@ from pyspark.sql.types import TimestampType
 
 from millrace.functions.parse import parse_multi_ts, ts_format_class
 from millrace.operators import expect, quality
-from millrace.operators.conform import with_severity
+from millrace.operators.conform import resolve
 from millrace.operators import scd
 from millrace.plans import analysis, ask, gold, silver
 from millrace.plans.plant import Plant
@@ -183,7 +183,7 @@ def _silver_quality(p: Plant) -> DataFrame:
 def _all_reports(p: Plant) -> DataFrame:
     tagged = silver.readings_tagged(p.bronze_readings(), p.refs, p.zone)
     wo = silver.work_orders_conformed(p.bronze_work_orders(), p.refs, p.zone)
-    al = with_severity(p.bronze_alarms(), p.refs.alarm_severity_xref)
+    al = resolve(p.bronze_alarms(), p.refs, severity="severity")
     return (expect.report(tagged, silver.READINGS_RULES, "sensor_readings")
             .unionByName(expect.report(p.silver_runs(), silver.RUNS_RULES, "production_runs"))
             .unionByName(expect.report(wo, silver.WORK_ORDER_RULES, "maintenance_work_orders"))
@@ -449,9 +449,8 @@ def _equipment_conform(p: Plant) -> DataFrame:
 @query("line_conform")
 def _line_conform(p: Plant) -> DataFrame:
     """Raw line spellings per source and the line id they resolve to."""
-    from millrace.operators.conform import with_line_id
     def per(df, label):
-        c = with_line_id(df.select(F.col("line_id").alias("raw_line"), "line_id"), p.refs.line_xref)
+        c = resolve(df.select(F.col("line_id").alias("raw_line"), "line_id"), p.refs, line="line_id")
         return c.groupBy("raw_line", "line_id").agg(F.count(F.lit(1)).alias("rows")) \
                 .select(F.lit(label).alias("source"), "raw_line", "line_id", "rows")
     return (per(p.bronze_readings(), "sensor_readings")

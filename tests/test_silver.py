@@ -60,9 +60,9 @@ def test_volume_normalize(spark, refs):
 
 
 def test_crosswalk_hit_miss_null(spark, refs):
-    from millrace.operators.conform import with_equipment_key
+    from millrace.operators.conform import resolve
     df = spark.createDataFrame([("EQ-101",), ("EQ-999",), (None,)], "equipment_id STRING")
-    got = rows(with_equipment_key(df, refs.equipment_xref, "equipment_id"), "equipment_id", "equipment_key")
+    got = rows(resolve(df, refs, equipment="equipment_id"), "equipment_id", "equipment_key")
     assert got == [("EQ-101", "EQP-101"), ("EQ-999", None), (None, None)]
 
 
