@@ -8,8 +8,8 @@ probabilities.  Embeddings and softmax are trained together, so a misspelling
 that was never seen still lands near the words it shares n-grams with.
 
 Training takes place in numpy on a bounded, seeded sample of labelled rows:
-at most ``PER_CLASS`` of each class (a documented limit of the classifier; all
-else covers all rows).  Sampling is by class, so the bias is moved back to the
+at most ``PER_CLASS`` rows of either class (a documented limit of the
+classifier; all else covers all rows).  Sampling is by class, so the bias is moved back to the
 class frequencies of all labelled rows.  Scoring is one Arrow pass over whole
 texts, in slices of a buffer, so memory does not grow with a text's length.
 
@@ -34,7 +34,8 @@ from millrace.llm.common import extended, set_aside, table
 BITS, DIM = 18, 6
 BUCKETS = 1 << BITS
 SIZES = (3, 4, 5)
-PER_CLASS = 2500
+#: At most so many labelled rows of class 0 and of class 1 are learnt from.
+PER_CLASS = (5000, 2500)
 EPOCHS, RATE, SCALE, BATCH, DECAY = 12, 0.3, 24.0, 128, 1e-6
 #: A small sample is gone through more often, up to this many minibatches.
 STEPS = 240
@@ -147,11 +148,11 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % 5 == 0
 
 
-def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = 5) -> tuple[np.ndarray, float]:
+def learn(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_CLASS, seed: int = 5) -> tuple[np.ndarray, float]:
     """Weights and bias from the labelled rows that are not held out.
 
-    A seeded hash picks at most ``per_class`` rows of each class; only their
-    texts come to the driver.
+    A seeded hash picks at most ``per_class`` rows of the two classes; only
+    their texts come to the driver.
     """
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
@@ -159,7 +160,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed:
     positive, negative = classes.get(1, 0), classes.get(0, 0)
     chosen = None
     for value in (0, 1):
-        some = known.where(F.col("toxic") == value).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(per_class)
+        some = known.where(F.col("toxic") == value).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(per_class[value])
         chosen = some if chosen is None else chosen.union(some)
     sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
               .select("text", "toxic", F.xxhash64(F.lit(seed + 1), "doc_id").alias("turn")).toPandas())
