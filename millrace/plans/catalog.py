@@ -216,6 +216,22 @@ def _scd2_dim(p: Plant) -> DataFrame:
     return _change_versions(p)
 
 
+# every cleaned column is tracked; the queries return those that SQL states plainly
+REGISTRY_TRACKED = ["equipment_id", "name", "manufacturer", "model", "location", "equipment_type", "line_id",
+                    "equipment_operational_status", "criticality", "install_date", "install_date_ambiguous",
+                    "last_maintenance_date", "specs", "specs_raw"]
+REGISTRY_VERSION = ["equipment_key", "equipment_id", "equipment_type", "line_id", "equipment_operational_status",
+                    "criticality", "install_date", "last_maintenance_date", "valid_from", "valid_to", "version_seq", "is_current"]
+
+
+@query("scd2_registry")
+def _scd2_registry(p: Plant) -> DataFrame:
+    """Type-2 versions of the equipment registry over all its cleaned columns."""
+    from millrace.operators.profile import union_all
+    return scd.scd2(union_all(p.registry_exports()), ["equipment_key"], "exported_ts", "export_no",
+                    REGISTRY_TRACKED).select(*REGISTRY_VERSION)
+
+
 @query("scd2_asof_join")
 def _scd2_asof_join(p: Plant) -> DataFrame:
     """Facts (line items as maintenance events) joined to the version valid at their time."""
@@ -854,27 +870,38 @@ def _seed_load(p: Plant) -> DataFrame:
     return loaded.join(dups, "table_name").join(cov, "table_name")
 
 
-@query("stream_scd2")
-def _stream_scd2(p: Plant) -> DataFrame:
-    """Equipment change feed streamed in three out-of-order drops into the
-    SCD2 dimension through ``foreachBatch``; equals the batch versions."""
+def _stream_versions(p: Plant, kind: str, drops: list[DataFrame], key: str, ts: str, seq: str, tracked: list[str]) -> DataFrame:
+    """Change rows land drop by drop and go through ``foreachBatch`` into a type-2 dimension; a drop is a micro-batch."""
     from millrace.streaming import ingest
     from millrace.streaming.scd_stream import Scd2BatchWriter, read_dimension
     spark = p.spark
-    base = ingest.fresh_dir(spark, "scd_stream")
-    changes = p.equipment_changes()
-    writer = Scd2BatchWriter(os.path.join(base, "history"), os.path.join(base, "dim"),
-                             ["equipment_key"], "change_ts", "change_seq", ["maintenance_class"])
-    for k in range(3):   # arrival order ≠ sequence order: every drop spans the whole history
-        (changes.filter(F.pmod(F.col("change_seq"), F.lit(3)) == (2 - k))
-                .write.mode("overwrite").parquet(os.path.join(base, "landing", f"drop_{k}")))
-        stream = (spark.readStream.schema(changes.schema).option("recursiveFileLookup", "true")
-                  .parquet(os.path.join(base, "landing")))
+    base = ingest.fresh_dir(spark, kind)
+    landing = os.path.join(base, "landing")
+    writer = Scd2BatchWriter(os.path.join(base, "history"), os.path.join(base, "dim"), [key], ts, seq, tracked)
+    for k, drop in enumerate(drops):
+        drop.write.mode("overwrite").parquet(os.path.join(landing, f"drop_{k}"))
+        stream = spark.readStream.schema(drop.schema).option("recursiveFileLookup", "true").parquet(landing)
         ingest.run_once(stream.writeStream.foreachBatch(writer).option("checkpointLocation", os.path.join(base, "_chk"))
                         .trigger(availableNow=True).start())
     return read_dimension(spark, os.path.join(base, "dim"))
 
 
+@query("stream_scd2")
+def _stream_scd2(p: Plant) -> DataFrame:
+    """Equipment change feed streamed in three out-of-order drops (each spans the
+    whole history) into the SCD2 dimension; equals the batch versions."""
+    changes = p.equipment_changes()
+    drops = [changes.filter(F.pmod(F.col("change_seq"), F.lit(3)) == (2 - k)) for k in range(3)]
+    return _stream_versions(p, "scd_stream", drops, "equipment_key", "change_ts", "change_seq", ["maintenance_class"])
+
+
+@query("stream_scd2_registry")
+def _stream_scd2_registry(p: Plant) -> DataFrame:
+    """Registry exports streamed as they come into the SCD2 dimension; equals the batch versions."""
+    out = _stream_versions(p, "scd_registry", p.registry_exports(), "equipment_key", "exported_ts", "export_no", REGISTRY_TRACKED)
+    return out.select(*REGISTRY_VERSION)
+
+
 @query("seed_key_check")
 def _seed_key_check(p: Plant) -> DataFrame:
     """Primary-key check of each crosswalk, and its consequence on the facts:

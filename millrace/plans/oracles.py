@@ -614,6 +614,22 @@ ORACLES["registry_clean"] = with_ctes(T_REG) + """SELECT equipment_id, equipment
   equipment_operational_status, criticality, install_date, install_date_ambiguous, last_maintenance_date
 FROM t_reg"""
 
+ORACLES["scd2_registry"] = with_ctes(T_REG, """ex AS (
+  SELECT t_reg.* EXCLUDE (equipment_operational_status), CAST(k AS INTEGER) AS export_no,
+         TIMESTAMP '2024-01-01' + to_days(CAST(90 * k AS INTEGER)) AS exported_ts,
+         CASE (s + CASE WHEN k >= 1 AND s % 4 = 0 THEN 1 ELSE 0 END + CASE WHEN k >= 2 AND s % 5 = 0 THEN 1 ELSE 0 END) % 6
+           WHEN 3 THEN 'STOPPED' WHEN 4 THEN 'MAINTENANCE' WHEN 5 THEN 'DECOMMISSIONED' ELSE 'RUNNING' END AS equipment_operational_status
+  FROM t_reg, range(3) r(k)
+),
+st AS (
+  SELECT *, LAG(equipment_operational_status) OVER (PARTITION BY equipment_key ORDER BY export_no) AS before FROM ex
+),
+vs AS (SELECT * FROM st WHERE before IS NULL OR before <> equipment_operational_status)""") + """SELECT equipment_key, equipment_id,
+  equipment_type, line_id, equipment_operational_status, criticality, install_date, last_maintenance_date, exported_ts AS valid_from,
+  LEAD(exported_ts) OVER w AS valid_to, export_no AS version_seq, LEAD(exported_ts) OVER w IS NULL AS is_current
+FROM vs WINDOW w AS (PARTITION BY equipment_key ORDER BY export_no)"""
+ORACLES["stream_scd2_registry"] = ORACLES["scd2_registry"]
+
 ORACLES["specs_variant"] = with_ctes(T_REG) + """SELECT equipment_key,
   CASE s % 3 WHEN 0 THEN 'JSON' WHEN 1 THEN 'TEXT' ELSE 'NULL' END AS specs_kind,
   CASE WHEN s % 3 = 0 THEN CAST((s * 13) % 900 + 100 AS INTEGER) END AS speed_bpm,

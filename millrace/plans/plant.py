@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace import PLANT_TZ
 from millrace.plans import gold, silver
@@ -71,6 +72,18 @@ class Plant:
         raw = shape.raw_registry(self.table("supplier", ["s_suppkey", "s_nationkey"]))
         return silver.with_ingest_metadata(raw, self._label("supplier", "equipment_registry"))
 
+    def registry_exports(self) -> list[DataFrame]:
+        """Three cleaned registry exports, 90 days apart, each a full copy; VARIANT specs as canonical JSON text."""
+        supplier = self.table("supplier", ["s_suppkey", "s_nationkey"])
+        out = []
+        for k in range(3):
+            raw = silver.with_ingest_metadata(shape.raw_registry(supplier, k), f"registry_{k}")
+            clean = silver.registry_clean(raw, self.refs).drop("_ingest_ts", "_source_file")
+            out.append(clean.withColumn("specs", F.to_json("specs"))
+                       .withColumn("exported_ts", F.lit("2024-01-01").cast("timestamp") + F.expr(f"INTERVAL {90 * k} DAYS"))
+                       .withColumn("export_no", F.lit(k)))
+        return out
+
     def equipment_changes(self) -> DataFrame:
         return shape.raw_equipment_changes(
             self.table("orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]))

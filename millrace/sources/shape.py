@@ -287,9 +287,12 @@ def registry_install_date(suppkey: Column) -> Column:
     return F.date_add(F.lit(REGISTRY_EPOCH).cast("date"), F.pmod(suppkey * 37, F.lit(7000)).cast("int"))
 
 
-def raw_registry(supplier: DataFrame) -> DataFrame:
-    """E: equipment registry (JSON export) from ``supplier``."""
+def raw_registry(supplier: DataFrame, export: int = 0) -> DataFrame:
+    """E: equipment registry (JSON export) from ``supplier``.  In the second
+    export a quarter of the machines has moved to the next state, in the third
+    a fifth of them (once more)."""
     s = F.col("s_suppkey")
+    moved = sum((F.pmod(s, F.lit(n)) == 0).cast("int") for k, n in ((1, 4), (2, 5)) if export >= k)
     n = _s(s + 1000)
     style = F.pmod(s, F.lit(3))
     eq_id = (F.when(style == 0, F.concat(F.lit("EQ-"), n))
@@ -319,7 +322,7 @@ def raw_registry(supplier: DataFrame) -> DataFrame:
          .otherwise(F.concat(F.lit("L"), _s(line), F.lit("-B"), _s(F.pmod(s, F.lit(9))))).alias("location"),
         typ.alias("type"),
         F.when(F.pmod(s, F.lit(2)) == 0, F.concat(F.lit("Line "), _s(line))).otherwise(_s(line)).alias("line"),
-        _pick(REGISTRY_STATES, F.pmod(s, F.lit(6))).alias("status"),
+        _pick(REGISTRY_STATES, F.pmod(s + moved, F.lit(6))).alias("status"),
         _pick(CRITICALITY_RAW, F.pmod(s, F.lit(3))).alias("criticality"),
         install.alias("install_date"),
         last_raw.alias("last_maintenance"),
