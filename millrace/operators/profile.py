@@ -71,7 +71,6 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def orphans(facts: DataFrame, fact_col: str, dim: DataFrame, dim_col: str, label: str) -> DataFrame:
     """Fact ids without a match in the dimension (``left_anti``), counted."""
-    anti = facts.join(F.broadcast(dim.select(F.col(dim_col).alias("_d"))),
-                      facts[fact_col] == F.col("_d"), "left_anti")
+    anti = facts.join(dim.select(F.col(dim_col).alias("_d")), facts[fact_col] == F.col("_d"), "left_anti")
     return (anti.groupBy(F.col(fact_col).alias("source_id")).agg(F.count(F.lit(1)).alias("rows"))
             .select(F.lit(label).alias("source"), "source_id", "rows"))

@@ -180,27 +180,30 @@ def _silver_quality(p: Plant) -> DataFrame:
     return p.silver_quality().drop("_ingest_ts", "_source_file")
 
 
-def _all_reports(p: Plant) -> DataFrame:
-    tagged = silver.readings_tagged(p.bronze_readings(), p.refs, p.zone)
-    wo = silver.work_orders_conformed(p.bronze_work_orders(), p.refs, p.zone)
-    al = resolve(p.bronze_alarms(), p.refs, severity="severity")
-    return (expect.report(tagged, silver.READINGS_RULES, "sensor_readings")
-            .unionByName(expect.report(p.silver_runs(), silver.RUNS_RULES, "production_runs"))
-            .unionByName(expect.report(wo, silver.WORK_ORDER_RULES, "maintenance_work_orders"))
-            .unionByName(expect.report(al, silver.ALARM_RULES, "alarms"))
-            .unionByName(expect.report(p.silver_quality(), silver.CHECK_RULES, "quality_checks")))
+def _reports(p: Plant, policy: str | None = None) -> DataFrame:
+    """Expectation reports of the tables that have a rule of ``policy`` (of all, if None)."""
+    from millrace.operators.profile import union_all
+    tables = {
+        "sensor_readings": (lambda: silver.readings_tagged(p.bronze_readings(), p.refs, p.zone), silver.READINGS_RULES),
+        "production_runs": (p.silver_runs, silver.RUNS_RULES),
+        "maintenance_work_orders": (lambda: silver.work_orders_conformed(p.bronze_work_orders(), p.refs, p.zone), silver.WORK_ORDER_RULES),
+        "alarms": (lambda: resolve(p.bronze_alarms(), p.refs, severity="severity"), silver.ALARM_RULES),
+        "quality_checks": (p.silver_quality, silver.CHECK_RULES),
+    }
+    return union_all([expect.report(build(), rules, table) for table, (build, rules) in tables.items()
+                      if policy is None or any(r.policy == policy for r in rules)])
 
 
 @query("expectation_report")
 def _expectation_report(p: Plant) -> DataFrame:
     """One row per (table, rule): policy, violations, rows evaluated."""
-    return _all_reports(p)
+    return _reports(p)
 
 
 @query("expectation_fail")
 def _expectation_fail(p: Plant) -> DataFrame:
     """The abort-policy rules and whether an update would abort."""
-    return _all_reports(p).filter(F.col("policy") == "fail") \
+    return _reports(p, "fail").filter(F.col("policy") == "fail") \
         .select("table_name", "rule", "violations", "would_abort")
 
 
@@ -354,6 +357,17 @@ def _q_fill_weight_trend(p: Plant) -> DataFrame:
     return ask.fill_weight_trend(matched)
 
 
+@query("q_fill_weight_matches")
+def _q_fill_weight_matches(p: Plant) -> DataFrame:
+    """How many checks the fill-weight trend rests on: per parameter, those
+    with exactly one run, with several, and with none."""
+    matched = analysis.batch_to_run(p.silver_quality(), p.silver_runs(), carry=["parameter"])
+    n = F.col("match_count")
+    return matched.groupBy("parameter").agg(
+        F.count(F.lit(1)).alias("checks"), F.count_if(n == 1).alias("matched_checks"),
+        F.count_if(n > 1).alias("ambiguous_checks"), F.count_if(n == 0).alias("unmatched_checks"))
+
+
 @query("q_top_technician")
 def _q_top_technician(p: Plant) -> DataFrame:
     """Technician(s) with the most critical orders resolved each week (ties kept)."""
