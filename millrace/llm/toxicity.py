@@ -69,18 +69,34 @@ def feature_slices(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.nda
         yield np.clip(np.concatenate(([0], ends)) - at, 0, n), np.array(buckets), np.array(valids)
 
 
+def _room(buffer: np.ndarray, used: int, more: int) -> np.ndarray:
+    """``buffer``, or a copy at least twice as long if ``more`` values don't fit behind those used."""
+    if used + more <= len(buffer):
+        return buffer
+    wider = np.empty(max(2 * len(buffer), used + more), buffer.dtype)
+    wider[:used] = buffer[:used]
+    return wider
+
+
 def feature_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse rows of bucket frequencies: row bounds, buckets, shares (each row's shares sum to 1)."""
-    bounds, columns, shares = [0], [], []
+    """Sparse rows of bucket frequencies: row bounds, buckets, shares (each row's shares sum to 1).
+
+    They are gathered in two long buffers, whose memory goes back to the system
+    as a whole.
+    """
+    bounds, end = [0], 0
+    columns, shares = np.empty(1 << 20, np.int32), np.empty(1 << 20, np.float32)
     for text in texts:
         counts = np.zeros(BUCKETS, np.float32)
         for _, buckets, valids in feature_slices([text]):
             counts += np.bincount(buckets[valids], minlength=BUCKETS)
         used = np.flatnonzero(counts)
-        columns.append(used.astype(np.int32))
-        shares.append(counts[used] / max(1.0, float(counts[used].sum())))
-        bounds.append(bounds[-1] + len(used))
-    return np.array(bounds), np.concatenate(columns or [np.zeros(0, np.int32)]), np.concatenate(shares or [np.zeros(0, np.float32)])
+        columns, shares = _room(columns, end, len(used)), _room(shares, end, len(used))
+        columns[end:end + len(used)] = used
+        shares[end:end + len(used)] = counts[used] / max(1.0, float(counts[used].sum()))
+        end += len(used)
+        bounds.append(end)
+    return np.array(bounds), columns[:end], shares[:end]
 
 
 def train(texts: list[str | None], labels: np.ndarray, prior: float, seed: int = 5) -> tuple[np.ndarray, float]:
