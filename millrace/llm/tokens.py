@@ -18,8 +18,14 @@ import numpy as np
 
 #: Only cut where white space in anyone's reading is on neither side.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Words of letters that normalization leaves alone.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
+#: How byte-level vocabularies write a space, and how many plain words are encoded together.
+SPACE_MARK, RUN = "Ġ", 256
 #: Units of one generation (a worker keeps two), and the longest unit kept.
 MOST_UNITS, LONGEST_UNIT = 400_000, 48
+#: Marks that form a piece of their own after a letter or digit; the part before them is looked up alone.
+MARKS = ".,!?;:$%&*#"
 #: Characters handled at a time; longer texts are cut on the way.
 AT_ONCE = 1 << 21
 
@@ -43,6 +49,11 @@ class UnitEncoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        # a token that ends a word, or begins one with its space, tells the words of a run of plain words apart
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.closes = bool(suffix)
+        self.bound = np.array([n.endswith(suffix) if suffix else n.startswith(SPACE_MARK) for n in names])
         self.units: dict[str, bytes | None] = {}
         self.older: dict[str, bytes | None] = {}
 
@@ -50,6 +61,23 @@ class UnitEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each of some plain words, as they are after a space; many words go through the library at a time."""
+        runs = [words[i:i + RUN] for i in range(0, len(words), RUN)]
+        out: list[bytes] = []
+        size = self.dtype.itemsize
+        found = self.tokenizer.encode_batch_fast(["".join([" " + w for w in run]) for run in runs], add_special_tokens=False)
+        for run, e in zip(runs, found):
+            ids = np.array(e.ids, self.dtype)
+            at = np.flatnonzero(self.bound[ids])
+            if len(at) != len(run):   # another kind of vocabulary
+                out += self._ids([" " + w for w in run])
+                continue
+            cuts = [0, *((at + 1) * size).tolist()] if self.closes else [*(at * size).tolist(), len(ids) * size]
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian, ``dtype`` wide."""
         out: list[bytes] = []
@@ -96,17 +124,32 @@ class UnitEncoder:
         if len(self.units) > MOST_UNITS:
             self.older, self.units = self.units, {}
         units, older = self.units, self.older
-        fresh = []
-        for u in found:
-            if u in units:
-                continue
+        fresh: set[str] = set()
+        marked: list[tuple[str, str]] = []
+        for u in found - units.keys():
             if u in older:
                 units[u] = older[u]
             elif not u or u[0].isspace() or u[-1].isspace() or len(u) > LONGEST_UNIT:
                 units[u] = None
             else:
-                fresh.append(u)
-        units.update(zip(fresh, self._ids([" " + u for u in fresh])))
+                core = u.rstrip(MARKS)
+                if core != u and core and core[-1].isalnum():
+                    marked.append((u, core))
+                    u = core
+                    if u in units:
+                        continue
+                    if u in older:
+                        units[u] = older[u]
+                        continue
+                fresh.add(u)
+        plain = [u for u in fresh if _PLAIN(u)]
+        units.update(zip(plain, self._word_ids(plain)))
+        new = [u for u in fresh if u not in units]
+        units.update(zip(new, self._ids([" " + u for u in new])))
+        tails = list({u[len(core):] for u, core in marked})
+        tail_ids = dict(zip(tails, self._ids(tails)))
+        for u, core in marked:
+            units[u] = units[core] + tail_ids[u[len(core):]]
 
     def _group(self, texts: list[str]) -> list[bytes]:
         if not texts:

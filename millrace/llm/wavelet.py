@@ -55,13 +55,13 @@ class WaveletMatrix:
         n = len(ids)
         zeros, planes, ones = [], [], []
         for level in range(levels):
-            bit = (ids >> ids.dtype.type(levels - 1 - level)) & ids.dtype.type(1) > 0
+            bit = (ids & ids.dtype.type(1 << (levels - 1 - level))) != 0
             plane = np.packbits(bit)
             planes.append(plane.tobytes())
             each = np.bitwise_count(np.pad(plane, (0, -len(plane) % (STRIDE // 8)))).reshape(-1, STRIDE // 8).sum(1, dtype=np.int64)
             counts = np.concatenate(([0], np.cumsum(each)))[:n // STRIDE + 1]
             ones.append(counts.astype("<u4").tobytes())
-            zeros.append(int(n - bit.sum()))
+            zeros.append(n - int(np.count_nonzero(bit)))
             ids = np.concatenate((np.compress(~bit, ids), np.compress(bit, ids)))
         return cls(n, zeros, b"".join(planes), b"".join(ones))
 
