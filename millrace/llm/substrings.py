@@ -13,8 +13,10 @@ their edges are held as fingerprints of the words they spell.
    The rows are counted by prefix; a prefix that stands in one place only has a
    subtree without inner nodes and is dropped.
 2. Subtrees.  The suffixes under the other prefixes are sent to groups by
-   prefix.  A prefix with more than ``MEMORY`` suffixes would not fit a group:
-   its suffixes are split by their longer prefix, the whole window.  Within a
+   prefix.  A prefix with more than ``MEMORY`` runs would not fit a group:
+   its suffixes are split by their longer prefix, the whole window.  These
+   prefixes, at most one for each ``MEMORY`` runs, are listed before any suffix
+   is sent, so where a suffix goes depends on its words alone.  Within a
    group, sorting by label brings the leaves of a node together.
 3. Removal.  Marked windows go back to their document.
 
@@ -45,18 +47,22 @@ MEMORY = 1 << 20
 
 _RUNS = "group int, label binary, number binary, place binary, start binary, length binary, settled binary"
 _SUFFIXES = "group int, high binary, low binary, number binary, place binary, start binary, settled binary"
-#: Runs of windows of one document: place (which of the documents of that id), start, length, prefix bits, whether split.
-_MARK = np.dtype([("place", "<u4"), ("start", "<u4"), ("length", "<u4"), ("prefix", "<u4"), ("split", "<u4")])
+#: Runs of windows of one document: place (which of the documents of that id), start, length, prefix bits.
+_MARK = np.dtype([("place", "<u4"), ("start", "<u4"), ("length", "<u4"), ("prefix", "<u4")])
 _MARKED = "number long, marks binary"
+_CROWDED = "prefixes binary"
 
 
 def _steps(values: np.ndarray, kind: str) -> bytes:
-    """Differences of neighbours, which compress well in a shuffle."""
-    return np.diff(values.astype(kind), prepend=np.zeros(1, kind)).tobytes()
+    """Differences of neighbours, all lowest bytes first, then all next ones: they compress well in a shuffle."""
+    steps = np.diff(values.astype(kind), prepend=np.zeros(1, kind))
+    return steps.view(np.uint8).reshape(-1, steps.itemsize).T.tobytes()
 
 
 def _unsteps(parts: list[bytes], kind: str) -> np.ndarray:
-    return np.concatenate([np.cumsum(np.frombuffer(p, kind), dtype=kind) for p in parts] or [np.zeros(0, kind)])
+    size = np.dtype(kind).itemsize
+    steps = (np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(size, -1).T).view(kind).ravel() for p in parts)
+    return np.concatenate([np.cumsum(s, dtype=kind) for s in steps] or [np.zeros(0, kind)])
 
 
 def _joined(parts: list[bytes], kind: str) -> np.ndarray:
@@ -173,17 +179,32 @@ def repeated_prefixes(rows: pa.Table) -> pa.Table:
     marks = np.zeros(int(kept.sum()), _MARK)
     marks["place"], marks["start"], marks["length"] = place[kept], start[kept], length[kept]
     marks["prefix"] = (label[kept] >> U64(32)).astype(np.uint32)
-    marks["split"] = total[kept] > MEMORY
     return _by_document(number[kept], marks)
 
 
+def crowded_prefixes(memory: int):
+    """A function of one group of runs: the bits of the prefixes that more than ``memory`` runs share, as one row."""
+
+    def crowded(rows: pa.Table) -> pa.Table:
+        label, settled = (_joined(rows[n].to_pylist(), kind) for n, kind in (("label", "<u8"), ("settled", "<u4")))
+        # all runs of a label are told here by those that are their task's first
+        asks = settled >> 1 > 0
+        prefixes, inverse = np.unique(label[asks] >> U64(32), return_inverse=True)
+        total = np.bincount(inverse, settled[asks] >> 1, minlength=len(prefixes))
+        return pa.table({"prefixes": pa.array([prefixes[total > memory].astype("<u4").tobytes()], pa.binary())})
+
+    return crowded
+
+
 def suffixes(docs: DataFrame, groups: int) -> DataFrame:
-    """(number, place, text, marks) -> the labels of marked windows, packed by group."""
+    """(number, place, text, marks, crowded) -> the labels of marked windows, packed by group."""
 
     def labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             numbers, places = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             texts, lists = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            # the same list in every row
+            crowded = _joined(batch.column(4)[0].as_py() if len(texts) else [], "<u4")
             rows = []
             for a, b in text_groups(texts):
                 words = WordBatch(texts[a:b])
@@ -205,7 +226,8 @@ def suffixes(docs: DataFrame, groups: int) -> DataFrame:
                 order = np.lexsort((start, place, number, low, high))
                 again = np.zeros(len(order), bool)
                 again[order[1:]] = (high[order[1:]] == high[order[:-1]]) & (low[order[1:]] == low[order[:-1]])
-                home = np.where(np.repeat(marks["split"], length) > 0, high >> U64(32), np.repeat(marks["prefix"], length).astype(U64))
+                split = np.repeat(np.isin(marks["prefix"], crowded), length)
+                home = np.where(split, high >> U64(32), np.repeat(marks["prefix"], length).astype(U64))
                 group = np.where(again, _spread(number, groups), (home % U64(groups)).astype(np.int64))
                 for g, part in _blocks(group):
                     rows.append((g, high[part].tobytes(), low[part].tobytes(), _steps(number[part], "<i8"), _steps(place[part], "<u4"),
@@ -213,7 +235,7 @@ def suffixes(docs: DataFrame, groups: int) -> DataFrame:
             yield pa.RecordBatch.from_pylist([dict(zip(("group", "high", "low", "number", "place", "start", "settled"), r)) for r in rows],
                                              schema=_arrow(_SUFFIXES))
 
-    return docs.select("number", "place", "text", "marks", "doc_id").mapInArrow(labels, _SUFFIXES)
+    return docs.select("number", "place", "text", "marks", "crowded", "doc_id").mapInArrow(labels, _SUFFIXES)
 
 
 def later_leaves(rows: pa.Table) -> pa.Table:
@@ -268,8 +290,11 @@ def _removal(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(cut, "doc_id long, n_words long, removed array<struct<start: long, end: long>>, kept_text string")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> doc_id, n_words, removed (spans of words, end exclusive), kept_text."""
+def remove_repeats(docs: DataFrame, memory: int | None = None) -> DataFrame:
+    """(doc_id, text) -> doc_id, n_words, removed (spans of words, end exclusive), kept_text.
+
+    A prefix with more than ``memory`` runs (``MEMORY`` if None) is split.
+    """
     n = partitions(docs.sparkSession)
     groups = 4 * n
     number: Column = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
@@ -280,8 +305,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def back(marked: DataFrame) -> DataFrame:
         return marked.groupBy("number").agg(F.collect_list("marks").alias("marks"))
 
-    prefixes = prefix_runs(placed, groups).groupBy("group").applyInArrow(repeated_prefixes, _MARKED)
-    labels = suffixes(placed.join(back(prefixes), "number"), groups)
+    # the exchange by group is written once, too
+    runs = prefix_runs(placed, groups).groupBy("group")
+    prefixes = runs.applyInArrow(repeated_prefixes, _MARKED)
+    crowded = (runs.applyInArrow(crowded_prefixes(MEMORY if memory is None else memory), _CROWDED).where(F.length("prefixes") > 0)
+               .agg(F.sort_array(F.collect_list("prefixes")).alias("crowded")))
+    labels = suffixes(placed.join(back(prefixes), "number").crossJoin(F.broadcast(crowded)), groups)
     leaves = labels.groupBy("group").applyInArrow(later_leaves, _MARKED)
     return _removal(placed.join(back(leaves), "number", "left").select("doc_id", "place", "text", "marks"))
 

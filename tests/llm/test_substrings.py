@@ -1,3 +1,7 @@
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from millrace.llm import substrings
 from millrace.llm.queries import QUERIES
 
@@ -48,3 +52,50 @@ def test_split_prefixes_change_nothing(spark, monkeypatch):
     whole = _got(spark.createDataFrame(rows, "doc_id long, text string"))
     monkeypatch.setattr(substrings, "MEMORY", 2)
     assert _got(spark.createDataFrame(rows, "doc_id long, text string")) == whole == brute(rows)
+
+
+class _Task:
+    """Stands for a data frame, and gives back the function that its tasks run."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, task, schema):
+        return task
+
+
+def _groups(task, batches, schema):
+    out = pa.Table.from_batches([b for batch in batches for b in task(iter([batch]))], substrings._arrow(schema))
+    return [out.filter(pc.equal(out["group"], g)) for g in sorted(set(out["group"].to_pylist()))]
+
+
+def test_windows_of_a_crowded_prefix_meet_from_any_batch():
+    """Batches of one task each, with the windows of a prefix in their first document or in a later one."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    batches = [[(1, "a " + passage + " one"), (2, "b " + passage + " two and a longer end")], [(3, passage + " two and a longer end")],
+               [(4, "c " + passage + " x"), (5, passage + " y"), (6, passage + " two and a longer end")]]
+    found, crowded = {}, []
+    arrow = [pa.record_batch({"number": pa.array([n for n, _ in b], pa.int64()), "place": pa.array([0] * len(b), pa.uint32()),
+                              "text": [t for _, t in b]}) for b in batches]
+    for group in _groups(substrings.prefix_runs(_Task(), 64), arrow, substrings._RUNS):
+        for r in substrings.repeated_prefixes(group).to_pylist():
+            found.setdefault(r["number"], []).append(r["marks"])
+        crowded += substrings.crowded_prefixes(1)(group)["prefixes"].to_pylist()
+    assert any(crowded)
+    arrow = [b.append_column("marks", pa.array([found.get(n, []) for n in b["number"].to_pylist()], pa.list_(pa.binary())))
+             .append_column("crowded", pa.array([crowded] * len(b), pa.list_(pa.binary()))) for b in arrow]
+    gone = {n: np.zeros(len(words(t)), bool) for b in batches for n, t in b}
+    for group in _groups(substrings.suffixes(_Task(), 64), arrow, substrings._SUFFIXES):
+        for r in substrings.later_leaves(group).to_pylist():
+            for m in np.frombuffer(r["marks"], substrings._MARK):
+                gone[r["number"]][m["start"]:m["start"] + m["length"] + substrings.WINDOW - 1] = True
+    rows = [r for b in batches for r in b]
+    assert [(str(n), len(words(t)), " ".join(np.array(words(t))[~gone[n]])) for n, t in rows] == brute(rows)
+
+
+def test_memory_is_an_argument_that_changes_nothing(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, (f"a{i} b{i} " if i % 3 else "") + passage + (f" two and a longer end {i % 5}" if i % 2 else f" {i}")) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for memory in (1, 5, 1000):
+        assert sorted((str(r["doc_id"]), r["n_words"], r["kept_text"]) for r in substrings.remove_repeats(df, memory).collect()) == brute(rows)
