@@ -3,13 +3,14 @@
 A k-mer of code points is a closed syncmer if the smallest hash of its inner
 s-mers stands first or last.  Whether it is one depends on its own characters
 alone, so an edit elsewhere never moves an anchor.  A fingerprint holds the
-number of a text's distinct syncmers and the ``KEPT`` of them with the smallest
-hashes, each with the place where it first stands.
+number of a text's distinct syncmers and all of them, each with the place where
+it first stands.  It grows with the text; none is left out.
 
 The likeness of two fingerprints matches anchors by hash, keeps those whose
-places come in the same order in both (the longest rising run), and from their
-share among the smallest anchors of both estimates the part of the larger set
-that the other shares: 1 for equal texts, about one half if half is replaced.
+places come in the same order in both (the longest rising run), and is their
+part of the larger set: 1 for equal texts, about one half if half is replaced.
+Hashes have 32 bits, so an anchor meets a foreign one of a text with n anchors
+with a chance of n / 2**32.
 
 ``neighbours`` gives every document the text of the next one by id.  Documents
 go to parts by ranges of ids, and the first document of each part is also sent
@@ -25,6 +26,7 @@ result; other columns play no part.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import U64, bounded_broadcast, id_number, id_part, id_ranges, materialize, mix64, partitions, table, text_groups
 from millrace.llm.omh import rising
 
-K, S, KEPT = 12, 5, 64
+K, S = 12, 5
 _ODD = U64(0x9E3779B97F4A7C15)
 
 
@@ -63,7 +65,7 @@ def syncmers(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fingerprints(texts: list[str]) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """For every text: number of anchors, and the kept anchors' hashes (rising, 32 bits) and places."""
+    """For every text: number of anchors, and the anchors' hashes (rising, 32 bits) and places."""
     lengths = np.array([len(t) for t in texts])
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
     at, code = syncmers(points)
@@ -78,33 +80,36 @@ def fingerprints(texts: list[str]) -> list[tuple[int, np.ndarray, np.ndarray]]:
             out.append((1, np.array([whole], U64), np.zeros(1, np.int64)) if text else (0, np.zeros(0, U64), np.zeros(0, np.int64)))
             continue
         hashes, first = np.unique(code[a:b] >> U64(32), return_index=True)
-        out.append((len(hashes), hashes[:KEPT], at[a:b][first[:KEPT]] - zero))
+        out.append((len(hashes), hashes, at[a:b][first] - zero))
     return out
 
 
 def fingerprint_text(fingerprint: tuple[int, np.ndarray, np.ndarray]) -> str:
-    """``count:hash@place,...`` with hashes in hexadecimal."""
+    """``count:`` and, in order of place, the steps between places and the hashes in base 64.
+
+    A step is a byte, or 255 and the step in four bytes; a hash is four bytes.  Bytes are little-endian.
+    """
     count, hashes, places = fingerprint
-    return f"{count}:" + ",".join([f"{h:08x}@{p}" for h, p in zip(hashes.tolist(), places.tolist())])
+    order = np.argsort(places)
+    steps = np.diff(places[order], prepend=0)
+    long = np.flatnonzero(steps >= 255)
+    short = np.minimum(steps, 255).astype(np.uint8)
+    wide = steps[long].astype("<u4").view(np.uint8)
+    raw = np.insert(short, np.repeat(long + 1, 4), wide).tobytes() + hashes[order].astype("<u4").tobytes()
+    return f"{count}:{base64.b64encode(raw).decode()}"
 
 
 def likeness(a: tuple[int, np.ndarray, np.ndarray], b: tuple[int, np.ndarray, np.ndarray]) -> float:
     (count_a, hash_a, place_a), (count_b, hash_b, place_b) = a, b
     if not count_a or not count_b:
         return float(count_a == count_b)
-    # the smallest anchors of both together are a sample of their union
-    kept = min(KEPT, len(hash_a) if count_a > KEPT else KEPT, len(hash_b) if count_b > KEPT else KEPT)
-    union = np.union1d(hash_a, hash_b)[:kept]
-    _, i, j = np.intersect1d(hash_a, hash_b, assume_unique=True, return_indices=True)
-    inside = hash_a[i] <= union[-1]
-    i, j = i[inside], j[inside]
-    if not len(i):
-        return 0.0
-    order = np.argsort(place_a[i], kind="stable")
-    matched = rising(place_b[j][order].tolist())
-    jaccard = matched / len(union)
-    shared = jaccard * (count_a + count_b) / (1 + jaccard)
-    return float(min(1.0, shared / max(count_a, count_b)))
+    # both are in order of hash, without equal ones
+    at = np.searchsorted(hash_b, hash_a)
+    i = np.flatnonzero(hash_b[np.minimum(at, count_b - 1)] == hash_a)
+    order = i[np.argsort(place_a[i])]
+    matched = place_b[at[order]]
+    kept = len(matched) if (matched[1:] > matched[:-1]).all() else rising(matched.tolist())
+    return kept / max(count_a, count_b)
 
 
 def neighbours(docs: DataFrame) -> DataFrame:

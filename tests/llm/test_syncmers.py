@@ -1,3 +1,7 @@
+import base64
+import random
+from bisect import bisect_left
+
 import numpy as np
 
 from millrace.llm import syncmers
@@ -59,3 +63,39 @@ def test_odd_rows(spark, odd_docs):
     one = spark.createDataFrame([(9, "one text only, its own next one")], "doc_id long, text string")
     assert syncmers.compare_with_next(one).first()["near_next"] == 1
     assert syncmers.compare_with_next(one.limit(0)).count() == 0
+
+
+def test_likeness_counts_all_anchors_of_long_texts():
+    """A passage of some hundred words in two long texts: the share of its anchors, to the last one."""
+    rng = random.Random(3)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage = some(2000)
+    a, b = some(60_000) + passage + some(58_000), some(9_000) + passage + some(109_000)
+    own, other = syncmers.fingerprints([a, b])
+    first = [{}, {}]
+    for places, text in zip(first, (a, b)):
+        at, code = syncmers.syncmers(np.array([ord(c) for c in text], np.uint64))
+        for p, h in zip(at.tolist(), (code >> np.uint64(32)).tolist()):
+            places.setdefault(h, p)
+    common = sorted((first[0][h], first[1][h]) for h in first[0].keys() & first[1].keys())
+    tails = []
+    for _, p in common:
+        k = bisect_left(tails, p)
+        tails[k:k + 1] = [p]
+    assert len(tails) > 400
+    assert syncmers.likeness(own, other) == len(tails) / max(map(len, first)) > 0.01
+
+
+def test_fingerprint_text_holds_every_anchor():
+    text = "some words that are long enough to have anchors, then one letter " + "a" * 1000 + " and words again " + "xyz" * 20
+    count, hashes, places = syncmers.fingerprints([text])[0]
+    number, code = syncmers.fingerprint_text((count, hashes, places)).split(":")
+    raw = base64.b64decode(code)
+    got, at, k = [], 0, 0
+    for _ in range(count):
+        step, k = raw[k], k + 1
+        if step == 255:
+            step, k = int.from_bytes(raw[k:k + 4], "little"), k + 4
+        got.append(at := at + step)
+    assert int(number) == count == len(hashes) and got == sorted(places.tolist()) and max(np.diff(got)) > 255
+    assert np.frombuffer(raw[k:], "<u4").tolist() == hashes[np.argsort(places)].tolist()
