@@ -12,6 +12,9 @@ the text just before it, with everything else removed.  Decoys go through the
 same battery.  Within a class of lengths, the false-discovery rate at a score
 is the number of decoys that score as random over the number of candidates that
 do; a candidate is reported while that rate is at most ``FALSE_DISCOVERIES``.
+Candidates without enough text before them, as in lists of one key a line,
+count as if their decoys scored like the others of the class: the decoys are
+scaled to the number of candidates, and a class without any reports nothing.
 Equal candidates count once, so a key that a third of all documents repeat does
 not carry the rate.  Short strings give the tests little power, so their class
 needs a stricter score or reports nothing at all.
@@ -20,7 +23,7 @@ Positions are code points, end exclusive.  A random span that overlaps a base
 span is left out.
 
 Defined cases: a null or empty text has no spans; a candidate without enough
-text before it has no decoy; equal rows are scanned each on its own; an empty
+text before it has no decoy of its own; equal rows are scanned each on its own; an empty
 table gives an empty result; other columns play no part.
 """
 
@@ -55,6 +58,17 @@ FALSE_DISCOVERIES = 0.05
 STEPS = 200
 
 
+def _decoy(before: Column, width: Column) -> Column:
+    """The last ``width`` letters and digits of a text, or null if it has fewer."""
+    def last(text: Column, otherwise: Column) -> Column:
+        return _let(F.regexp_replace(text, "[^A-Za-z0-9]", ""),
+                    lambda t: F.when(F.length(t) >= width, F.substring(t, F.length(t) - width + 1, width)).otherwise(otherwise))
+
+    # the end of the text mostly holds enough; else the whole is read
+    whole = F.when(F.length(before) > 4000, last(before, F.lit(None).cast("string")))
+    return last(F.substring(before, -4000, 4000), whole)
+
+
 def _matches(text: Column, pattern: str, kind: str, group: int = 0, on: Column | None = None) -> Column:
     """All matches of a pattern as an array of structs, with the length of the text before each."""
     on = text.rlike(pattern) if on is None else on & text.rlike(pattern)
@@ -68,8 +82,7 @@ def _matches(text: Column, pattern: str, kind: str, group: int = 0, on: Column |
             F.length(x["before"]).alias("gap"), F.length(x["found"]).alias("width"),
             F.length(x["value"]).alias("value_width"),
             (x["found"] if is_random else F.lit(None).cast("string")).alias("token"),
-            (F.substring(F.regexp_replace(F.substring(x["before"], -4000, 4000), "[^A-Za-z0-9]", ""), -2000, 2000)
-             if is_random else F.lit(None).cast("string")).alias("prose")))
+            (_decoy(x["before"], F.length(x["found"])) if is_random else F.lit(None).cast("string")).alias("decoy")))
     # the split has one piece more than there are matches: the text after the last
     spans = F.filter(spans, lambda x: x["width"].isNotNull())
     return F.when(on, spans)
@@ -163,10 +176,9 @@ def length_class(width: Column) -> Column:
 def thresholds(found: DataFrame) -> DataFrame:
     """(length class, last) : the largest score step at which false discoveries are rare enough.
 
-    ``found`` has token, width, prose, step.  At most one row for each class.
+    ``found`` has token, width, decoy, step.  At most one row for each class.
     """
-    decoy = F.when(F.length("prose") >= F.col("width"), F.substring(F.col("prose"), F.length("prose") - F.col("width") + 1, F.col("width")))
-    distinct = (found.groupBy("token", "width", "step").agg(F.min(decoy).alias("decoy"))
+    distinct = (found.groupBy("token", "width", "step").agg(F.min("decoy").alias("decoy"))
                 .select(length_class(F.col("width")).alias("class"), "step", "decoy"))
     counts = (distinct.select("class", F.explode(F.array(
         F.struct(F.col("step").alias("step"), F.lit(1).alias("real"), F.lit(0).alias("fake")),
@@ -174,7 +186,10 @@ def thresholds(found: DataFrame) -> DataFrame:
                  F.lit(0).alias("real"), F.col("decoy").isNotNull().cast("int").alias("fake")))).alias("x"))
         .groupBy("class", "x.step").agg(F.sum("x.real").alias("real"), F.sum("x.fake").alias("fake")))
     upto = Window.partitionBy("class").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (counts.withColumn("rate", (1 + F.sum("fake").over(upto)) / F.greatest(F.lit(1), F.sum("real").over(upto)))
+    # candidates for each decoy; null, and so no rate, in a class without decoys
+    whole = Window.partitionBy("class")
+    scale = F.sum("real").over(whole) / F.nullif(F.sum("fake").over(whole), F.lit(0))
+    return (counts.withColumn("rate", scale * (1 + F.sum("fake").over(upto)) / F.greatest(F.lit(1), F.sum("real").over(upto)))
             .where(F.col("rate") <= FALSE_DISCOVERIES).where(F.col("step") < STEPS)
             .groupBy("class").agg(F.max("step").alias("last")))
 
@@ -203,13 +218,13 @@ def find_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
             .withColumn("start", F.col("end") - F.col("width"))
             .where(F.col("kind").isNull() | (F.col("kind") > 0) | (F.col("value_width") >= ASSIGN_VALUE) | (F.col("nth") == 0))
             .withColumn("kind", F.when((F.col("kind") == 0) & (F.col("value_width") < ASSIGN_VALUE), None).otherwise(F.col("kind")))
-            .select("row_no", "kept", "kind", "start", "end", "width", "token", "prose",
+            .select("row_no", "kept", "kind", "start", "end", "width", "token", "decoy",
                     F.when(F.col("kind") == 3, score_step(randomness(F.col("token")))).alias("step")))
     rows = materialize(rows, "secret-matches")
     limit = F.broadcast(materialize(thresholds(rows.where("kind = 3")), "secret-limits"))
     by_start = Window.partitionBy("row_no").orderBy("start")
     base = F.col("kind") < 3
-    judged = (rows.drop("token", "prose")
+    judged = (rows.drop("token", "decoy")
               .join(limit, length_class(F.col("width")) == F.col("class"), "left")
               .withColumn("kind", F.when(base | (F.col("step") <= F.col("last")), F.col("kind")))
               .withColumn("reach", F.max(F.when(base, F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow)))

@@ -57,3 +57,24 @@ def test_redaction(spark, odd_docs):
     masked = secrets.redact(odd_docs)
     assert masked.columns == odd_docs.columns and masked.count() == odd_docs.count()
     assert masked.where("text like '%24be6443%'").count() == 0
+
+
+def test_lists_without_text_between_do_not_lower_the_rate(spark):
+    """Paths one a line have no decoys; they must not count as discoveries that nothing speaks against."""
+    rng = random.Random(4)
+    parts = ["data", "build", "output", "reports", "images", "archive", "module", "backup", "section", "library"]
+    prose = "the words of an ordinary text that goes on for a while and says nothing much about anything at all "
+    listed = ["/".join(rng.choices(parts, k=5)) + f"/{i}" for i in range(600)]
+    rows = [(i, "\n".join(listed[20 * i:20 * i + 20])) for i in range(30)]
+    rows += [(100 + i, prose + "thisisonelongwordwithoutanyblanksinit" + "abcdefgh"[i] + " " + prose) for i in range(8)]
+    spans = secrets.find_spans(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()
+    assert sum(len(r["spans"]) for r in spans if r["doc_id"] < 100) <= 30
+
+
+def test_decoys_of_long_candidates(spark):
+    rng = random.Random(5)
+    token = "".join(rng.choices(secrets.ENCODINGS[-1][1], k=2500))
+    for text, has in (("some words " * 400, True), ("some words " * 400 + ". " * 3000, True), ("a few words ", False)):
+        df = spark.createDataFrame([(text,)], "t string")
+        got = df.select(secrets._decoy(F.col("t"), F.lit(len(token))).alias("d")).first()["d"]
+        assert got == ("".join(c for c in text if c.isalnum())[-2500:] if has else None)
