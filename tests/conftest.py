@@ -3,10 +3,8 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SF_SMALL = "/root/testdata/sf0.001"
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
@@ -21,9 +19,3 @@ def spark():
 def refs(spark):
     from millrace.sources.seeds import Refs
     return Refs(spark)
-
-
-def rows(df, *cols):
-    """Collect selected columns as a list of tuples, sorted for stable asserts."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))

@@ -2,7 +2,7 @@ import datetime as dt
 
 from millrace.plans import ask
 
-from conftest import rows
+from library_help import rows
 
 
 def test_oee_for_explicit_and_last_tuesday(spark):

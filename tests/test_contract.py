@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF_SMALL
+from library_help import SF_SMALL
 
 STREAMING = {"bronze_ingest", "bronze_json_ingest", "bronze_rescue", "stream_silver_readings", "stream_scd2", "seed_load",
              "stream_silver_runs", "stream_expectation_metrics",

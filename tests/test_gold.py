@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans import gold
 
-from conftest import rows
+from library_help import rows
 
 RUN_COLS = "run_id STRING, line_id INT, product_sku STRING, start_ts TIMESTAMP, end_ts TIMESTAMP, start_ts_local TIMESTAMP, run_status STRING, total_units BIGINT, good_units BIGINT, scrap_units BIGINT"
 WO_COLS = "work_order_id STRING, equipment_key STRING, planning_category STRING, created_ts TIMESTAMP, created_ts_local TIMESTAMP, downtime_minutes INT, work_order_status STRING, priority STRING, technician STRING, completed_ts_local TIMESTAMP"

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import profile, quality
 
-from conftest import rows
+from library_help import rows
 
 
 def test_scheme_examples_hold_every_id(spark):

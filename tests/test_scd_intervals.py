@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import intervals, scd
 from millrace.operators.sequence import segmented_lag
 
-from conftest import rows
+from library_help import rows
 
 
 def T(s):

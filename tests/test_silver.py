@@ -6,7 +6,7 @@ from millrace.operators.expect import Expectation, ExpectationFailed
 from millrace.plans import silver
 from millrace.sources import seeds
 
-from conftest import rows
+from library_help import rows
 
 READING_COLS = "timestamp STRING, equipment_id STRING, sensor_tag STRING, value STRING, quality STRING, status STRING, line_id STRING"
 

@@ -7,7 +7,7 @@ from millrace.plans import silver
 from millrace.streaming import ingest
 from millrace.streaming.silver_stream import ReadingsBatchWriter, dedupe_stream, silver_stream
 
-from conftest import rows
+from library_help import rows
 
 COLS = ["timestamp", "equipment_id", "sensor_tag", "value", "quality", "status", "line_id"]
 
@@ -83,7 +83,7 @@ def test_late_rows_go_to_quarantine_in_three_batches(spark, refs):
     from millrace.plans.catalog import _readings_drops, _stream_drops
     from millrace.plans.plant import Plant
     from millrace.streaming.silver_stream import DedupeBatchWriter
-    from conftest import SF_SMALL
+    from library_help import SF_SMALL
     p = Plant(spark, SF_SMALL)
     base = ingest.fresh_dir(spark, "test_late")
     w = DedupeBatchWriter(p.refs, os.path.join(base, "silver"), os.path.join(base, "quarantine"), os.path.join(base, "marks"), p.zone)
