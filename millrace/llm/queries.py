@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import binpack, mixing, omh, secrets, substrings, syncmers, topk, toxicity, urls, wavelet
+from millrace.llm import binpack, mixing, omh, secrets, substrings, syncmers, topk, toxicity, urls, wavelet, whitening
 from millrace.llm.common import importable_on_workers
 
 _QUERIES = {
@@ -16,6 +16,7 @@ _QUERIES = {
     "op8_near_dedup": omh.op8_near_dedup,
     "op9_wavelet": wavelet.op9_wavelet,
     "op10_pack": binpack.op10_pack,
+    "op11_whiten": whitening.op11_whiten,
 }
 
 QUERIES = {name: importable_on_workers(query) for name, query in _QUERIES.items()}
