@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import binpack, mixing, omh, secrets, substrings, syncmers, topk, toxicity, urls, wavelet, whitening
+from millrace.llm import binpack, divergence, mixing, omh, secrets, substrings, syncmers, topk, toxicity, urls, wavelet, whitening
 from millrace.llm.common import importable_on_workers
 
 _QUERIES = {
@@ -17,6 +17,7 @@ _QUERIES = {
     "op9_wavelet": wavelet.op9_wavelet,
     "op10_pack": binpack.op10_pack,
     "op11_whiten": whitening.op11_whiten,
+    "op12_divergence": divergence.op12_divergence,
 }
 
 QUERIES = {name: importable_on_workers(query) for name, query in _QUERIES.items()}
@@ -25,4 +26,5 @@ ORACLES = {
     "op2_mix": mixing.ORACLE,
     "op4_topk": topk.ORACLE,
     "op6_url_filter": urls.ORACLE,
+    "op12_divergence": divergence.ORACLE,
 }
