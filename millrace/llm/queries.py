@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import binpack, divergence, mixing, omh, secrets, substrings, syncmers, topk, toxicity, urls, wavelet, whitening
+from millrace.llm import binpack, divergence, mixing, ngram_join, omh, secrets, substrings, syncmers, topk, toxicity, urls, wavelet, whitening
 from millrace.llm.common import importable_on_workers
 
 _QUERIES = {
@@ -18,6 +18,7 @@ _QUERIES = {
     "op10_pack": binpack.op10_pack,
     "op11_whiten": whitening.op11_whiten,
     "op12_divergence": divergence.op12_divergence,
+    "op13_ngram_join": ngram_join.op13_ngram_join,
 }
 
 QUERIES = {name: importable_on_workers(query) for name, query in _QUERIES.items()}
