@@ -141,7 +141,7 @@ def prefix_runs(docs: DataFrame, groups: int) -> DataFrame:
                 weight = np.where(is_first, np.minimum(count[inverse], 1 << 30), 0)
                 for g, part in _blocks(group):
                     rows.append((g, label[part].tobytes(), _steps(number[part], "<i8"), _steps(place[part], "<u4"),
-                                 _steps(start[part], "<i4"), length[part].astype("<u2").tobytes(),
+                                 _steps(start[part], "<i4"), length[part].astype("<u4").tobytes(),
                                  (weight[part] << 1 | settled[part]).astype("<u4").tobytes()))
             yield pa.RecordBatch.from_pylist([dict(zip(("group", "label", "number", "place", "start", "length", "settled"), r)) for r in rows],
                                              schema=_arrow(_RUNS))
@@ -169,7 +169,7 @@ def repeated_prefixes(rows: pa.Table) -> pa.Table:
     """One group of runs -> the runs whose prefix occurs again, by document."""
     c = {n: rows[n].to_pylist() for n in rows.column_names}
     label, number, place = _joined(c["label"], "<u8"), _unsteps(c["number"], "<i8"), _unsteps(c["place"], "<u4")
-    start, length, settled = _unsteps(c["start"], "<i4"), _joined(c["length"], "<u2"), _joined(c["settled"], "<u4")
+    start, length, settled = _unsteps(c["start"], "<i4"), _joined(c["length"], "<u4"), _joined(c["settled"], "<u4")
     # rows that are not their task's first carry no weight and are sent here only to be passed on
     asks = settled >> 1 > 0
     total = np.zeros(len(label))

@@ -99,3 +99,11 @@ def test_memory_is_an_argument_that_changes_nothing(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for memory in (1, 5, 1000):
         assert sorted((str(r["doc_id"]), r["n_words"], r["kept_text"]) for r in substrings.remove_repeats(df, memory).collect()) == brute(rows)
+
+
+def test_long_periodic_texts(spark):
+    """Runs of windows longer than 65,535 words keep their length."""
+    rows = [(1, "q " * 100_000), (2, "a b c " * 30_000), (3, "q " * 70_000 + "end"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _got(df) == brute(rows)
+    assert {r["doc_id"]: sum(s["end"] - s["start"] for s in r["removed"]) for r in substrings.remove_repeats(df).collect()}[1] == 99_999
