@@ -788,6 +788,74 @@ def _stream_balance(p: Plant) -> DataFrame:
             .withColumn("duplicate_rows", duplicates).withColumn("balanced", duplicates >= 0))
 
 
+def _watermark_dedupe(p: Plant) -> tuple[str, str, str]:
+    """Landing, output and checkpoint folders of the watermarked stream after three drops."""
+    from millrace.streaming import ingest
+    from millrace.streaming.silver_stream import dedupe_stream
+    base = ingest.fresh_dir(p.spark, "watermark_dedupe")
+    landing, out, chk = (os.path.join(base, d) for d in ("landing", "out", "_chk"))
+    for k, d in enumerate(_readings_drops(p)):
+        ingest.land_csv(d, os.path.join(landing, f"drop_{k}"))
+        stream = ingest.bronze_stream(p.spark, landing, READING_COLUMNS, "csv")
+        ingest.run_once(ingest.to_parquet(dedupe_stream(stream, p.refs, p.zone), out, chk))
+    return landing, out, chk
+
+
+@query("stream_watermark_dedupe")
+def _stream_watermark_dedupe(p: Plant) -> DataFrame:
+    """Keys that Spark's own stateful dedupe under a 6 h watermark lets through, from three drops."""
+    return p.spark.read.parquet(_watermark_dedupe(p)[1]).select(*silver.READING_KEY)
+
+
+@query("stream_watermark_balance")
+def _stream_watermark_balance(p: Plant) -> DataFrame:
+    """What became of every row of the watermarked stream, in one row: rejected by a rule, passed, a copy of what
+    passed, or behind the watermark (Spark drops these without a trace, so input is compared with output); and the
+    keys that the operator still holds, read back from its state."""
+    from millrace.streaming import ingest
+    spark = p.spark
+    landing, out, chk = _watermark_dedupe(p)
+    tagged = silver.readings_tagged(ingest.bronze_batch(spark, landing, READING_COLUMNS, "csv"), p.refs, p.zone)
+    passed = spark.read.parquet(out).select(*silver.READING_KEY)
+    fate = (tagged.select(*silver.READING_KEY, F.col("quarantine_reason").isNotNull().alias("rejected"))
+            .join(passed.withColumn("passed", F.lit(True)), silver.READING_KEY, "left"))
+    rows = fate.agg(F.count(F.lit(1)).alias("input_rows"), F.count_if("rejected").cast("bigint").alias("quarantined_rows"),
+                    F.count_if(~F.col("rejected") & F.col("passed").isNull()).cast("bigint").alias("late_rows"))
+    kept = passed.agg(F.count(F.lit(1)).alias("accepted_rows"))
+    held = spark.read.format("statestore").load(chk).agg(F.count(F.lit(1)).alias("state_keys"))
+    duplicates = F.col("input_rows") - F.col("quarantined_rows") - F.col("late_rows") - F.col("accepted_rows")
+    return rows.crossJoin(kept).crossJoin(held).withColumn("duplicate_rows", duplicates)   # three one-row aggregates
+
+
+@query("stream_unacked_alarms")
+def _stream_unacked_alarms(p: Plant) -> DataFrame:
+    """Alarms and acknowledgments as two streams; an alarm comes out once 30 minutes have passed without one.
+    A heartbeat in either stream moves the watermark past all alarms; its own stays open."""
+    from millrace.streaming import alarm_stream, ingest
+    spark = p.spark
+    base = ingest.fresh_dir(spark, "unacked_alarms")
+    columns = ["alarm_id", "alarm_ts", "equipment_key", "severity_norm", "alarm_state", "line_id"]
+    alarms, changes = p.silver_alarms().select(*columns), p.acknowledgments().select("alarm_id", "op", "change_ts")
+    lo, hi = alarms.agg(F.min("alarm_ts"), F.max("alarm_ts")).first()
+    middle = F.lit(lo) + (F.lit(hi) - F.lit(lo)) / 2 if lo else F.current_timestamp()
+    ahead = (F.lit(hi) if hi else F.current_timestamp()) + F.expr("INTERVAL 30 DAY")
+    beat = spark.range(1).select(F.lit("HEARTBEAT").alias("alarm_id"), F.lit("UPSERT").alias("op"), ahead.alias("change_ts"), ahead.alias("alarm_ts"))
+    drops = [(alarms.filter(F.col("alarm_ts") < middle), changes.filter(F.col("change_ts") < middle)),
+             (alarms.filter(F.col("alarm_ts") >= middle), changes.filter(F.col("change_ts") >= middle)),
+             (beat.select(*[F.col(c) if c in beat.columns else F.lit(None).cast(alarms.schema[c].dataType).alias(c) for c in columns]),
+              beat.select("alarm_id", "op", "change_ts"))]
+    out = os.path.join(base, "out")
+    for k, sides in enumerate(drops):
+        streams = []
+        for name, side in zip(("alarms", "changes"), sides):
+            folder = os.path.join(base, "landing", name)
+            side.write.parquet(os.path.join(folder, f"drop_{k}"))
+            streams.append(spark.readStream.schema(side.schema).option("recursiveFileLookup", "true").parquet(folder))
+        open_ = alarm_stream.unacknowledged_in_time(*streams)
+        ingest.run_once(ingest.to_parquet(open_, out, os.path.join(base, "_chk")))
+    return spark.read.parquet(out)
+
+
 @query("vibration_windows")
 def _vibration_windows(p: Plant) -> DataFrame:
     """JSON vibration messages as a stream; sliding 1-minute windows every 10 s.

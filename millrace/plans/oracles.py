@@ -845,6 +845,24 @@ FROM (SELECT (SELECT COUNT(*) FROM t_r) AS input_rows,
   (SELECT COUNT(*) FROM (SELECT DISTINCT reading_ts, equipment_key, sensor_tag FROM t_arrived WHERE NOT late)) AS accepted_rows,
   (SELECT COUNT(*) FROM t_r WHERE reading_ts IS NULL OR equipment_key IS NULL) AS quarantined_rows,
   (SELECT COUNT(*) FROM t_arrived WHERE late) AS late_rows) c"""
+# Spark compares with the watermark in milliseconds, and takes a row at the watermark for late
+T_WATERMARK = """t_wm AS (
+  SELECT d.*, coalesce(reading_ts <= (SELECT date_trunc('millisecond', MAX(mark)) FROM t_mark m WHERE m.drop_no < d.drop_no) - INTERVAL 6 HOUR, FALSE) AS behind
+  FROM t_drop d
+),
+t_passed AS (SELECT DISTINCT reading_ts, equipment_key, sensor_tag FROM t_wm WHERE NOT behind)"""
+ORACLES["stream_watermark_dedupe"] = with_ctes(T_R, T_DROPS, T_WATERMARK) + "SELECT * FROM t_passed"
+ORACLES["stream_watermark_balance"] = with_ctes(T_R, T_DROPS, T_WATERMARK, """c AS (
+  SELECT (SELECT COUNT(*) FROM t_r) AS input_rows,
+    (SELECT COUNT(*) FROM t_r WHERE reading_ts IS NULL OR equipment_key IS NULL) AS quarantined_rows,
+    (SELECT COUNT(*) FROM t_wm ANTI JOIN t_passed USING (reading_ts, equipment_key, sensor_tag)) AS late_rows,
+    (SELECT COUNT(*) FROM t_passed) AS accepted_rows,
+    (SELECT COUNT(*) FROM t_passed WHERE reading_ts > (SELECT date_trunc('millisecond', MAX(mark)) FROM t_mark) - INTERVAL 6 HOUR) AS state_keys
+)""") + "SELECT *, input_rows - quarantined_rows - late_rows - accepted_rows AS duplicate_rows FROM c"
+ORACLES["stream_unacked_alarms"] = with_ctes(T_AL, T_ACK) + """SELECT alarm_id, alarm_ts, equipment_key, severity_norm, alarm_state, line_id
+FROM t_al a WHERE NOT EXISTS (
+  SELECT 1 FROM t_ack k WHERE k.alarm_id = a.alarm_id AND k.op = 'UPSERT'
+    AND k.change_ts >= a.alarm_ts AND k.change_ts <= a.alarm_ts + INTERVAL 30 MINUTE)"""
 ORACLES["gold_refresh_late"] = ORACLES["gold_oee_daily"]
 
 ORACLES["vibration_batch"] = """WITH m AS (

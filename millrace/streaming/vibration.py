@@ -63,11 +63,20 @@ def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
                         + F.col("z_accel") * F.col("z_accel")))
 
 
-def window_stats(msgs: DataFrame, k: float = ALERT_K, watermark: str | None = None) -> DataFrame:
+def pane_sums(msgs: DataFrame, watermark: str | None = None) -> DataFrame:
+    """n, maximum and sums of each sensor's messages in panes of one slide: what windows are merged from."""
     df = msgs.withWatermark("event_ts", watermark) if watermark else msgs
-    g = (df.groupBy("sensor_id", F.window("event_ts", WINDOW, SLIDE).alias("w"))
-           .agg(F.count(F.lit(1)).alias("n"), F.max("m2").alias("max_m2"),
-                F.sum("m2").alias("s1"), F.sum(F.col("m2") * F.col("m2")).alias("s2")))
+    return (df.groupBy("sensor_id", F.window("event_ts", SLIDE).alias("pane"))
+            .agg(F.count(F.lit(1)).alias("n"), F.max("m2").alias("max_m2"),
+                 F.sum("m2").alias("s1"), F.sum(F.col("m2") * F.col("m2")).alias("s2")))
+
+
+def window_stats(msgs: DataFrame, k: float = ALERT_K, watermark: str | None = None) -> DataFrame:
+    """Statistics of sliding windows, merged from panes: a message meets one aggregate, only panes are copied into the
+    windows they are part of.  On a stream these are two chained aggregations under one watermark."""
+    g = (pane_sums(msgs, watermark)
+         .groupBy("sensor_id", F.window(F.window_time("pane"), WINDOW, SLIDE).alias("w"))
+         .agg(F.sum("n").alias("n"), F.max("max_m2").alias("max_m2"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2")))
     n = F.col("n").cast("double")
     mean = F.col("s1") / n
     var = F.greatest((F.col("s2") - (F.col("s1") * F.col("s1")) / n) / F.nullif(n - F.lit(1.0), F.lit(0.0)), F.lit(0.0))
