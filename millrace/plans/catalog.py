@@ -884,22 +884,29 @@ def _vibration_batch(p: Plant) -> DataFrame:
 
 @query("gold_refresh_late")
 def _gold_refresh_late(p: Plant) -> DataFrame:
-    """OEE materialised from a first drop of runs, then only the dates touched
-    by the late drop are recomputed (dynamic partition overwrite); the result
-    equals a full recompute."""
+    """OEE kept up to date from a stream of run changes: most runs, one in 50 of them with wrong units; then
+    the late runs; then the corrections, each as the old row taken back and the new one.  Every batch adds
+    signed sums and refreshes the periods it touched; the result equals a full recompute."""
     from millrace.plans import gold
-    from millrace.streaming import ingest, refresh
+    from millrace.streaming import deltas, ingest
     spark = p.spark
-    path = os.path.join(ingest.fresh_dir(spark, "refresh"), "oee_daily")
-    runs = p.silver_runs()
-    late = F.pmod(F.col("run_id").cast("bigint"), F.lit(10)) == 0
-    first, second = runs.filter(~late), runs.filter(late)
-    wo, x, cap = p.silver_work_orders(), p.refs.equipment_xref, p.refs.line_capacity
-    refresh.write_mart(gold.oee_daily(first, wo, x, cap), path, "production_date")
-    affected = second.filter(F.col("run_status") == "COMPLETED") \
-                     .select(F.to_date("start_ts_local").alias("production_date"))
-    refresh.refresh_dates(gold.oee_daily(runs, wo, x, cap), affected, path, "production_date")
-    return refresh.read_mart(spark, path)
+    base = ingest.fresh_dir(spark, "refresh")
+    log = deltas.OeeLog(os.path.join(base, "log"), os.path.join(base, "oee_daily"), p.refs.line_capacity)
+    log.add(gold.unplanned_downtime_by_line_day(p.silver_work_orders(), p.refs.equipment_xref), "downtime")
+    runs = p.silver_runs().select("run_id", "line_id", "run_status", "start_ts", "end_ts", "start_ts_local", "total_units", "good_units")
+    number = F.col("run_id").cast("bigint")
+    is_late, is_wrong = F.pmod(number, F.lit(10)) == 0, F.pmod(number, F.lit(50)) == 7
+    wrong = runs.filter(is_wrong).withColumn("total_units", F.col("total_units") + 70).withColumn("good_units", F.lit(3).cast(runs.schema["good_units"].dataType))
+    plus, minus = F.lit(1).alias(deltas.SIGN), F.lit(-1).alias(deltas.SIGN)
+    first = runs.filter(~is_late & ~is_wrong).unionByName(wrong).select("*", plus)
+    corrected = wrong.select("*", minus).unionByName(runs.filter(is_wrong).select("*", plus))
+    landing = os.path.join(base, "landing")
+    for k, drop in enumerate([first, runs.filter(is_late).select("*", plus), corrected]):
+        drop.write.parquet(os.path.join(landing, f"drop_{k}"))
+        stream = spark.readStream.schema(drop.schema).option("recursiveFileLookup", "true").parquet(landing)
+        ingest.run_once(stream.writeStream.foreachBatch(log).option("checkpointLocation", os.path.join(base, "_chk")).trigger(availableNow=True).start())
+    from millrace.streaming import refresh
+    return refresh.read_mart(spark, log.mart_path)
 
 
 @query("bronze_all_string")

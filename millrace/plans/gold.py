@@ -34,6 +34,20 @@ def unplanned_downtime_by_line_day(work_orders: DataFrame, equipment_xref: DataF
             .agg(F.sum("downtime_minutes").cast("bigint").alias("unplanned_downtime_min")))
 
 
+def oee_factors(sums: DataFrame, *extra: str) -> DataFrame:
+    """OEE and its factors from the sums of a line's day, its unplanned downtime and its nameplate rate."""
+    run = F.col("run_minutes").cast("double")
+    avail = run / F.nullif(run + F.coalesce(F.col("unplanned_downtime_min"), F.lit(0)).cast("double"), F.lit(0.0))
+    perf = F.col("total_units").cast("double") / F.nullif(run * F.col("nameplate_bpm"), F.lit(0.0))
+    qual = F.col("good_units").cast("double") / F.nullif(F.col("total_units").cast("double"), F.lit(0.0))
+    return sums.select(
+        *extra, "line_id", "production_date",
+        round_half_up(avail, 4).alias("availability"),
+        round_half_up(perf, 4).alias("performance"),
+        round_half_up(qual, 4).alias("quality"),
+        round_half_up(avail * perf * qual, 4).alias("oee"))
+
+
 def oee_daily(runs: DataFrame, work_orders: DataFrame, equipment_xref: DataFrame,
               line_capacity: DataFrame) -> DataFrame:
     """OEE per line and plant-local production day.
@@ -48,16 +62,7 @@ def oee_daily(runs: DataFrame, work_orders: DataFrame, equipment_xref: DataFrame
     d = unplanned_downtime_by_line_day(work_orders, equipment_xref)
     j = (r.join(d, ["line_id", "production_date"], "left")
           .join(F.broadcast(line_capacity), "line_id"))
-    run = F.col("run_minutes").cast("double")
-    avail = run / F.nullif(run + F.coalesce(F.col("unplanned_downtime_min"), F.lit(0)).cast("double"), F.lit(0.0))
-    perf = F.col("total_units").cast("double") / F.nullif(run * F.col("nameplate_bpm"), F.lit(0.0))
-    qual = F.col("good_units").cast("double") / F.nullif(F.col("total_units").cast("double"), F.lit(0.0))
-    return j.select(
-        "line_id", "production_date",
-        round_half_up(avail, 4).alias("availability"),
-        round_half_up(perf, 4).alias("performance"),
-        round_half_up(qual, 4).alias("quality"),
-        round_half_up(avail * perf * qual, 4).alias("oee"))
+    return oee_factors(j)
 
 
 def equipment_reliability(work_orders: DataFrame, equipment_xref: DataFrame,
