@@ -8,17 +8,20 @@ when 100 * common >= 85 * together.  Equal sets are one node of the join.
    own, so all others are done; shingles travel once, four bytes each.
 2. The shingles of the rest get a global order: the less frequent first.  Two
    linked sets meet in a shingle of their prefixes, the first n - 0.85 n + 1.
-3. Two rounds of cells (sets that agree in the smallest value of a hash
-   function) link most of what belongs together.  After that only prefix
-   shingles whose sets are still in several components can hold new links; of
-   those with the same sets, one is enough.  Where one component fills most of
-   such a group, its members meet the others only, not each other.
-
-A cell holds a bounded number of shingles: larger ones are cut into blocks, and
-every two blocks that matter meet in a cell of their own.  In a cell the
-ordered sets of one block form a trie with whole runs as edges.  Each set of
-the other block goes down the trie, so sets that share a beginning share the
-count of common shingles, and a subtree is left where
+3. Rounds of cells (sets that agree in the smallest value of a hash function)
+   compare all their sets, and so settle most pairs, linked or not.
+4. What they left is settled exactly.  Only prefix shingles whose sets are
+   still in several components can hold new links; of those with the same sets,
+   one is enough.  Sets of such a group are candidates if they are in different
+   components, met in no cell before, and could have enough in common by their
+   sizes and by what follows the shingle in either.  Where one component fills
+   most of a group, its members meet the others only, not each other.  Each set
+   with candidates has a cell with them.
+
+A cell holds a bounded number of shingles: larger ones are cut into blocks.  In
+a cell the sets, all in one order, form a trie with whole runs as edges.  Each
+set that asks goes down the trie, so sets that share a beginning share the count
+of common shingles, and a subtree is left where
 
 * its sets are all too small or too large,
 * the count so far and what is left of either set, at most, make too few, or
@@ -36,7 +39,7 @@ gives an empty result; other columns play no part.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +53,9 @@ from millrace.llm.omh import components
 WIDTH, LEAST = 4, 85
 #: Characters of a batch of texts, and mean numbers of sets and of shingles in a block of a cell.
 BATCH, BLOCK_SETS, BLOCK_SHINGLES = 1 << 22, 2048, 1 << 20
-ROUNDS = 2
+ROUNDS = 4
+#: Bits of the map of wanted rows (a multiple of 32768): 16 MB.
+SPOTS = 1 << 27
 
 
 def enough(common, one, other):
@@ -193,7 +198,7 @@ def shared_counts(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def ordered_sets(sets: DataFrame, parts: int) -> DataFrame:
-    """(set_key, n, shingles) -> set_key, n, shingles, counts: the shingles that several sets have, least frequent first."""
+    """(set_key, n, shingles) -> set_key, n, shingles: those that several sets have, the least frequent first."""
     names = ["part", "batch", "shingles", "counts", "keys", "sizes"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,15 +246,14 @@ def ordered_sets(sets: DataFrame, parts: int) -> DataFrame:
         head = next(k for k in range(rows.num_rows) if rows["keys"][k].is_valid)
         keys, sizes = rows["keys"][head].as_py(), np.frombuffer(rows["sizes"][head].as_buffer(), np.int64)
         cut = np.searchsorted(owner[order], np.arange(len(sizes) + 1)).tolist()
-        values, times = values[order], times[order]
+        values = values[order]
         return pa.Table.from_arrays(
             [pa.array([keys[16 * u:16 * u + 16] for u in range(len(sizes))], pa.binary()), pa.array(sizes),
-             pa.array([values[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
-             pa.array([times[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], names=["set_key", "n", "shingles", "times"])
+             pa.array([values[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], names=["set_key", "n", "shingles"])
 
     counted = (sets.select("set_key", "n", "shingles").mapInArrow(deal, "part int, batch string, shingles binary, counts binary, keys binary, sizes binary")
                .groupBy("part").applyInArrow(count, "batch string, shingles binary, times binary, counts binary, keys binary, sizes binary"))
-    return counted.groupBy("batch").applyInArrow(gather, "set_key binary, n long, shingles binary, times binary")
+    return counted.groupBy("batch").applyInArrow(gather, "set_key binary, n long, shingles binary")
 
 
 # -- the prefix tree ---------------------------------------------------------------
@@ -338,16 +342,17 @@ class PrefixTree:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def cell_links(shingles: list[np.ndarray], times: list[np.ndarray], sizes: np.ndarray, group: np.ndarray, asks: np.ndarray, told: np.ndarray) -> list[tuple[int, int]]:
+def cell_links(shingles: list[np.ndarray], sizes: np.ndarray, group: np.ndarray, asks: np.ndarray, told: np.ndarray) -> list[tuple[int, int]]:
     """Links between the sets that ``asks`` and those that ``told`` marks, as many as connect what belongs together.
 
-    ``group`` numbers components, from 0; no links within one are sought.
+    ``group`` numbers components, from 0; no links within one are sought.  The
+    order of shingles is the cell's own, again the less frequent first.
     """
-    values, first, code = np.unique(np.concatenate(shingles), return_index=True, return_inverse=True)
+    values, code, times = np.unique(np.concatenate(shingles), return_inverse=True, return_counts=True)
     rank = np.empty(len(values), np.int64)
-    rank[np.lexsort((values, np.concatenate(times)[first]))] = np.arange(len(values))
+    rank[np.lexsort((values, times))] = np.arange(len(values))
     cut = np.concatenate(([0], np.cumsum([len(s) for s in shingles])))
-    ranks = [rank[code[a:b]] for a, b in zip(cut, cut[1:])]
+    ranks = [np.sort(rank[code[a:b]]) for a, b in zip(cut, cut[1:])]
     members = np.flatnonzero(told)
     tree = PrefixTree([ranks[k] for k in members], sizes[members])
     members = members[tree.order]
@@ -377,18 +382,8 @@ def cell_links(shingles: list[np.ndarray], times: list[np.ndarray], sizes: np.nd
     return links
 
 
-def links_in_cells(rows: DataFrame) -> DataFrame:
-    """(cell columns c1, c2, c3; set_key, component, asks, told, n, shingles, times) -> a, b: links found in the cells."""
-    names = ["c1", "c2", "c3", "set_key", "component", "asks", "told", "n", "shingles", "times"]
-
-    def links(rows: pa.Table) -> pa.RecordBatch:
-        keys = rows["set_key"].to_pylist()
-        group = rows["component"].combine_chunks().dictionary_encode().indices.to_numpy()
-        found = cell_links([np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"]],
-                           [np.frombuffer(x.as_buffer(), np.uint32) for x in rows["times"]],
-                           rows["n"].to_numpy(), group, rows["asks"].to_numpy(zero_copy_only=False), rows["told"].to_numpy(zero_copy_only=False))
-        pairs = [(max(keys[x], keys[y]), min(keys[x], keys[y])) for x, y in found]
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+def cell_by_cell(rows: DataFrame, work: Callable[[pa.Table], pa.RecordBatch], schema: str) -> DataFrame:
+    """``work`` on the rows of each cell; its name is in the columns c1, c2, c3, which come first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -400,16 +395,29 @@ def links_in_cells(rows: DataFrame) -> DataFrame:
                 if a == b:
                     continue
                 if held and cells[a] != cell:
-                    yield links(pa.Table.from_batches(held))
+                    yield work(pa.Table.from_batches(held))
                     held = []
                 cell = cells[a]
                 held.append(batch.slice(a, b - a))
         if held:
-            yield links(pa.Table.from_batches(held))
+            yield work(pa.Table.from_batches(held))
 
     parts = partitions(rows.sparkSession)
-    return (rows.select(*names).repartition(parts, "c1", "c2", "c3").sortWithinPartitions("c1", "c2", "c3")
-            .mapInArrow(run, "a binary, b binary"))
+    return rows.repartition(parts, "c1", "c2", "c3").sortWithinPartitions("c1", "c2", "c3").mapInArrow(run, schema)
+
+
+def links_in_cells(rows: DataFrame) -> DataFrame:
+    """(cell columns c1, c2, c3; set_key, component, asks, told, n, shingles) -> a, b: links found in the cells."""
+    names = ["c1", "c2", "c3", "set_key", "component", "asks", "told", "n", "shingles"]
+
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        keys = rows["set_key"].to_pylist()
+        group = rows["component"].combine_chunks().dictionary_encode().indices.to_numpy()
+        found = cell_links([np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"]], rows["n"].to_numpy(), group, rows["asks"].to_numpy(zero_copy_only=False), rows["told"].to_numpy(zero_copy_only=False))
+        pairs = [(max(keys[x], keys[y]), min(keys[x], keys[y])) for x, y in found]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    return cell_by_cell(rows.select(*names), links, "a binary, b binary")
 
 
 # -- the join ------------------------------------------------------------------------
@@ -429,7 +437,8 @@ def _smallest(sets: DataFrame, rounds: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame) -> DataFrame:
-    """(set_key, component, n, shingles) -> set_key, component, size, shingle: one row for each shared shingle of the prefix."""
+    """(set_key, component, n, shingles) -> set_key, component, n, place (in the set's order), shingle: one row for
+    each shared shingle of the prefix."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -439,12 +448,44 @@ def _prefixes(sets: DataFrame) -> DataFrame:
                 n, size = part.column(2).to_numpy(), np.array([len(v) for v in every])
                 # the shingles that no other set has come first, and take up part of the prefix
                 long = np.minimum(np.maximum(n - (LEAST * n + 99) // 100 + 1 - (n - size), 0), size)
-                again = pa.array(np.repeat(np.arange(len(every)), long))
+                again = np.repeat(np.arange(len(every)), long)
+                place = np.arange(len(again)) - np.repeat(np.cumsum(long) - long, long) + (n - size)[again]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(again)), part.column(1).take(pa.array(again)), pa.array(n[again]), pa.array(place),
+                     pa.array(np.concatenate([v[:m] for v, m in zip(every, long)]))], names=["set_key", "component", "n", "place", "shingle"])
+
+    return sets.select("set_key", "component", "n", "shingles").mapInArrow(
+        prefixes, "set_key binary, component binary, n long, place long, shingle long")
+
+
+def chosen_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, text) -> set_key, n, shingles of the rows that ``wanted`` (number, text_hash) names, and of few others.
+
+    A bitmap of fixed size goes to all tasks, so texts stay where they are
+    read.  It may let other rows pass, the more the fuller it is, and never
+    stops a wanted one; the caller joins the result with what it wants.
+    """
+    spark = docs.sparkSession
+    spot = F.pmod(F.xxhash64(id_number().alias("number"), "text_hash"), F.lit(SPOTS))
+    marks = (wanted.withColumn("spot", F.pmod(F.xxhash64("number", "text_hash"), F.lit(SPOTS)))
+             .groupBy(F.expr("spot div 32768").alias("at")).agg(F.bitmap_construct_agg(F.col("spot") % 32768).alias("marks")).collect())
+    bits = np.zeros(SPOTS >> 3, np.uint8)
+    for r in marks:
+        bits[r["at"] << 12:(r["at"] + 1) << 12] = np.frombuffer(r["marks"], np.uint8)
+    shared = spark.sparkContext.broadcast(bits)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            texts = batch.column(1).filter(pa.array((shared.value[at >> 3] >> (at & 7)) & 1 > 0)).to_pylist()
+            for a, b in text_groups(texts, BATCH):
+                sets = Sets(texts[a:b])
+                bounds = sets.first.tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(again), part.column(1).take(again), pa.array(np.repeat(size, long)),
-                     pa.array(np.concatenate([v[:m] for v, m in zip(every, long)]))], names=["set_key", "component", "size", "shingle"])
+                    [sets.key_array(), pa.array(sets.sizes.astype(np.int64)),
+                     pa.array([sets.values[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["set_key", "n", "shingles"])
 
-    return sets.select("set_key", "component", "n", "shingles").mapInArrow(prefixes, "set_key binary, component binary, size long, shingle long")
+    return docs.select(spot.alias("spot"), "text").mapInArrow(build, "set_key binary, n long, shingles binary")
 
 
 def _blocks(sets, shingles):
@@ -452,44 +493,78 @@ def _blocks(sets, shingles):
     return F.greatest(F.ceil(sets / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
 
 
-def _first_links(sets: DataFrame, rounds: int) -> DataFrame:
-    """Links among sets that agree in the smallest value of a hash function; groups are cut into blocks at random."""
+def _first_cells(sets: DataFrame, rounds: int) -> DataFrame:
+    """set_key, c1, c2, c3: cells of sets that agree in the smallest value of a hash function, cut into blocks at random."""
     least = materialize(_smallest(sets, rounds).select("set_key", "size", F.posexplode("least").alias("round", "cell")), "ngram-least")
     groups = (least.groupBy("round", "cell").agg(F.count("*").alias("members"), F.sum("size").alias("shingles")).where("members > 1")
               .select("round", "cell", _blocks(F.col("members"), F.col("shingles")).alias("blocks")))
-    placed = (least.join(groups, ["round", "cell"])
-              .select("set_key", F.col("round").cast("long").alias("c1"), F.col("cell").alias("c2"),
-                      F.pmod(F.xxhash64("round", "set_key"), "blocks").cast("long").alias("c3")))
-    return links_in_cells(placed.join(sets, "set_key").select("*", F.col("set_key").alias("component"), F.lit(True).alias("asks"), F.lit(True).alias("told")))
+    return least.join(groups, ["round", "cell"]).select(
+        "set_key", F.col("round").cast("long").alias("c1"), F.col("cell").alias("c2"),
+        F.pmod(F.xxhash64("round", "set_key"), "blocks").cast("long").alias("c3"))
 
 
-def _links_between(sets: DataFrame) -> DataFrame:
-    """All links that are missing between components (column component of ``sets``): groups of one prefix shingle."""
+def _candidates(sets: DataFrame, cells: DataFrame, rounds: int) -> DataFrame:
+    """x, y, n (of x): pairs of sets of different components (column component of ``sets``) that no cell of
+    ``cells`` has compared and that a prefix shingle and the sizes allow to link."""
     rows = materialize(_prefixes(sets), "ngram-prefixes")
     members = [F.expr(f"bit_xor(xxhash64({seed}, set_key))").alias(f"x{seed}") for seed in (1, 2)]
-    open_ = (rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), *members)
-             .where("low != high").groupBy("n", "x1", "x2").agg(F.min("shingle").alias("shingle")).select("shingle"))
-    met = materialize(rows.join(open_, "shingle"), "ngram-open")
+    open_ = (rows.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("component").alias("low"), F.max("component").alias("high"), *members)
+             .where("low != high").groupBy("sets", "x1", "x2").agg(F.min("shingle").alias("shingle")).select("shingle"))
+    # the cells that a set was in, one for each round; a set alone has one of its own
+    cell = F.xxhash64("c1", "c2", "c3")
+    been = cells.groupBy("set_key").agg(F.count("*").alias("cells"), *[F.max(F.when(F.col("c1") == r, cell)).alias(f"r{r}") for r in range(rounds)])
+    met = (rows.join(open_, "shingle").join(been, "set_key", "left")
+           .select("shingle", "set_key", "component", "n", "place",
+                   F.array(*[F.coalesce(f"r{r}", F.xxhash64(F.lit(r), "set_key")) for r in range(rounds)]).cast("array<long>").alias("cells")))
+    met = materialize(met, "ngram-open")
     # the largest component of a group against the rest
-    shares = met.groupBy("shingle", "component").agg(F.count("*").alias("sets"), F.sum("size").alias("shingles"))
-    order = Window.partitionBy("shingle").orderBy(F.col("shingles").desc(), "component")
-    shares = shares.withColumn("large", F.row_number().over(order) == 1)
+    shares = met.groupBy("shingle", "component").agg(F.count("*").alias("sets"))
+    shares = shares.withColumn("large", F.row_number().over(Window.partitionBy("shingle").orderBy(F.col("sets").desc(), "component")) == 1)
     plan = (shares.groupBy("shingle").agg(
         F.max(F.when(F.col("large"), F.col("component"))).alias("largest"),
-        *[F.sum(F.when(F.col("large") == side, F.col(c)).otherwise(0)).alias(f"{c}_{name}") for side, name in ((True, "large"), (False, "rest")) for c in ("sets", "shingles")])
-        .select("shingle", "largest", _blocks(F.col("sets_rest"), F.col("shingles_rest")).alias("rest"),
-                _blocks(F.col("sets_large"), F.col("shingles_large")).alias("large")))
+        F.sum(F.when(F.col("large"), 0).otherwise(F.col("sets"))).alias("rest"), F.sum(F.when(F.col("large"), F.col("sets")).otherwise(0)).alias("large"))
+        .select("shingle", "largest", F.ceil(F.col("rest") / BLOCK_SETS).cast("int").alias("rest"), F.ceil(F.col("large") / BLOCK_SETS).cast("int").alias("large")))
     own = F.pmod(F.xxhash64("set_key"), F.when(F.col("component") == F.col("largest"), F.col("large")).otherwise(F.col("rest"))).cast("int")
     placed = met.join(plan, "shingle").withColumn("block", own).withColumn("is_large", F.col("component") == F.col("largest"))
-    # blocks of the rest are 0 to rest - 1, those of the largest component follow; a cell is a block of the rest and any block from it on
+    # blocks of the rest are 0 to rest - 1, those of the largest component follow; a block of the rest meets every block from it on
     every = F.transform(F.sequence(F.lit(0), F.col("rest") - 1), lambda a: F.struct(a.alias("a"), (F.col("rest") + F.col("block")).alias("b")))
     asked = F.transform(F.sequence(F.col("block"), F.col("rest") + F.col("large") - 1), lambda b: F.struct(F.col("block").alias("a"), b.alias("b")))
     told = F.transform(F.sequence(F.lit(0), F.col("block")), lambda a: F.struct(a.alias("a"), F.col("block").alias("b")))
-    cells = placed.withColumn("cell", F.explode(F.when(F.col("is_large"), every).otherwise(F.array_distinct(F.concat(asked, told)))))
     number = F.when(F.col("is_large"), F.col("rest") + F.col("block")).otherwise(F.col("block"))
-    rows = cells.select("set_key", "component", F.col("shingle").alias("c1"), F.col("cell.a").cast("long").alias("c2"), F.col("cell.b").cast("long").alias("c3"),
-                        (number == F.col("cell.a")).alias("asks"), (number == F.col("cell.b")).alias("told"))
-    return links_in_cells(rows.join(sets.drop("component"), "set_key"))
+    meeting = (placed.withColumn("cell", F.explode(F.when(F.col("is_large"), every).otherwise(F.array_distinct(F.concat(asked, told)))))
+               .select(F.col("shingle").alias("c1"), F.col("cell.a").cast("long").alias("c2"), F.col("cell.b").cast("long").alias("c3"),
+                       "set_key", "component", (number == F.col("cell.a")).alias("asks"), (number == F.col("cell.b")).alias("told"), "n", "place", "cells"))
+
+    def pairs(rows: pa.Table) -> pa.RecordBatch:
+        rows = rows.combine_chunks()
+        keys = rows["set_key"].to_pylist()
+        group = rows["component"].combine_chunks().dictionary_encode().indices.to_numpy()
+        n, rest = rows["n"].to_numpy(), rows["n"].to_numpy() - rows["place"].to_numpy()
+        been = rows["cells"].combine_chunks().flatten().to_numpy().reshape(len(keys), rounds)
+        asks, told = (np.flatnonzero(rows[c].to_numpy()) for c in ("asks", "told"))
+        found = []
+        for at in range(0, len(asks), 256):
+            a = asks[at:at + 256]
+            good = ((group[a][:, None] != group[told]) & enough(np.minimum(rest[a][:, None], rest[told]), n[a][:, None], n[told]))
+            for r in range(rounds):
+                good &= been[a, r][:, None] != been[told, r]
+            i, j = np.nonzero(good)
+            found += [(max(keys[x], keys[y]), min(keys[x], keys[y]), max(int(n[x]), int(n[y]))) for x, y in zip(a[i].tolist(), told[j].tolist())]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], t) for k, t in enumerate((pa.binary(), pa.binary(), pa.int64()))], names=["x", "y", "n"])
+
+    return cell_by_cell(meeting, pairs, "x binary, y binary, n long").groupBy("x", "y").agg(F.max("n").alias("n"))
+
+
+def _links_between(candidates: DataFrame, sets: DataFrame) -> DataFrame:
+    """The candidates that link, found in a cell for each x (in blocks of its partners)."""
+    load = candidates.groupBy("x").agg(F.count("*").alias("sets"), F.max("n").alias("n")).select(
+        "x", _blocks(F.col("sets"), F.col("sets") * F.col("n")).alias("blocks"))
+    name = [F.xxhash64(F.lit(seed), "x").alias(c) for seed, c in ((1, "c1"), (2, "c2"))]
+    told = candidates.join(load, "x").select(
+        *name, F.pmod(F.xxhash64("y"), "blocks").cast("long").alias("c3"), F.col("y").alias("set_key"), F.lit(False).alias("asks"), F.lit(True).alias("told"))
+    asks = load.select(*name, F.explode(F.expr("sequence(0L, blocks - 1L)")).alias("c3"), F.col("x").alias("set_key"),
+                       F.lit(True).alias("asks"), F.lit(False).alias("told"))
+    return links_in_cells(told.unionByName(asks).withColumn("component", F.col("set_key")).join(sets.select("set_key", "n", "shingles"), "set_key"))
 
 
 def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -502,29 +577,18 @@ def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
               .groupBy("set_key").agg(F.min(F.struct(id_number().alias("number"), "text_hash")).alias("at")).select("set_key", "at.*"))
     wanted = materialize(wanted, "ngram-wanted")
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in text_groups(texts, BATCH):
-                sets = Sets(texts[a:b])
-                bounds = sets.first.tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [sets.key_array(), pa.array(sets.sizes.astype(np.int64)),
-                     pa.array([sets.values[x:y].tobytes() for x, y in zip(bounds, bounds[1:])], pa.binary())], names=["set_key", "n", "shingles"])
-
-    texts = (narrow.withColumn("number", id_number()).join(wanted.select("number", "text_hash").distinct(), ["number", "text_hash"], "left_semi")
-             .dropDuplicates(["number", "text_hash"]).select("text"))
-    sets = (texts.mapInArrow(build, "set_key binary, n long, shingles binary")
-            .join(wanted.select("set_key"), "set_key", "left_semi").dropDuplicates(["set_key"]))
+    sets = (chosen_sets(narrow, wanted).join(wanted.select("set_key"), "set_key", "left_semi").dropDuplicates(["set_key"]))
     ordered = ordered_sets(materialize(sets, "ngram-shingles"), parts)
     ordered = materialize(ordered.where(100 * F.length("shingles") >= 8 * LEAST * F.col("n")), "ngram-ordered")
 
-    links = materialize(_first_links(ordered, ROUNDS), "ngram-links")
+    cells = materialize(_first_cells(ordered, ROUNDS), "ngram-cells")
+    links = materialize(links_in_cells(cells.join(ordered, "set_key").select(
+        "*", F.col("set_key").alias("component"), F.lit(True).alias("asks"), F.lit(True).alias("told"))), "ngram-links")
     labels = components(links)
     placed = (ordered.join(labels.withColumnRenamed("key", "set_key"), "set_key", "left")
               .withColumn("component", F.coalesce("component", "set_key")))
-    further = _links_between(materialize(placed, "ngram-placed"))
-    return known, links.unionByName(materialize(further, "ngram-links"))
+    candidates = materialize(_candidates(placed, cells, ROUNDS), "ngram-candidates")
+    return known, links.unionByName(materialize(_links_between(candidates, ordered), "ngram-links"))
 
 
 def join_components(docs: DataFrame) -> DataFrame:

@@ -98,19 +98,16 @@ def test_odd_rows(spark):
 
 def test_tree_finds_all_links():
     rng = np.random.default_rng(2)
-    for trial in range(20):
+    for _ in range(20):
         base = np.arange(60)
-        shingles, times = [], []
+        shingles = []
         for _ in range(40):
             kept = base[rng.random(60) < rng.choice([0.8, 0.95, 1.0])]
             shingles.append(np.unique(np.concatenate((kept, rng.integers(100, 200, rng.integers(0, 4))))).astype(np.uint64))
-        frequency = collections.Counter(int(v) for s in shingles for v in s)
-        shingles = [np.array(sorted(s.tolist(), key=lambda v: (frequency[v], v)), np.uint64) for s in shingles]
-        times = [np.array([frequency[int(v)] for v in s], np.uint32) for s in shingles]
         sizes = np.array([len(s) + int(rng.integers(0, 3)) for s in shingles])   # some elements are in no other set
         linked = [(i, j) for i in range(40) for j in range(i) if ngram_join.enough(len(np.intersect1d(shingles[i], shingles[j])), sizes[i], sizes[j])]
         every = np.ones(40, bool)
-        found = ngram_join.cell_links(shingles, times, sizes, np.arange(40), every, every)
+        found = ngram_join.cell_links(shingles, sizes, np.arange(40), every, every)
         assert {tuple(sorted(p)) for p in found} <= {tuple(sorted(p)) for p in linked}
 
         def parts(pairs):
