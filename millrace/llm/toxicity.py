@@ -8,10 +8,13 @@ probabilities.  Embeddings and softmax are trained together, so a misspelling
 that was never seen still lands near the words it shares n-grams with.
 
 Training takes place in numpy on a bounded, seeded sample of labelled rows:
-at most ``PER_CLASS`` rows of either class (a documented limit of the
-classifier; all else covers all rows).  Sampling is by class, so the bias is moved back to the
-class frequencies of all labelled rows.  Scoring is one Arrow pass over whole
-texts, in slices of a buffer, so memory does not grow with a text's length.
+at most ``PER_CLASS`` documents of either class (a documented limit of the
+classifier; all else covers all rows).  Their n-grams are counted in tasks, and
+one row of at most ``BUCKETS`` counts comes to the driver for each document,
+never a text.  Sampling is by class, so the bias is moved back to the class
+frequencies of all labelled rows.  Scoring is one Arrow pass over whole texts,
+some at a time and in slices of a buffer, so that memory grows neither with a
+batch nor with the work on a long text.
 
 Defined cases: a null or empty text has no features and scores the prior; a
 label row without a class, or without a document, teaches nothing; where label
@@ -22,6 +25,7 @@ gives an empty result; other columns are carried by ``score`` unchanged.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import extended, set_aside, table
+from millrace.llm.common import extended, set_aside, table, text_groups
 
 BITS, DIM = 18, 6
 BUCKETS = 1 << BITS
@@ -39,7 +43,8 @@ PER_CLASS = (5000, 2500)
 EPOCHS, RATE, SCALE, BATCH, DECAY = 12, 0.3, 24.0, 128, 1e-6
 #: A small sample is gone through more often, up to this many minibatches.
 STEPS = 240
-SLICE = 1 << 21
+#: Positions of a slice, and characters of the texts that are folded together.
+SLICE, TOGETHER = 1 << 17, 1 << 19
 SPACE = 0x20
 
 _FOLD = np.full(256, SPACE, np.uint8)
@@ -69,38 +74,35 @@ def feature_slices(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.nda
         yield np.clip(np.concatenate(([0], ends)) - at, 0, n), np.array(buckets), np.array(valids)
 
 
-def _room(buffer: np.ndarray, used: int, more: int) -> np.ndarray:
-    """``buffer``, or a copy at least twice as long if ``more`` values don't fit behind those used."""
-    if used + more <= len(buffer):
-        return buffer
-    wider = np.empty(max(2 * len(buffer), used + more), buffer.dtype)
-    wider[:used] = buffer[:used]
-    return wider
+def feature_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a text in rising order, and how often each occurs."""
+    counts = np.zeros(BUCKETS, np.uint32)
+    for _, buckets, valids in feature_slices([text]):
+        for bucket, valid in zip(buckets, valids):
+            counts += np.bincount(bucket[valid], minlength=BUCKETS).astype(np.uint32)
+    used = np.flatnonzero(counts)
+    return used.astype(np.uint32), counts[used]
 
 
-def feature_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sparse rows of bucket frequencies: row bounds, buckets, shares (each row's shares sum to 1).
+def pack_features(text: str | None) -> bytes:
+    """The counts of a text: steps between its buckets and the counts, compressed."""
+    used, counts = feature_counts(text)
+    return zlib.compress(np.concatenate((np.diff(used, prepend=np.uint32(0)), counts)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
 
-    They are gathered in two long buffers, whose memory goes back to the system
-    as a whole.
-    """
-    bounds, end = [0], 0
-    columns, shares = np.empty(1 << 20, np.int32), np.empty(1 << 20, np.float32)
-    for text in texts:
-        counts = np.zeros(BUCKETS, np.float32)
-        for _, buckets, valids in feature_slices([text]):
-            counts += np.bincount(buckets[valids], minlength=BUCKETS)
-        used = np.flatnonzero(counts)
-        columns, shares = _room(columns, end, len(used)), _room(shares, end, len(used))
-        columns[end:end + len(used)] = used
-        shares[end:end + len(used)] = counts[used] / max(1.0, float(counts[used].sum()))
-        end += len(used)
-        bounds.append(end)
-    return np.array(bounds), columns[:end], shares[:end]
-
-
-def train(texts: list[str | None], labels: np.ndarray, prior: float, seed: int = 5) -> tuple[np.ndarray, float]:
-    """Train embeddings and softmax together; returns each bucket's log-odds weight, and the bias.
+
+def unpack_features(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse rows of bucket frequencies: row bounds, buckets, shares (each row's shares sum to 1)."""
+    bounds = np.cumsum([0] + [len(zlib.decompress(r)) >> 3 for r in rows])
+    columns, shares = np.empty(bounds[-1], np.int32), np.empty(bounds[-1], np.float32)
+    for r, a, b in zip(rows, bounds, bounds[1:]):
+        steps, counts = np.ascontiguousarray(np.frombuffer(zlib.decompress(r), np.uint8).reshape(4, -1).T).view("<u4").reshape(2, -1)
+        columns[a:b] = np.cumsum(steps)
+        shares[a:b] = counts / max(1.0, float(counts.sum()))
+    return bounds, columns, shares
+
+
+def train(features: list[bytes], labels: np.ndarray, prior: float, seed: int = 5) -> tuple[np.ndarray, float]:
+    """Train embeddings and softmax together on packed features; returns each bucket's log-odds weight, and the bias.
 
     Adagrad on minibatches.  The two classes' softmax depends only on the
     difference of their weight rows, which is what scoring needs.
@@ -109,7 +111,7 @@ def train(texts: list[str | None], labels: np.ndarray, prior: float, seed: int =
     if len(set(labels.tolist())) < 2:
         return np.zeros(BUCKETS, np.float32), odds
     rng = np.random.default_rng(seed)
-    bounds, columns, shares = feature_counts(texts)
+    bounds, columns, shares = unpack_features(features)
     table_ = (rng.standard_normal((BUCKETS, DIM)) * 0.05).astype(np.float32)
     softmax = (rng.standard_normal((DIM, 2)) * 0.5).astype(np.float32)
     bias = np.zeros(2, np.float32)
@@ -150,13 +152,16 @@ def train(texts: list[str | None], labels: np.ndarray, prior: float, seed: int =
 def score_texts(texts: list[str | None], weights: np.ndarray, bias: float) -> np.ndarray:
     """Probability of class 1 for every text."""
     total, count = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-    for starts, buckets, valids in feature_slices(texts):
-        value = np.zeros(buckets.shape[1] + 1)
-        number = np.zeros(buckets.shape[1] + 1, np.int64)
-        np.cumsum((weights[buckets] * valids).sum(0, dtype=np.float64), out=value[1:])
-        np.cumsum(valids.sum(0), out=number[1:])
-        total += np.diff(value[starts])
-        count += np.diff(number[starts])
+    for a, b in text_groups(texts, TOGETHER):
+        for starts, buckets, valids in feature_slices(texts[a:b]):
+            weight = np.zeros(buckets.shape[1])
+            for bucket, valid in zip(buckets, valids):
+                weight += weights[bucket] * valid
+            value, number = np.zeros(len(weight) + 1), np.zeros(len(weight) + 1, np.int64)
+            np.cumsum(weight, out=value[1:])
+            np.cumsum(valids.sum(0), out=number[1:])
+            total[a:b] += np.diff(value[starts])
+            count[a:b] += np.diff(number[starts])
     return 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + bias, -500, 500)))
 
 
@@ -167,8 +172,8 @@ def held_out() -> Column:
 def learn(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_CLASS, seed: int = 5) -> tuple[np.ndarray, float]:
     """Weights and bias from the labelled rows that are not held out.
 
-    A seeded hash picks at most ``per_class`` rows of the two classes; only
-    their texts come to the driver.
+    A seeded hash picks at most ``per_class`` documents of the two classes; only
+    their features come to the driver.
     """
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
@@ -178,11 +183,19 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_C
     for value in (0, 1):
         some = known.where(F.col("toxic") == value).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(per_class[value])
         chosen = some if chosen is None else chosen.union(some)
+    turn = F.xxhash64(F.lit(seed + 1), "doc_id").alias("turn")
     sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-              .select("text", "toxic", F.xxhash64(F.lit(seed + 1), "doc_id").alias("turn")).toPandas())
-    sample = sample.sort_values(["turn", "text"], kind="stable", na_position="first")
-    texts = [t if isinstance(t, str) else None for t in sample["text"]]
-    return train(texts, sample["toxic"].to_numpy(dtype=np.int64), (positive + 1) / (positive + negative + 3), seed)
+              .groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min("text").alias("text")).select("text", "toxic", turn))
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = [pack_features(t.as_py()) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1), batch.column(2)], names=["features", "toxic", "turn"])
+
+    known_to = labels.schema["toxic"].dataType.simpleString()
+    rows = sorted(sample.mapInArrow(features, f"features binary, toxic {known_to}, turn long").collect(), key=lambda r: (r["turn"], r["features"]))
+    return train([bytes(r["features"]) for r in rows], np.array([r["toxic"] for r in rows], np.int64),
+                 (positive + 1) / (positive + negative + 3), seed)
 
 
 def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
