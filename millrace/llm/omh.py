@@ -47,6 +47,8 @@ WIDTH, SIMILARITY = 5, 0.8
 HASHES, TOGETHER = 24, 4
 #: Values below this many times the mean spacing are looked at first.
 EXPECTED = 16.0
+#: Characters of the texts that are sketched together.
+TEXTS = 1 << 19
 
 
 def text_keys(batch: WordBatch) -> np.ndarray:
@@ -99,7 +101,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in text_groups(texts):
+            for a, b in text_groups(texts, TEXTS):
                 words = WordBatch(texts[a:b])
                 labels, doc = shingles(words, WIDTH)
                 count = np.bincount(doc, minlength=b - a)
@@ -119,7 +121,7 @@ def with_key(docs: DataFrame) -> DataFrame:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(place).to_pylist()
-            keys = [_key_array(text_keys(WordBatch(texts[a:b]))) for a, b in text_groups(texts)]
+            keys = [_key_array(text_keys(WordBatch(texts[a:b]))) for a, b in text_groups(texts, TEXTS)]
             column = pa.concat_arrays(keys) if keys else pa.array([], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, "near_key"])
 
