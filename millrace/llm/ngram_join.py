@@ -488,6 +488,11 @@ def chosen_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.select(spot.alias("spot"), "text").mapInArrow(build, "set_key binary, n long, shingles binary")
 
 
+def _grows(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the documents: it is shuffled at every size, never broadcast."""
+    return side.hint("merge")
+
+
 def _blocks(sets, shingles):
     """How many blocks hold so many sets and shingles."""
     return F.greatest(F.ceil(sets / BLOCK_SETS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
@@ -498,7 +503,7 @@ def _first_cells(sets: DataFrame, rounds: int) -> DataFrame:
     least = materialize(_smallest(sets, rounds).select("set_key", "size", F.posexplode("least").alias("round", "cell")), "ngram-least")
     groups = (least.groupBy("round", "cell").agg(F.count("*").alias("members"), F.sum("size").alias("shingles")).where("members > 1")
               .select("round", "cell", _blocks(F.col("members"), F.col("shingles")).alias("blocks")))
-    return least.join(groups, ["round", "cell"]).select(
+    return least.join(_grows(groups), ["round", "cell"]).select(
         "set_key", F.col("round").cast("long").alias("c1"), F.col("cell").alias("c2"),
         F.pmod(F.xxhash64("round", "set_key"), "blocks").cast("long").alias("c3"))
 
@@ -513,7 +518,7 @@ def _candidates(sets: DataFrame, cells: DataFrame, rounds: int) -> DataFrame:
     # the cells that a set was in, one for each round; a set alone has one of its own
     cell = F.xxhash64("c1", "c2", "c3")
     been = cells.groupBy("set_key").agg(F.count("*").alias("cells"), *[F.max(F.when(F.col("c1") == r, cell)).alias(f"r{r}") for r in range(rounds)])
-    met = (rows.join(open_, "shingle").join(been, "set_key", "left")
+    met = (rows.join(_grows(open_), "shingle").join(_grows(been), "set_key", "left")
            .select("shingle", "set_key", "component", "n", "place",
                    F.array(*[F.coalesce(f"r{r}", F.xxhash64(F.lit(r), "set_key")) for r in range(rounds)]).cast("array<long>").alias("cells")))
     met = materialize(met, "ngram-open")
@@ -525,7 +530,7 @@ def _candidates(sets: DataFrame, cells: DataFrame, rounds: int) -> DataFrame:
         F.sum(F.when(F.col("large"), 0).otherwise(F.col("sets"))).alias("rest"), F.sum(F.when(F.col("large"), F.col("sets")).otherwise(0)).alias("large"))
         .select("shingle", "largest", F.ceil(F.col("rest") / BLOCK_SETS).cast("int").alias("rest"), F.ceil(F.col("large") / BLOCK_SETS).cast("int").alias("large")))
     own = F.pmod(F.xxhash64("set_key"), F.when(F.col("component") == F.col("largest"), F.col("large")).otherwise(F.col("rest"))).cast("int")
-    placed = met.join(plan, "shingle").withColumn("block", own).withColumn("is_large", F.col("component") == F.col("largest"))
+    placed = met.join(_grows(plan), "shingle").withColumn("block", own).withColumn("is_large", F.col("component") == F.col("largest"))
     # blocks of the rest are 0 to rest - 1, those of the largest component follow; a block of the rest meets every block from it on
     every = F.transform(F.sequence(F.lit(0), F.col("rest") - 1), lambda a: F.struct(a.alias("a"), (F.col("rest") + F.col("block")).alias("b")))
     asked = F.transform(F.sequence(F.col("block"), F.col("rest") + F.col("large") - 1), lambda b: F.struct(F.col("block").alias("a"), b.alias("b")))
@@ -560,11 +565,11 @@ def _links_between(candidates: DataFrame, sets: DataFrame) -> DataFrame:
     load = candidates.groupBy("x").agg(F.count("*").alias("sets"), F.max("n").alias("n")).select(
         "x", _blocks(F.col("sets"), F.col("sets") * F.col("n")).alias("blocks"))
     name = [F.xxhash64(F.lit(seed), "x").alias(c) for seed, c in ((1, "c1"), (2, "c2"))]
-    told = candidates.join(load, "x").select(
+    told = candidates.join(_grows(load), "x").select(
         *name, F.pmod(F.xxhash64("y"), "blocks").cast("long").alias("c3"), F.col("y").alias("set_key"), F.lit(False).alias("asks"), F.lit(True).alias("told"))
     asks = load.select(*name, F.explode(F.expr("sequence(0L, blocks - 1L)")).alias("c3"), F.col("x").alias("set_key"),
                        F.lit(True).alias("asks"), F.lit(False).alias("told"))
-    return links_in_cells(told.unionByName(asks).withColumn("component", F.col("set_key")).join(sets.select("set_key", "n", "shingles"), "set_key"))
+    return links_in_cells(told.unionByName(asks).withColumn("component", F.col("set_key")).join(_grows(sets.select("set_key", "n", "shingles")), "set_key"))
 
 
 def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -577,15 +582,15 @@ def linked_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
               .groupBy("set_key").agg(F.min(F.struct(id_number().alias("number"), "text_hash")).alias("at")).select("set_key", "at.*"))
     wanted = materialize(wanted, "ngram-wanted")
 
-    sets = (chosen_sets(narrow, wanted).join(wanted.select("set_key"), "set_key", "left_semi").dropDuplicates(["set_key"]))
+    sets = (chosen_sets(narrow, wanted).join(_grows(wanted.select("set_key")), "set_key", "left_semi").dropDuplicates(["set_key"]))
     ordered = ordered_sets(materialize(sets, "ngram-shingles"), parts)
     ordered = materialize(ordered.where(100 * F.length("shingles") >= 8 * LEAST * F.col("n")), "ngram-ordered")
 
     cells = materialize(_first_cells(ordered, ROUNDS), "ngram-cells")
-    links = materialize(links_in_cells(cells.join(ordered, "set_key").select(
+    links = materialize(links_in_cells(cells.join(_grows(ordered), "set_key").select(
         "*", F.col("set_key").alias("component"), F.lit(True).alias("asks"), F.lit(True).alias("told"))), "ngram-links")
     labels = components(links)
-    placed = (ordered.join(labels.withColumnRenamed("key", "set_key"), "set_key", "left")
+    placed = (ordered.join(_grows(labels.withColumnRenamed("key", "set_key")), "set_key", "left")
               .withColumn("component", F.coalesce("component", "set_key")))
     candidates = materialize(_candidates(placed, cells, ROUNDS), "ngram-candidates")
     return known, links.unionByName(materialize(_links_between(candidates, ordered), "ngram-links"))
@@ -600,7 +605,7 @@ def join_components(docs: DataFrame) -> DataFrame:
     nodes = materialize(nodes, "ngram-nodes")
     names = nodes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = nodes.join(names, "component").select("set_key", "component_id")
-    filled = known.where("n > 0").join(named, "set_key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    filled = known.where("n > 0").join(_grows(named), "set_key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return filled.unionByName(known.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
