@@ -48,14 +48,17 @@ def point_in_intervals(points: DataFrame, iv: DataFrame, key: str, point_ts: str
     columns of that interval).
 
     A sweep instead of pairs: starts and ends are events of +1 and -1, and a
-    point's count is the running sum up to it.  The same sum over hashes of the
-    ids is the hash of the one interval that is open where the count is 1.
+    point's count is the running sum up to it.  The same sum over hashes of
+    (id, start, end) is the hash of the one interval that is open where the count
+    is 1; equal intervals are open together, so a point never meets one of them.
+    There are as many rows out as points, whatever ids repeat.
     Sums run within (key, time bucket) and continue from what earlier buckets
     leave open, so the work is linear in points plus intervals, however many
     overlap, and equal points are counted each on their own.
     """
     carry = iv_carry or []
-    number = F.xxhash64(F.col(iv_id)).cast("decimal(20,0)")
+    own = F.xxhash64(iv_id, start, end)    # an id may stand for several intervals of a key
+    number = own.cast("decimal(20,0)")
     known = iv.filter(F.col(start).isNotNull() & (F.col(end) > F.col(start)))
     none = F.lit(None).cast(points.select(F.struct(*points.columns).alias("p")).schema["p"].dataType)
 
@@ -77,7 +80,7 @@ def point_in_intervals(points: DataFrame, iv: DataFrame, key: str, point_ts: str
                .select("_k", "_p.*", (F.col("_n") + F.coalesce("_open_n", zero)).alias("match_count"),
                        (F.col("_h") + F.coalesce("_open_h", zero)).alias("_sum")))
     counted = counted.withColumn("_one", F.when(F.col("match_count") == 1, F.col("_sum").cast("bigint")))
-    names = known.select(F.col(key).alias("_ik"), F.xxhash64(F.col(iv_id)).alias("_ih"), F.col(iv_id).alias(f"matched_{iv_id}"),
+    names = known.select(F.col(key).alias("_ik"), own.alias("_ih"), F.col(iv_id).alias(f"matched_{iv_id}"),
                          *[F.col(c).alias(f"_ivc_{c}") for c in carry])
     found = counted.join(names, (F.col("_k") == F.col("_ik")) & (F.col("_one") == F.col("_ih")), "left")
     out = found.select(*points.columns, "match_count", f"matched_{iv_id}", *[F.col(f"_ivc_{c}").alias(c) for c in carry])

@@ -29,11 +29,19 @@ def table_counts(frames: dict[str, DataFrame]) -> DataFrame:
                     round_half_up(F.col("rows").cast("double") / F.col("_total").cast("double"), 6).alias("share")))
 
 
+def _frequencies(columns: list[tuple[str, DataFrame, Column]], name: str) -> DataFrame:
+    """Rows by (label, value) of (label, frame, expression) triples, all of a frame in one scan of it."""
+    by_frame: dict[int, tuple[DataFrame, list[Column]]] = {}
+    for label, df, value in columns:
+        pair = F.struct(F.lit(label).alias("source_column"), value.cast("string").alias(name))
+        by_frame.setdefault(id(df), (df, []))[1].append(pair)
+    pairs = union_all([df.select(F.inline(F.array(*named))) for df, named in by_frame.values()])
+    return pairs.groupBy("source_column", name).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def value_counts(columns: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Frequency of each value of the given (label, frame, column) triples."""
-    return union_all([df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-                        .select(F.lit(label).alias("source_column"), "value", "rows")
-                      for label, df, c in columns])
+    """Frequency of each value of the given (label, frame, column) triples; columns of the same frame share a scan."""
+    return _frequencies([(label, df, F.col(c)) for label, df, c in columns], "value")
 
 
 def id_scheme(c) -> Column:
@@ -46,10 +54,8 @@ def id_scheme(c) -> Column:
 
 
 def format_profile(columns: list[tuple[str, DataFrame, Column]]) -> DataFrame:
-    """Rows per format class for (label, frame, class-expression) triples."""
-    return union_all([df.groupBy(cls.alias("format")).agg(F.count(F.lit(1)).alias("rows"))
-                        .select(F.lit(label).alias("source_column"), "format", "rows")
-                      for label, df, cls in columns])
+    """Rows per format class for (label, frame, class-expression) triples; one scan a frame."""
+    return _frequencies(columns, "format")
 
 
 def scheme_examples(df: DataFrame, col: str) -> DataFrame:
@@ -59,9 +65,15 @@ def scheme_examples(df: DataFrame, col: str) -> DataFrame:
 
 
 def distinct_domain(columns: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    return union_all([df.agg(F.countDistinct(c).alias("distinct_values"))
-                        .select(F.lit(label).alias("source_column"), "distinct_values")
-                      for label, df, c in columns])
+    """Exact distinct values of (label, frame, column) triples; one scan a frame, 0 where it is empty."""
+    by_frame: dict[int, tuple[DataFrame, list[tuple[str, str]]]] = {}
+    for label, df, c in columns:
+        by_frame.setdefault(id(df), (df, []))[1].append((label, c))
+    return union_all([
+        df.agg(*[F.count_distinct(c).alias(f"_{i}") for i, (_, c) in enumerate(named)])
+          .select(F.inline(F.array(*[F.struct(F.lit(label).alias("source_column"), F.col(f"_{i}").alias("distinct_values"))
+                                     for i, (label, _) in enumerate(named)])))
+        for df, named in by_frame.values()])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

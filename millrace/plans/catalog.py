@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
 from millrace.functions.parse import parse_multi_ts, ts_format_class
 from millrace.operators import expect, quality
@@ -737,6 +737,68 @@ def _bronze_rescue(p: Plant) -> DataFrame:
                  F.count_if(F.col(ingest.RESCUE_COL).endswith(",EXTRA")).cast("bigint").alias("too_many_fields"))
 
 
+@query("bronze_json_batch")
+def _bronze_json_batch(p: Plant) -> DataFrame:
+    """Registry exported as pretty-printed JSON arrays, read as a batch: every column STRING."""
+    from millrace.streaming import ingest
+    landing = ingest.fresh_dir(p.spark, "bronze_json_batch")
+    ingest.land_json_arrays(p.bronze_registry().drop("_ingest_ts", "_source_file"), landing, rows_per_file=2_000)
+    return ingest.bronze_batch(p.spark, landing, REGISTRY_COLUMNS, "json", {"multiLine": "true"}).select(
+        "equipment_id", "name", "type", "line", "status", "criticality", "install_date", "last_maintenance", "specs")
+
+
+def _stream_lines(p: Plant, kind: str, lines: DataFrame, read) -> DataFrame:
+    """Land ``lines``, stream them as text through ``read`` into parquet, and return what was stored."""
+    from millrace.streaming import ingest
+    base = ingest.fresh_dir(p.spark, kind)
+    ingest.land_text(lines, os.path.join(base, "landing"))
+    stream = p.spark.readStream.option("recursiveFileLookup", "true").text(os.path.join(base, "landing"))
+    ingest.run_once(ingest.to_parquet(read(stream), os.path.join(base, "bronze"), os.path.join(base, "_chk")))
+    return p.spark.read.parquet(os.path.join(base, "bronze"))
+
+
+@query("bronze_rescue_json")
+def _bronze_rescue_json(p: Plant) -> DataFrame:
+    """Machine records streamed as JSON lines: unknown fields, values of the wrong kind and
+    records cut off are rescued by field name."""
+    from millrace.sources import rescue
+    s = F.col("s_suppkey")
+    text = s.cast("string")
+    speed = (F.when(F.pmod(s, F.lit(5)) == 1, F.lit('"n/a"'))
+             .when(F.pmod(s, F.lit(5)) == 2, F.concat(F.pmod(s, F.lit(900)).cast("string"), F.lit(".5")))
+             .otherwise(F.pmod(s, F.lit(900)).cast("string")))
+    fields = F.concat_ws(", ", F.concat(F.lit('"equipment_id": "EQ-'), text, F.lit('"')),
+                         F.concat(F.lit('"rated_bpm": '), speed),
+                         F.when(F.pmod(s, F.lit(7)) == 0, F.concat(F.lit('"vendor_note": "rev '), text, F.lit('"'))),
+                         F.when(F.pmod(s, F.lit(9)) == 0, F.concat(F.lit('"geo": {"hall": '), F.pmod(s, F.lit(3)).cast("string"), F.lit("}"))))
+    lines = p.table("supplier", ["s_suppkey"]).select(
+        F.concat(F.lit("{"), fields, F.when(F.pmod(s, F.lit(13)) == 0, F.lit("")).otherwise(F.lit("}"))).alias("value"))
+    schema = StructType().add("equipment_id", "string").add("rated_bpm", "integer")
+    return (_stream_lines(p, "rescue_json", lines, lambda df: rescue.json_fields(df, "value", schema))
+            .withColumnRenamed(rescue.RESCUED, "rescued"))
+
+
+@query("bronze_rescue_csv")
+def _bronze_rescue_csv(p: Plant) -> DataFrame:
+    """Readings streamed as CSV lines with a typed value: rows by the names of their rescued fields."""
+    from millrace.plans.plant import EVENT_COLS
+    from millrace.sources import rescue, shape
+    shaped = shape.raw_readings_with_id(p.table("events", EVENT_COLS), p.zone)
+    eid = F.col("_event_id")
+    value = F.when(F.pmod(eid, F.lit(71)) == 0, F.lit("over range")).otherwise(F.col("value"))
+    cols = [F.coalesce(value if c == "value" else F.col(c), F.lit("")) for c in READING_COLUMNS]
+    line = (F.when(F.pmod(eid, F.lit(89)) == 0, F.concat_ws(",", *cols, F.lit("EXTRA")))
+            .when(F.pmod(eid, F.lit(83)) == 0, F.concat_ws(",", *cols[:-1]))
+            .otherwise(F.concat_ws(",", *cols)))
+    schema = StructType()
+    for c in READING_COLUMNS:
+        schema = schema.add(c, "double" if c == "value" else "string")
+    stored = _stream_lines(p, "rescue_csv", shaped.select(line.alias("value")), lambda df: rescue.csv_fields(df, "value", schema))
+    names = F.array_join(F.array_sort(F.json_object_keys(rescue.RESCUED)), ";")
+    return stored.groupBy(names.alias("rescued_fields")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("value").alias("values_read"), F.count("sensor_tag").alias("tags_read"))
+
+
 def _stream_silver(p: Plant):
     from millrace.streaming import ingest
     from millrace.streaming.silver_stream import ReadingsBatchWriter

@@ -819,6 +819,34 @@ ORACLES["bronze_rescue"] = with_ctes(T_R) + """SELECT COUNT(*) AS rows,
   COUNT(*) FILTER (WHERE event_id % 89 = 0) AS too_many_fields
 FROM t_r"""
 
+ORACLES["bronze_json_batch"] = ORACLES["bronze_json_ingest"]
+
+ORACLES["bronze_rescue_json"] = """WITH r AS (
+  SELECT s_suppkey AS s, CAST(s_suppkey % 900 AS VARCHAR) || CASE WHEN s_suppkey % 5 = 2 THEN '.5' ELSE '' END AS bpm,
+         CASE WHEN s_suppkey % 9 = 0 THEN CAST(s_suppkey % 3 AS VARCHAR) END AS hall,
+         CASE WHEN s_suppkey % 7 = 0 THEN 'rev ' || CAST(s_suppkey AS VARCHAR) END AS note
+  FROM supplier
+)
+SELECT CASE WHEN s % 13 > 0 THEN 'EQ-' || CAST(s AS VARCHAR) END AS equipment_id,
+       CASE WHEN s % 13 > 0 AND s % 5 NOT IN (1, 2) THEN CAST(bpm AS INTEGER) END AS rated_bpm,
+       CASE WHEN s % 13 = 0 THEN
+              CAST(to_json({'_record': concat_ws(', ', '{"equipment_id": "EQ-' || CAST(s AS VARCHAR) || '"',
+                '"rated_bpm": ' || CASE WHEN s % 5 = 1 THEN '"n/a"' ELSE bpm END,
+                '"vendor_note": "' || note || '"', '"geo": {"hall": ' || hall || '}')}) AS VARCHAR)
+            WHEN s % 5 IN (1, 2) OR s % 7 = 0 OR s % 9 = 0 THEN
+              '{' || concat_ws(',', '"geo":{"hall":' || hall || '}',
+                CASE s % 5 WHEN 1 THEN '"rated_bpm":"n/a"' WHEN 2 THEN '"rated_bpm":' || bpm END,
+                '"vendor_note":"' || note || '"') || '}' END AS rescued
+FROM r"""
+
+ORACLES["bronze_rescue_csv"] = with_ctes(T_R) + """SELECT
+  NULLIF(concat_ws(';', CASE WHEN event_id % 89 = 0 THEN '_c7' WHEN event_id % 83 = 0 THEN '_fields' END,
+                   CASE WHEN event_id % 71 = 0 THEN 'value' END), '') AS rescued_fields,
+  COUNT(*) AS rows,
+  COUNT(*) FILTER (WHERE event_id % 71 <> 0 AND (event_id % 53 = 0 OR event_id % 41 <> 0)) AS values_read,
+  COUNT(*) AS tags_read
+FROM t_r GROUP BY 1"""
+
 # the drop a reading arrives in, and whether it is behind the mark of the drops before by over 6 h
 T_DROPS = """t_drop AS (
   SELECT t_acc.*, least(2, (epoch_us(ts) // 1000000 - lo) * 3 // (hi - lo + 1) + CASE WHEN event_id % 61 = 0 THEN 1 ELSE 0 END) AS drop_no

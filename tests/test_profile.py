@@ -41,6 +41,20 @@ def test_duplicate_keys_and_value_counts(spark):
     assert rows(vc, "value", "rows") == [("a", 2), ("b", 1)]
 
 
+def test_columns_of_a_frame_share_a_scan(spark, tmp_path):
+    spark.createDataFrame([("a", 1), ("a", None), (None, 2)], "k STRING, v INT").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    columns = [("t.k", df, "k"), ("t.v", df, "v")]
+    counts = profile.value_counts(columns)
+    assert {tuple(r) for r in counts.collect()} == {("t.k", "a", 2), ("t.k", None, 1), ("t.v", "1", 1),
+                                                    ("t.v", "2", 1), ("t.v", None, 1)}
+    domain = profile.distinct_domain(columns)
+    assert rows(domain, "source_column", "distinct_values") == [("t.k", 1), ("t.v", 2)]
+    assert rows(profile.distinct_domain([("e.k", df.filter("v > 9"), "k")]), "source_column", "distinct_values") == [("e.k", 0)]
+    for frame in (counts, domain):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def test_vibration_window_stats(spark):
     import datetime as dt
     import math

@@ -117,6 +117,17 @@ def test_equal_points_are_counted_each(spark):
         ("p", 1, "a", "S"), ("p", 1, "a", "S"), ("q", 0, None, None), ("r", 0, None, None), ("s", 0, None, None)]
 
 
+def test_repeated_interval_ids_return_each_point_once(spark):
+    iv = spark.createDataFrame([(1, "a", T("2024-01-01 08:00"), T("2024-01-01 09:00"), "S"), (1, "a", T("2024-01-01 10:00"), T("2024-01-01 11:00"), "U"),
+                                (1, "b", T("2024-01-01 12:00"), T("2024-01-01 13:00"), "V"), (1, "b", T("2024-01-01 12:00"), T("2024-01-01 13:00"), "V")],
+                               "line_id INT, run_id STRING, start_ts TIMESTAMP, end_ts TIMESTAMP, sku STRING")
+    pts = spark.createDataFrame([("p", 1, T("2024-01-01 08:30")), ("q", 1, T("2024-01-01 10:30")), ("r", 1, T("2024-01-01 12:30"))],
+                                "check_id STRING, line_id INT, check_ts TIMESTAMP")
+    got = intervals.point_in_intervals(pts, iv, "line_id", "check_ts", "run_id", "start_ts", "end_ts", iv_carry=["sku"])
+    assert rows(got, "check_id", "match_count", "matched_run_id", "sku") == [
+        ("p", 1, "a", "S"), ("q", 1, "a", "U"), ("r", 2, None, None)]
+
+
 def test_segmented_lead_equals_plain_lead(spark):
     from millrace.operators.sequence import segmented_lead
     rnd = random.Random(11)
