@@ -6,14 +6,13 @@
 
 None of them puts a whole key in one task: the ordered steps run over
 (key, time bucket) windows with a carried boundary row (``segmented_lag``),
-the as-of join is an equi join on (key, bucket) of versions spread over the
-buckets they cover, and the latest state is a ``max_by`` aggregate that is
+the as-of join carries the last version over (key, bucket), and the latest state is a ``max_by`` aggregate that is
 combined map-side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.sequence import segmented_lag, segmented_lead
@@ -41,45 +40,60 @@ def scd2(changes: DataFrame, keys: list[str], ts_col: str, seq_col: str, tracked
                            F.col(f"next_{ts_col}").isNull().alias("is_current"))
 
 
-def _bucket_seq(start: Column, end: Column, unit: str) -> Column:
-    step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    first = F.date_trunc(unit, start)
-    last = F.date_trunc(unit, end)
-    return F.sequence(first, last, step)
-
-
 def asof_join(facts: DataFrame, versions: DataFrame, keys: list[str], fact_ts: str,
               columns: list[str], unit: str = "month") -> DataFrame:
-    """Left join each fact to the version with valid_from ≤ ts < valid_to
+    """Left join each fact to the version with valid_from <= ts < valid_to
     (open end = current).
 
-    Closed versions are spread over the time buckets they cover and joined on
-    (key, bucket) plus the exact predicate.  Current versions (one per key)
-    are joined on the key alone and only fill facts the closed versions did
-    not match.  Each fact matches at most one version, no pairs within a key
-    are enumerated, and the facts are scanned once (no horizon pass).
+    Facts and versions form one ordered sweep over (key, time bucket): every
+    row takes the last version seen before it.  A fact that has none in its
+    bucket takes the last one of an earlier bucket, from a table of one row
+    for each (key, bucket) that holds facts.  No version is repeated for the
+    buckets it covers, and facts are shuffled once.  ``unit`` should be small
+    enough for one key's facts of one bucket to fit a task.
+
+    Versions of a key should not overlap; where they do, the latest start
+    decides.  Gaps between versions are kept (a fact there has none).  Facts
+    without a key or a time have no version; they are spread by their content,
+    so that many of them do not meet in one task.
     """
-    sel = [*[F.col(k).alias(f"_v_{k}") for k in keys], F.col("valid_from").alias("_vf"),
-           *[F.col(c).alias(f"_v_{c}") for c in columns]]
-    closed = (versions.filter(F.col("valid_to").isNotNull())
-              .withColumn("_b", F.explode(_bucket_seq(F.col("valid_from"), F.col("valid_to"), unit)))
-              .select(*sel, "_b", F.col("valid_to").alias("_vt")))
-    f = facts.withColumn("_b", F.date_trunc(unit, F.col(fact_ts)))
-    c1 = [f[k] == closed[f"_v_{k}"] for k in keys] + [
-        f["_b"] == closed["_b"], f[fact_ts] >= closed["_vf"], f[fact_ts] < closed["_vt"]]
-    j1 = f.join(closed, c1, "left").select(
-        *[f[c] for c in facts.columns],
-        *[F.col(f"_v_{c}").alias(f"_c_{c}") for c in columns], F.col("_vf").alias("_c_vf"))
-    current = (versions.filter(F.col("valid_to").isNull()).select(*sel)
-               .withColumnRenamed("_vf", "_cur_vf"))
-    for c in columns:
-        current = current.withColumnRenamed(f"_v_{c}", f"_cur_{c}")
-    c2 = [j1[k] == current[f"_v_{k}"] for k in keys] + [
-        j1["_c_vf"].isNull(), j1[fact_ts] >= current["_cur_vf"]]
-    j2 = j1.join(current, c2, "left")
-    return j2.select(*[j1[c] for c in facts.columns],
-                     *[F.coalesce(F.col(f"_c_{c}"), F.col(f"_cur_{c}")).alias(c) for c in columns],
-                     F.coalesce(F.col("_c_vf"), F.col("_cur_vf")).alias("version_valid_from"))
+    at = F.col("_at")
+    lost = F.col("_at").isNull()
+    for k in keys:
+        lost = lost | F.col(k).isNull()
+    spread = [c for c, t in facts.dtypes if not t.startswith(("map", "variant", "struct", "array"))]
+    # never the start of a bucket, so it meets no row of the table of carried versions
+    apart = F.timestamp_micros(F.pmod(F.xxhash64(*[F.col(f"_fact.{c}") for c in spread]), F.lit(4096)) + 1)
+    fact = facts.select(*keys, F.col(fact_ts).alias("_at"), F.struct(*facts.columns).alias("_fact"))
+    fact = fact.withColumn("_bucket", F.when(lost, apart).otherwise(F.date_trunc(unit, at)))
+    known = versions.select(
+        *keys, F.col("valid_from").alias("_at"), F.date_trunc(unit, F.col("valid_from")).alias("_bucket"),
+        F.struct("valid_from", "valid_to", *columns).alias("_version")).filter(~lost)
+
+    sweep = known.unionByName(fact, allowMissingColumns=True)
+    # at the same time a version precedes the facts, and of several versions the one open longest comes last
+    order = [at, F.col("_version").isNull(), F.col("_version.valid_to").asc_nulls_last()]
+    seen = Window.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = (sweep.withColumn("_seen", F.last("_version", ignorenulls=True).over(seen))
+              .filter(F.col("_fact").isNotNull()).select(*keys, "_bucket", "_at", "_fact", "_seen"))
+
+    end = F.col("_version.valid_to")
+    tails = known.groupBy(*keys, "_bucket").agg(
+        F.max_by("_version", F.struct(at, end.isNull(), end)).alias("_tail"))
+    asked = facts.select(*keys, F.col(fact_ts).alias("_at")).filter(~lost).select(
+        *keys, F.date_trunc(unit, at).alias("_bucket")).distinct()
+    # a bucket's own tail sorts behind its question, which so finds earlier buckets only
+    before = (Window.partitionBy(*keys).orderBy("_bucket", F.col("_tail").isNotNull())
+              .rowsBetween(Window.unboundedPreceding, 0))
+    carried = (asked.unionByName(tails, allowMissingColumns=True)
+               .withColumn("_carried", F.last("_tail", ignorenulls=True).over(before))
+               .filter(F.col("_tail").isNull()).select(*keys, "_bucket", "_carried"))
+
+    found = placed.join(carried, [*keys, "_bucket"], "left").withColumn("_v", F.coalesce("_seen", "_carried"))
+    open_at = F.col("_v.valid_to").isNull() | (at < F.col("_v.valid_to"))
+    return found.select(*[F.col(f"_fact.{c}").alias(c) for c in facts.columns],
+                        *[F.when(open_at, F.col(f"_v.{c}")).alias(c) for c in columns],
+                        F.when(open_at, F.col("_v.valid_from")).alias("version_valid_from"))
 
 
 def latest_by_key(changes: DataFrame, keys: list[str], seq_col: str, op_col: str = "op",

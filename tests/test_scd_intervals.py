@@ -41,6 +41,46 @@ def test_scd2_versions(spark):
         ("k", T("2025-06-01"), "B"), ("z", T("2024-01-01"), None)}
 
 
+def _versions(spark, data):
+    return spark.createDataFrame(data, "k STRING, valid_from TIMESTAMP, valid_to TIMESTAMP, cls STRING")
+
+
+def test_asof_join_equals_brute_force(spark):
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    versions, facts = [], []
+    for key in ["hot", "a", "b"]:
+        at = base + dt.timedelta(hours=rnd.randint(0, 500))
+        for n in range(25):
+            end = at + dt.timedelta(hours=rnd.choice([0, 1, 30, 900, 2500]))    # zero-length and long versions
+            versions.append((key, at, None if n == 24 and key != "b" else end, f"{key}{n}"))
+            at = end + dt.timedelta(hours=rnd.choice([0, 0, 40]))               # gaps
+    versions += [(None, base, None, "no key"), ("c", None, base, "no start")]
+    starts = [v[1] for v in versions if v[1]]
+    for i in range(600):
+        ts = rnd.choice(starts) if i % 5 == 0 else base + dt.timedelta(hours=rnd.randint(-200, 24 * 1200))
+        facts.append((i, rnd.choice(["hot", "hot", "hot", "a", "b", "c", "never", None]), None if i % 29 == 0 else ts))
+    facts += facts[:20]                                                         # repeated rows stay repeated
+    got = scd.asof_join(spark.createDataFrame(facts, "id INT, k STRING, ts TIMESTAMP"), _versions(spark, versions),
+                        ["k"], "ts", ["cls"])
+    want = []
+    for i, k, ts in facts:
+        hits = [v for v in versions if k and ts and v[0] == k and v[1] and v[1] <= ts and (v[2] is None or ts < v[2])]
+        assert len(hits) <= 1
+        want.append((i, k, ts, hits[0][3] if hits else None, hits[0][1] if hits else None))
+    assert rows(got) == sorted(want, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_asof_join_of_empty_tables_and_its_plan(spark, capsys):
+    facts = spark.createDataFrame([(1, "k", T("2024-05-01"))], "id INT, k STRING, ts TIMESTAMP")
+    none = _versions(spark, [])
+    assert rows(scd.asof_join(facts, none, ["k"], "ts", ["cls"])) == [(1, "k", T("2024-05-01"), None, None)]
+    assert rows(scd.asof_join(facts.limit(0), none, ["k"], "ts", ["cls"])) == []
+    scd.asof_join(facts, _versions(spark, [("k", T("2024-01-01"), None, "A")]), ["k"], "ts", ["cls"]).explain()
+    plan = capsys.readouterr().out
+    assert "Generate" not in plan and "NestedLoop" not in plan
+
+
 def test_latest_by_key_honours_deletes(spark):
     ch = spark.createDataFrame([("a", 1, "UPSERT", "x"), ("a", 2, "UPSERT", "y"), ("b", 1, "UPSERT", "x"),
                                 ("b", 2, "DELETE", "x")], "alarm_id STRING, change_seq INT, op STRING, v STRING")
