@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from millrace.functions.parse import round_half_up
 from millrace.operators.intervals import (covered_minutes, merge_intervals, overlap_pairs,
                                           point_in_intervals)
+from millrace.operators import moments
 from millrace.operators.scd import latest_by_key
 from millrace.plans.gold import COMPLETED, UNPLANNED, completed_runs_with_previous
+from millrace.streaming import refresh
 
 
 def _completed(runs: DataFrame) -> DataFrame:
@@ -184,3 +186,28 @@ def line_scope(mart: DataFrame, assignments: DataFrame, group: str | None = None
     is bounded by groups × lines and broadcast."""
     a = assignments if group is None else assignments.filter(F.col("manager_group") == group)
     return mart.join(F.broadcast(a), "line_id")
+
+
+def store_check_moments(checks: DataFrame, scrap_daily: DataFrame, path: str) -> None:
+    """Co-moments of check values and their line-day's scrap rate, one row for
+    each (line, parameter, day), stored by month."""
+    dated = checks.select("line_id", "parameter", "value", F.to_date("check_ts_local").alias("production_date"))
+    pairs = dated.join(scrap_daily.select("line_id", "production_date", "scrap_rate"), ["line_id", "production_date"])
+    daily = moments.co_moments(pairs, ["line_id", "parameter", "production_date"], "value", "scrap_rate")
+    refresh.write_mart(daily, path, "production_date")
+
+
+def check_moments(spark, path: str, lo: str | None = None, hi: str | None = None) -> DataFrame:
+    """Stored daily co-moments from ``lo`` to ``hi``; only the months of that range are read."""
+    daily = spark.read.parquet(path)
+    for bound, inside in [(lo, lambda c, b: c >= b), (hi, lambda c, b: c <= b)]:
+        if bound is not None:
+            day = F.lit(bound).cast("date")
+            daily = daily.filter(inside(F.col(refresh.PERIOD_COL), F.trunc(day, "MM")) & inside(F.col("production_date"), day))
+    return daily.drop(refresh.PERIOD_COL)
+
+
+def check_scrap_corr(spark, path: str, lo: str | None = None, hi: str | None = None) -> DataFrame:
+    """Correlation of check values with scrap rate per line and parameter, from stored co-moments of ``lo`` to ``hi``."""
+    merged = moments.merge(check_moments(spark, path, lo, hi), ["line_id", "parameter"])
+    return merged.select("line_id", "parameter", F.col("n").alias("checks"), moments.correlation().alias("corr"))

@@ -349,6 +349,21 @@ def _q_param_scrap_corr(p: Plant) -> DataFrame:
     return ask.param_scrap_correlation(p.silver_quality(), p.scrap_rate_daily())
 
 
+@query("param_scrap_corr_quarters")
+def _param_scrap_corr_quarters(p: Plant) -> DataFrame:
+    """Per line, parameter and quarter: correlation of check values with scrap rate, merged from stored daily co-moments."""
+    from millrace.functions.parse import round_half_up
+    from millrace.operators import moments
+    from millrace.streaming import ingest
+    path = ingest.fresh_dir(p.spark, "check_moments")
+    analysis.store_check_moments(p.silver_quality(), p.scrap_rate_daily(), path)
+    daily = analysis.check_moments(p.spark, path).withColumn(
+        "quarter_start", F.trunc("production_date", "QUARTER"))
+    merged = moments.merge(daily, ["line_id", "parameter", "quarter_start"])
+    return merged.select("line_id", "parameter", "quarter_start", F.col("n").alias("checks"),
+                         round_half_up(moments.correlation(), 6).alias("corr"))
+
+
 @query("q_fill_weight_trend")
 def _q_fill_weight_trend(p: Plant) -> DataFrame:
     """Daily and 7-day moving mean check value per SKU and parameter."""

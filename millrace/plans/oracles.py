@@ -566,6 +566,14 @@ ORACLES["q_param_scrap_corr"] = with_ctes(T_QC, f"""sc AS ({ORACLES['gold_scrap_
 )""") + """SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY line_id ORDER BY abs(corr) DESC NULLS LAST, parameter) AS INTEGER) AS corr_rank
 FROM c"""
 
+ORACLES["param_scrap_corr_quarters"] = with_ctes(T_QC, f"""sc AS ({ORACLES['gold_scrap_rate']})""") + f"""
+SELECT q.line_id, q.parameter, CAST(date_trunc('quarter', sc.production_date) AS DATE) AS quarter_start, COUNT(*) AS checks,
+  CASE WHEN COUNT(*) > 1 AND stddev_pop(q.value) > 0 AND stddev_pop(sc.scrap_rate) > 0
+       THEN {rhu('corr(q.value, sc.scrap_rate)', 6)} END AS corr
+FROM t_qc q JOIN sc ON q.line_id = sc.line_id AND CAST(q.check_ts_local AS DATE) = sc.production_date
+WHERE q.value IS NOT NULL AND sc.scrap_rate IS NOT NULL
+GROUP BY 1, 2, 3"""
+
 ORACLES["q_fill_weight_trend"] = with_ctes(T_RUNS, T_DONE, T_QC, T_B2R, """m AS (
   SELECT r.product_sku, q.parameter, CAST(q.check_ts_local AS DATE) AS check_date, q.value
   FROM t_b2r b
