@@ -142,13 +142,15 @@ class ReadingsBatchWriter:
         spark = batch.sparkSession
         tagged = silver.readings_tagged(batch, self.refs, self.zone).persist()
         try:
-            if self.metrics_path:
-                write_metrics(tagged, silver.READINGS_RULES, "sensor_readings", self.metrics_path, batch_id)
-            (tagged.filter(F.col("quarantine_reason").isNotNull())
+            # the quarantine write sees every row and counts the rules on its way
+            watched, counts = expect.observe(tagged, silver.READINGS_RULES, "sensor_readings")
+            (watched.filter(F.col("quarantine_reason").isNotNull())
                    .select("timestamp", "equipment_id", "sensor_tag", F.col("raw_value").alias("value"),
                            "quality", "status", F.col("raw_line_id").alias("line_id"), "_ingest_ts",
                            "_source_file", "reading_ts", "equipment_key", "quarantine_reason")
                    .write.mode("overwrite").parquet(os.path.join(self.quarantine_path, f"_batch_id={batch_id}")))
+            if self.metrics_path:
+                write_metrics(spark, counts, silver.READINGS_RULES, "sensor_readings", self.metrics_path, batch_id)
             accepted = tagged.filter(F.col("quarantine_reason").isNull())
             if self.late_path:
                 self._record_late(spark, accepted, batch_id)
@@ -164,29 +166,35 @@ def silver_stream(bronze_stream: DataFrame, writer: ReadingsBatchWriter, checkpo
     return w.start()
 
 
-def write_metrics(df: DataFrame, rules, table: str, metrics_path: str, batch_id: int) -> None:
-    """Per-batch expectation counts (the pipeline's event log), one folder per
-    batch id, overwritten on replay."""
-    (expect.report(df, rules, table).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+def write_metrics(spark: SparkSession, counts, rules, table: str, metrics_path: str, batch_id: int) -> None:
+    """Expectation counts of a batch (the pipeline's event log) from the counters of its write, one
+    folder per batch id.  A replayed batch overwrites its own counts, so nothing is counted twice."""
+    (expect.observed_report(spark, counts, rules, table).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite").parquet(os.path.join(metrics_path, f"_batch_id={batch_id}")))
 
 
 class TableBatchWriter:
     """Generic silver sink for ``foreachBatch``: build the silver frame from
     the micro-batch, abort *before any write* if a ``fail`` rule is violated,
-    record the expectation counts, drop ``drop``-rule violators and write the
-    batch to its own folder (idempotent on replay)."""
+    drop ``drop``-rule violators and write the batch to its own folder
+    (idempotent on replay).  The write itself counts the violations; only a
+    table with ``fail`` rules takes a pass before it."""
 
     def __init__(self, build, rules, table: str, path: str, metrics_path: str):
         self.build, self.rules, self.table = build, rules, table
         self.path, self.metrics_path = path, metrics_path
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        df = self.build(batch).persist()
+        df = self.build(batch)
+        twice = any(r.policy == "fail" for r in self.rules)
+        if twice:
+            df = df.persist()
         try:
             expect.enforce(df, self.rules, self.table)
-            write_metrics(df, self.rules, self.table, self.metrics_path, batch_id)
-            (expect.apply(df, self.rules).write.mode("overwrite")
+            watched, counts = expect.observe(df, self.rules, self.table)
+            (expect.apply(watched, self.rules).write.mode("overwrite")
                    .parquet(os.path.join(self.path, f"_batch_id={batch_id}")))
+            write_metrics(batch.sparkSession, counts, self.rules, self.table, self.metrics_path, batch_id)
         finally:
-            df.unpersist()
+            if twice:
+                df.unpersist()

@@ -158,6 +158,24 @@ def test_table_writer_fails_before_any_write(spark, refs):
     assert not os.path.exists(os.path.join(base, "silver")) and not os.path.exists(os.path.join(base, "metrics"))
 
 
+def test_counts_come_from_the_write_and_a_replay_counts_once(spark):
+    from millrace.operators.expect import Expectation
+    from millrace.streaming.silver_stream import TableBatchWriter
+    base = ingest.fresh_dir(spark, "test_counts")
+    rules = [Expectation("a_known", "a IS NOT NULL", "drop"), Expectation("a_small", "a < 10")]
+    silver_path, metrics = os.path.join(base, "silver"), os.path.join(base, "metrics")
+    w = TableBatchWriter(lambda b: b, rules, "t", silver_path, metrics)
+    first = spark.createDataFrame([(1,), (None,), (20,)], "a INT")
+    w(first, 0)
+    w(first, 0)                                                       # replayed
+    w(first.where("a > 5"), 1)
+    w(first.limit(0), 2)                                              # an empty batch
+    assert rows(spark.read.parquet(metrics), "batch_id", "rule", "violations", "total_rows") == [
+        (0, "a_known", 1, 3), (0, "a_small", 2, 3), (1, "a_known", 0, 1), (1, "a_small", 1, 1),
+        (2, "a_known", 0, 0), (2, "a_small", 0, 0)]
+    assert rows(spark.read.parquet(silver_path), "a") == [(1,), (20,), (20,)]
+
+
 def test_stream_rerun_on_same_checkpoint_adds_nothing(spark, refs):
     base = ingest.fresh_dir(spark, "test_rerun")
     _land_drops(spark, os.path.join(base, "landing"), DROPS[:2])
