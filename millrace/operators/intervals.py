@@ -48,46 +48,84 @@ def point_in_intervals(points: DataFrame, iv: DataFrame, key: str, point_ts: str
     columns of that interval).
 
     A sweep instead of pairs: starts and ends are events of +1 and -1, and a
-    point's count is the running sum up to it.  The same sum over hashes of
-    (id, start, end) is the hash of the one interval that is open where the count
-    is 1; equal intervals are open together, so a point never meets one of them.
-    There are as many rows out as points, whatever ids repeat.
+    point's count is the running sum up to it.  The exclusive or, over the same
+    events, of a hash of (id, start, end) is the hash of the one interval that is
+    open where the count is 1; equal intervals are open together, so a point never
+    meets one of them.  There are as many rows out as points, whatever ids repeat.
     Sums run within (key, time bucket) and continue from what earlier buckets
     leave open, so the work is linear in points plus intervals, however many
     overlap, and equal points are counted each on their own.
+
+    Points are read once, and nothing filters them: what makes their time is
+    often long to compute, and a filter on it would compute it again.  Those
+    without a key or time are spread by their content over buckets of their own,
+    where nothing opens.
     """
     carry = iv_carry or []
     own = F.xxhash64(iv_id, start, end)    # an id may stand for several intervals of a key
-    number = own.cast("decimal(20,0)")
-    known = iv.filter(F.col(start).isNotNull() & (F.col(end) > F.col(start)))
     none = F.lit(None).cast(points.select(F.struct(*points.columns).alias("p")).schema["p"].dataType)
 
-    def event(at: str, sign: int) -> DataFrame:
-        return known.select(F.col(key).alias("_k"), F.col(at).alias("_t"), F.lit(0).alias("_order"),
-                            F.lit(sign).cast("bigint").alias("_n"), (number * sign).alias("_h"), none.alias("_p"))
-
-    timed = points.filter(F.col(point_ts).isNotNull() & F.col(key).isNotNull()).select(
+    def known(*values: Column) -> Column:
+        return F.explode(F.when(F.col(end) > F.col(start), F.array(*values)))    # no row unless start < end
+
+    events = (iv.select(F.col(key).alias("_k"), own.alias("_h"),
+                        known(F.struct(F.col(start).alias("t"), F.lit(1).cast("bigint").alias("n")),
+                              F.struct(F.col(end).alias("t"), F.lit(-1).cast("bigint").alias("n"))).alias("_e"))
+              .select("_k", F.col("_e.t").alias("_t"), F.lit(0).alias("_order"), F.lit(0).alias("_apart"),
+                      F.col("_e.n").alias("_n"), "_h", none.alias("_p")))
+    untimed = F.col(point_ts).isNull() | F.col(key).isNull()
+    spread = [c for c, t in points.dtypes if not t.startswith(("map", "variant", "struct", "array"))]
+    found = points.select(
         F.col(key).alias("_k"), F.col(point_ts).alias("_t"), F.lit(1).alias("_order"),
-        F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("decimal(20,0)").alias("_h"), F.struct(*points.columns).alias("_p"))
-    sweep = event(start, 1).union(event(end, -1)).union(timed).withColumn("_b", F.date_trunc(unit, "_t"))
-    earlier = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    open_ = (sweep.groupBy("_k", "_b").agg(F.sum("_n").alias("_n"), F.sum("_h").alias("_h"))   # one row for each bucket
-             .select("_k", "_b", F.sum("_n").over(earlier).alias("_open_n"), F.sum("_h").over(earlier).alias("_open_h")))
-    upto = Window.partitionBy("_k", "_b").orderBy("_t", "_order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    zero = F.lit(0)
-    counted = (sweep.withColumn("_n", F.sum("_n").over(upto)).withColumn("_h", F.sum("_h").over(upto)).filter("_order = 1")
-               .join(open_, ["_k", "_b"], "left")
-               .select("_k", "_p.*", (F.col("_n") + F.coalesce("_open_n", zero)).alias("match_count"),
-                       (F.col("_h") + F.coalesce("_open_h", zero)).alias("_sum")))
-    counted = counted.withColumn("_one", F.when(F.col("match_count") == 1, F.col("_sum").cast("bigint")))
-    names = known.select(F.col(key).alias("_ik"), own.alias("_ih"), F.col(iv_id).alias(f"matched_{iv_id}"),
-                         *[F.col(c).alias(f"_ivc_{c}") for c in carry])
-    found = counted.join(names, (F.col("_k") == F.col("_ik")) & (F.col("_one") == F.col("_ih")), "left")
-    out = found.select(*points.columns, "match_count", f"matched_{iv_id}", *[F.col(f"_ivc_{c}").alias(c) for c in carry])
-    untimed = points.filter(F.col(point_ts).isNull() | F.col(key).isNull()).select(
-        *points.columns, F.lit(0).cast("bigint").alias("match_count"),
-        *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in out.columns[len(points.columns) + 1:]])
-    return out.union(untimed)
+        F.when(untimed, 1 + F.pmod(F.xxhash64(*spread), F.lit(UNTIMED_BUCKETS)).cast("int")).otherwise(F.lit(0)).alias("_apart"),
+        F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("bigint").alias("_h"), F.struct(*points.columns).alias("_p"))
+    sweep = events.union(found).withColumn("_b", F.date_trunc(unit, "_t"))
+    upto = (Window.partitionBy("_k", "_b", "_apart").orderBy("_t", "_order")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    near, far = _open_at_start(events, unit)
+    open_n, open_h = (F.when(F.col("_apart") == 0, F.coalesce(f"_near_{c}", f"_far_{c}")) for c in "nh")
+    zero = F.lit(0).cast("bigint")
+    counted = (sweep.withColumn("_n", F.sum("_n").over(upto)).withColumn("_h", F.bit_xor("_h").over(upto)).filter("_order = 1")
+               .withColumn("_m", F.date_trunc(COARSE, "_b"))
+               .join(near, ["_k", "_b"], "left").join(far, ["_k", "_m"], "left")
+               .select("_k", "_t", "_apart", "_p.*", (F.col("_n") + F.coalesce(open_n, zero)).alias("match_count"),
+                       F.col("_h").bitwiseXOR(F.coalesce(open_h, zero)).alias("_sum")))
+    # points without a single interval look for none: a value of their own spreads them over the tasks of the join
+    counted = counted.withColumn("_single", F.col("match_count") == 1).withColumn(
+        "_one", F.when(F.col("_single"), F.col("_sum")).otherwise(F.xxhash64("_t", "_apart")))
+    names = (iv.select(F.col(key).alias("_ik"), own.alias("_ih"), F.col(iv_id).alias(f"matched_{iv_id}"),
+                       *[F.col(c).alias(f"_ivc_{c}") for c in carry], known(F.lit(0)).alias("_known")).drop("_known"))
+    named = counted.join(names, (F.col("_k") == F.col("_ik")) & (F.col("_one") == F.col("_ih")) & F.col("_single"), "left")
+    return named.select(*points.columns, "match_count", f"matched_{iv_id}", *[F.col(f"_ivc_{c}").alias(c) for c in carry])
+
+
+#: Buckets of points that have no key or time, and the unit in which ``_open_at_start`` steps over long gaps.
+UNTIMED_BUCKETS, COARSE = 256, "month"
+
+
+def _open_at_start(events: DataFrame, unit: str) -> tuple[DataFrame, DataFrame]:
+    """What the events (_k, _t, _n, _h) leave open as a time bucket begins, as two tables to look up.
+
+    ``near`` (_k, _b, _near_n, _near_h) has the later buckets of every month with
+    events, ``far`` (_k, _m, _far_n, _far_h) the months: what is open as a month
+    begins holds for its buckets up to the first with events, or for all of them.
+    Both are sized by the calendar that the intervals span, not by their number.
+    """
+    step, month = F.expr(f"INTERVAL 1 {unit.upper()}"), F.expr(f"INTERVAL 1 {COARSE.upper()}")
+    each = Window.partitionBy("_k").orderBy("_b")
+    upto = each.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = (events.groupBy("_k", F.date_trunc(unit, "_t").alias("_b")).agg(F.sum("_n").alias("_n"), F.bit_xor("_h").alias("_h"))
+             .select("_k", "_b", F.sum("_n").over(upto).alias("_n"), F.bit_xor("_h").over(upto).alias("_h"),
+                     F.date_trunc(COARSE, "_b").alias("_m"), F.lead("_b").over(each).alias("_next")))
+
+    def steps(first: Column, last: Column, by: Column) -> Column:
+        return F.explode(F.when(first <= last, F.sequence(first, last, by)))
+
+    near = state.select("_k", F.col("_n").alias("_near_n"), F.col("_h").alias("_near_h"),
+                        steps(F.col("_b") + step, F.least(F.col("_next"), F.col("_m") + month - step), step).alias("_b"))
+    far = state.select("_k", F.col("_n").alias("_far_n"), F.col("_h").alias("_far_h"),
+                       steps(F.col("_m") + month, F.date_trunc(COARSE, "_next"), month).alias("_m"))
+    return near, far
 
 
 def day_pieces(df: DataFrame, start: str, end: str) -> DataFrame:

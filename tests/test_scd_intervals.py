@@ -168,6 +168,31 @@ def test_repeated_interval_ids_return_each_point_once(spark):
         ("p", 1, "a", "S"), ("q", 1, "a", "U"), ("r", 2, None, None)]
 
 
+def test_open_intervals_reach_over_buckets_and_months(spark):
+    rnd = random.Random(5)
+    at = lambda: dt.datetime(2023, 11, 1) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 200))
+    iv = [(rnd.choice([1, 2]), f"r{i}", s, s + dt.timedelta(minutes=rnd.choice([5, 90, 3000, 100_000]))) for i in range(12) for s in [at()]]
+    iv += [(3, "long", dt.datetime(2020, 1, 31, 23, 59), dt.datetime(2024, 3, 1)), (None, "lost", dt.datetime(2023, 1, 1), dt.datetime(2025, 1, 1)), (3, "back", at(), dt.datetime(2000, 1, 1))]
+    pts = [(f"p{i}", rnd.choice([1, 2, 3]), at()) for i in range(300)] + [("n", None, at()), ("t", 1, None), ("e", 3, dt.datetime(2024, 3, 1)), ("s", 3, dt.datetime(2020, 1, 31, 23, 59))]
+    got = intervals.point_in_intervals(spark.createDataFrame(pts, "check_id STRING, line_id INT, check_ts TIMESTAMP"),
+                                       spark.createDataFrame(iv, "line_id INT, run_id STRING, start_ts TIMESTAMP, end_ts TIMESTAMP"),
+                                       "line_id", "check_ts", "run_id", "start_ts", "end_ts")
+    def truth(key, t):
+        held = [i[1] for i in iv if None not in (key, t) and i[0] == key and i[2] <= t < i[3]]
+        return len(held), held[0] if len(held) == 1 else None
+    assert {(r.check_id, r.match_count, r.matched_run_id) for r in got.collect()} == {(p[0], *truth(p[1], p[2])) for p in pts}
+
+
+def test_points_are_read_once_and_never_filtered(spark, tmp_path):
+    T2 = "line_id INT, run_id STRING, start_ts TIMESTAMP, end_ts TIMESTAMP"
+    spark.createDataFrame([("p", 1, T("2024-01-01 08:30"))], "check_id STRING, line_id INT, check_ts TIMESTAMP").write.parquet(str(tmp_path / "points"))
+    points = spark.read.parquet(str(tmp_path / "points"))
+    iv = spark.createDataFrame([(1, "a", T("2024-01-01 08:00"), T("2024-01-01 10:00"))], T2)
+    out = intervals.point_in_intervals(points, iv, "line_id", "check_ts", "run_id", "start_ts", "end_ts")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "isnotnull(check_ts" not in plan
+
+
 def test_segmented_lead_equals_plain_lead(spark):
     from millrace.operators.sequence import segmented_lead
     rnd = random.Random(11)
