@@ -34,8 +34,8 @@ def all_string_schema(columns: list[str], rescue: bool = True) -> StructType:
 
 
 def land_csv(df: DataFrame, folder: str, header: bool = True) -> str:
-    """Write one drop of an extract as CSV files into ``folder``."""
-    df.write.mode("overwrite").option("header", header).csv(folder)
+    """Write one drop of an extract as gzipped CSV files into ``folder``; a task that writes makes one file."""
+    df.write.mode("overwrite").option("header", header).option("compression", "gzip").csv(folder)
     return folder
 
 

@@ -107,6 +107,18 @@ def test_rescued_data_keeps_bad_lines(spark):
     assert got[0] == "" and got[1].endswith("GOOD") and got[2].endswith(",EXTRA")
 
 
+def test_csv_drops_land_compressed_and_read_back_whole(spark):
+    base = ingest.fresh_dir(spark, "test_gzip")
+    made = spark.range(2000).select(*[F.concat(F.lit(f"{c} "), F.col("id")).alias(c) for c in COLS])
+    ingest.land_csv(made.coalesce(1), os.path.join(base, "landing", "drop_0"))
+    files = spark.read.format("binaryFile").load(os.path.join(base, "landing", "drop_0")).select("path", "length").collect()
+    assert [f.path for f in files if not f.path.endswith(".csv.gz")] == []
+    assert sum(f.length for f in files) * 4 < made.select(F.sum(F.length(F.concat_ws(",", *COLS)))).first()[0]
+    stream = ingest.bronze_stream(spark, os.path.join(base, "landing"), COLS, "csv")
+    ingest.run_once(ingest.to_parquet(stream, os.path.join(base, "bronze"), os.path.join(base, "_chk")))
+    assert rows(spark.read.parquet(os.path.join(base, "bronze")), *COLS) == rows(made, *COLS)
+
+
 def test_json_arrays_roundtrip(spark):
     base = ingest.fresh_dir(spark, "test_json")
     df = spark.createDataFrame([(f"EQ-{i}", f"n{i}", None if i % 2 else '{"a": 1}') for i in range(25)],
