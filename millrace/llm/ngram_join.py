@@ -106,6 +106,12 @@ def _dealt(values: np.ndarray, sizes: np.ndarray, parts: int) -> Iterator[tuple[
         yield values[some], np.bincount(owner[some], minlength=len(sizes)).astype(np.uint32)
 
 
+def _bucket(values: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
+    """What of a batch goes to a bucket: 32 bits of its values, which sets have any (a bit each), and their counts and keys."""
+    present = counts > 0
+    return values.astype(np.uint32).tobytes(), np.packbits(present).tobytes(), counts[present].tobytes(), keys[present].tobytes()
+
+
 def _batch_name(number: int, content: bytes) -> str:
     """Batches are numbered in their task; the checksum tells apart what a repeated task may have read in another order."""
     return f"{TaskContext.get().partitionId()}-{number}-{zlib.crc32(content):08x}"
@@ -130,9 +136,11 @@ def shared_counts(docs: DataFrame, parts: int) -> DataFrame:
     """(doc_id, text_hash, text) -> doc_id, text_hash, set_key, n (shingles), shared (those that another set has too).
 
     ``shared`` may count a shingle too many where 32 bits and the bucket agree by
-    chance, never one too few.
+    chance, never one too few.  A bucket gets the keys and counts of those sets
+    only that have shingles in it, so what travels does not grow with the number
+    of buckets but with the shingles.
     """
-    dealt = ("part int, batch string, hashes binary, counts binary, keys binary, "
+    dealt = ("part int, batch string, hashes binary, present binary, counts binary, keys binary, "
              "doc_ids array<long>, text_hashes array<long>, which binary, set_keys binary, sizes binary")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +161,7 @@ def shared_counts(docs: DataFrame, parts: int) -> DataFrame:
                 rows = []
                 for p, (values, counts) in enumerate(_dealt(sets.values[chosen[sets.doc]], sizes, parts)):
                     first = p == 0
-                    rows.append((p, name, values.astype(np.uint32).tobytes(), counts.tobytes(), keys[:, 0].tobytes(),
+                    rows.append((p, name, *_bucket(values, counts, keys[:, 0]),
                                  batch.column(0).slice(a, b - a).to_pylist() if first else None,
                                  batch.column(1).slice(a, b - a).to_pylist() if first else None,
                                  which.tobytes() if first else None, keys.tobytes() if first else None,
@@ -161,8 +169,8 @@ def shared_counts(docs: DataFrame, parts: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     longs = pa.list_(pa.int64())
-    names = ["part", "batch", "hashes", "counts", "keys", "doc_ids", "text_hashes", "which", "set_keys", "sizes"]
-    types = [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary(), longs, longs, pa.binary(), pa.binary(), pa.binary()]
+    names = ["part", "batch", "hashes", "present", "counts", "keys", "doc_ids", "text_hashes", "which", "set_keys", "sizes"]
+    types = [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), longs, longs, pa.binary(), pa.binary(), pa.binary()]
 
     def count(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
@@ -181,19 +189,22 @@ def shared_counts(docs: DataFrame, parts: int) -> DataFrame:
             shared = np.bincount(owner[several], minlength=len(keys)).astype(np.uint32)
         cut = np.concatenate(([0], np.cumsum([len(c) for c in counts])))
         found = pa.array([shared[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())
-        return rows.select(["batch", "doc_ids", "text_hashes", "which", "set_keys", "sizes"]).append_column("shared", found)
+        return rows.select(["batch", "present", "doc_ids", "text_hashes", "which", "set_keys", "sizes"]).append_column("shared", found)
 
     def gather(rows: pa.Table) -> pa.Table:
         rows = _complete(rows, parts)
-        shared = sum(_u4(rows["shared"], k).astype(np.int64) for k in range(rows.num_rows))
         head = next(k for k in range(rows.num_rows) if rows["which"][k].is_valid)
         which, keys, sizes = _u4(rows["which"], head), rows["set_keys"][head].as_py(), _u4(rows["sizes"], head).astype(np.int64)
+        shared = np.zeros(len(sizes), np.int64)
+        for k in range(rows.num_rows):
+            present = np.unpackbits(np.frombuffer(rows["present"][k].as_buffer(), np.uint8), count=len(sizes)).view(bool)
+            shared[present] += _u4(rows["shared"], k)
         return pa.Table.from_arrays(
             [rows["doc_ids"][head].values, rows["text_hashes"][head].values, pa.array([keys[16 * u:16 * u + 16] for u in which.tolist()], pa.binary()),
              pa.array(sizes[which]), pa.array(shared[which])], names=["doc_id", "text_hash", "set_key", "n", "shared"])
 
     counted = docs.mapInArrow(deal, dealt).groupBy("part").applyInArrow(
-        count, "batch string, doc_ids array<long>, text_hashes array<long>, which binary, set_keys binary, sizes binary, shared binary")
+        count, "batch string, present binary, doc_ids array<long>, text_hashes array<long>, which binary, set_keys binary, sizes binary, shared binary")
     return counted.groupBy("batch").applyInArrow(gather, "doc_id long, text_hash long, set_key binary, n long, shared long")
 
 

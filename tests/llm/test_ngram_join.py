@@ -117,3 +117,14 @@ def test_tree_finds_all_links():
             return [label.index(x) for x in label]
 
         assert parts(found) == parts(linked)
+
+
+def test_what_is_dealt_grows_with_the_shingles_not_with_the_buckets():
+    sets = ngram_join.Sets([" ".join(f"w{i * k}" for i in range(30)) for k in range(1, 41)] + ["", None])
+    sent = []
+    for parts in (8, 4096):
+        rows = [ngram_join._bucket(v, c, sets.keys[:, 0]) for v, c in ngram_join._dealt(sets.values, sets.sizes, parts)]
+        assert sum(len(r[0]) for r in rows) == 4 * len(sets.values)
+        assert all(len(r[2]) // 4 == len(r[3]) // 8 == np.unpackbits(np.frombuffer(r[1], np.uint8)).sum() for r in rows)
+        sent.append(sum(len(r[2]) + len(r[3]) for r in rows))
+    assert sent[1] <= 12 * len(sets.values)
