@@ -943,7 +943,8 @@ def _vibration_windows(p: Plant) -> DataFrame:
     base = ingest.fresh_dir(spark, "vibration")
     landing, out = os.path.join(base, "landing"), os.path.join(base, "out")
     events = p.table("events", ["event_id", "ts", "user_id"])
-    for k, messages in enumerate([vibration.messages_from_events(events), vibration.heartbeat(events)]):
+    spread = vibration.spread_events(events)
+    for k, messages in enumerate([vibration.messages_from_events(spread), vibration.heartbeat(events)]):
         ingest.land_text(messages, os.path.join(landing, f"drop_{k}"))
         stream = spark.readStream.schema("value STRING").option("recursiveFileLookup", "true").text(landing)
         stats = vibration.window_stats(vibration.parse_messages(stream), watermark="1 minute")

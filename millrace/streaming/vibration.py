@@ -24,10 +24,20 @@ MESSAGE_SCHEMA = StructType([
     StructField("temperature", DoubleType()),
 ])
 WINDOW, SLIDE, ALERT_K = "1 minute", "10 seconds", 3.0
+#: Windows that start in the same block are merged together; a block spans its panes up to the end of its last window.
+BLOCK, BLOCK_SPAN = "120 seconds", "170 seconds"
+_WINDOW_US, _SLIDE_US, _BLOCK_US = 60_000_000, 10_000_000, 120_000_000
 
 
 #: Messages of one burst (four a second), and the sensor name of heartbeats.
 BURST, HEARTBEAT = 12, "HEARTBEAT"
+#: Events whose bursts are landed as one file (about 40 MB).
+EVENTS_A_FILE = 25_000
+
+
+def spread_events(events: DataFrame) -> DataFrame:
+    """Deal events to tasks by their number: as messages they take some hundred times the bytes that scans are split by."""
+    return events.repartition(max(1, -(-events.count() // EVENTS_A_FILE)), *events.columns)
 
 
 def messages_from_events(events: DataFrame) -> DataFrame:
@@ -71,16 +81,54 @@ def pane_sums(msgs: DataFrame, watermark: str | None = None) -> DataFrame:
                  F.sum("m2").alias("s1"), F.sum(F.col("m2") * F.col("m2")).alias("s2")))
 
 
+def pane_blocks(panes: DataFrame) -> DataFrame:
+    """The panes of each sensor that the windows starting in one block are merged from.  A pane goes to one block or two
+    (those of the first 50 seconds also end windows of the block before), not to each of its six windows."""
+    pane = F.struct(F.unix_micros(F.col("pane.start")).alias("at"), "n", "max_m2", "s1", "s2")
+    return (panes.groupBy("sensor_id", F.window(F.window_time("pane"), BLOCK_SPAN, BLOCK).alias("block"))
+            .agg(F.collect_list(pane).alias("panes")))
+
+
+def block_windows(blocks: DataFrame) -> DataFrame:
+    """Start, end, n, maximum and sums of every window of a block that holds a pane; nulls are skipped, as ``sum`` does."""
+    first = F.unix_micros(F.col("block.start"))
+    starts = F.array_distinct(F.flatten(F.transform("panes", lambda p: F.sequence(
+        F.greatest(p["at"] - F.lit(_WINDOW_US - _SLIDE_US), first),
+        F.least(p["at"], first + F.lit(_BLOCK_US - _SLIDE_US)), F.lit(_SLIDE_US).cast("long")))))
+    none = F.lit(None).cast("double")
+
+    def plus(a: Column, b: Column) -> Column:
+        return F.coalesce(a + b, a, b)
+
+    def window(start: Column) -> Column:
+        return F.aggregate(
+            F.filter("panes", lambda p: (p["at"] >= start) & (p["at"] < start + F.lit(_WINDOW_US))),
+            F.struct(F.lit(0).cast("long").alias("n"), none.alias("max_m2"), none.alias("s1"), none.alias("s2")),
+            lambda a, p: F.struct((a["n"] + p["n"]).alias("n"), F.greatest(a["max_m2"], p["max_m2"]).alias("max_m2"),
+                                  plus(a["s1"], p["s1"]).alias("s1"), plus(a["s2"], p["s2"]).alias("s2")),
+            lambda a: F.struct(F.timestamp_micros(start).alias("window_start"), F.timestamp_micros(start + F.lit(_WINDOW_US)).alias("window_end"),
+                               a["n"].alias("n"), a["max_m2"].alias("max_m2"), a["s1"].alias("s1"), a["s2"].alias("s2")))
+
+    return blocks.select("sensor_id", F.inline(F.transform(starts, window)))
+
+
 def window_stats(msgs: DataFrame, k: float = ALERT_K, watermark: str | None = None) -> DataFrame:
-    """Statistics of sliding windows, merged from panes: a message meets one aggregate, only panes are copied into the
-    windows they are part of.  On a stream these are two chained aggregations under one watermark."""
-    g = (pane_sums(msgs, watermark)
-         .groupBy("sensor_id", F.window(F.window_time("pane"), WINDOW, SLIDE).alias("w"))
-         .agg(F.sum("n").alias("n"), F.max("max_m2").alias("max_m2"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2")))
+    """Statistics of sliding windows, merged from panes: a message meets one aggregate, only panes go on to windows.
+
+    On a table a pane is copied into the windows it is part of.  On a stream every such copy would be a row written to
+    and removed from the state, so panes are gathered in blocks instead: two chained aggregations under one watermark,
+    whose state is the open panes and blocks.  A block's windows come out together, once the watermark has passed the last.
+    """
+    panes = pane_sums(msgs, watermark)
+    if watermark:
+        g = block_windows(pane_blocks(panes))
+    else:
+        g = (panes.groupBy("sensor_id", F.window(F.window_time("pane"), WINDOW, SLIDE).alias("w"))
+             .agg(F.sum("n").alias("n"), F.max("max_m2").alias("max_m2"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"))
+             .withColumns({"window_start": F.col("w.start"), "window_end": F.col("w.end")}))
     n = F.col("n").cast("double")
     mean = F.col("s1") / n
     var = F.greatest((F.col("s2") - (F.col("s1") * F.col("s1")) / n) / F.nullif(n - F.lit(1.0), F.lit(0.0)), F.lit(0.0))
     sd = F.sqrt(var)
-    return g.select("sensor_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                    "n", "max_m2", round_half_up(mean, 6).alias("mean_m2"), round_half_up(sd, 6).alias("sd_m2"),
+    return g.select("sensor_id", "window_start", "window_end", "n", "max_m2", round_half_up(mean, 6).alias("mean_m2"), round_half_up(sd, 6).alias("sd_m2"),
                     F.coalesce(F.col("max_m2") > mean + F.lit(k) * sd, F.lit(False)).alias("alert"))

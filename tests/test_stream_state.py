@@ -93,3 +93,33 @@ def test_windows_from_panes_equal_windows_from_messages(spark):
     assert rows(got, "sensor_id", "window_start", "n", "max_m2") == rows(direct)
     plan = vibration.pane_sums(df)._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan   # a message is not copied into several windows
+
+
+def test_streamed_windows_keep_panes_in_blocks(spark, tmp_path):
+    """Each pane costs the state its own row and one or two blocks, not six windows; the windows are those of the table."""
+    fields = "sensor_id string, timestamp string, x_accel double, y_accel double, z_accel double, temperature double"
+    # dense and sparse sensors, windows over block and minute ends, a null sensor, null and infinite values
+    msgs = [("a", 7 * i, float(i % 13)) for i in range(120)] + [("b", 613 * i, 2.5) for i in range(40)] + \
+           [(None, 119, 1.0), (None, 120, None), ("c", 0, None), ("c", 49, float("inf")), ("c", 110, 3.0), ("c", 170, 3.0)]
+    stamp = lambda s: (T0 + dt.timedelta(seconds=s)).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    landing, out, check = (str(tmp_path / x) for x in ("landing", "out", "check"))
+    drops = [[(s, stamp(t), x, 1.0, 0.0, 20.0) for s, t, x in msgs], [(vibration.HEARTBEAT, stamp(100_000), 0.0, 0.0, 0.0, 0.0)]]
+    written = 0
+    for k, drop in enumerate(drops):
+        ingest.land_text(spark.createDataFrame(drop, fields).select(F.to_json(F.struct("*")).alias("value")), f"{landing}/drop_{k}")
+        stream = spark.readStream.schema("value STRING").option("recursiveFileLookup", "true").text(landing)
+        query = ingest.run_once(ingest.to_parquet(vibration.window_stats(vibration.parse_messages(stream), watermark="1 minute"), out, check))
+        written += sum(op["numRowsUpdated"] for p in query.recentProgress for op in p["stateOperators"])
+    parsed = vibration.parse_messages(spark.read.text(f"{landing}/drop_0"))
+    want = vibration.window_stats(parsed)
+    got = spark.read.parquet(out)
+    assert list(map(str, rows(got))) == list(map(str, rows(want))) and got.dtypes == want.dtypes
+    assert written <= 3 * vibration.pane_sums(parsed).count() + 1
+
+
+def test_events_are_dealt_to_files_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(vibration, "EVENTS_A_FILE", 10)
+    events = spark.range(95).selectExpr("cast(null as long) as event_id", "timestamp_millis(id) as ts", "id as user_id").coalesce(1)
+    sizes = [len(p) for p in vibration.spread_events(events).rdd.glom().collect()]
+    assert len(sizes) == 10 and sum(sizes) == 95 and max(sizes) < 40
+    assert vibration.spread_events(events.limit(0)).count() == 0
