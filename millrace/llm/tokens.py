@@ -13,21 +13,25 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Only cut where white space in anyone's reading is on neither side.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Words of letters that normalization leaves alone.
-_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+").fullmatch
 #: How byte-level vocabularies write a space, and how many plain words are encoded together.
 SPACE_MARK, RUN = "Ġ", 256
-#: Units of one generation (a worker keeps two), and the longest unit kept.
+#: Units kept, and words of one generation (a worker keeps two); the longest unit kept.
 MOST_UNITS, LONGEST_UNIT = 400_000, 48
 #: Marks that form a piece of their own after a letter or digit; the part before them is looked up alone.
 MARKS = ".,!?;:$%&*#"
+#: A word of letters that normalization leaves alone but for their case, and the marks after it.  (The dotted capital I
+#: has two letters for a lower case.)
+_MARKED = f"^(?P<word>[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)(?P<marks>[{MARKS}]*)$"
 #: Characters handled at a time; longer texts are cut on the way.
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 22
 
 _LOADED: dict[str, "UnitEncoder"] = {}
 
@@ -39,6 +43,12 @@ def encoder(path: str) -> "UnitEncoder":
     return _LOADED[path]
 
 
+def _spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places of all spans one after the other."""
+    before = np.cumsum(size) - size
+    return np.repeat(begin - before, size) + np.arange(int(size.sum()))
+
+
 class UnitEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,8 +64,17 @@ class UnitEncoder:
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
         self.closes = bool(suffix)
         self.bound = np.array([n.endswith(suffix) if suffix else n.startswith(SPACE_MARK) for n in names])
-        self.units: dict[str, bytes | None] = {}
-        self.older: dict[str, bytes | None] = {}
+        # texts that normalization makes equal have equal ids
+        self.normal = normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
+        self.lowers = normal("AÀZ") == "aàz"
+        self.collapses = normal("a\nb") == normal("a b") and normal("a\n \nb") == normal("a   b")
+        #: ids of words and other units, by the word; two generations
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        #: units with what follows the word: where their ids begin in the store, how many (-1: may not be cut off), groups of texts that held one
+        self.units = pa.array([], pa.string())
+        self.begin, self.size, self.groups = (np.zeros(0, np.int64) for _ in range(3))
+        self.store = np.zeros(0, self.dtype)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -111,72 +130,139 @@ class UnitEncoder:
 
     def _rest(self, text: str) -> bytes:
         """Ids of a part of a text that follows a cut."""
-        self._learn(set(text.split(" ")))
-        try:
-            return b"".join([self.units[x] for x in text.split(" ")])
-        except TypeError:
+        ids = self._columns([text], headed=False)[0]
+        if ids is None:
             parts = _CUT.split(text)
-            ids = dict(zip(new := list(set(parts)), self._ids([" " + p for p in new])))
-            return b"".join([ids[p] for p in parts])
+            known = dict(zip(new := list(set(parts)), self._ids([" " + p for p in new])))
+            return b"".join([known[p] for p in parts])
+        return ids
+
+    def _known(self, units: list[str], ids_of: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Ids of distinct words or other units as they are after a space, remembered or from the library."""
+        if len(self.words) > MOST_UNITS:
+            self.older, self.words = self.words, {}
+        words, older = self.words, self.older
+        unknown = [u for u in units if u not in words]
+        words.update((u, older[u]) for u in unknown if u in older)
+        unknown = [u for u in unknown if u not in older]
+        words.update(zip(unknown, ids_of(unknown)))
+        return [words[u] for u in units]
+
+    def _learn(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct units as they are after a space, one after the other, and how many each has (-1: may not be cut off)."""
+        size = np.full(len(new), -1, np.int64)
+        begin = np.zeros((len(new), 2), np.int64)   # of the word and of the marks after it
+        each = np.zeros((len(new), 2), np.int64)
+        pool: list[bytes] = []
+        held = 0
+
+        def pooled(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            nonlocal held
+            sizes = np.array([len(x) // self.dtype.itemsize for x in ids], np.int64)
+            begins = held + np.cumsum(sizes) - sizes
+            held += int(sizes.sum())
+            pool.extend(ids)
+            return begins, sizes
 
-    def _learn(self, found: set[str]) -> None:
-        """Make sure that every unit is known; None marks one that may not be cut off."""
+        def put(at: np.ndarray, part: int, coded: pa.DictionaryArray, ids: list[bytes]) -> None:
+            begins, sizes = pooled(ids)
+            index = coded.indices.to_numpy()
+            begin[at, part], each[at, part] = begins[index], sizes[index]
+
+        short = pc.less_equal(pc.utf8_length(new), LONGEST_UNIT)
+        marked = pc.extract_regex(new, _MARKED)
+        plain = pc.and_(short, marked.is_valid())
+        at = np.flatnonzero(plain.to_numpy(zero_copy_only=False))
+        marked = marked.filter(plain)
+        word, tail = marked.field(0), marked.field(1).dictionary_encode()
+        word = (pc.utf8_lower(word) if self.lowers else word).dictionary_encode()
+        put(at, 0, word, self._known(word.dictionary.to_pylist(), self._word_ids))
+        put(at, 1, tail, self._ids(tail.dictionary.to_pylist()))
+        size[at] = each[at].sum(1)
+
+        places = np.flatnonzero(pc.and_not(short, plain).to_numpy(zero_copy_only=False))
+        units = new.take(pa.array(places)).to_pylist()
+        even = [bool(u) and not u[0].isspace() and not u[-1].isspace() for u in units]
+        places, units = places[even], [u for u, e in zip(units, even) if e]
+        # a letter may become one with a combining mark, which the marks after it would join
+        cores = [c if c != u and c and c[-1].isalnum() and self.normal(c)[-1].isalnum() else u for u, c in ((u, u.rstrip(MARKS)) for u in units)]
+        word = pa.array(cores, pa.string()).dictionary_encode()
+        tail = pa.array([u[len(c):] for u, c in zip(units, cores)], pa.string()).dictionary_encode()
+        put(places, 0, word, self._known(word.dictionary.to_pylist(), lambda odd: self._ids([" " + u for u in odd])))
+        put(places, 1, tail, self._ids(tail.dictionary.to_pylist()))
+        size[places] = each[places].sum(1)
+        ids = np.frombuffer(b"".join(pool), self.dtype)[_spans(begin.ravel(), each.ravel())]
+        return ids, size
+
+    def _numbers(self, units: pa.Array) -> np.ndarray:
+        """Numbers of distinct units in the store; new ones are learned."""
         if len(self.units) > MOST_UNITS:
-            self.older, self.units = self.units, {}
-        units, older = self.units, self.older
-        fresh: set[str] = set()
-        marked: list[tuple[str, str]] = []
-        for u in found - units.keys():
-            if u in older:
-                units[u] = older[u]
-            elif not u or u[0].isspace() or u[-1].isspace() or len(u) > LONGEST_UNIT:
-                units[u] = None
-            else:
-                core = u.rstrip(MARKS)
-                if core != u and core and core[-1].isalnum():
-                    marked.append((u, core))
-                    u = core
-                    if u in units:
-                        continue
-                    if u in older:
-                        units[u] = older[u]
-                        continue
-                fresh.add(u)
-        plain = [u for u in fresh if _PLAIN(u)]
-        units.update(zip(plain, self._word_ids(plain)))
-        new = [u for u in fresh if u not in units]
-        units.update(zip(new, self._ids([" " + u for u in new])))
-        tails = list({u[len(core):] for u, core in marked})
-        tail_ids = dict(zip(tails, self._ids(tails)))
-        for u, core in marked:
-            units[u] = units[core] + tail_ids[u[len(core):]]
+            # the units that most groups held stay
+            keep = np.argsort(-self.groups, kind="stable")[:MOST_UNITS // 2]
+            size, begin = np.maximum(self.size[keep], 0), self.begin[keep]
+            self.store = self.store[_spans(begin, size)]
+            self.units, self.size, self.groups = self.units.take(pa.array(keep)), self.size[keep], self.groups[keep] // 2
+            self.begin = np.cumsum(size) - size
+        found = pc.index_in(units, value_set=self.units)
+        unknown = found.is_null()
+        numbers = found.fill_null(0).to_numpy()
+        fresh = units.filter(unknown)
+        if len(fresh):
+            ids, size = self._learn(fresh)
+            kept = np.maximum(size, 0)
+            numbers = numbers.copy()
+            numbers[unknown.to_numpy(zero_copy_only=False)] = len(self.units) + np.arange(len(fresh))
+            self.units = pa.concat_arrays([self.units, fresh])
+            self.begin = np.concatenate((self.begin, len(self.store) + np.cumsum(kept) - kept))
+            self.store = np.concatenate((self.store, ids))
+            self.size = np.concatenate((self.size, size))
+            self.groups = np.concatenate((self.groups, np.zeros(len(fresh), np.int64)))
+        self.groups[numbers] += 1
+        return numbers
+
+    def _columns(self, texts: list[str], headed: bool = True) -> list[bytes | None]:
+        """Ids of texts cut at their spaces, None for a text with a unit that may not be cut off.
+
+        The first unit of a headed text has no space before it.
+        """
+        if self.collapses:
+            texts = [t.replace("\n", " ") for t in texts]
+        cut = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        first = cut.offsets.to_numpy()
+        coded = cut.values.dictionary_encode()
+        unit = self._numbers(coded.dictionary)[coded.indices.to_numpy()]
+        size, begin, store = self.size[unit], self.begin[unit], self.store
+        if headed:
+            heads = cut.values.take(pa.array(first[:-1])).to_pylist()
+            ids = self._ids([h if h and not h[0].isspace() and not h[-1].isspace() else "" for h in heads])
+            sizes = np.array([len(x) // self.dtype.itemsize for x in ids], np.int64)
+            begin[first[:-1]] = len(store) + np.cumsum(sizes) - sizes
+            size[first[:-1]] = np.where([bool(h) and not h[0].isspace() and not h[-1].isspace() for h in heads], sizes, -1)
+            store = np.concatenate((store, np.frombuffer(b"".join(ids), self.dtype)))
+        uneven = np.minimum.reduceat(size, first[:-1]) < 0
+        size = np.maximum(size, 0)
+        raw = store[_spans(begin, size)].tobytes()
+        ends = (np.concatenate(([0], np.cumsum(size)))[first] * self.dtype.itemsize).tolist()
+        return [None if bad else raw[a:b] for a, b, bad in zip(ends, ends[1:], uneven.tolist())]
 
     def _group(self, texts: list[str]) -> list[bytes]:
         if not texts:
             return []
-        cut = [t.split(" ") for t in texts]
-        self._learn({x for u in cut for x in u[1:]})
-        units = self.units
-        heads = [u[0] if u[0] and not u[0][0].isspace() and not u[0][-1].isspace() else "" for u in cut]
-        head_ids = self._ids(heads)
         out = []
-        for text, u, head, ids in zip(texts, cut, heads, head_ids):
+        for text, ids in zip(texts, self._columns(texts)):
             if not text:
                 out.append(b"")
             elif self.special.search(text):
                 out.append(self._ids([text])[0])
             else:
-                try:
-                    out.append((ids if head else None) + b"".join([units[x] for x in u[1:]]))
-                except TypeError:
-                    out.append(self._uneven(text))
+                out.append(self._uneven(text) if ids is None else ids)
         return out
 
     def _uneven(self, text: str) -> bytes:
         """Ids of a text with other white space beside its spaces: cut only where that is safe."""
         head, *parts = _CUT.split(text)
         new = list(set(parts))
-        known = {p: self.units.get(p) for p in new}
+        known = {p: self.words.get(p) for p in new}
         fresh = [p for p in new if known[p] is None]
         known.update(zip(fresh, self._ids([" " + p for p in fresh])))
         return self._ids([head])[0] + b"".join([known[p] for p in parts])

@@ -40,6 +40,30 @@ def test_units_give_the_ids_of_the_whole_text(path, monkeypatch):
         assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == expected
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_units_of_all_letters_and_a_small_memory(path, monkeypatch):
+    from millrace.llm import tokens
+    letters = [chr(c) for c in range(0x41, 0x370)]
+    rows = [f"x {c}ab a{c}. {c}\n{c}B {c}!? a{c}b{c.upper()}" for c in letters] + ["", "\n", "a\n\nb c\n d", "a\r\nb", "e\u0301 E\u0301. \u0130\u0301", "x. .x ." + "y" * 60 + " ."]
+    plain = Tokenizer.from_file(path)
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in rows]
+    monkeypatch.setattr(tokens, "MOST_UNITS", 50)
+    monkeypatch.setattr(tokens, "AT_ONCE", 200)
+    encoder = UnitEncoder(path)
+    for _ in range(2):
+        assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(rows)] == expected
+
+
+def test_a_word_goes_to_the_library_once(monkeypatch):
+    """Case, marks and line ends make no new words of a vocabulary whose normalization drops them."""
+    encoder, asked = UnitEncoder(WORD), []
+    ask = encoder._word_ids
+    monkeypatch.setattr(encoder, "_word_ids", lambda words: asked.extend(words) or ask(words))
+    text = "one Two two, TWO.\nThree three\nthree! two\nTwo"
+    assert np.frombuffer(encoder.encode([text, text])[0], encoder.dtype).tolist() == Tokenizer.from_file(WORD).encode(text).ids
+    assert sorted(asked) == ["one", "three", "two"]
+
+
 def test_round_trip(spark):
     rows = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     got = {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in QUERIES["op9_wavelet"](spark, SF).collect()}
