@@ -29,7 +29,8 @@ MOST_UNITS, LONGEST_UNIT = 400_000, 48
 MARKS = ".,!?;:$%&*#"
 #: A word of letters that normalization leaves alone but for their case, and the marks after it.  (The dotted capital I
 #: has two letters for a lower case.)
-_MARKED = f"^(?P<word>[A-Za-zÀ-ÖØ-öø-įı-ɏ]+)(?P<marks>[{MARKS}]*)$"
+_LETTER = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]"
+_MARKED = f"^(?P<word>{_LETTER}+)(?P<marks>[{MARKS}]*)$"
 #: Characters handled at a time; longer texts are cut on the way.
 AT_ONCE = 1 << 22
 
@@ -46,7 +47,9 @@ def encoder(path: str) -> "UnitEncoder":
 def _spans(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Places of all spans one after the other."""
     before = np.cumsum(size) - size
-    return np.repeat(begin - before, size) + np.arange(int(size.sum()))
+    places = np.arange(int(size.sum()))
+    places += np.repeat(begin - before, size)
+    return places
 
 
 class UnitEncoder:
@@ -66,7 +69,14 @@ class UnitEncoder:
         self.bound = np.array([n.endswith(suffix) if suffix else n.startswith(SPACE_MARK) for n in names])
         # texts that normalization makes equal have equal ids
         self.normal = normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
-        self.lowers = normal("AÀZ") == "aàz"
+        letters = " " + "".join(map(chr, (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250))))
+        letters = "".join(re.findall(f" |{_LETTER}", letters))
+        self.lowers = normal(letters) == letters.lower() != letters
+        # words that normalization would leave as they are need not go through it
+        self.plain = self.tokenizer
+        if self.tokenizer.normalizer and normal(letters) == (letters.lower() if self.lowers else letters):
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer = None
         self.collapses = normal("a\nb") == normal("a b") and normal("a\n \nb") == normal("a   b")
         #: ids of words and other units, by the word; two generations
         self.words: dict[str, bytes] = {}
@@ -85,7 +95,7 @@ class UnitEncoder:
         runs = [words[i:i + RUN] for i in range(0, len(words), RUN)]
         out: list[bytes] = []
         size = self.dtype.itemsize
-        found = self.tokenizer.encode_batch_fast(["".join([" " + w for w in run]) for run in runs], add_special_tokens=False)
+        found = self.plain.encode_batch_fast(["".join([" " + w for w in run]) for run in runs], add_special_tokens=False)
         for run, e in zip(runs, found):
             ids = np.array(e.ids, self.dtype)
             at = np.flatnonzero(self.bound[ids])

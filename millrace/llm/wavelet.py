@@ -36,6 +36,8 @@ from millrace.llm.common import bounded_broadcast, id_number, id_part, id_ranges
 from millrace.llm.tokens import encoder
 
 STRIDE = 512
+#: Bits dealt out at a time, so that what they move stays in a core's cache.
+BLOCK = 1 << 16
 #: Tokens after which a shard begins another part.
 PART = 1 << 21
 END_ID = 2
@@ -62,7 +64,14 @@ class WaveletMatrix:
             counts = np.concatenate(([0], np.cumsum(each)))[:n // STRIDE + 1]
             ones.append(counts.astype("<u4").tobytes())
             zeros.append(n - int(np.count_nonzero(bit)))
-            ids = np.concatenate((np.compress(~bit, ids), np.compress(bit, ids)))
+            dealt, zero, one = np.empty_like(ids), 0, zeros[-1]
+            for at in range(0, n, BLOCK):
+                each, set_ = ids[at:at + BLOCK], bit[at:at + BLOCK]
+                ones_here = np.compress(set_, each)
+                zeros_here = np.compress(~set_, each)
+                dealt[zero:zero + len(zeros_here)], dealt[one:one + len(ones_here)] = zeros_here, ones_here
+                zero, one = zero + len(zeros_here), one + len(ones_here)
+            ids = dealt
         return cls(n, zeros, b"".join(planes), b"".join(ones))
 
     def decode(self, dtype: str = "<u4") -> np.ndarray:
@@ -70,10 +79,14 @@ class WaveletMatrix:
         kind = np.dtype("<u2" if self.levels <= 16 else "<u4")
         ids = np.zeros(self.n, kind)
         for level in range(self.levels - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level], count=self.n).view(bool)
-            above = np.empty(self.n, kind)
-            above[np.flatnonzero(~bit)] = ids[:self.zeros[level]]
-            above[np.flatnonzero(bit)] = ids[self.zeros[level]:] | kind.type(1 << (self.levels - 1 - level))
+            above, zero, one = np.empty(self.n, kind), 0, self.zeros[level]
+            ids[one:] |= kind.type(1 << (self.levels - 1 - level))
+            for at in range(0, self.n, BLOCK):
+                bit = np.unpackbits(self.planes[level, at // 8:(at + BLOCK) // 8], count=min(BLOCK, self.n - at)).view(bool)
+                zeros_here, ones_here = np.flatnonzero(~bit), np.flatnonzero(bit)
+                each = above[at:at + BLOCK]
+                each[zeros_here], each[ones_here] = ids[zero:zero + len(zeros_here)], ids[one:one + len(ones_here)]
+                zero, one = zero + len(zeros_here), one + len(ones_here)
             ids = above
         return ids.astype(dtype)
 

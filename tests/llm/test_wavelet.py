@@ -28,6 +28,14 @@ def test_rank_select_access(n):
         assert m.occurrence(token, len(places)) == -1
 
 
+def test_ids_dealt_in_blocks(monkeypatch):
+    monkeypatch.setattr(wavelet, "BLOCK", 64)
+    for n in (0, 1, 63, 64, 65, 1000):
+        ids = np.random.default_rng(n).integers(0, 200, n).astype("<u2")
+        built = wavelet.WaveletMatrix.build(ids, 8)
+        assert (built.decode() == ids).all() and [built.access(i) for i in range(0, n, 7)] == ids[::7].tolist()
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_units_give_the_ids_of_the_whole_text(path, monkeypatch):
     from millrace.llm import tokens
