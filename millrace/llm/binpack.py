@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import extended, materialize, table
-from millrace.llm.tokens import encoder
+from millrace.llm.common import extended, lean, materialize, table, text_parts
+from millrace.llm.tokens import AT_ONCE, encoder
 
 CAPACITY = 2048
 SHARD = 16_000
@@ -41,8 +41,8 @@ def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(vocabulary)
-        for batch in batches:
-            ids = tokens.encode([t or "" for t in batch.column(1).to_pylist()])
+        for part, texts in (run for batch in batches for run in text_parts(batch, 1, AT_ONCE)):
+            ids = tokens.encode([t or "" for t in texts])
             rows: list[tuple[int, int, int, int, int]] = []
             for n, raw in enumerate(ids):
                 one = np.append(np.frombuffer(raw, tokens.dtype), end_id).astype("<u4")
@@ -51,10 +51,10 @@ def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, capacity:
                 rows += [(n, k, a, b - a, zlib.crc32(one[a:b])) for k, (a, b) in enumerate(zip(bounds, bounds[1:]))]
             columns = np.array(rows, np.int64).reshape(-1, 5).T
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(columns[0])), pa.array(columns[1].astype(np.int32)), *map(pa.array, columns[2:])],
+                [part.column(0).take(pa.array(columns[0])), pa.array(columns[1].astype(np.int32)), *map(pa.array, columns[2:])],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(cut), PIECES)
 
 
 def fullest(lengths: list[int], left: list[int], room: int) -> list[int]:

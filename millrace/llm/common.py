@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +47,37 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+#: glibc's, where the C library has it
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return what Arrow's and the C library's allocators hold unused to the system."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow, with freed memory given back after each batch and at the end.
+
+    A Python worker outlives its task and serves later ones, of other stages
+    too; its allocators would keep the most that any batch has taken.
+    """
+
+    @functools.wraps(run)
+    def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for batch in run(batches):
+                yield batch
+                del batch
+                give_back()
+        finally:
+            give_back()
+
+    return given_back
+
+
 def shared_path(spark: SparkSession, tag: str) -> str:
     """A new folder name below the folder that driver and executors share."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
@@ -193,17 +227,32 @@ class WordBatch:
         return span_hashes(self.data, self.starts, self.ends, base)
 
 
-def text_groups(texts: list[str | None], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts of at most ``most`` characters together; a longer text is a run of its own."""
+def size_groups(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of sizes that add up to at most ``most``; a larger one is a run of its own."""
     begin = held = 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
+    for i, n in enumerate(sizes):
         if held and held + n > most:
             yield begin, i
             begin, held = i, 0
         held += n
-    if begin < len(texts):
-        yield begin, len(texts)
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
+def text_groups(texts: list[str | None], most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of at most ``most`` characters together; a longer text is a run of its own."""
+    return size_groups([len(t or "") for t in texts], most)
+
+
+def text_parts(batch: pa.RecordBatch, column: int, most: int) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """A batch in runs of rows whose texts have at most ``most`` characters together, with the texts of each.
+
+    Only the texts of one run are Python strings at a time; a longer text is a run of its own.
+    """
+    sizes = pc.utf8_length(batch.column(column)).fill_null(0).to_pylist()
+    for a, b in size_groups(sizes, most):
+        rows = batch.slice(a, b - a)
+        yield rows, rows.column(column).to_pylist()
 
 
 def shingles(batch: WordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -21,10 +21,11 @@ import pyarrow.compute as pc
 
 #: Only cut where white space in anyone's reading is on neither side.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-#: How byte-level vocabularies write a space, and how many plain words are encoded together.
-SPACE_MARK, RUN = "Ġ", 256
+#: How byte-level vocabularies write a space, how many plain words are encoded together, and how many
+#: texts go to the library at once: it returns far more than the ids of each.
+SPACE_MARK, RUN, CALL = "Ġ", 256, 2048
 #: Units kept, and words of one generation (a worker keeps two); the longest unit kept.
-MOST_UNITS, LONGEST_UNIT = 400_000, 48
+MOST_UNITS, LONGEST_UNIT = 200_000, 48
 #: Marks that form a piece of their own after a letter or digit; the part before them is looked up alone.
 MARKS = ".,!?;:$%&*#"
 #: A word of letters that normalization leaves alone but for their case, and the marks after it.  (The dotted capital I
@@ -87,15 +88,17 @@ class UnitEncoder:
         self.store = np.zeros(0, self.dtype)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        return [np.array(e.ids, self.dtype).tobytes() for at in range(0, len(texts), CALL)
+                for e in self.tokenizer.encode_batch_fast(texts[at:at + CALL], add_special_tokens=False)]
 
     def _word_ids(self, words: list[str]) -> list[bytes]:
         """Ids of each of some plain words, as they are after a space; many words go through the library at a time."""
         runs = [words[i:i + RUN] for i in range(0, len(words), RUN)]
         out: list[bytes] = []
         size = self.dtype.itemsize
-        found = self.plain.encode_batch_fast(["".join([" " + w for w in run]) for run in runs], add_special_tokens=False)
+        several = max(1, CALL // RUN)
+        found = (e for at in range(0, len(runs), several) for e in self.plain.encode_batch_fast(
+            ["".join([" " + w for w in run]) for run in runs[at:at + several]], add_special_tokens=False))
         for run, e in zip(runs, found):
             ids = np.array(e.ids, self.dtype)
             at = np.flatnonzero(self.bound[ids])

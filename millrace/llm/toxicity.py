@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import extended, set_aside, table, text_groups
+from millrace.llm.common import extended, give_back, lean, set_aside, table, text_groups, text_parts
 
 BITS, DIM = 18, 6
 BUCKETS = 1 << BITS
@@ -43,8 +43,8 @@ PER_CLASS = (5000, 2500)
 EPOCHS, RATE, SCALE, BATCH, DECAY = 12, 0.3, 24.0, 128, 1e-6
 #: A small sample is gone through more often, up to this many minibatches.
 STEPS = 240
-#: Positions of a slice, and characters of the texts that are folded together.
-SLICE, TOGETHER = 1 << 17, 1 << 19
+#: Positions of a slice, characters of the texts that are folded together, and of those read from a batch at a time.
+SLICE, TOGETHER, READ = 1 << 17, 1 << 19, 1 << 22
 SPACE = 0x20
 
 _FOLD = np.full(256, SPACE, np.uint8)
@@ -193,7 +193,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = PER_C
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1), batch.column(2)], names=["features", "toxic", "turn"])
 
     known_to = labels.schema["toxic"].dataType.simpleString()
-    rows = sorted(sample.mapInArrow(features, f"features binary, toxic {known_to}, turn long").collect(), key=lambda r: (r["turn"], r["features"]))
+    rows = sorted(sample.mapInArrow(lean(features), f"features binary, toxic {known_to}, turn long").collect(), key=lambda r: (r["turn"], r["features"]))
+    give_back()
     return train([bytes(r["features"]) for r in rows], np.array([r["toxic"] for r in rows], np.int64),
                  (positive + 1) / (positive + negative + 3), seed)
 
@@ -206,12 +207,12 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = model.value
-        for batch in batches:
-            result = score_texts(batch.column(place).to_pylist(), w, b)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(result, pa.float64())], names=[*batch.schema.names, "toxic_score"])
+        for part, texts in (run for batch in batches for run in text_parts(batch, place, READ)):
+            result = score_texts(texts, w, b)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(result, pa.float64())], names=[*part.schema.names, "toxic_score"])
 
     schema = extended(docs.schema, toxic_score="double")
-    return docs.mapInArrow(scored, schema)
+    return docs.mapInArrow(lean(scored), schema)
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, most: float = 0.5) -> DataFrame:
